@@ -19,7 +19,7 @@ HASH_SCALE = float(2 ** 60)
 
 
 def _key(cols: Sequence[str | Column], seed) -> Column:
-    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
     return F.concat_ws("-", *parts, F.lit(str(seed)))
 
 

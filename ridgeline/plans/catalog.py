@@ -43,3 +43,13 @@ def load_all():
     """Import the modules that register queries."""
     from . import q_linear, q_logistic, q_prep, q_profile, q_eval  # noqa: F401
     return QUERIES
+
+
+def sig(c, d: int = 6) -> Column:
+    """Round to ``d`` significant digits (scale-free; same IEEE steps as :func:`sig_sql`)."""
+    x = F.col(c) if isinstance(c, str) else c
+    x = x.cast("double")
+    e = (F.floor(F.log10(F.abs(x))) - F.lit(d - 1)).cast("int")
+    up = F.round(x * F.pow(F.lit(10.0), -e)) / F.pow(F.lit(10.0), -e)
+    down = F.round(x / F.pow(F.lit(10.0), e)) * F.pow(F.lit(10.0), e)
+    return F.when(x == 0, F.lit(0.0)).when(e < 0, up).otherwise(down) + F.lit(0.0)

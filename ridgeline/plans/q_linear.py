@@ -35,10 +35,10 @@ _K = len(HOUSE_FEATURES)
 
 def _house_gd_ctes(iters=ITERS):
     return (
-        f"WITH RECURSIVE base AS ({HOUSE_SQL}), "
-        f"tagged AS (SELECT *, CASE WHEN {_U} < {TEST_FRAC} THEN 'test' ELSE 'train' END AS split FROM base), "
-        f"mom AS (SELECT {sqlgen.moments_select(_COLS)} FROM tagged WHERE split = 'train'), "
-        f"sys AS (SELECT {sqlgen.std_system(_K, _K)} FROM mom), "
+        f"WITH RECURSIVE base AS MATERIALIZED ({HOUSE_SQL}), "
+        f"tagged AS MATERIALIZED (SELECT *, CASE WHEN {_U} < {TEST_FRAC} THEN 'test' ELSE 'train' END AS split FROM base), "
+        f"mom AS MATERIALIZED (SELECT {sqlgen.moments_select(_COLS)} FROM tagged WHERE split = 'train'), "
+        f"sys AS MATERIALIZED (SELECT {sqlgen.std_system(_K, _K)} FROM mom), "
         f"{sqlgen.batch_gd_cte('sys', normal_init_sql(_K, SEED), LR, iters)}"
     )
 
@@ -70,3 +70,136 @@ def house_gd_eval(spark, sf_dir):
     m = evaluate.regression_metrics(test, HOUSE_TARGET, "pred")
     return m.select("n", rnd("mse", 2).alias("mse"), rnd("mae", 4).alias("mae"),
                     rnd("rmse", 4).alias("rmse"), rnd("r2", 6).alias("r2"))
+
+
+# ---------------------------------------------------------------- weights, history, rates
+def _weights_df(spark, model, features):
+    rows = [(f, float(w)) for f, w in zip(features, model.weights)] + [("bias", float(model.bias))]
+    return spark.createDataFrame(rows, "feature string, weight double")
+
+
+def _weights_sql(final_cte: str) -> str:
+    feats = ", ".join(f"'{f}'" for f in HOUSE_FEATURES)
+    return (f"SELECT f.feature, {sqlgen.rnd('f.weight', 6)} AS weight FROM ("
+            f"SELECT unnest([{feats}, 'bias']) AS feature, unnest(list_append(w, b)) AS weight FROM {final_cte}) f")
+
+
+@query("gd_batch", ops=("B9", "D1", "D3"),
+       sql=_house_gd_ctes() + f", fin AS (SELECT w, b FROM gd WHERE it = {ITERS}) " + _weights_sql("fin"))
+def gd_batch(spark, sf_dir):
+    """Batch GD weights (standardised scale) and bias on the house-like table."""
+    _, model = house_fit(spark, sf_dir)
+    return _weights_df(spark, model, HOUSE_FEATURES).select("feature", rnd("weight", 6).alias("weight"))
+
+
+def _history_sql(method_label: str, gd_cte: str = "gd", sys_cte: str = "sys") -> str:
+    return (f"SELECT '{method_label}' AS method, (it - 1)::INTEGER AS iteration, "
+            f"{sqlgen.rnd(sqlgen.gd_cost_expr(), 9)} AS cost FROM {gd_cte}, {sys_cte} "
+            f"WHERE it >= 1 AND (it - 1) % 100 = 0")
+
+
+def _history_df(spark, model, label):
+    rows = [(label, int(i), float(c)) for i, c in model.history]
+    return spark.createDataFrame(rows, "method string, iteration int, cost double")
+
+
+@query("gd_history", ops=("D2", "D6"), sql=_house_gd_ctes() + " " + _history_sql("batch"))
+def gd_history(spark, sf_dir):
+    """Loss every 100 iterations, after that iteration's update, on the full train set."""
+    _, model = house_fit(spark, sf_dir)
+    return _history_df(spark, model, "batch").select("method", "iteration", rnd("cost", 9).alias("cost"))
+
+
+@query("gd_convergence", ops=("D7",), sql=(
+    _house_gd_ctes() + ", h AS (" + _history_sql("batch").replace(f"{sqlgen.rnd(sqlgen.gd_cost_expr(), 9)}", sqlgen.gd_cost_expr()) + ") "
+    "SELECT method, iteration, " + sqlgen.rnd("-(ln(cost) - lag(ln(cost)) OVER (PARTITION BY method ORDER BY iteration))", 6)
+    + " AS rate FROM h"))
+def gd_convergence(spark, sf_dir):
+    """Convergence rate −Δln(cost) between recorded points (first point: null)."""
+    from pyspark.sql import Window
+    _, model = house_fit(spark, sf_dir)
+    h = _history_df(spark, model, "batch")
+    w = Window.partitionBy("method").orderBy("iteration")
+    return h.select("method", "iteration",
+                    rnd(-(F.log("cost") - F.lag(F.log("cost")).over(w)), 6).alias("rate"))
+
+
+# ---------------------------------------------------------------- stochastic / mini-batch
+SGD_ITERS, MB = 1000, 32
+
+
+def _sampled_fit(spark, sf_dir, method):
+    tagged = house_split(spark, sf_dir).cache()
+    train = tagged.where(F.col("split") == "train")
+    mom = moments(train, HOUSE_FEATURES + [HOUSE_TARGET])
+    return linear.fit_sampled_gd(train, HOUSE_FEATURES, HOUSE_TARGET, HOUSE_ID, method=method, lr=LR,
+                                 max_iter=SGD_ITERS, batch_size=MB if method == "mini_batch" else None,
+                                 seed=SEED, mom=mom), mom
+
+
+def _sampled_ctes(method: str, name: str) -> str:
+    """CTEs rk_<name>, pm_<name>, gd_<name> for stochastic / mini-batch descent."""
+    k = _K
+    z = ", ".join(f"({c} - m{i}) / {sqlgen.scale_expr(i)} AS z{i}" for i, c in enumerate(HOUSE_FEATURES))
+    zy = f"({HOUSE_TARGET} - m{k}) / {sqlgen.scale_expr(k)} AS zy"
+    ids = ", ".join(f"{c}::VARCHAR" for c in HOUSE_ID)
+    perm = f"md5(concat_ws('-', {ids}, 'perm-{SEED}'))"
+    rk = (f"rk_{name} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {perm}, {', '.join(HOUSE_ID)}) AS rank, {z}, {zy} "
+          f"FROM tagged, mom WHERE split = 'train')")
+    start = f"floor(mom.n * {hash_uniform_sql(['''\'''' + method + '''\'''', 'it::VARCHAR'], SEED)})::BIGINT"
+    if method == "stochastic":
+        dr = f"dr_{name} AS (SELECT it AS iteration, {start} + 1 AS rank FROM range({SGD_ITERS}) t(it), mom)"
+    else:
+        b = MB
+        dr = (f"dr_{name} AS (SELECT it AS iteration, (({start} + j) % mom.n) + 1 AS rank "
+              f"FROM range({SGD_ITERS}) t(it), range({b}) s(j), mom WHERE j < mom.n)")
+    sxx = "[" + ", ".join("[" + ", ".join(f"sum(z{a} * z{b})" for b in range(k)) + "]" for a in range(k)) + "]"
+    sx = "[" + ", ".join(f"sum(z{a})" for a in range(k)) + "]"
+    sxy = "[" + ", ".join(f"sum(z{a} * zy)" for a in range(k)) + "]"
+    pm = (f"pm_{name} AS MATERIALIZED (SELECT iteration, count(*)::DOUBLE AS cnt, sum(zy) AS sy, {sxx}::DOUBLE[][] AS Sxx, "
+          f"{sx}::DOUBLE[] AS Sx, {sxy}::DOUBLE[] AS Sxy FROM rk_{name} JOIN dr_{name} USING (rank) GROUP BY iteration)")
+    sc = "1.0" if method == "stochastic" else "(1.0 / cnt)"
+    gd = (f"gd_{name}(it, w, b) AS (SELECT 0, {normal_init_sql(k, SEED)}::DOUBLE[], 0.0::DOUBLE UNION ALL "
+          f"SELECT it + 1, list_transform(w, lambda wi, i: wi - {LR!r} * {sc} * "
+          f"(list_dot_product(Sxx[i], w) + Sx[i] * b - Sxy[i])), "
+          f"b - {LR!r} * {sc} * (list_dot_product(Sx, w) + cnt * b - sy) "
+          f"FROM gd_{name} JOIN pm_{name} ON pm_{name}.iteration = gd_{name}.it WHERE it < {SGD_ITERS})")
+    return ", ".join([rk, dr, pm, gd])
+
+
+def _sampled_weights_sql(method, name):
+    return (_house_gd_ctes() + ", " + _sampled_ctes(method, name) +
+            f", fin AS (SELECT w, b FROM gd_{name} WHERE it = {SGD_ITERS}) " + _weights_sql("fin"))
+
+
+@query("gd_stochastic", ops=("D4", "D1"), sql=_sampled_weights_sql("stochastic", "s"))
+def gd_stochastic(spark, sf_dir):
+    """Stochastic GD: one hash-drawn train row per iteration (with replacement)."""
+    model, _ = _sampled_fit(spark, sf_dir, "stochastic")
+    return _weights_df(spark, model, HOUSE_FEATURES).select("feature", rnd("weight", 6).alias("weight"))
+
+
+@query("gd_minibatch", ops=("D5", "D1"), sql=_sampled_weights_sql("mini_batch", "mb"))
+def gd_minibatch(spark, sf_dir):
+    """Mini-batch GD: 32 distinct consecutive rows of the hash permutation per iteration."""
+    model, _ = _sampled_fit(spark, sf_dir, "mini_batch")
+    return _weights_df(spark, model, HOUSE_FEATURES).select("feature", rnd("weight", 6).alias("weight"))
+
+
+@query("gd_compare", ops=("D8", "D6"), sql=(
+    _house_gd_ctes() + ", " + _sampled_ctes("stochastic", "s") + ", " + _sampled_ctes("mini_batch", "mb") + " "
+    + _history_sql("batch") + " UNION ALL " + _history_sql("stochastic", "gd_s") + " UNION ALL "
+    + _history_sql("mini_batch", "gd_mb")))
+def gd_compare(spark, sf_dir):
+    """Loss histories of batch, stochastic and mini-batch GD on identical data and start."""
+    tagged = house_split(spark, sf_dir).cache()
+    train = tagged.where(F.col("split") == "train")
+    mom = moments(train, HOUSE_FEATURES + [HOUSE_TARGET])
+    b = linear.fit_batch_gd(train, HOUSE_FEATURES, HOUSE_TARGET, lr=LR, max_iter=ITERS, seed=SEED, mom=mom)
+    out = _history_df(spark, b, "batch")
+    for method in ("stochastic", "mini_batch"):
+        m = linear.fit_sampled_gd(train, HOUSE_FEATURES, HOUSE_TARGET, HOUSE_ID, method=method, lr=LR,
+                                  max_iter=SGD_ITERS, batch_size=MB if method == "mini_batch" else None,
+                                  seed=SEED, mom=mom)
+        out = out.unionByName(_history_df(spark, m, method))
+    return out.select("method", "iteration", rnd("cost", 9).alias("cost"))

@@ -55,3 +55,11 @@ def gd_cost_expr() -> str:
 def rnd(expr: str, d: int) -> str:
     """Round and normalise −0.0 to 0.0."""
     return f"(round({expr}, {d}) + 0.0)"
+
+
+def sig(expr: str, d: int = 6) -> str:
+    """Significant-digit rounding, twin of ``catalog.sig``."""
+    e = f"(floor(log10(abs({expr}))) - {d - 1})::INTEGER"
+    return (f"(CASE WHEN ({expr}) = 0 THEN 0.0 WHEN {e} < 0 "
+            f"THEN round(({expr}) * pow(10.0, -{e})) / pow(10.0, -{e}) "
+            f"ELSE round(({expr}) / pow(10.0, {e})) * pow(10.0, {e}) END + 0.0)")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 
 # ------------------------------------------------------------------ house-like
-HOUSE_ID = ["l_orderkey", "l_linenumber"]
+HOUSE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]  # unique together
 HOUSE_FEATURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "p_retailprice"]
 HOUSE_TARGET = "net_price"
 
@@ -29,7 +29,7 @@ def house_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HOUSE_SQL = (
-    "SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity, l_discount, l_tax, p_retailprice, "
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, p_retailprice, "
     "l_extendedprice * (1.0 - l_discount) * (1.0 + l_tax) AS net_price "
     "FROM lineitem JOIN part ON l_partkey = p_partkey"
 )
