@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform_sql, normal_init_sql
@@ -203,3 +205,115 @@ def gd_compare(spark, sf_dir):
                                   seed=SEED, mom=mom)
         out = out.unionByName(_history_df(spark, m, method))
     return out.select("method", "iteration", rnd("cost", 9).alias("cost"))
+
+
+# ---------------------------------------------------------------- ridge on the daily sales table
+from ..operators.moments import moments_by_split  # noqa: E402
+from .tasks import SALES_FEATURES, SALES_ID, SALES_SQL, SALES_TARGET, sales_like  # noqa: E402
+
+LAMBDAS = (0.01, 0.1, 1.0, 10.0, 100.0)
+_SCOLS = SALES_FEATURES + [SALES_TARGET]
+_SK = len(SALES_FEATURES)
+
+
+def sales_split(spark, sf_dir):
+    """70/15/15 exact three-way split of the days by hash rank."""
+    return split.three_way_split(sales_like(spark, sf_dir), SALES_ID, 0.15, 0.176, SEED, exact=True).cache()
+
+
+def ridge_results(spark, sf_dir):
+    tagged = sales_split(spark, sf_dir)
+    moms = moments_by_split(tagged, _SCOLS, "split", ["train", "val", "test"])
+    sweep = linear.ridge_sweep(moms["train"], moms["val"], SALES_FEATURES, SALES_TARGET, LAMBDAS)
+    return tagged, moms, sweep
+
+
+def _sales_ctes():
+    m = "CAST(m.n AS DOUBLE)"
+    u = hash_uniform_sql(["day::VARCHAR"], SEED)
+    rows = []
+    for i in range(_SK):
+        cells = [f"{m} * c{min(i, j)}_{max(i, j)}" + (" + l.lam" if i == j else "") for j in range(_SK)]
+        cells.append(f"{m} * c{i}_{_SK}")
+        rows.append("[" + ", ".join(cells) + "]")
+    M = "[" + ", ".join(rows) + "]::DOUBLE[][]"
+    n = _SK
+    lam_vals = ", ".join(f"({i}, {v!r}::DOUBLE)" for i, v in enumerate(LAMBDAS))
+    return (
+        f"WITH RECURSIVE base AS MATERIALIZED ({SALES_SQL}), "
+        f"rk AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {u}, day) AS r, count(*) OVER () AS m FROM base), "
+        f"tagged AS MATERIALIZED (SELECT *, CASE WHEN r <= ceil(m * 0.15) THEN 'test' "
+        f"WHEN r <= ceil(m * 0.15) + ceil((m - ceil(m * 0.15)) * 0.176) THEN 'val' ELSE 'train' END AS split FROM rk), "
+        f"m AS MATERIALIZED (SELECT {sqlgen.moments_select(_SCOLS)} FROM tagged WHERE split = 'train'), "
+        f"lams(pos, lam) AS (VALUES {lam_vals}), "
+        f"ge(pos, lam, k, M) AS (SELECT l.pos, l.lam, 0, {M} FROM m, lams l UNION ALL "
+        f"SELECT pos, lam, k + 1, list_transform(M, lambda row, i: CASE WHEN i = k + 1 "
+        f"THEN list_transform(row, lambda v: v / M[k + 1][k + 1]) "
+        f"ELSE list_transform(row, lambda v, j: v - row[k + 1] / M[k + 1][k + 1] * M[k + 1][j]) END) "
+        f"FROM ge WHERE k < {n}), "
+        f"sol AS MATERIALIZED (SELECT pos, lam, list_transform(M, lambda row: row[{n + 1}]) AS w FROM ge WHERE k = {n}), "
+        f"fit AS MATERIALIZED (SELECT pos, lam, w, m{_SK} - list_dot_product(w, [{', '.join(f'm{i}' for i in range(_SK))}]::DOUBLE[]) AS b "
+        f"FROM sol, m), "
+        f"pv AS (SELECT pos, lam, revenue AS y, b + list_dot_product(w, [{', '.join(SALES_FEATURES)}]::DOUBLE[]) AS p, split "
+        f"FROM fit, tagged), "
+        f"ev AS MATERIALIZED (SELECT pos, lam, split, 1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2, "
+        f"sqrt(avg((y - p) * (y - p))) AS rmse, avg((y - p) * (y - p)) AS mse FROM pv GROUP BY pos, lam, split), "
+        f"best AS (SELECT pos FROM ev WHERE split = 'val' AND NOT isnan(r2) ORDER BY r2 DESC, pos LIMIT 1)"
+    )
+
+
+def _sweep_df(spark, sweep):
+    rows = [(r["position"], r["lambda"], r["r2"], r["rmse"], r["intercept"], r["complexity"], r["weights"])
+            for r in sweep]
+    return spark.createDataFrame(rows, "position int, lambda double, r2 double, rmse double, intercept double, "
+                                       "complexity double, weights array<double>")
+
+
+@query("ridge_sweep", ops=("B5", "B12", "D9", "D10", "D11"), sql=(
+    _sales_ctes() + " SELECT ev.lam AS lambda, " + sqlgen.rnd("ev.r2", 6) + " AS r2, " + sqlgen.sig("ev.rmse", 8)
+    + " AS rmse, " + sqlgen.sig("fit.b", 6) + " AS intercept, "
+    + sqlgen.sig("list_sum(list_transform(fit.w, lambda x: abs(x)))", 6) + " AS complexity "
+    "FROM ev JOIN fit USING (pos) WHERE ev.split = 'val'"))
+def ridge_sweep(spark, sf_dir):
+    """Ridge (α on RSS, unscaled features, free intercept) for λ ∈ {.01,.1,1,10,100}:
+    validation R², RMSE, intercept and Σ|w| from two moment sets (one job)."""
+    _, _, sweep = ridge_results(spark, sf_dir)
+    d = _sweep_df(spark, sweep)
+    return d.select("lambda", rnd("r2", 6).alias("r2"), sig_("rmse", 8).alias("rmse"),
+                    sig_("intercept", 6).alias("intercept"), sig_("complexity", 6).alias("complexity"))
+
+
+@query("ridge_path", ops=("D12",), sql=(
+    _sales_ctes() + " SELECT lam AS lambda, f.feature, " + sqlgen.sig("f.weight", 6) + " AS weight, "
+    + sqlgen.sig("abs(f.weight)", 6) + " AS abs_weight FROM (SELECT lam, unnest([" + ", ".join(f"'{c}'" for c in SALES_FEATURES)
+    + "]) AS feature, unnest(w) AS weight FROM fit) f"))
+def ridge_path(spark, sf_dir):
+    """Weight path over λ, signed and absolute (posexplode of the sweep table)."""
+    _, _, sweep = ridge_results(spark, sf_dir)
+    d = _sweep_df(spark, sweep)
+    names = F.array(*[F.lit(c) for c in SALES_FEATURES])
+    e = d.select("lambda", F.posexplode("weights").alias("i", "weight"))
+    return e.select("lambda", F.element_at(names, F.col("i") + 1).alias("feature"),
+                    sig_("weight", 6).alias("weight"), sig_(F.abs(F.col("weight")), 6).alias("abs_weight"))
+
+
+@query("ridge_best", ops=("D10", "F1", "A10"), sql=(
+    _sales_ctes() + " SELECT ev.lam AS lambda, " + sqlgen.rnd("ev.r2", 6) + " AS test_r2, "
+    + sqlgen.sig("ev.rmse", 8) + " AS test_rmse, " + sqlgen.sig("ev.mse", 8) + " AS test_mse, "
+    "(SELECT count(*) FROM tagged WHERE split = 'train') AS n_train, (SELECT count(*) FROM tagged WHERE split = 'val') AS n_val, "
+    "(SELECT count(*) FROM tagged WHERE split = 'test') AS n_test FROM ev WHERE ev.split = 'test' AND ev.pos = (SELECT pos FROM best)"))
+def ridge_best(spark, sf_dir):
+    """Best λ on validation (strictly greatest R², first on ties), evaluated on test."""
+    tagged, moms, sweep = ridge_results(spark, sf_dir)
+    best = next(r for r in sweep if r["is_best"])
+    met = linear.split_metrics(moms["test"], SALES_FEATURES, SALES_TARGET, np.array(best["weights"]),
+                               best["intercept"])
+    row = [(best["lambda"], met["r2"], met["rmse"], met["mse"], moms["train"].n, moms["val"].n, moms["test"].n)]
+    d = spark.createDataFrame(row, "lambda double, r2 double, rmse double, mse double, n_train long, n_val long, n_test long")
+    return d.select("lambda", rnd("r2", 6).alias("test_r2"), sig_("rmse", 8).alias("test_rmse"),
+                    sig_("mse", 8).alias("test_mse"), "n_train", "n_val", "n_test")
+
+
+def sig_(c, d):
+    from .catalog import sig
+    return sig(c, d)
