@@ -36,7 +36,7 @@ def query(name: str, ops: tuple, sql: str | None = None):
 
 def rnd(c, d: int) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), d)
+    return F.round(col.cast("double"), d) + F.lit(0.0)
 
 
 def load_all():
