@@ -104,8 +104,10 @@ def class_report(cm: DataFrame) -> DataFrame:
     summary = tot.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), acc.alias("f1"), F.col("s").cast("long").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("s").cast("long")),
-        F.struct(F.lit("weighted avg"), F.col("wp"), F.col("wr"), F.col("wf"), F.col("s").cast("long")),
+        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1"), F.col("s").cast("long").alias("support")),
+        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"), F.col("wr").alias("recall"),
+                 F.col("wf").alias("f1"), F.col("s").cast("long").alias("support")),
     )).alias("r")).select("r.*")
     return rows.unionByName(summary)
 

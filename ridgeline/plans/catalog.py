@@ -53,3 +53,15 @@ def sig(c, d: int = 6) -> Column:
     up = F.round(x * F.pow(F.lit(10.0), -e)) / F.pow(F.lit(10.0), -e)
     down = F.round(x / F.pow(F.lit(10.0), e)) * F.pow(F.lit(10.0), e)
     return F.when(x == 0, F.lit(0.0)).when(e < 0, up).otherwise(down) + F.lit(0.0)
+
+
+_MEMO: dict = {}
+
+
+def memo(spark, key: tuple, build: Callable):
+    """Coefficient-sized fit results shared by the queries of one session (a fit is
+    run once per session and input folder, not once per query)."""
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]

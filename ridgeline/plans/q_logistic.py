@@ -1 +1,235 @@
-"""Registered logistic / one-vs-all queries."""
+"""Registered logistic queries: binary GD (D13–D15) on documents ⋈ labels and
+one-vs-all (D16–D20, E6, G5, F7–F9, F12, F13) on the embeddings table."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..functions.columns import hash_uniform_sql
+from ..operators import evaluate, logistic, split
+from ..operators.score import argmax_class
+from . import sqlgen
+from .catalog import memo, query, rnd
+from .tasks import DOC_FEATURES, DOC_ID, DOC_TARGET, PATIENT_SQL, VEC_ID, digit_like, patient_like
+
+SEED, TEST_FRAC = 42, 0.2
+# Logistic GD: the reference's rate .5; 100 iterations (each one aggregate job),
+# loss recorded every 10.
+LOGIT_LR, LOGIT_ITERS, LOGIT_REC = 0.5, 100, 10
+_K = len(DOC_FEATURES)
+
+
+def patient_split(spark, sf_dir):
+    return split.stratified_split(patient_like(spark, sf_dir), DOC_ID, DOC_TARGET, TEST_FRAC, SEED)
+
+
+def logit_fit(spark, sf_dir):
+    def build():
+        tagged = patient_split(spark, sf_dir).persist()
+        train = tagged.where(F.col("split") == "train")
+        model = logistic.fit_logistic_gd(train, DOC_FEATURES, DOC_TARGET, lr=LOGIT_LR, max_iter=LOGIT_ITERS,
+                                         record_every=LOGIT_REC)
+        return tagged, model
+    return memo(spark, ("logit", sf_dir), build)
+
+
+# ---------------------------------------------------------------- SQL twin
+_UDOC = hash_uniform_sql(DOC_ID, SEED)
+
+
+def _logit_ctes():
+    xs = ", ".join(f"({c} - m{i}) / s{i}" for i, c in enumerate(DOC_FEATURES))
+    g = ", ".join(f"sum((p - y) * x[{i + 1}])" for i in range(_K))
+    zeros = ", ".join("0.0" for _ in range(_K))
+    return (
+        f"WITH RECURSIVE base AS MATERIALIZED ({PATIENT_SQL}), "
+        + sqlgen.stratified_ctes("base", DOC_ID, DOC_TARGET, TEST_FRAC, _UDOC) + ", "
+        f"sc AS MATERIALIZED (SELECT {sqlgen.scaler_select(DOC_FEATURES)} FROM tagged WHERE split = 'train'), "
+        f"z AS MATERIALIZED (SELECT [{xs}]::DOUBLE[] AS x, quality::DOUBLE AS y FROM tagged, sc WHERE split = 'train'), "
+        f"gd(it, w, b, cost) AS (SELECT 0, [{zeros}]::DOUBLE[], 0.0::DOUBLE, NULL::DOUBLE UNION ALL "
+        f"SELECT it + 1, list_transform(w, lambda wi, i: wi - {LOGIT_LR!r} * g[i] / m), b - {LOGIT_LR!r} * gb / m, ce / m FROM ("
+        f"SELECT it, w, b, count(*)::DOUBLE AS m, sum(p - y) AS gb, [{g}]::DOUBLE[] AS g, "
+        f"sum(-(y * ln(p + 1e-15) + (1.0 - y) * ln(1.0 - p + 1e-15))) AS ce FROM ("
+        f"SELECT gd.it, gd.w, gd.b, z.x, z.y, 1.0 / (1.0 + exp(-(gd.b + list_dot_product(gd.w, z.x)))) AS p "
+        f"FROM gd, z WHERE gd.it <= {LOGIT_ITERS}) GROUP BY it, w, b))"
+    )
+
+
+@query("logit_gd", ops=("B11", "B6", "B7", "D13", "D14"), sql=(
+    _logit_ctes() + ", fin AS (SELECT w, b FROM gd WHERE it = " + str(LOGIT_ITERS) + ") "
+    "SELECT f.feature, " + sqlgen.rnd("f.weight", 6) + " AS weight FROM (SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in DOC_FEATURES) + ", 'bias']) AS feature, unnest(list_append(w, b)) AS weight FROM fin) f"))
+def logit_gd(spark, sf_dir):
+    """Binary logistic regression by gradient descent from zero (lr .5) on the
+    standardised text measures of the stratified training split."""
+    _, m = logit_fit(spark, sf_dir)
+    rows = [(f, float(w)) for f, w in zip(DOC_FEATURES, m.weights)] + [("bias", float(m.bias))]
+    return spark.createDataFrame(rows, "feature string, weight double").select("feature", rnd("weight", 6).alias("weight"))
+
+
+@query("logit_cost", ops=("D13", "D6"), sql=(
+    _logit_ctes() + " SELECT (it - 2)::INTEGER AS iteration, " + sqlgen.rnd("cost", 9)
+    + f" AS cost FROM gd WHERE it >= 2 AND (it - 2) % {LOGIT_REC} = 0"))
+def logit_cost(spark, sf_dir):
+    """Cross-entropy (ε=1e-15) on the training split after every 10th update."""
+    _, m = logit_fit(spark, sf_dir)
+    return spark.createDataFrame([(int(i), float(c)) for i, c in m.history], "iteration int, cost double") \
+                .select("iteration", rnd("cost", 9).alias("cost"))
+
+
+def _logit_test_sql():
+    xs = " + ".join(f"w[{i + 1}] * ({c} - m{i}) / s{i}" for i, c in enumerate(DOC_FEATURES))
+    return (_logit_ctes() + f", fin AS (SELECT w, b FROM gd WHERE it = {LOGIT_ITERS}), "
+            f"pr AS (SELECT quality AS label, CASE WHEN 1.0 / (1.0 + exp(-(b + {xs}))) >= 0.5 THEN 1 ELSE 0 END AS prediction "
+            f"FROM tagged, sc, fin WHERE split = 'test')")
+
+
+@query("logit_confusion", ops=("E3", "E4", "E5", "F7"), sql=(
+    _logit_test_sql() + ", cells AS (SELECT l.c AS label, p.c AS prediction FROM (VALUES (0), (1)) l(c), (VALUES (0), (1)) p(c)) "
+    "SELECT cells.label::INTEGER AS label, cells.prediction::INTEGER AS prediction, count(pr.label)::BIGINT AS n "
+    "FROM cells LEFT JOIN pr ON pr.label = cells.label AND pr.prediction = cells.prediction GROUP BY 1, 2"))
+def logit_confusion(spark, sf_dir):
+    """Test-split confusion cells of σ(X·w+b) ≥ .5 (scaler folded into the weights)."""
+    tagged, m = logit_fit(spark, sf_dir)
+    test = tagged.where(F.col("split") == "test").withColumn("prediction", m.class_expr(0.5))
+    return evaluate.confusion(test, DOC_TARGET, "prediction", classes=[0, 1])
+
+
+@query("logit_accuracy", ops=("F8",), sql=(
+    _logit_test_sql() + " SELECT " + sqlgen.rnd("avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END)", 9)
+    + " AS accuracy, count(*) AS n FROM pr"))
+def logit_accuracy(spark, sf_dir):
+    """Test accuracy of the GD model."""
+    tagged, m = logit_fit(spark, sf_dir)
+    test = tagged.where(F.col("split") == "test").withColumn("prediction", m.class_expr(0.5))
+    a = evaluate.accuracy(test, DOC_TARGET, "prediction")
+    return a.select(rnd("accuracy", 9).alias("accuracy"), F.col("n").cast("long").alias("n"))
+
+
+@query("logit_vs_mllib", ops=("D15", "F8"))
+def logit_vs_mllib(spark, sf_dir):
+    """Own GD accuracy next to the library solver (C=1 → MLlib L-BFGS with
+    regParam 1/m) and Newton with the same penalty, on the same test rows."""
+    tagged, gd = logit_fit(spark, sf_dir)
+    train = tagged.where(F.col("split") == "train")
+    test = tagged.where(F.col("split") == "test")
+    lib = logistic.fit_logistic_mllib(train, DOC_FEATURES, DOC_TARGET, C=1.0, mean=gd.x_mean, scale=gd.x_scale)
+    m = train.count()
+    nt = logistic.fit_logistic_newton(train, DOC_FEATURES, DOC_TARGET, l2=1.0, max_iter=25)
+    out = None
+    for name, model in (("gd", gd), ("mllib_lbfgs_C1", lib), ("newton_C1", nt)):
+        a = evaluate.accuracy(test.withColumn("prediction", model.class_expr(0.5)), DOC_TARGET, "prediction")
+        a = a.select(F.lit(name).alias("solver"), rnd("accuracy", 6).alias("accuracy"), F.lit(m).alias("n_train"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+# ---------------------------------------------------------------- one-vs-all on embeddings
+CLASSES = list(range(10))
+OVA_LAMBDA = 0.1
+OVA_LAMBDAS = (0.0, 0.01, 0.1, 1.0, 10.0)
+FRACTIONS = (0.1, 0.3, 0.5, 0.7, 0.9)
+
+
+def digit_split(spark, sf_dir):
+    return split.stratified_split(digit_like(spark, sf_dir), VEC_ID, "label", TEST_FRAC, SEED)
+
+
+def ova_models(spark, sf_dir):
+    """λ-grid one-vs-all fit (all classes × all λ in the same passes)."""
+    def build():
+        tagged = digit_split(spark, sf_dir).persist()
+        train = tagged.where(F.col("split") == "train")
+        fit = logistic.fit_one_vs_all(train, "embedding", "label", CLASSES, OVA_LAMBDAS, max_iter=30)
+        return tagged, fit
+    return memo(spark, ("ova", sf_dir), build)
+
+
+def _scored(df, fit, li):
+    theta = fit.theta[0, li]
+    s = logistic.ova_scores("embedding", theta, fit.scaler.mean[0], fit.scaler.scale[0])
+    return df.withColumn("prediction", argmax_class(s))
+
+
+@query("ova_fit", ops=("B9", "D16", "D17", "D18"))
+def ova_fit(spark, sf_dir):
+    """One-vs-all L2 logistic (λ=.1) by damped Newton: per class the final cost,
+    ‖θ‖ and whether the step rule converged."""
+    _, fit = ova_models(spark, sf_dir)
+    li = OVA_LAMBDAS.index(OVA_LAMBDA)
+    rows = [(c, float(fit.cost[0, li, k]), float(np.linalg.norm(fit.theta[0, li, k])), bool(fit.converged[0, li, k]))
+            for k, c in enumerate(CLASSES)]
+    return spark.createDataFrame(rows, "class int, cost double, theta_norm double, converged boolean") \
+                .select("class", rnd("cost", 6).alias("cost"), rnd("theta_norm", 4).alias("theta_norm"), "converged")
+
+
+@query("ova_predict", ops=("E6", "F7", "F8", "F9", "F13"))
+def ova_predict(spark, sf_dir):
+    """Argmax class on the test split (λ=.1): class report rows (precision, recall,
+    F1, support, accuracy, macro and weighted averages)."""
+    tagged, fit = ova_models(spark, sf_dir)
+    test = _scored(tagged.where(F.col("split") == "test"), fit, OVA_LAMBDAS.index(OVA_LAMBDA))
+    cm = evaluate.confusion(test, "label", "prediction", classes=CLASSES)
+    return evaluate.class_report(cm)
+
+
+@query("ova_lambda", ops=("D19", "F8"))
+def ova_lambda(spark, sf_dir):
+    """Train and test accuracy for λ ∈ {0, .01, .1, 1, 10}: all 50 models fitted in
+    the same passes, each λ scored in one pass."""
+    tagged, fit = ova_models(spark, sf_dir)
+    out = None
+    for li, lam in enumerate(OVA_LAMBDAS):
+        s = _scored(tagged, fit, li)
+        a = s.groupBy("split").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
+        a = a.select(F.lit(float(lam)).alias("lambda"), "split", rnd("accuracy", 6).alias("accuracy"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("learning_curve", ops=("B13", "D20"))
+def learning_curve(spark, sf_dir):
+    """Accuracy on the training subset and on its complement for stratified
+    training fractions .1–.9; a scaler per subset; five fits in the same passes."""
+    def build():
+        sub = split.fraction_subsets(digit_like(spark, sf_dir), VEC_ID, "label", FRACTIONS, SEED)
+        member = F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(FRACTIONS))])
+        sub = sub.withColumn("member", member).persist()
+        fit = logistic.fit_one_vs_all(sub, "embedding", "label", CLASSES, [OVA_LAMBDA], member_col="member",
+                                      n_subsets=len(FRACTIONS), max_iter=30)
+        return sub, fit
+    sub, fit = memo(spark, ("curve", sf_dir), build)
+    out = None
+    for i, f in enumerate(FRACTIONS):
+        s = logistic.ova_scores("embedding", fit.theta[i, 0], fit.scaler.mean[i], fit.scaler.scale[i])
+        sc = sub.withColumn("prediction", argmax_class(s))
+        part = F.when(F.col("member")[i], F.lit("train")).otherwise(F.lit("test"))
+        a = sc.groupBy(part.alias("split")).agg(
+            F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+            F.count(F.lit(1)).alias("n"))
+        a = a.select(F.lit(float(f)).alias("fraction"), "split", rnd("accuracy", 6).alias("accuracy"), "n")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("weight_map", ops=("G5",))
+def weight_map(spark, sf_dir):
+    """θ without bias of every class as a d×d grid (d = ⌊√n⌋): (class, row, col, weight)."""
+    _, fit = ova_models(spark, sf_dir)
+    theta = fit.theta[0, OVA_LAMBDAS.index(OVA_LAMBDA)]
+    coef = spark.createDataFrame([(c, [float(v) for v in theta[k, 1:]]) for k, c in enumerate(CLASSES)],
+                                 "class int, w array<double>")
+    d = int(np.sqrt(theta.shape[1] - 1))
+    e = coef.select("class", F.posexplode("w").alias("i", "weight")).where(F.col("i") < d * d)
+    return e.select("class", (F.col("i") / d).cast("int").alias("row"), (F.col("i") % d).alias("col"),
+                    rnd("weight", 6).alias("weight"))
+
+
+@query("misclassified_sample", ops=("F12",))
+def misclassified_sample(spark, sf_dir):
+    """Up to 10 misclassified test rows in md5 order, with their unscaled vector."""
+    tagged, fit = ova_models(spark, sf_dir)
+    test = _scored(tagged.where(F.col("split") == "test"), fit, OVA_LAMBDAS.index(OVA_LAMBDA))
+    return evaluate.misclassified_sample(test, "label", "prediction", VEC_ID, 10, SEED) \
+                   .select("vec_id", "label", "prediction", "embedding")

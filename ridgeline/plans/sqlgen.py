@@ -63,3 +63,26 @@ def sig(expr: str, d: int = 6) -> str:
     return (f"(CASE WHEN ({expr}) = 0 THEN 0.0 WHEN {e} < 0 "
             f"THEN round(({expr}) * pow(10.0, -{e})) / pow(10.0, -{e}) "
             f"ELSE round(({expr}) / pow(10.0, {e})) * pow(10.0, {e}) END + 0.0)")
+
+
+def stratified_ctes(base: str, id_cols: Sequence[str], label: str, frac: float, u_expr: str,
+                    out: str = "tagged") -> str:
+    """CTEs giving ``out`` = ``base`` plus split ∈ {test, train}: per-class quotas
+    summing to ceil(m·f) by largest remainder, rank in hash order inside the class."""
+    ids = ", ".join(id_cols)
+    return (
+        f"cnt AS (SELECT {label} AS lbl, count(*) AS n_class FROM {base} GROUP BY 1), "
+        f"tot AS (SELECT sum(n_class)::BIGINT AS m, ceil(sum(n_class)::DOUBLE * {frac!r})::BIGINT AS t FROM cnt), "
+        f"sh AS (SELECT lbl, n_class * t / m AS share, floor(n_class * t / m) AS base, t FROM cnt, tot), "
+        f"qt AS (SELECT lbl, base + CASE WHEN row_number() OVER (ORDER BY share - base DESC, lbl) "
+        f"<= t - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM sh), "
+        f"rk AS (SELECT b.*, row_number() OVER (PARTITION BY {label} ORDER BY {u_expr}, {ids}) AS cr FROM {base} b), "
+        f"{out} AS MATERIALIZED (SELECT rk.*, CASE WHEN cr <= quota THEN 'test' ELSE 'train' END AS split "
+        f"FROM rk JOIN qt ON rk.{label} = qt.lbl)"
+    )
+
+
+def scaler_select(cols: Sequence[str]) -> str:
+    """avg and population sd (0 → 1) of each column: m{i}, s{i}."""
+    return ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END AS s{i}"
+                     for i, c in enumerate(cols))
