@@ -52,19 +52,20 @@ def argmax_class(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - F.lit(1)).cast("int")
 
 
-def decision_grid(df: DataFrame, f1: str, f2: str, features: Sequence[str], weights, bias,
+def decision_grid(df: DataFrame, f1: str, f2: str, w1: float, w2: float, bias: float,
                   step: float = 0.02, margin: float = 0.5, threshold: float = 0.5) -> DataFrame:
-    """Class of every cell of a regular grid over two (standardised) features,
-    others at 0.  The grid size depends on the feature range and step only."""
+    """Class of every cell of a regular grid over two standardised features
+    (others at their mean, 0): x = (min − margin) + i·step for i < ⌈(max − min + 2·margin)/step⌉,
+    as ``arange`` counts.  The grid size depends on the feature range and step only;
+    it is generated by ``sequence``/``explode`` on the executors, never collected."""
     rng = df.agg(F.min(f1).alias("lo1"), F.max(f1).alias("hi1"),
                  F.min(f2).alias("lo2"), F.max(f2).alias("hi2"))
-    w = dict(zip(features, weights))
-    n1 = F.floor((F.col("hi1") - F.col("lo1") + 2 * margin) / step)
-    n2 = F.floor((F.col("hi2") - F.col("lo2") + 2 * margin) / step)
-    g = (rng.select("lo1", "lo2", F.explode(F.sequence(F.lit(0), n1.cast("int"))).alias("i"), n2.alias("n2"))
-            .select("lo1", "lo2", "i", F.explode(F.sequence(F.lit(0), F.col("n2").cast("int"))).alias("j")))
+    last = lambda lo, hi: (F.ceil(((F.col(hi) + margin) - (F.col(lo) - margin)) / step) - 1).cast("int")
+    g = (rng.select("lo1", "lo2", F.explode(F.sequence(F.lit(0), last("lo1", "hi1"))).alias("i"),
+                    last("lo2", "hi2").alias("n2"))
+            .select("lo1", "lo2", "i", F.explode(F.sequence(F.lit(0), F.col("n2"))).alias("j")))
     g = g.select("i", "j",
-                 (F.col("lo1") - margin + F.col("i") * step).alias(f1),
-                 (F.col("lo2") - margin + F.col("j") * step).alias(f2))
-    z = F.lit(float(bias)) + F.col(f1) * F.lit(float(w[f1])) + F.col(f2) * F.lit(float(w[f2]))
+                 ((F.col("lo1") - margin) + F.col("i").cast("double") * step).alias(f1),
+                 ((F.col("lo2") - margin) + F.col("j").cast("double") * step).alias(f2))
+    z = F.lit(float(bias)) + F.col(f1) * F.lit(float(w1)) + F.col(f2) * F.lit(float(w2))
     return g.withColumn("prediction", threshold_class(sigmoid(z), threshold))

@@ -12,7 +12,7 @@ from ..functions.columns import hash_uniform_sql, normal_init_sql
 from ..operators import evaluate, linear, split
 from ..operators.moments import moments
 from . import sqlgen
-from .catalog import query, rnd
+from .catalog import memo, query, rnd
 from .tasks import (HOUSE_FEATURES, HOUSE_ID, HOUSE_SQL, HOUSE_TARGET, house_like)
 
 LR, ITERS, SEED, TEST_FRAC = 0.01, 1000, 42, 0.2
@@ -23,10 +23,12 @@ def house_split(spark, sf_dir):
 
 
 def house_fit(spark, sf_dir):
-    tagged = house_split(spark, sf_dir).cache()
-    train = tagged.where(F.col("split") == "train")
-    model = linear.fit_batch_gd(train, HOUSE_FEATURES, HOUSE_TARGET, lr=LR, max_iter=ITERS, seed=SEED)
-    return tagged, model
+    def build():
+        tagged = house_split(spark, sf_dir).cache()
+        train = tagged.where(F.col("split") == "train")
+        model = linear.fit_batch_gd(train, HOUSE_FEATURES, HOUSE_TARGET, lr=LR, max_iter=ITERS, seed=SEED)
+        return tagged, model
+    return memo(spark, ("house", sf_dir), build)
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -222,10 +224,12 @@ def sales_split(spark, sf_dir):
 
 
 def ridge_results(spark, sf_dir):
-    tagged = sales_split(spark, sf_dir)
-    moms = moments_by_split(tagged, _SCOLS, "split", ["train", "val", "test"])
-    sweep = linear.ridge_sweep(moms["train"], moms["val"], SALES_FEATURES, SALES_TARGET, LAMBDAS)
-    return tagged, moms, sweep
+    def build():
+        tagged = sales_split(spark, sf_dir)
+        moms = moments_by_split(tagged, _SCOLS, "split", ["train", "val", "test"])
+        sweep = linear.ridge_sweep(moms["train"], moms["val"], SALES_FEATURES, SALES_TARGET, LAMBDAS)
+        return tagged, moms, sweep
+    return memo(spark, ("ridge", sf_dir), build)
 
 
 def _sales_ctes():
