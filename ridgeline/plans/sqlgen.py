@@ -66,19 +66,21 @@ def sig(expr: str, d: int = 6) -> str:
 
 
 def stratified_ctes(base: str, id_cols: Sequence[str], label: str, frac: float, u_expr: str,
-                    out: str = "tagged") -> str:
+                    out: str = "tagged", total: str = "ceil", prefix: str = "") -> str:
     """CTEs giving ``out`` = ``base`` plus split ∈ {test, train}: per-class quotas
-    summing to ceil(m·f) by largest remainder, rank in hash order inside the class."""
+    summing to ceil(m·f) (or floor) by largest remainder, rank in hash order inside
+    the class; the quota's side is 'test' (for fraction subsets read it as 'train')."""
     ids = ", ".join(id_cols)
+    p = prefix
     return (
-        f"cnt AS (SELECT {label} AS lbl, count(*) AS n_class FROM {base} GROUP BY 1), "
-        f"tot AS (SELECT sum(n_class)::BIGINT AS m, ceil(sum(n_class)::DOUBLE * {frac!r})::BIGINT AS t FROM cnt), "
-        f"sh AS (SELECT lbl, n_class * t / m AS share, floor(n_class * t / m) AS base, t FROM cnt, tot), "
-        f"qt AS (SELECT lbl, base + CASE WHEN row_number() OVER (ORDER BY share - base DESC, lbl) "
-        f"<= t - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM sh), "
-        f"rk AS (SELECT b.*, row_number() OVER (PARTITION BY {label} ORDER BY {u_expr}, {ids}) AS cr FROM {base} b), "
-        f"{out} AS MATERIALIZED (SELECT rk.*, CASE WHEN cr <= quota THEN 'test' ELSE 'train' END AS split "
-        f"FROM rk JOIN qt ON rk.{label} = qt.lbl)"
+        f"{p}cnt AS (SELECT {label} AS lbl, count(*) AS n_class FROM {base} GROUP BY 1), "
+        f"{p}tot AS (SELECT sum(n_class)::BIGINT AS m, {total}(sum(n_class)::DOUBLE * {frac!r})::BIGINT AS t FROM {p}cnt), "
+        f"{p}sh AS (SELECT lbl, n_class * t / m AS share, floor(n_class * t / m) AS base, t FROM {p}cnt, {p}tot), "
+        f"{p}qt AS (SELECT lbl, base + CASE WHEN row_number() OVER (ORDER BY share - base DESC, lbl) "
+        f"<= t - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM {p}sh), "
+        f"{p}rk AS (SELECT b.*, row_number() OVER (PARTITION BY {label} ORDER BY {u_expr}, {ids}) AS cr FROM {base} b), "
+        f"{out} AS MATERIALIZED (SELECT {p}rk.*, CASE WHEN cr <= quota THEN 'test' ELSE 'train' END AS split "
+        f"FROM {p}rk JOIN {p}qt ON {p}rk.{label} = {p}qt.lbl)"
     )
 
 
