@@ -99,6 +99,19 @@ def _read_pass(row, k: int, hessian: bool):
     return out
 
 
+# Target bytes per partition of the cached iteration data: iterative solvers pay a
+# per-task cost on every pass, so tiny inputs are packed into few partitions while
+# large ones keep (at least) their natural parallelism.
+ITER_PARTITION_BYTES = 64 << 20
+
+
+def right_sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """Repartition the (small, standardised) iteration input only when it has more
+    partitions than its size needs; never reduces a big input's parallelism."""
+    want = max(1, -(-rows * row_bytes // ITER_PARTITION_BYTES))
+    return df.repartition(want) if want < df.rdd.getNumPartitions() else df
+
+
 def _scaler(train: DataFrame, features: Sequence[str]):
     mom = moments(train, list(features))
     return mom.mean, mom.scale, mom.n
@@ -130,7 +143,7 @@ class _GD:
 
 def _gd_passes(z: DataFrame, gd: _GD) -> None:
     for it in range(gd.max_iter + 1):
-        st = _read_pass(z.agg(*_pass_exprs(gd.k, gd.w, gd.b)).first(), gd.k, False)
+        st = _read_pass(z.agg(*_pass_exprs(gd.k, gd.w, gd.b)).collect()[0], gd.k, False)
         if gd.step(it, st["m"], st["g"][0], st["cost"] * st["m"], st["g"][1:]):
             break
 
@@ -146,9 +159,10 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
     on big tables prefer :func:`fit_logistic_newton` (a handful of passes)."""
     features = list(features)
     k = len(features)
-    mean, scale, _ = _scaler(train, features)
+    mean, scale, m = _scaler(train, features)
     gd = _GD(k, lr, max_iter, tol, record_every, l2)
-    z = standardized(train, features, label, mean, scale).persist(StorageLevel.MEMORY_AND_DISK)
+    z = right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1))
+    z = z.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _gd_passes(z, gd)
     finally:
@@ -163,8 +177,9 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
     data (no finite optimum) ends at ``max_iter`` with ``converged=False``."""
     features = list(features)
     k = len(features)
-    mean, scale, _ = _scaler(train, features)
-    z = standardized(train, features, label, mean, scale).persist(StorageLevel.MEMORY_AND_DISK)
+    mean, scale, m = _scaler(train, features)
+    z = right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1))
+    z = z.persist(StorageLevel.MEMORY_AND_DISK)
     theta = np.zeros(k + 1)
     D = np.eye(k + 1)
     D[0, 0] = 0.0
@@ -172,7 +187,7 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
     it = 0
     try:
         for it in range(max_iter):
-            st = _read_pass(z.agg(*_pass_exprs(k, theta[1:], theta[0], True)).first(), k, True)
+            st = _read_pass(z.agg(*_pass_exprs(k, theta[1:], theta[0], True)).collect()[0], k, True)
             m = st["m"]
             cost = st["cost"] + l2 / (2 * m) * float(theta[1:] @ theta[1:])
             hist.append((it, cost))
@@ -326,17 +341,22 @@ def _models(S, L, K):
 def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Sequence[int],
                    lambdas: Sequence[float] = (0.1,), member_col: str | None = None, n_subsets: int = 1,
                    solver: str = "newton", max_iter: int = 100, lr: float = 1.0, tol: float = 1e-10,
-                   scaler: VectorScaler | None = None) -> OvaFit:
+                   scaler: VectorScaler | None = None, separable_cost: float = 1e-6) -> OvaFit:
     """L2 logistic cost J = mean CE + λ/2m‖θ₁..‖² per (subset, λ, class),
     all models advanced together, one pass per iteration.
 
-    ``solver='newton'``: damped Newton (per-model step halving when J rises);
+    ``solver='newton'``: damped Newton (per-model step halving when J rises; a model
+    stops when |ΔJ| < tol, or when J < ``separable_cost``: its classes are separated
+    and the unpenalised loss has no finite minimiser);
     ``solver='gd'``: plain gradient descent with rate ``lr`` for ``max_iter`` steps.
     ``member_col``: array<boolean> of subset membership (B13 learning-curve prefixes);
     each subset gets its own scaler."""
     classes = [int(c) for c in classes]
     S, L, K = n_subsets, len(lambdas), len(classes)
-    data = data.select(vec_col, label_col, *([member_col] if member_col else [])).persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.select(vec_col, label_col, *([member_col] if member_col else []))
+    first = data.select(F.size(vec_col).alias("n")).agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).collect()[0]
+    data = right_sized(data, int(first["m"] or 0), 8 * (int(first["n"] or 0) + 2 + S))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if scaler is None:
             scaler = vector_scaler(data, vec_col, member_col, S)
@@ -377,8 +397,8 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
                         new_theta[j] = prev_theta[j]
                         done[j] = True
                     continue
-                if abs(prev_cost[j] - cost[j]) < tol:
-                    done[j] = True
+                if abs(prev_cost[j] - cost[j]) < tol or cost[j] < separable_cost:
+                    done[j] = True  # converged, or separated: the loss has no finite minimiser
                     continue
                 H = st["H"][j] / m[j] + np.diag(lam[j] / m[j] * D)
                 step[j] = np.linalg.lstsq(H + 1e-12 * np.eye(n + 1), g[j], rcond=None)[0]

@@ -48,7 +48,7 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str,
     interpolation, or ``percentile_approx`` for very large tables)."""
     agg = [(F.median(F.col(c).cast("double")) if exact else F.percentile_approx(F.col(c).cast("double"), 0.5, 10000))
            .alias(c) for c in cols]
-    row = df.agg(*agg).first()
+    row = df.agg(*agg).collect()[0]
     return {c: float(row[c]) for c in cols if row[c] is not None}
 
 

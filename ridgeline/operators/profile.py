@@ -100,7 +100,7 @@ def histogram(df: DataFrame, col: str, k: int = 30) -> DataFrame:
     """Equal-width histogram with empty bins filled (k-row bin table).
     The range is two driver scalars; the binning is a literal expression."""
     x = F.col(col).cast("double")
-    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    lo, hi = df.agg(F.min(x), F.max(x)).collect()[0]
     lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     counts = df.groupBy(bin_expr(x, lo_c, hi_c, k).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
@@ -115,7 +115,7 @@ def histogram(df: DataFrame, col: str, k: int = 30) -> DataFrame:
 def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20) -> DataFrame:
     """C11: scatter as 2-D binned counts (non-empty cells); size k², not rows."""
     x, y = F.col(xcol).cast("double"), F.col(ycol).cast("double")
-    xl, xh, yl, yh = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    xl, xh, yl, yh = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).collect()[0]
     L = lambda v: F.lit(v).cast("double")
     return df.groupBy(bin_expr(x, L(xl), L(xh), k).alias("bx"),
                       bin_expr(y, L(yl), L(yh), k).alias("by")).agg(F.count(F.lit(1)).alias("n"))
@@ -163,7 +163,7 @@ def kde_by_class(df: DataFrame, col: str, label: str, grid: int = 200, fine_bins
     bins.  Bandwidth: Scott sd·n^(−1/5) per class; curves scaled by the class
     share.  Work after the groupBy is classes × bins × grid, independent of rows."""
     x = F.col(col).cast("double")
-    lo, hi, m = df.agg(F.min(x), F.max(x), F.count(x)).first()
+    lo, hi, m = df.agg(F.min(x), F.max(x), F.count(x)).collect()[0]
     lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     b = df.select(F.col(label).alias("label"), x.alias("x")).where(F.col("x").isNotNull())
     per = b.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
