@@ -246,15 +246,30 @@ def ridge_sweep(train: Moments, val: Moments, features, target,
     """Every λ from the same two moment sets; best = strictly greatest R²
     (ties keep the first listed, NaN never wins)."""
     rows = []
-    best, best_r2 = None, -np.inf
     for pos, lam in enumerate(lambdas):
         fit = ridge_solve(train, features, target, lam)
         met = split_metrics(val, features, target, fit.weights, fit.intercept)
         rows.append({"position": pos, "lambda": float(lam), "r2": met["r2"], "rmse": met["rmse"],
                      "intercept": fit.intercept, "weights": [float(x) for x in fit.weights],
                      "complexity": float(np.sum(np.abs(fit.weights)))})
-        if not np.isnan(met["r2"]) and met["r2"] > best_r2:
-            best_r2, best = met["r2"], pos
+    best = best_position([r["r2"] for r in rows])
     for r in rows:
         r["is_best"] = r["position"] == best
     return rows
+
+
+def best_position(scores) -> int | None:
+    """D10 pick: strictly greater score wins, so ties keep the first; NaN never wins."""
+    best, best_v = None, -np.inf
+    for pos, v in enumerate(scores):
+        if v is not None and not np.isnan(v) and v > best_v:
+            best, best_v = pos, v
+    return best
+
+
+def convergence_rates(history: DataFrame) -> DataFrame:
+    """−Δln(cost) between recorded points of each method's loss history
+    (method, iteration, cost); the first point of a method has none (null)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("method").orderBy("iteration")
+    return history.withColumn("rate", -(F.log("cost") - F.lag(F.log("cost")).over(w)))

@@ -120,12 +120,9 @@ def gd_history(spark, sf_dir):
     + " AS rate FROM h"))
 def gd_convergence(spark, sf_dir):
     """Convergence rate −Δln(cost) between recorded points (first point: null)."""
-    from pyspark.sql import Window
     _, model = house_fit(spark, sf_dir)
-    h = _history_df(spark, model, "batch")
-    w = Window.partitionBy("method").orderBy("iteration")
-    return h.select("method", "iteration",
-                    rnd(-(F.log("cost") - F.lag(F.log("cost")).over(w)), 6).alias("rate"))
+    h = linear.convergence_rates(_history_df(spark, model, "batch"))
+    return h.select("method", "iteration", rnd("rate", 6).alias("rate"))
 
 
 # ---------------------------------------------------------------- stochastic / mini-batch
