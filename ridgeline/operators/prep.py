@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
-from .rank import global_rank
+from .rank import exact_quantiles, global_rank
 
 
 def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str], rate: float = 0.02,
@@ -44,12 +44,17 @@ def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str
 
 
 def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str, float]:
-    """B3 statistics: median of every column in one aggregate (exact linear
-    interpolation, or ``percentile_approx`` for very large tables)."""
-    agg = [(F.median(F.col(c).cast("double")) if exact else F.percentile_approx(F.col(c).cast("double"), 0.5, 10000))
-           .alias(c) for c in cols]
-    row = df.agg(*agg).collect()[0]
-    return {c: float(row[c]) for c in cols if row[c] is not None}
+    """B3 statistics: median of every column (exact linear interpolation through the
+    distributed rank, or ``percentile_approx`` sketches with ``exact=False``)."""
+    cols = list(cols)
+    if not exact:
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in cols]).collect()[0]
+        return {c: float(row[c]) for c in cols if row[c] is not None}
+    # unpivot to (column, value) and rank per column: one range shuffle for all columns
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
+    long = df.select(pairs.alias("p")).select("p.column", "p.v")
+    med = exact_quantiles(long, "v", [0.5], group_by=["column"]).collect()  # one row per column
+    return {r["column"]: float(r["value"]) for r in med}
 
 
 def impute(df: DataFrame, values: dict[str, float]) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rank import exact_quantiles
+
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Count and share per class (share over the K-row result)."""
@@ -41,21 +43,29 @@ def rate_by_band(df: DataFrame, label: str, dimensions: dict[str, tuple[str, Seq
     return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("dimension", "band")))
 
 
-def summary_stats(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, exact median, sample sd, min, max."""
+def summary_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+    """Count, mean, median, sample sd, min, max.  The exact median comes from the
+    distributed rank (no task holds all values); ``exact=False`` uses a sketch."""
     x = F.col(col).cast("double")
-    return df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.median(x).alias("median"),
-                  F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max"))
+    s = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"),
+               F.min(x).alias("min"), F.max(x).alias("max"))
+    if exact:
+        med = exact_quantiles(df, col, [0.5]).select(F.col("value").alias("median"))
+    else:
+        med = df.agg(F.percentile_approx(x, 0.5, 10000).alias("median"))
+    return s.crossJoin(med).select("n", "mean", "median", "sd", "min", "max")  # 1 row × 1 row
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95),
               exact: bool = True) -> DataFrame:
-    """C4: linear-interpolation quantiles (exact), or ``percentile_approx`` for very
-    large groups."""
+    """C4: linear-interpolation quantiles: exact through the distributed rank (one
+    range shuffle, bounded per-task memory), or ``percentile_approx`` (a bounded
+    sketch, one pass) when ``exact=False``."""
+    if exact:
+        return exact_quantiles(df, col, qs).select("q", "value")
     x = F.col(col).cast("double")
     arr = F.array(*[F.lit(float(q)) for q in qs])
-    agg = F.percentile(x, arr) if exact else F.percentile_approx(x, arr, 10000)
-    r = df.agg(agg.alias("v"))
+    r = df.agg(F.percentile_approx(x, arr, 10000).alias("v"))
     return r.select(F.posexplode("v").alias("i", "value")) \
             .select(F.element_at(arr, F.col("i") + 1).alias("q"), "value")
 
@@ -123,11 +133,13 @@ def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Quartiles, whiskers (extreme points within 1.5·IQR) and outlier count per
-    group: one percentile aggregate, a broadcast join of the per-group limits
-    (one row per group) back to the rows, and one more aggregate."""
+    group: exact grouped quartiles through the distributed rank (a hot group is
+    spread over many tasks), a broadcast join of the per-group limits (one row per
+    group) back to the rows, and one more aggregate."""
     x = F.col(col).cast("double")
-    q = df.groupBy(group).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    ql = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_by=[group])
+    q = ql.groupBy(group).agg(*[F.max(F.when(F.col("q") == v, F.col("value"))).alias(n)
+                                for v, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lim = q.select(group, (F.col("q1") - 1.5 * F.col("iqr")).alias("lo_f"), (F.col("q3") + 1.5 * F.col("iqr")).alias("hi_f"))
     j = df.select(group, x.alias("x")).join(F.broadcast(lim), on=group, how="inner")

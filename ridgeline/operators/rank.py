@@ -99,3 +99,34 @@ def prefix_sums(df: DataFrame, order_by: Sequence, value_cols: Sequence[str],
     for c, n in zip(value_cols, cum_names):
         out = out.withColumn(n, F.col(n) + F.col(c + "_off"))
     return out.drop(_PID, _MID, *[c + "_off" for c in value_cols])
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Sequence[str] = (),
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy/``percentile`` semantics) without
+    holding a group's values in one task.
+
+    Values are ranked by the distributed rank (range partitioning on group, value
+    and a row tiebreak, so even a group holding a third of all rows — or a value
+    repeated that often — spreads over many partitions).  For each group and q the
+    1-based position h = (n−1)q + 1 needs the values at ⌊h⌋ and ⌈h⌉; that
+    groups×|q| target table is broadcast into a join with the ranked rows, and the
+    two picked values are interpolated.  Output: group columns, q, value."""
+    group_by = list(group_by)
+    base = (df.select(*group_by, F.col(value).cast("double").alias("_v"))
+              .where(F.col("_v").isNotNull())
+              .withColumn("_t", F.monotonically_increasing_id()))
+    ranked = global_rank(base, ["_v", "_t"], group_by=group_by, rank_col="_r", num_partitions=num_partitions)
+    n = base.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    t = n.select(*group_by, "_n", F.explode(qarr).alias("q"))
+    h = (F.col("_n") - 1).cast("double") * F.col("q") + F.lit(1.0)
+    t = t.select(*group_by, "q", F.floor(h).cast("long").alias("_lo"), F.ceil(h).cast("long").alias("_hi"),
+                 (h - F.floor(h)).alias("_f"))
+    # targets are groups × |qs| rows: broadcast
+    need = t.select(*group_by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
+    picked = ranked.join(F.broadcast(need.distinct()), on=[*group_by, "_r"], how="inner").select(*group_by, "_r", "_v")
+    lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")
+    hi = picked.withColumnRenamed("_r", "_hi").withColumnRenamed("_v", "_vhi")
+    out = t.join(lo, on=[*group_by, "_lo"], how="inner").join(hi, on=[*group_by, "_hi"], how="inner")
+    return out.select(*group_by, "q", (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
