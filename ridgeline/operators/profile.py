@@ -134,15 +134,16 @@ def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20) -> DataFrame:
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Quartiles, whiskers (extreme points within 1.5·IQR) and outlier count per
     group: exact grouped quartiles through the distributed rank (a hot group is
-    spread over many tasks), a broadcast join of the per-group limits (one row per
-    group) back to the rows, and one more aggregate."""
+    spread over many tasks), a join of the per-group limits (one row per group)
+    back to the rows, and one more aggregate."""
     x = F.col(col).cast("double")
     ql = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_by=[group])
     q = ql.groupBy(group).agg(*[F.max(F.when(F.col("q") == v, F.col("value"))).alias(n)
                                 for v, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lim = q.select(group, (F.col("q1") - 1.5 * F.col("iqr")).alias("lo_f"), (F.col("q3") + 1.5 * F.col("iqr")).alias("hi_f"))
-    j = df.select(group, x.alias("x")).join(F.broadcast(lim), on=group, how="inner")
+    # one row per group: AQE turns this into a broadcast join when it is small
+    j = df.select(group, x.alias("x")).join(lim, on=group, how="inner")
     inside = (F.col("x") >= F.col("lo_f")) & (F.col("x") <= F.col("hi_f"))
     w = j.groupBy(group).agg(F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
                              F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),

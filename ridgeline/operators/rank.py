@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PID, _MID = "_rl_pid", "_rl_mid"
+# Offset tables up to this many rows are broadcast (one row per partition and group).
+OFFSETS_BROADCAST_ROWS = 1_000_000
 
 
 def _cols(xs) -> list[Column]:
@@ -53,9 +55,13 @@ def global_rank(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
     w = Window.partitionBy(*group_by).orderBy(_PID)
     offsets = counts.select(_PID, *group_by, "_rl_first",
                             (F.sum("_rl_n").over(w) - F.col("_rl_n")).alias("_rl_off"))
-    # offsets has one row per (partition, group present in it): bounded by
-    # partitions + groups, so it is broadcast.
-    out = (parted.join(F.broadcast(offsets), on=[_PID, *group_by], how="inner")
+    # offsets has one row per (partition, group present in it) — about partitions +
+    # groups rows, since range partitions hold contiguous groups.  Broadcast only
+    # when that count is proven small; otherwise a shuffle join.
+    right = offsets
+    if not group_by or offsets.count() <= OFFSETS_BROADCAST_ROWS:
+        right = F.broadcast(offsets)
+    out = (parted.join(right, on=[_PID, *group_by], how="inner")
                  .withColumn(rank_col, F.col(_MID) - F.col("_rl_first") + F.col("_rl_off") + F.lit(1))
                  .drop(_PID, _MID, "_rl_first", "_rl_off"))
     return out
@@ -123,9 +129,11 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Se
     h = (F.col("_n") - 1).cast("double") * F.col("q") + F.lit(1.0)
     t = t.select(*group_by, "q", F.floor(h).cast("long").alias("_lo"), F.ceil(h).cast("long").alias("_hi"),
                  (h - F.floor(h)).alias("_f"))
-    # targets are groups × |qs| rows: broadcast
-    need = t.select(*group_by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
-    picked = ranked.join(F.broadcast(need.distinct()), on=[*group_by, "_r"], how="inner").select(*group_by, "_r", "_v")
+    # targets are groups × |qs| rows: broadcast when there is no grouping (|qs| rows),
+    # else left to AQE's runtime size check
+    need = t.select(*group_by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")).distinct()
+    picked = ranked.join(need if group_by else F.broadcast(need), on=[*group_by, "_r"], how="inner") \
+                   .select(*group_by, "_r", "_v")
     lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")
     hi = picked.withColumnRenamed("_r", "_hi").withColumnRenamed("_v", "_vhi")
     out = t.join(lo, on=[*group_by, "_lo"], how="inner").join(hi, on=[*group_by, "_hi"], how="inner")
