@@ -1,13 +1,13 @@
 """Logistic models.
 
-Binary: gradient descent (the reference's solver, one aggregate job per
+Binary: gradient descent (the reference's solver, one single-stage pass per
 iteration over the cached standardised rows) and Newton/IRLS (a weighted moment
 matrix per pass, a handful of passes), plus MLlib's L-BFGS as the library
 cross-check.  Multi-class one-vs-all: every class, every λ and every training
 subset are fitted together; one pass over the rows computes the gradients (and
-Hessians) of all of them at once in an Arrow block kernel, whose per-partition
-partials are reduced by a map-side-combined ``groupBy``.  The driver only holds
-coefficient-sized arrays.
+Hessians) of all of them at once.  Passes run as Arrow block kernels
+(``mapInPandas``, NumPy per batch) returning one partial array per task; the
+driver only holds coefficient-sized sums.
 """
 
 from __future__ import annotations
@@ -69,36 +69,6 @@ def standardized(df: DataFrame, features: Sequence[str], label: str, mean, scale
                      F.col(label).cast("double").alias("y"))
 
 
-def _pass_exprs(k: int, w, b, hessian: bool = False):
-    """Aggregates of one pass at (w, b), as SQL text parsed once on the JVM:
-    Σ(p−y), Σ(p−y)z_j, Σ cross-entropy, and optionally Σ p(1−p)·[1,z][1,z]ᵀ.
-    Weights enter as literals; the whole pass is one codegen stage."""
-    z = f"({float(b)!r}D" + "".join(f" + z{i} * {float(w[i])!r}D" for i in range(k)) + ")"
-    p = f"(1.0D / (1.0D + exp(-{z})))"
-    exprs = ["count(1) AS m", f"sum({p} - y) AS g_b",
-             f"sum(-(y * ln({p} + {EPS!r}D) + (1.0D - y) * ln(1.0D - {p} + {EPS!r}D))) AS ce"]
-    exprs += [f"sum(({p} - y) * z{i}) AS g{i}" for i in range(k)]
-    if hessian:
-        cols = ["1.0D"] + [f"z{i}" for i in range(k)]
-        for a in range(k + 1):
-            for c in range(a, k + 1):
-                exprs.append(f"sum({p} * (1.0D - {p}) * {cols[a]} * {cols[c]}) AS h{a}_{c}")
-    return [F.expr(e) for e in exprs]
-
-
-def _read_pass(row, k: int, hessian: bool):
-    m = int(row["m"])
-    g = np.array([row["g_b"]] + [row[f"g{i}"] for i in range(k)], dtype=float)
-    out = {"m": m, "g": g, "cost": float(row["ce"]) / m}
-    if hessian:
-        H = np.zeros((k + 1, k + 1))
-        for a in range(k + 1):
-            for c in range(a, k + 1):
-                H[a, c] = H[c, a] = row[f"h{a}_{c}"]
-        out["H"] = H
-    return out
-
-
 # Target bytes per partition of the cached iteration data: iterative solvers pay a
 # per-task cost on every pass, so tiny inputs are packed into few partitions while
 # large ones keep (at least) their natural parallelism.
@@ -141,9 +111,71 @@ class _GD:
         return False
 
 
+# Per-pass partial sums are collected directly when partitions × width stays under
+# this many doubles; beyond it they are summed by a map-side-combined groupBy.
+DIRECT_PARTIAL_DOUBLES = 8_000_000
+
+
+def sum_partials(partials: DataFrame, width: int, nparts: int) -> np.ndarray:
+    """Sum the ``v`` arrays (one per task, ``nparts`` tasks) of a kernel's output:
+    a collect of a few small rows when that is cheap, else a distributed reduction."""
+    if nparts * width <= DIRECT_PARTIAL_DOUBLES:
+        tot = np.zeros(width)
+        for r in partials.collect():
+            tot += np.asarray(r["v"], dtype=np.float64)
+        return tot
+    tot = np.zeros(width)
+    for r in (partials.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+              .collect()):
+        tot[r["i"]] = r["x"]
+    return tot
+
+
+def _binary_kernel(k: int, w, b: float, hessian: bool):
+    """Arrow block kernel: one partial row per task with m, Σ(p−y), Σ CE,
+    Σ(p−y)z and optionally Σ p(1−p)[1,z][1,z]ᵀ (NumPy, no per-row Python)."""
+    w = np.asarray(w, dtype=np.float64)
+    cols = [f"z{i}" for i in range(k)]
+    width = 3 + k + ((k + 1) ** 2 if hessian else 0)
+
+    def run(batches):
+        acc = np.zeros(width)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = pdf[cols].to_numpy(np.float64)
+            y = pdf["y"].to_numpy(np.float64)
+            p = 1.0 / (1.0 + np.exp(-(X @ w + b)))
+            r = p - y
+            acc[0] += len(y)
+            acc[1] += r.sum()
+            acc[2] += (-(y * np.log(p + EPS) + (1.0 - y) * np.log(1.0 - p + EPS))).sum()
+            acc[3:3 + k] += r @ X
+            if hessian:
+                X1 = np.hstack([np.ones((len(y), 1)), X])
+                acc[3 + k:] += ((X1 * (p * (1.0 - p))[:, None]).T @ X1).ravel()
+        yield pd.DataFrame({"v": [acc.tolist()]})
+
+    return run, width
+
+
+def binary_pass(z: DataFrame, k: int, w, b: float, hessian: bool = False, nparts: int | None = None) -> dict:
+    """One pass over the standardised rows at (w, b): a single-stage job (no
+    exchange, no per-iteration code generation)."""
+    run, width = _binary_kernel(k, w, b, hessian)
+    nparts = nparts or z.rdd.getNumPartitions()
+    tot = sum_partials(z.mapInPandas(run, "v array<double>"), width, nparts)
+    m = int(tot[0])
+    out = {"m": m, "g": np.concatenate([[tot[1]], tot[3:3 + k]]), "cost": float(tot[2]) / max(m, 1)}
+    if hessian:
+        out["H"] = tot[3 + k:].reshape(k + 1, k + 1)
+    return out
+
+
 def _gd_passes(z: DataFrame, gd: _GD) -> None:
+    nparts = z.rdd.getNumPartitions()
     for it in range(gd.max_iter + 1):
-        st = _read_pass(z.agg(*_pass_exprs(gd.k, gd.w, gd.b)).collect()[0], gd.k, False)
+        st = binary_pass(z, gd.k, gd.w, gd.b, nparts=nparts)
         if gd.step(it, st["m"], st["g"][0], st["cost"] * st["m"], st["g"][1:]):
             break
 
@@ -183,11 +215,12 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
     theta = np.zeros(k + 1)
     D = np.eye(k + 1)
     D[0, 0] = 0.0
+    nparts = z.rdd.getNumPartitions()
     prev_cost, prev_theta, step, converged, hist = None, None, None, False, []
     it = 0
     try:
         for it in range(max_iter):
-            st = _read_pass(z.agg(*_pass_exprs(k, theta[1:], theta[0], True)).collect()[0], k, True)
+            st = binary_pass(z, k, theta[1:], theta[0], True, nparts=nparts)
             m = st["m"]
             cost = st["cost"] + l2 / (2 * m) * float(theta[1:] @ theta[1:])
             hist.append((it, cost))
@@ -263,7 +296,7 @@ def _kernel(vec_col: str, label_col: str, member_col: str | None, classes: np.nd
             scaler: VectorScaler, hessian: bool):
     """Arrow block kernel: partial data-term sums of every model on one partition.
 
-    Output rows (idx, value): for model j, [m_j, ce_j, g_j (n+1), H_j ((n+1)²)?]."""
+    Output: one row per task, ``v`` = for each model j, [m_j, ce_j, g_j (n+1), H_j ((n+1)²)?]."""
     M, n1 = theta.shape
     width = 2 + n1 + (n1 * n1 if hessian else 0)
 
@@ -293,26 +326,22 @@ def _kernel(vec_col: str, label_col: str, member_col: str | None, classes: np.nd
                     V = P * (1 - P)
                     for c, j in enumerate(js):
                         acc[j, 2 + n1:] += ((X1 * V[:, c:c + 1]).T @ X1).ravel()
-        nz = np.nonzero(acc.ravel())[0]
-        yield pd.DataFrame({"idx": nz.astype(np.int64), "value": acc.ravel()[nz]})
+        yield pd.DataFrame({"v": [acc.ravel().tolist()]})
 
     return run, width
 
 
 def block_pass(data: DataFrame, vec_col: str, label_col: str, member_col: str | None,
-               model_subset, model_class, theta, scaler: VectorScaler, hessian: bool):
+               model_subset, model_class, theta, scaler: VectorScaler, hessian: bool, nparts: int):
     """One Spark job: data-term count, cross-entropy, gradient (and Hessian) of every
-    model.  Per-partition partials are summed by ``groupBy(idx)`` with map-side
-    combine, so the shuffle carries at most models×width rows per task."""
+    model.  Each task returns one partial array; :func:`sum_partials` adds them
+    (directly when small, else by a map-side-combined ``groupBy``)."""
     theta = np.asarray(theta, dtype=float)
     run, width = _kernel(vec_col, label_col, member_col, None, np.asarray(model_subset),
                          np.asarray(model_class), theta, scaler, hessian)
     cols = [vec_col, label_col] + ([member_col] if member_col else [])
-    part = data.select(*cols).mapInPandas(run, "idx long, value double")
-    tot = np.zeros(theta.shape[0] * width)
-    for r in part.groupBy("idx").agg(F.sum("value").alias("v")).collect():
-        tot[r["idx"]] = r["v"]
-    tot = tot.reshape(theta.shape[0], width)
+    part = data.select(*cols).mapInPandas(run, "v array<double>")
+    tot = sum_partials(part, theta.shape[0] * width, nparts).reshape(theta.shape[0], width)
     n1 = theta.shape[1]
     out = {"m": tot[:, 0], "ce": tot[:, 1], "g": tot[:, 2:2 + n1]}
     if hessian:
@@ -361,6 +390,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
         if scaler is None:
             scaler = vector_scaler(data, vec_col, member_col, S)
         n = scaler.mean.shape[1]
+        nparts = data.rdd.getNumPartitions()
         ms, ml, mk = _models(S, L, K)
         mclass = np.array(classes)[mk]
         lam = np.array(lambdas, dtype=float)[ml]
@@ -376,7 +406,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
         it = 0
         cost = np.zeros(M)
         for it in range(max_iter + 1):
-            st = block_pass(data, vec_col, label_col, member_col, ms, mclass, theta, scaler, solver == "newton")
+            st = block_pass(data, vec_col, label_col, member_col, ms, mclass, theta, scaler, solver == "newton", nparts)
             m = np.maximum(st["m"], 1.0)
             cost = st["ce"] / m + lam / (2 * m) * np.sum(theta[:, 1:] ** 2, axis=1)
             hist.append((it, cost.copy()))
