@@ -158,14 +158,31 @@ def per_iteration_moments(ranked_z: DataFrame, zcols: Sequence[str], ycol: str,
     return out
 
 
+def permutation_ranked(train: DataFrame, features: Sequence[str], target: str, id_cols: Sequence[str],
+                       mom: Moments, seed=42) -> DataFrame:
+    """Standardised training rows numbered 1..m in md5(id‖perm‖seed) order (the
+    hash permutation every draw refers to); shareable between fits."""
+    features = list(features)
+    xm, xs, ym, ys = _scalers(mom, features, target)
+    zcols = [f"_z{i}" for i in range(len(features))]
+    z = train.select(*id_cols,
+                     *[((F.col(f).cast("double") - F.lit(float(mu))) / F.lit(float(s))).alias(zc)
+                       for f, mu, s, zc in zip(features, xm, xs, zcols)],
+                     ((F.col(target).cast("double") - F.lit(ym)) / F.lit(ys)).alias("_zy"))
+    z = z.withColumn("_h", F.md5(F.concat_ws("-", *[F.col(c) for c in id_cols], F.lit(f"perm-{seed}"))))
+    return global_rank(z, ["_h", *id_cols], rank_col="rank")
+
+
 def fit_sampled_gd(train: DataFrame, features: Sequence[str], target: str, id_cols: Sequence[str],
                    method="mini_batch", lr=0.01, max_iter=1000, batch_size=None, init="normal",
-                   seed=42, record_every=100, mom: Moments | None = None) -> LinearModel:
+                   seed=42, record_every=100, mom: Moments | None = None,
+                   ranked: DataFrame | None = None) -> LinearModel:
     """Stochastic or mini-batch GD with hash-permutation draws.
 
-    Rows are ranked once by md5(id, seed) (distributed rank), the draws are
-    joined by rank, and the updates are replayed on the driver from the
-    per-iteration moments.  Loss history uses the full-train moments (D6).
+    Rows are ranked once by md5(id, seed) (distributed rank; pass ``ranked`` from
+    :func:`permutation_ranked` to share it between fits), the draws are joined by
+    rank, and the updates are replayed on the driver from the per-iteration
+    moments.  Loss history uses the full-train moments (D6).
     """
     features = list(features)
     spark = train.sparkSession
@@ -178,12 +195,8 @@ def fit_sampled_gd(train: DataFrame, features: Sequence[str], target: str, id_co
     else:
         batch_size = 1
     zcols = [f"_z{i}" for i in range(len(features))]
-    z = train.select(*id_cols,
-                     *[((F.col(f).cast("double") - F.lit(float(mu))) / F.lit(float(s))).alias(zc)
-                       for f, mu, s, zc in zip(features, xm, xs, zcols)],
-                     ((F.col(target).cast("double") - F.lit(ym)) / F.lit(ys)).alias("_zy"))
-    z = z.withColumn("_h", F.md5(F.concat_ws("-", *[F.col(c) for c in id_cols], F.lit(f"perm-{seed}"))))
-    ranked = global_rank(z, ["_h", *id_cols], rank_col="rank")
+    if ranked is None:
+        ranked = permutation_ranked(train, features, target, id_cols, mom, seed)
     draws = draw_table(spark, m, max_iter, batch_size, method, seed)
     per_it = per_iteration_moments(ranked, zcols, "_zy", draws)
     w = init_weights(len(features), init, seed)
