@@ -5,10 +5,9 @@ instead rows are range-partitioned on the full sort key (ties broken by unique
 id columns, so a value holding a third of all rows is still split over many
 partitions), sorted inside each partition, and numbered locally.  One small
 table of per-partition counts (one row per partition and group) gives each
-partition its offset.  The range-partitioned data is persisted so the count
-pass and the numbering pass see the same rows; both the range sampler and the
-within-partition order are deterministic, so a lost executor recomputes the
-same partitions.
+partition its offset.  The range-partitioned data is checkpointed to the
+shared checkpoint folder, so the count pass and the numbering pass see the same
+rows even when executors are lost.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,12 +30,18 @@ def _cols(xs) -> list[Column]:
 
 
 def _range_parted(df: DataFrame, key: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partitioned, locally sorted and numbered rows, written once to the
+    shared checkpoint folder: the count pass and the numbering pass then read the
+    same partitions, and a lost executor cannot re-draw range bounds or reorder
+    rows (which a recomputed shuffle could)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (df.repartitionByRange(n, *key)
               .sortWithinPartitions(*key)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint(eager=True))
 
 
 def global_rank(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
