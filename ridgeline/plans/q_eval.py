@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.columns import inv_norm_sql
-from ..operators import evaluate, explain, logistic, profile
+from ..operators import evaluate, explain, linear, logistic, profile
 from ..operators.score import argmax_class, decision_grid, threshold_class
 from . import sqlgen
 from .catalog import memo, query, rnd, sig
@@ -411,3 +411,77 @@ def confusable_pairs(spark, sf_dir):
     """Unordered class pairs with their symmetric off-diagonal counts."""
     p = evaluate.confusable_pairs(_ova_cm(spark, sf_dir))
     return p.select("class_a", "class_b", F.col("n").cast("long").alias("n"))
+
+
+@query("weight_map", ops=("G5",), sql=(
+    _ova_gd_sql() + " SELECT k::INTEGER AS class, (i // 8)::INTEGER AS row, (i % 8)::INTEGER AS col, "
+    + sqlgen.rnd("th[i + 2]", 6) + " AS weight FROM fin, range(0, 64) t(i)"))
+def weight_map(spark, sf_dir):
+    """θ without bias of every one-vs-all class as a d×d grid (d = ⌊√n⌋):
+    (class, row, col, weight) by ``posexplode`` of the coefficient rows."""
+    _, fit = ova_gd_fit(spark, sf_dir)
+    theta = fit.theta[0, 0]
+    coef = spark.createDataFrame([(c, [float(v) for v in theta[k, 1:]]) for k, c in enumerate(CLASSES)],
+                                 "class int, w array<double>")
+    d = int(np.sqrt(theta.shape[1] - 1))
+    e = coef.select("class", F.posexplode("w").alias("i", "weight")).where(F.col("i") < d * d)
+    return e.select("class", (F.col("i") / d).cast("int").alias("row"), (F.col("i") % d).cast("int").alias("col"),
+                    rnd("weight", 6).alias("weight"))
+
+
+@query("misclassified_sample", ops=("F12",), sql=(
+    _ova_gd_sql() + " SELECT te.vec_id, te.label::INTEGER AS label, te.prediction::INTEGER AS prediction, e.embedding "
+    "FROM te JOIN e USING (vec_id) WHERE te.label <> te.prediction "
+    f"ORDER BY md5(concat_ws('-', te.vec_id, '{SEED}')), te.vec_id LIMIT 10"))
+def misclassified_sample(spark, sf_dir):
+    """Up to 10 misclassified test vectors in md5 order (TakeOrdered, no full sort),
+    with their unscaled values."""
+    test = _ova_test(spark, sf_dir)
+    return evaluate.misclassified_sample(test, "label", "prediction", VEC_ID, 10, SEED) \
+                   .select("vec_id", "label", "prediction", "embedding")
+
+
+# ---------------------------------------------------------------- ridge details on the sales table
+
+
+@query("ridge_fit", ops=("D9",), sql=(
+    _sales_ctes() + ", f1 AS (SELECT w, b FROM fit WHERE lam = 1.0) SELECT feature, " + sqlgen.sig("weight", 6)
+    + " AS weight FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in SALES_FEATURES)
+    + ", 'intercept']) AS feature, unnest(list_append(w, b)) AS weight FROM f1)"))
+def ridge_fit(spark, sf_dir):
+    """Ridge at λ=1: minimise RSS + λ‖w‖² on unscaled features, free intercept,
+    solved from the training moments."""
+    _, moms, _ = ridge_results(spark, sf_dir)
+    fit = linear.ridge_solve(moms["train"], SALES_FEATURES, SALES_TARGET, 1.0)
+    rows = [(f, float(w)) for f, w in zip(SALES_FEATURES, fit.weights)] + [("intercept", float(fit.intercept))]
+    return spark.createDataFrame(rows, "feature string, weight double").select("feature", sig("weight", 6).alias("weight"))
+
+
+@query("ridge_complexity", ops=("D11",), sql=(
+    _sales_ctes() + " SELECT ev.lam AS lambda, " + sqlgen.sig("list_sum(list_transform(fit.w, lambda x: abs(x)))", 6)
+    + " AS complexity, " + sqlgen.rnd("ev.r2", 6) + " AS r2 FROM ev JOIN fit USING (pos) WHERE ev.split = 'val'"))
+def ridge_complexity(spark, sf_dir):
+    """Model complexity Σ|w| against validation R² for every λ (array aggregate on
+    the sweep table)."""
+    _, _, sweep = ridge_results(spark, sf_dir)
+    d = spark.createDataFrame([(r["lambda"], r["weights"], r["r2"]) for r in sweep],
+                              "lambda double, weights array<double>, r2 double")
+    cx = F.aggregate(F.transform("weights", lambda x: F.abs(x)), F.lit(0.0), lambda acc, x: acc + x)
+    return d.select("lambda", sig(cx, 6).alias("complexity"), rnd("r2", 6).alias("r2"))
+
+
+@query("regression_metrics", ops=("F1", "E1"), sql=(
+    _SB + ", te AS (SELECT revenue AS y, bw.b + list_dot_product(bw.w, [" + ", ".join(SALES_FEATURES)
+    + "]::DOUBLE[]) AS p FROM tagged, bw WHERE split = 'test') SELECT count(*) AS n, " + sqlgen.sig("avg((y - p) * (y - p))", 8)
+    + " AS mse, " + sqlgen.sig("avg(abs(y - p))", 8) + " AS mae, " + sqlgen.sig("sqrt(avg((y - p) * (y - p)))", 8)
+    + " AS rmse, " + sqlgen.rnd("1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))", 6) + " AS r2 FROM te"))
+def regression_metrics(spark, sf_dir):
+    """MSE, MAE, RMSE, R² of the best-λ ridge model over the scored test rows (one
+    aggregate over the rows, not the moment shortcut)."""
+    tagged, best = best_ridge(spark, sf_dir)
+    expr = F.lit(float(best["intercept"]))
+    for c, w in zip(SALES_FEATURES, best["weights"]):
+        expr = expr + F.col(c) * F.lit(float(w))
+    m = evaluate.regression_metrics(tagged.where(F.col("split") == "test").withColumn("pred", expr), SALES_TARGET, "pred")
+    return m.select(F.col("n").cast("long").alias("n"), sig("mse", 8).alias("mse"), sig("mae", 8).alias("mae"),
+                    sig("rmse", 8).alias("rmse"), rnd("r2", 6).alias("r2"))

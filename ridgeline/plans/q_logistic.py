@@ -1,5 +1,5 @@
 """Registered logistic queries: binary GD (D13–D15) on documents ⋈ labels and
-one-vs-all (D16–D20, E6, G5, F7–F9, F12, F13) on the embeddings table."""
+one-vs-all by damped Newton (D18–D20, E6, F7–F9) on the embeddings table."""
 
 from __future__ import annotations
 
@@ -211,25 +211,3 @@ def learning_curve(spark, sf_dir):
         a = a.select(F.lit(float(f)).alias("fraction"), "split", rnd("accuracy", 6).alias("accuracy"), "n")
         out = a if out is None else out.unionByName(a)
     return out
-
-
-@query("weight_map", ops=("G5",))
-def weight_map(spark, sf_dir):
-    """θ without bias of every class as a d×d grid (d = ⌊√n⌋): (class, row, col, weight)."""
-    _, fit = ova_models(spark, sf_dir)
-    theta = fit.theta[0, OVA_LAMBDAS.index(OVA_LAMBDA)]
-    coef = spark.createDataFrame([(c, [float(v) for v in theta[k, 1:]]) for k, c in enumerate(CLASSES)],
-                                 "class int, w array<double>")
-    d = int(np.sqrt(theta.shape[1] - 1))
-    e = coef.select("class", F.posexplode("w").alias("i", "weight")).where(F.col("i") < d * d)
-    return e.select("class", (F.col("i") / d).cast("int").alias("row"), (F.col("i") % d).alias("col"),
-                    rnd("weight", 6).alias("weight"))
-
-
-@query("misclassified_sample", ops=("F12",))
-def misclassified_sample(spark, sf_dir):
-    """Up to 10 misclassified test rows in md5 order, with their unscaled vector."""
-    tagged, fit = ova_models(spark, sf_dir)
-    test = _scored(tagged.where(F.col("split") == "test"), fit, OVA_LAMBDAS.index(OVA_LAMBDA))
-    return evaluate.misclassified_sample(test, "label", "prediction", VEC_ID, 10, SEED) \
-                   .select("vec_id", "label", "prediction", "embedding")
