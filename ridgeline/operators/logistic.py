@@ -184,8 +184,8 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
                     max_iter: int = 1000, tol: float | None = None, record_every: int = 100,
                     l2: float = 0.0) -> LogisticModel:
     """Gradient descent from zero on standardised features (scaler fitted on
-    ``train``).  One aggregate job per iteration over the persisted standardised
-    rows (map-side partial sums, one small row per task); pass t yields both ∇J(w_t)
+    ``train``).  One single-stage job per iteration over the persisted standardised
+    rows (:func:`binary_pass`: one partial array per task); pass t yields both ∇J(w_t)
     and J(w_t), so the loss after update t is read from pass t+1 (D6 convention).
     ``tol`` stops when |ΔJ| < tol; ``l2`` adds λ/2m‖w‖² (bias free).  For long runs
     on big tables prefer :func:`fit_logistic_newton` (a handful of passes)."""
@@ -204,8 +204,8 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
 
 def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l2: float = 0.0,
                         max_iter: int = 25, tol: float = 1e-10) -> LogisticModel:
-    """Newton/IRLS for the same loss (optionally λ/2m‖w‖²): each pass is one aggregate
-    of the weighted moment matrix.  Steps that raise the loss are halved; separable
+    """Newton/IRLS for the same loss (optionally λ/2m‖w‖²): each pass is one
+    :func:`binary_pass` returning the gradient and the weighted moment matrix.  Steps that raise the loss are halved; separable
     data (no finite optimum) ends at ``max_iter`` with ``converged=False``."""
     features = list(features)
     k = len(features)

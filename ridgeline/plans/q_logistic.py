@@ -14,7 +14,7 @@ from .catalog import memo, query, rnd
 from .tasks import DOC_FEATURES, DOC_ID, DOC_TARGET, PATIENT_SQL, VEC_ID, digit_like, patient_like
 
 SEED, TEST_FRAC = 42, 0.2
-# Logistic GD: the reference's rate .5; 100 iterations (each one aggregate job),
+# Logistic GD: the reference's rate .5; 100 iterations (each one Spark pass),
 # loss recorded every 10.
 LOGIT_LR, LOGIT_ITERS, LOGIT_REC = 0.5, 100, 10
 _K = len(DOC_FEATURES)
