@@ -53,7 +53,9 @@ def summary_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
         med = exact_quantiles(df, col, [0.5]).select(F.col("value").alias("median"))
     else:
         med = df.agg(F.percentile_approx(x, 0.5, 10000).alias("median"))
-    return s.crossJoin(med).select("n", "mean", "median", "sd", "min", "max")  # 1 row × 1 row
+    one = F.lit(1).alias("_one")
+    return s.select("*", one).join(med.select("*", one), "_one") \
+            .select("n", "mean", "median", "sd", "min", "max")  # one row each
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95),
