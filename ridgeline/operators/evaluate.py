@@ -121,11 +121,18 @@ def confusable_pairs(cm: DataFrame) -> DataFrame:
                .where(F.col("n") > 0))
 
 
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+def _score(score: str, bins: int | None):
+    """The score itself, or (``bins``) its bin ⌊s·bins⌋/bins for scores in [0, 1]:
+    a bounded number of ROC points on very large tables."""
+    s = F.col(score).cast("double")
+    return (F.floor(s * F.lit(float(bins))) / F.lit(float(bins))) if bins else s
+
+
+def roc_points(df: DataFrame, label: str, score: str, bins: int | None = None) -> DataFrame:
     """one point per distinct score (descending); a point is dropped when both
     second differences of the cumulative counts are 0 (first/last kept); (0,0) is
     put in front afterwards.  Columns: point (order), fpr, tpr."""
-    g = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    g = df.groupBy(_score(score, bins).alias("s")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"),
         F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"),
         F.lit(1.0).alias("one"))
@@ -143,10 +150,10 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     return origin.unionByName(pts).withColumnRenamed("k", "point")
 
 
-def auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, bins: int | None = None) -> DataFrame:
     """trapezoid area under the ROC, from per-distinct-score counts and their
     prefix sums: Σ neg_i·(2·tps_i − pos_i) / (2·P·N)."""
-    g = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    g = df.groupBy(_score(score, bins).alias("s")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"),
         F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"))
     cum = prefix_sums(g, [F.col("s").desc()], ["pos", "neg"])

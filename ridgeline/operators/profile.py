@@ -169,8 +169,9 @@ def mean_sd(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
-def kde_by_class(df: DataFrame, col: str, label: str, grid: int = 200, fine_bins: int = 2048) -> DataFrame:
-    """Gaussian kernel density per class on a common grid over [min, max].
+def kde_by_class(df: DataFrame, col: str, label: str | None, grid: int = 200, fine_bins: int = 2048) -> DataFrame:
+    """Gaussian kernel density per class on a common grid over [min, max]
+    (``label=None``: one overall curve, label 'all').
 
     Rows are pre-binned into ``fine_bins`` equal bins per class (one groupBy, map-
     side combine), each class's bin counts become one bounded array (≤ fine_bins
@@ -180,7 +181,8 @@ def kde_by_class(df: DataFrame, col: str, label: str, grid: int = 200, fine_bins
     x = F.col(col).cast("double")
     lo, hi, m = df.agg(F.min(x), F.max(x), F.count(x)).collect()[0]
     lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
-    b = df.select(F.col(label).alias("label"), x.alias("x")).where(F.col("x").isNotNull())
+    lab = F.col(label) if label else F.lit("all")
+    b = df.select(lab.alias("label"), x.alias("x")).where(F.col("x").isNotNull())
     per = b.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
     bins = (b.groupBy("label", bin_expr(F.col("x"), lo_c, hi_c, fine_bins).alias("bin"))
              .agg(F.count(F.lit(1)).alias("c")))

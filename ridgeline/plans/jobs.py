@@ -55,7 +55,10 @@ def house_from_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequence[str] | None = None,
               missing_rate: float = 0.02, area_max: float = 200.0, lr: float = 0.01, iters: int = 1000,
-              seed=42) -> dict:
+              seed=42, impute_scope: str = "all") -> dict:
+    """House price task.  ``impute_scope='all'`` fits the medians on the whole table
+    as the reference does (a leak into the test rows); ``'train'`` fits them on the
+    training split only."""
     feats, target = HOUSE_FEATURES, "price"
     df, ids = _with_id(df, id_cols)
     # profile of the raw table
@@ -71,10 +74,11 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     _write(profile.box_stats(df.join(F.broadcast(floors), "floor", "left_semi"), "floor", target), out_dir,
            "profile/box_by_floor")
     # clean (B2–B4)
-    dirty = prep.inject_missing(df, ids, feats, missing_rate, seed)
-    clean = prep.outlier_filter(prep.impute(dirty, prep.medians(dirty, feats + [target])), "area", area_max)
+    dirty = split.hash_split(prep.inject_missing(df, ids, feats, missing_rate, seed), ids, 0.2, seed)
+    fit_rows = dirty if impute_scope == "all" else dirty.where(F.col("split") == "train")
+    clean = prep.outlier_filter(prep.impute(dirty, prep.medians(fit_rows, feats + [target])), "area", area_max)
     # split and fit
-    tagged = split.hash_split(clean, ids, 0.2, seed).persist()
+    tagged = clean.persist()
     train = tagged.where(F.col("split") == "train")
     mom = moments(train, feats + [target])
     fits = {"batch": linear.fit_batch_gd(train, feats, target, lr=lr, max_iter=iters, seed=seed, mom=mom)}
@@ -177,6 +181,9 @@ def diabetes_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequ
     _write(profile.correlation_matrix(df, feats + [label]), out_dir, "profile/correlation")
     for f in feats[:4]:
         _write(profile.kde_by_class(df, f, label), out_dir, f"profile/density_{f}")
+    if "Age" in df.columns:
+        _write(profile.kde_by_class(df, "Age", None), out_dir, "profile/density_age_all")
+        _write(profile.histogram(df, "Age", 30), out_dir, "profile/age_hist")
     tagged = split.stratified_split(df, ids, label, 0.2, seed).persist()
     train, test = tagged.where(F.col("split") == "train"), tagged.where(F.col("split") == "test")
     model = logistic.fit_logistic_gd(train, feats, label, lr=lr, max_iter=iters)
