@@ -76,33 +76,40 @@ DOC_FEATURES = ["n_chars", "n_words", "n_lines", "mean_word_len", "digit_share",
                 "distinct_share", "upper_share"]
 DOC_TARGET = "quality"
 
-# The token separators and character classes of the text measures.
+# The token separators and character classes of the text measures
+# (regex form for the SQL twin; the same sets as plain character lists for
+# Spark's ``translate``, which removes characters without a regex engine).
 _WS = "[ \\t\\n]+"
 _DIGIT = "[0-9]"
 _PUNCT = "[.,;:!?]"
 _UPPER = "[A-Z]"
+SPACE_CHARS = " \t\n"
+DIGIT_CHARS = "0123456789"
+PUNCT_CHARS = ".,;:!?"
+UPPER_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _count_class(text: str, cls: str) -> str:
-    return f"(length({text}) - length(regexp_replace({text}, '{cls}', '')))"
+def _count_chars(text: str, chars: str):
+    """Occurrences of any character of ``chars`` in ``text``."""
+    return F.length(text) - F.length(F.translate(F.col(text), chars, ""))
 
 
 def text_measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Eight per-document measures, all built-in string functions (JVM-side)."""
     L = F.greatest(F.length(text), F.lit(1)).cast("double")
     words = F.greatest(F.expr(f"regexp_count({text}, '[^ \\t\\n]+')"), F.lit(1)).cast("double")
-    nonspace = F.length(F.regexp_replace(text, _WS, "")).cast("double")
-    lines = (F.length(text) - F.length(F.regexp_replace(text, "\n", "")) + 1).cast("double")
+    nonspace = F.length(F.translate(F.col(text), SPACE_CHARS, "")).cast("double")
+    lines = (_count_chars(text, "\n") + 1).cast("double")
     toks = F.array_remove(F.split(F.lower(F.col(text)), _WS), "")
     return df.select("*",
                      F.length(text).cast("double").alias("n_chars"),
                      words.alias("n_words"),
                      lines.alias("n_lines"),
                      (nonspace / words).alias("mean_word_len"),
-                     (F.expr(_count_class(text, _DIGIT)) / L).alias("digit_share"),
-                     (F.expr(_count_class(text, _PUNCT)) / L).alias("punct_share"),
+                     (_count_chars(text, DIGIT_CHARS) / L).alias("digit_share"),
+                     (_count_chars(text, PUNCT_CHARS) / L).alias("punct_share"),
                      (F.size(F.array_distinct(toks)) / words).alias("distinct_share"),
-                     (F.expr(_count_class(text, _UPPER)) / L).alias("upper_share"))
+                     (_count_chars(text, UPPER_CHARS) / L).alias("upper_share"))
 
 
 def patient_like(spark: SparkSession, sf_dir: str) -> DataFrame:
