@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import hash_uniform, normal_init
 from .moments import Moments, moments

@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import sigmoid
 from .moments import moments
