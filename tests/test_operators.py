@@ -248,3 +248,38 @@ def test_logistic_newton_l2_matches_mllib(spark):
     nt = logistic.fit_logistic_newton(df, ["x0", "x1", "x2"], "t", l2=1.0, max_iter=30)
     lib = logistic.fit_logistic_mllib(df, ["x0", "x1", "x2"], "t", C=1.0, mean=nt.x_mean, scale=nt.x_scale)
     assert np.allclose(nt.weights, lib.weights, atol=1e-4) and abs(nt.bias - lib.bias) < 1e-4
+
+
+def test_diabetes_edge_rows(spark):
+    from ridgeline.plans import jobs
+    rows = [(19.0, 0.0, 100.0, "tested_positive"), (30.0, 25.0, 126.0, "tested_negative"),
+            (40.0, 30.0, 99.0, None), (50.0, 24.9, 125.9, "tested_positive")]
+    raw = spark.createDataFrame([(0.0, g, 0.0, 0.0, 0.0, b, 0.0, a, c) for a, b, g, c in rows],
+                                "preg double, plas double, pres double, skin double, insu double, mass double, "
+                                "pedi double, age double, class string")
+    df = jobs.diabetes_prepare(raw)
+    assert [r["Outcome"] for r in df.orderBy("Age").collect()] == [1, 0, 0, 1]      # null class → 0
+    r = profile.rate_by_band(df, "Outcome", jobs.RISK_BANDS).toPandas()
+    age = r[r.dimension == "age"]
+    assert age.n.sum() == 3                                                         # age 19: no band
+    assert set(age.band) == {"30-40", "40-50", ">=50"}
+    bmi = dict(r[r.dimension == "bmi"].groupby("band").n.sum())
+    assert bmi == {"<25": 2, "25-30": 1, ">=30": 1}                                 # BMI 0 counts as a value
+    glu = dict(r[r.dimension == "glucose"].groupby("band").n.sum())
+    assert glu == {"<100": 1, "100-126": 2, ">=126": 1}
+
+
+def test_constant_position_and_missing_class(spark):
+    rng = np.random.default_rng(13)
+    X = rng.normal(size=(90, 3))
+    X[:, 1] = 7.0                                   # a constant pixel: sd 0 → scale 1
+    lab = np.repeat([0, 1, 2], 30)
+    df = spark.createDataFrame([(int(i), [float(v) for v in X[i]], int(lab[i])) for i in range(90)],
+                               "id long, v array<double>, label int")
+    sc = logistic.vector_scaler(df, "v")
+    assert sc.scale[0, 1] == 1.0 and sc.mean[0, 1] == 7.0
+    fit = logistic.fit_one_vs_all(df, "v", "label", [0, 1, 2], [0.1], solver="gd", max_iter=2)
+    assert np.isfinite(fit.theta).all() and np.allclose(fit.theta[0, 0, :, 2], 0.0)   # z of the constant is 0
+    test = spark.createDataFrame([(0, 0), (1, 1)], "label int, prediction int")     # class 2 absent from test
+    rep = {r["class"]: r for r in evaluate.class_report(evaluate.confusion(test, "label", "prediction", [0, 1, 2])).collect()}
+    assert rep["2"]["support"] == 0 and rep["2"]["precision"] == 0.0 and rep["2"]["f1"] == 0.0
