@@ -5,9 +5,10 @@ iteration over the cached standardised rows) and Newton/IRLS (a weighted moment
 matrix per pass, a handful of passes), plus MLlib's L-BFGS as the library
 cross-check.  Multi-class one-vs-all: every class, every λ and every training
 subset are fitted together; one pass over the rows computes the gradients (and
-Hessians) of all of them at once.  Passes run as Arrow block kernels
-(``mapInPandas``, NumPy per batch) returning one partial array per task; the
-driver only holds coefficient-sized sums.
+Hessians) of all of them at once.  The rows are converted once (through Arrow)
+into cached NumPy blocks; each pass is a ``treeAggregate`` of per-block NumPy
+partials, merged on the executors, so the driver only holds coefficient-sized
+sums.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pickle
+
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,71 +113,65 @@ class _GD:
         return False
 
 
-# Per-pass partial sums are collected directly when partitions × width stays under
-# this many doubles; beyond it they are summed by a map-side-combined groupBy.
-DIRECT_PARTIAL_DOUBLES = 8_000_000
+def numpy_blocks(df: DataFrame, build) -> RDD:
+    """The rows of ``df`` as cached NumPy blocks, one per Arrow batch (``build(pdf)``
+    → arrays), converted once through Arrow.  Iterative solvers then run each pass
+    as ``treeAggregate`` over the blocks: per-partition NumPy, partial sums merged
+    on the executors in a tree, no SQL planning or row conversion per pass.  Lost
+    blocks are rebuilt from the (deterministic) lineage."""
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"blk": [pickle.dumps(build(pdf), protocol=5)]})
+    return (df.mapInPandas(run, "blk binary").rdd.map(lambda r: pickle.loads(r[0]))
+              .persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def sum_partials(partials: DataFrame, width: int, nparts: int) -> np.ndarray:
-    """Sum the ``v`` arrays (one per task, ``nparts`` tasks) of a kernel's output:
-    a collect of a few small rows when that is cheap, else a distributed reduction."""
-    if nparts * width <= DIRECT_PARTIAL_DOUBLES:
-        tot = np.zeros(width)
-        for r in partials.collect():
-            tot += np.asarray(r["v"], dtype=np.float64)
-        return tot
-    tot = np.zeros(width)
-    for r in (partials.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-              .collect()):
-        tot[r["i"]] = r["x"]
-    return tot
+def tree_sum(blocks: RDD, width: int, partial) -> np.ndarray:
+    """Σ over blocks of ``partial(block)`` (a length-``width`` array), reduced in a
+    tree on the executors; only the total reaches the driver."""
+    def seq(acc, blk):
+        acc += partial(blk)
+        return acc
+    return blocks.treeAggregate(np.zeros(width), seq, lambda x, y: x + y, depth=2)
 
 
-def _binary_kernel(k: int, w, b: float, hessian: bool):
-    """Arrow block kernel: one partial row per task with m, Σ(p−y), Σ CE,
-    Σ(p−y)z and optionally Σ p(1−p)[1,z][1,z]ᵀ (NumPy, no per-row Python)."""
-    w = np.asarray(w, dtype=np.float64)
+def _binary_blocks(z: DataFrame, k: int) -> RDD:
     cols = [f"z{i}" for i in range(k)]
-    width = 3 + k + ((k + 1) ** 2 if hessian else 0)
+    return numpy_blocks(z, lambda pdf: (pdf[cols].to_numpy(np.float64), pdf["y"].to_numpy(np.float64)))
 
-    def run(batches):
-        acc = np.zeros(width)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = pdf[cols].to_numpy(np.float64)
-            y = pdf["y"].to_numpy(np.float64)
-            p = 1.0 / (1.0 + np.exp(-(X @ w + b)))
-            r = p - y
-            acc[0] += len(y)
-            acc[1] += r.sum()
-            acc[2] += (-(y * np.log(p + EPS) + (1.0 - y) * np.log(1.0 - p + EPS))).sum()
-            acc[3:3 + k] += r @ X
-            if hessian:
-                X1 = np.hstack([np.ones((len(y), 1)), X])
-                acc[3 + k:] += ((X1 * (p * (1.0 - p))[:, None]).T @ X1).ravel()
-        yield pd.DataFrame({"v": [acc.tolist()]})
-
-    return run, width
 
+def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict:
+    """One pass at (w, b): m, Σ(p−y), Σ CE, Σ(p−y)z and optionally
+    Σ p(1−p)[1,z][1,z]ᵀ over all blocks."""
+    w = np.asarray(w, dtype=np.float64)
+    width = 3 + k + ((k + 1) ** 2 if hessian else 0)
 
-def binary_pass(z: DataFrame, k: int, w, b: float, hessian: bool = False, nparts: int | None = None) -> dict:
-    """One pass over the standardised rows at (w, b): a single-stage job (no
-    exchange, no per-iteration code generation)."""
-    run, width = _binary_kernel(k, w, b, hessian)
-    nparts = nparts or z.rdd.getNumPartitions()
-    tot = sum_partials(z.mapInPandas(run, "v array<double>"), width, nparts)
+    def partial(blk):
+        X, y = blk
+        out = np.zeros(width)
+        p = 1.0 / (1.0 + np.exp(-(X @ w + b)))
+        r = p - y
+        out[0] = len(y)
+        out[1] = r.sum()
+        out[2] = (-(y * np.log(p + EPS) + (1.0 - y) * np.log(1.0 - p + EPS))).sum()
+        out[3:3 + k] = r @ X
+        if hessian:
+            X1 = np.hstack([np.ones((len(y), 1)), X])
+            out[3 + k:] = ((X1 * (p * (1.0 - p))[:, None]).T @ X1).ravel()
+        return out
+
+    tot = tree_sum(blocks, width, partial)
     m = int(tot[0])
-    out = {"m": m, "g": np.concatenate([[tot[1]], tot[3:3 + k]]), "cost": float(tot[2]) / max(m, 1)}
+    res = {"m": m, "g": np.concatenate([[tot[1]], tot[3:3 + k]]), "cost": float(tot[2]) / max(m, 1)}
     if hessian:
-        out["H"] = tot[3 + k:].reshape(k + 1, k + 1)
-    return out
+        res["H"] = tot[3 + k:].reshape(k + 1, k + 1)
+    return res
 
 
-def _gd_passes(z: DataFrame, gd: _GD) -> None:
-    nparts = z.rdd.getNumPartitions()
+def _gd_passes(blocks: RDD, gd: _GD) -> None:
     for it in range(gd.max_iter + 1):
-        st = binary_pass(z, gd.k, gd.w, gd.b, nparts=nparts)
+        st = binary_pass(blocks, gd.k, gd.w, gd.b)
         if gd.step(it, st["m"], st["g"][0], st["cost"] * st["m"], st["g"][1:]):
             break
 
@@ -183,8 +180,8 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
                     max_iter: int = 1000, tol: float | None = None, record_every: int = 100,
                     l2: float = 0.0) -> LogisticModel:
     """Gradient descent from zero on standardised features (scaler fitted on
-    ``train``).  One single-stage job per iteration over the persisted standardised
-    rows (:func:`binary_pass`: one partial array per task); pass t yields both ∇J(w_t)
+    ``train``).  One pass per iteration over the cached NumPy blocks of the
+    standardised rows (:func:`binary_pass`, tree-reduced); pass t yields both ∇J(w_t)
     and J(w_t), so the loss after update t is read from pass t+1 (D6 convention).
     ``tol`` stops when |ΔJ| < tol; ``l2`` adds λ/2m‖w‖² (bias free).  For long runs
     on big tables prefer :func:`fit_logistic_newton` (a handful of passes)."""
@@ -192,12 +189,11 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
     k = len(features)
     mean, scale, m = _scaler(train, features)
     gd = _GD(k, lr, max_iter, tol, record_every, l2)
-    z = right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1))
-    z = z.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _binary_blocks(right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1)), k)
     try:
-        _gd_passes(z, gd)
+        _gd_passes(blocks, gd)
     finally:
-        z.unpersist()
+        blocks.unpersist()
     return LogisticModel(features, gd.w, gd.b, mean, scale, gd.hist, gd.it, gd.converged, "gd")
 
 
@@ -209,17 +205,15 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
     features = list(features)
     k = len(features)
     mean, scale, m = _scaler(train, features)
-    z = right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1))
-    z = z.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _binary_blocks(right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1)), k)
     theta = np.zeros(k + 1)
     D = np.eye(k + 1)
     D[0, 0] = 0.0
-    nparts = z.rdd.getNumPartitions()
     prev_cost, prev_theta, step, converged, hist = None, None, None, False, []
     it = 0
     try:
         for it in range(max_iter):
-            st = binary_pass(z, k, theta[1:], theta[0], True, nparts=nparts)
+            st = binary_pass(blocks, k, theta[1:], theta[0], True)
             m = st["m"]
             cost = st["cost"] + l2 / (2 * m) * float(theta[1:] @ theta[1:])
             hist.append((it, cost))
@@ -236,7 +230,7 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
             prev_cost, prev_theta = cost, theta
             theta = theta - step
     finally:
-        z.unpersist()
+        blocks.unpersist()
     return LogisticModel(features, theta[1:], float(theta[0]), mean, scale, hist, it + 1, converged, "newton")
 
 
@@ -290,58 +284,46 @@ def vector_scaler(df: DataFrame, vec_col: str, member_col: str | None = None, n_
     return VectorScaler(mean, sd)
 
 
-def _kernel(vec_col: str, label_col: str, member_col: str | None, classes: np.ndarray,
-            model_subset: np.ndarray, model_class: np.ndarray, theta: np.ndarray,
-            scaler: VectorScaler, hessian: bool):
-    """Arrow block kernel: partial data-term sums of every model on one partition.
+def _ova_blocks(data: DataFrame, vec_col: str, label_col: str, member_col: str | None) -> RDD:
+    def build(pdf):
+        X = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+        y = pdf[label_col].to_numpy()
+        memb = np.stack(pdf[member_col].to_numpy()).astype(bool) if member_col else np.ones((len(pdf), 1), bool)
+        return X, y, memb
+    return numpy_blocks(data.select(vec_col, label_col, *([member_col] if member_col else [])), build)
+
 
-    Output: one row per task, ``v`` = for each model j, [m_j, ce_j, g_j (n+1), H_j ((n+1)²)?]."""
+def block_pass(blocks: RDD, model_subset, model_class, theta, scaler: VectorScaler, hessian: bool):
+    """One pass: data-term count, cross-entropy, gradient (and Hessian) of every
+    model, each subset standardised with its own scaler; per-block NumPy, tree-
+    reduced.  Partial width per model: 2 + (n+1) [+ (n+1)²]."""
+    theta = np.asarray(theta, dtype=float)
+    model_subset, model_class = np.asarray(model_subset), np.asarray(model_class)
     M, n1 = theta.shape
     width = 2 + n1 + (n1 * n1 if hessian else 0)
 
-    def run(batches):
+    def partial(blk):
+        X, y, memb = blk
         acc = np.zeros((M, width))
-        for pdf in batches:
-            if len(pdf) == 0:
+        for s in np.unique(model_subset):
+            rows = memb[:, s]
+            if not rows.any():
                 continue
-            X = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            y = pdf[label_col].to_numpy()
-            memb = (np.stack(pdf[member_col].to_numpy()).astype(bool) if member_col
-                    else np.ones((len(pdf), 1), dtype=bool))
-            for s in np.unique(model_subset):
-                rows = memb[:, s]
-                if not rows.any():
-                    continue
-                Xs = (X[rows] - scaler.mean[s]) / scaler.scale[s]
-                X1 = np.hstack([np.ones((Xs.shape[0], 1)), Xs])
-                js = np.where(model_subset == s)[0]
-                Z = X1 @ theta[js].T                                  # (rows, models)
-                P = 1.0 / (1.0 + np.exp(-Z))
-                Y = (y[rows][:, None] == model_class[js][None, :]).astype(np.float64)
-                acc[js, 0] += X1.shape[0]
-                acc[js, 1] += -(Y * np.log(P + EPS) + (1 - Y) * np.log(1 - P + EPS)).sum(axis=0)
-                acc[js, 2:2 + n1] += ((P - Y).T @ X1)
-                if hessian:
-                    V = P * (1 - P)
-                    for c, j in enumerate(js):
-                        acc[j, 2 + n1:] += ((X1 * V[:, c:c + 1]).T @ X1).ravel()
-        yield pd.DataFrame({"v": [acc.ravel().tolist()]})
-
-    return run, width
-
-
-def block_pass(data: DataFrame, vec_col: str, label_col: str, member_col: str | None,
-               model_subset, model_class, theta, scaler: VectorScaler, hessian: bool, nparts: int):
-    """One Spark job: data-term count, cross-entropy, gradient (and Hessian) of every
-    model.  Each task returns one partial array; :func:`sum_partials` adds them
-    (directly when small, else by a map-side-combined ``groupBy``)."""
-    theta = np.asarray(theta, dtype=float)
-    run, width = _kernel(vec_col, label_col, member_col, None, np.asarray(model_subset),
-                         np.asarray(model_class), theta, scaler, hessian)
-    cols = [vec_col, label_col] + ([member_col] if member_col else [])
-    part = data.select(*cols).mapInPandas(run, "v array<double>")
-    tot = sum_partials(part, theta.shape[0] * width, nparts).reshape(theta.shape[0], width)
-    n1 = theta.shape[1]
+            Xs = (X[rows] - scaler.mean[s]) / scaler.scale[s]
+            X1 = np.hstack([np.ones((Xs.shape[0], 1)), Xs])
+            js = np.where(model_subset == s)[0]
+            P = 1.0 / (1.0 + np.exp(-(X1 @ theta[js].T)))                 # (rows, models)
+            Y = (y[rows][:, None] == model_class[js][None, :]).astype(np.float64)
+            acc[js, 0] += X1.shape[0]
+            acc[js, 1] += -(Y * np.log(P + EPS) + (1 - Y) * np.log(1 - P + EPS)).sum(axis=0)
+            acc[js, 2:2 + n1] += (P - Y).T @ X1
+            if hessian:
+                V = P * (1 - P)
+                for c, j in enumerate(js):
+                    acc[j, 2 + n1:] += ((X1 * V[:, c:c + 1]).T @ X1).ravel()
+        return acc.ravel()
+
+    tot = tree_sum(blocks, M * width, partial).reshape(M, width)
     out = {"m": tot[:, 0], "ce": tot[:, 1], "g": tot[:, 2:2 + n1]}
     if hessian:
         out["H"] = tot[:, 2 + n1:].reshape(-1, n1, n1)
@@ -385,11 +367,11 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
     first = data.select(F.size(vec_col).alias("n")).agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).collect()[0]
     data = right_sized(data, int(first["m"] or 0), 8 * (int(first["n"] or 0) + 2 + S))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _ova_blocks(data, vec_col, label_col, member_col)
     try:
         if scaler is None:
             scaler = vector_scaler(data, vec_col, member_col, S)
         n = scaler.mean.shape[1]
-        nparts = data.rdd.getNumPartitions()
         ms, ml, mk = _models(S, L, K)
         mclass = np.array(classes)[mk]
         lam = np.array(lambdas, dtype=float)[ml]
@@ -405,7 +387,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
         it = 0
         cost = np.zeros(M)
         for it in range(max_iter + 1):
-            st = block_pass(data, vec_col, label_col, member_col, ms, mclass, theta, scaler, solver == "newton", nparts)
+            st = block_pass(blocks, ms, mclass, theta, scaler, solver == "newton")
             m = np.maximum(st["m"], 1.0)
             cost = st["ce"] / m + lam / (2 * m) * np.sum(theta[:, 1:] ** 2, axis=1)
             hist.append((it, cost.copy()))
@@ -440,6 +422,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
         return OvaFit(classes, [float(x) for x in lambdas], S, theta.reshape(S, L, K, n + 1), scaler,
                       cost.reshape(shape), it, done.reshape(shape), hist)
     finally:
+        blocks.unpersist()
         data.unpersist()
 
 
