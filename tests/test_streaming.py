@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from ridgeline.operators import evaluate, linear
 from ridgeline.streaming import scoring
@@ -16,8 +15,7 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     df = spark.createDataFrame(pdf)
     model = linear.fit_batch_gd(df, ["a", "b"], "y", lr=0.1, max_iter=300)
     src = str(tmp_path / "src")
-    for i in range(3):
-        df.where(F.col("id") % 3 == i).write.mode("append").parquet(src)
+    df.repartition(3).write.parquet(src)          # three files arrive as the stream's input
     stream = scoring.score(scoring.file_stream(spark, src, df.schema), model.predict_expr(), "pred")
     q = scoring.write_files(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     q.awaitTermination()
