@@ -35,8 +35,10 @@ def _range_parted(df: DataFrame, key: Sequence[Column], num_partitions: int | No
     rows (which a recomputed shuffle could)."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *key)
+    # without an explicit count, AQE sizes the range partitions from the data
+    # (adjacent ranges are merged, so the global order is kept)
+    parted = df.repartitionByRange(num_partitions, *key) if num_partitions else df.repartitionByRange(*key)
+    return (parted
               .sortWithinPartitions(*key)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())
