@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
-from .rank import exact_quantiles
+from .rank import exact_quantiles, global_rank
 
 
 def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str], rate: float = 0.02,
@@ -24,11 +24,13 @@ def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str
     features = list(features)
     u = hash_uniform(list(id_cols), seed)
     col_idx = F.floor(hash_uniform(list(id_cols) + [F.lit("col")], seed) * F.lit(len(features))).cast("int")
-    marked = df
     if exact:
-        from .split import first_k_predicate
-        (hit,) = first_k_predicate(df, id_cols, seed, [int(df.count() * rate)])
+        m = df.count()
+        k = int(m * rate)
+        marked = global_rank(df.withColumn("_u", u), ["_u", *id_cols], rank_col="_r")
+        hit = F.col("_r") <= F.lit(k)
     else:
+        marked = df
         hit = u < F.lit(rate)
     marked = marked.withColumn("_hit", hit).withColumn("_ci", col_idx)
     exprs = []

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
@@ -30,41 +30,14 @@ def hash_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.2, seed=42,
     return df.withColumn(split_col, F.when(u < F.lit(test_frac), F.lit("test")).otherwise(F.lit("train")))
 
 
-def first_k_predicate(df: DataFrame, id_cols: Sequence[str], seed, ks: Sequence[int]) -> list[Column]:
-    """For each k, a predicate true exactly on the k rows first in (md5 draw, ids)
-    order.  Only the narrow key projection is ranked (distributed rank, written to
-    the checkpoint folder); the boundary keys — one row per k — come back to the
-    driver, and the predicates are lexicographic comparisons on the original rows:
-    no join and no rewrite of the wide rows."""
-    ids = list(id_cols)
-    u = hash_uniform(ids, seed)
-    wanted = sorted({int(k) for k in ks if k > 0})
-    bounds = {}
-    if wanted:
-        ranked = global_rank(df.select(*ids, u.alias("_u")), ["_u", *ids], rank_col="_r")
-        for r in ranked.where(F.col("_r").isin(wanted)).collect():
-            bounds[int(r["_r"])] = [r["_u"]] + [r[c] for c in ids]
-    preds = []
-    keys = [u] + [F.col(c) for c in ids]
-    for k in ks:
-        if k <= 0 or k not in bounds:
-            preds.append(F.lit(k > 0))          # k ≤ 0: nobody; k ≥ m: everybody
-            continue
-        b = bounds[k]
-        cond = F.lit(True)                      # key ≤ boundary, built from the last column up
-        for key, val in reversed(list(zip(keys, b))):
-            cond = (key < F.lit(val)) | ((key == F.lit(val)) & cond)
-        preds.append(cond)
-    return preds
-
-
 def exact_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.2, seed=42,
                 split_col: str = "split") -> DataFrame:
     """B10 exact mode: the ceil(m·f) rows first in hash order are test."""
     m = df.count()
     n_test = math.ceil(m * test_frac)
-    (is_test,) = first_k_predicate(df, id_cols, seed, [n_test])
-    return df.withColumn(split_col, F.when(is_test, "test").otherwise("train"))
+    ranked = global_rank(with_hash(df, id_cols, seed), ["_u", *id_cols], rank_col="_r")
+    return (ranked.withColumn(split_col, F.when(F.col("_r") <= n_test, "test").otherwise("train"))
+                  .drop("_u", "_r"))
 
 
 def three_way_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.15, val_frac_of_rest=0.176,
@@ -78,8 +51,10 @@ def three_way_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.15, val_f
     m = df.count()
     n_test = math.ceil(m * test_frac)
     n_val = math.ceil((m - n_test) * val_frac_of_rest)
-    is_test, is_tv = first_k_predicate(df, id_cols, seed, [n_test, n_test + n_val])
-    return df.withColumn(split_col, F.when(is_test, "test").when(is_tv, "val").otherwise("train"))
+    ranked = global_rank(with_hash(df, id_cols, seed), ["_u", *id_cols], rank_col="_r")
+    return (ranked.withColumn(split_col, F.when(F.col("_r") <= n_test, "test")
+                              .when(F.col("_r") <= n_test + n_val, "val").otherwise("train"))
+                  .drop("_u", "_r"))
 
 
 def class_quotas(df: DataFrame, label: str, fraction: float, total: str = "ceil") -> DataFrame:
