@@ -283,3 +283,22 @@ def test_constant_position_and_missing_class(spark):
     test = spark.createDataFrame([(0, 0), (1, 1)], "label int, prediction int")     # class 2 absent from test
     rep = {r["class"]: r for r in evaluate.class_report(evaluate.confusion(test, "label", "prediction", [0, 1, 2])).collect()}
     assert rep["2"]["support"] == 0 and rep["2"]["precision"] == 0.0 and rep["2"]["f1"] == 0.0
+
+
+def test_matrix_sink_round_trip_and_run_record(spark, tmp_path):
+    cells = spark.createDataFrame([("a", "x", 2), ("a", "y", 1), ("b", "y", 5)], "r string, c string, n long")
+    wide = io.matrix_wide(cells, "r", "c", "n", ["x", "y", "z"])
+    path = io.write_report(wide, str(tmp_path / "m"))
+    back = io.read_report(spark, path, wide.schema)
+    long = {(r["r"], r["col"]): r["n"] for r in io.matrix_long(back, "r", ["x", "y", "z"]).collect()}
+    assert long == {("a", "x"): 2, ("a", "y"): 1, ("a", "z"): 0, ("b", "x"): 0, ("b", "y"): 5, ("b", "z"): 0}
+    rec = io.run_summary(spark, {"n_train": 3, "weights": [0.5, -1.0], "metrics": {"r2": 0.9}}).collect()[0]
+    assert rec["n_train"] == 3 and rec["weights"] == [0.5, -1.0] and rec["metrics"]["r2"] == 0.9
+
+
+def test_first_groups_and_mean_sd(spark):
+    df = spark.createDataFrame([(g, float(v)) for g in range(15) for v in (g, g + 2.0)], "g int, v double")
+    assert [r["g"] for r in profile.first_groups(df, "g", 10).collect()] == list(range(10))
+    st = profile.mean_sd(df, ["v"]).collect()[0]
+    vals = np.array([v for g in range(15) for v in (g, g + 2.0)])
+    assert st["mean"] == pytest.approx(vals.mean()) and st["sd"] == pytest.approx(vals.std())
