@@ -30,3 +30,20 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     m = spark.sql("SELECT * FROM rl_metrics").collect()[0]
     b = evaluate.regression_metrics(df.withColumn("pred", model.predict_expr()), "y", "pred").collect()[0]
     assert m["n"] == 300 and m["mse"] == pytest.approx(b["mse"]) and m["r2"] == pytest.approx(b["r2"])
+
+
+def test_windowed_running_metrics(spark, tmp_path):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1, h, m), float(v), float(v) + d)
+            for h in (0, 1) for m, v, d in ((5, 1.0, 0.5), (20, 2.0, -0.5), (40, 4.0, 0.0))]
+    df = spark.createDataFrame(rows, "ts timestamp, y double, pred double")
+    src = str(tmp_path / "ev")
+    df.write.parquet(src)
+    stream = scoring.file_stream(spark, src, df.schema)
+    m = scoring.running_metrics(stream, "y", "pred", event_time="ts", window="1 hour", watermark="1 hour")
+    q = m.writeStream.format("memory").queryName("rl_win").outputMode("update").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r["window"]["start"].hour: r for r in spark.sql("SELECT * FROM rl_win").collect()}
+    assert set(got) == {0, 1}
+    assert got[0]["n"] == 3 and got[0]["mse"] == pytest.approx((0.25 + 0.25 + 0.0) / 3)
