@@ -33,7 +33,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query("op3_jaccard_join", sql=r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ')
     ELSE array_to_string(ws[i:i + 4], ' ') END AS g
