@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join
+from . import chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, url_filter
 
 
 @dataclass
@@ -53,3 +54,118 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN rep ON rep.doc_id
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under Jaccard >= 0.75 on five-word shingles."""
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
+_MATCH = r"""
+u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS a FROM pages),
+hp AS (SELECT page_id, translate(coalesce(regexp_extract(a, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(a, '^[^/?#]*(/[^?#]*)', 1), '') AS path FROM u)
+"""
+
+
+@_query("op7_url_filter", sql=f"""
+WITH {_MATCH},
+r(verdict, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+m AS (SELECT *, CASE WHEN (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) THEN length(rh || rp) ELSE -1 END AS size
+  FROM hp, r),
+best AS (SELECT page_id, host, path, max(size) AS size, arg_max(rh || rp, size) AS rule, arg_max(verdict, size) AS verdict
+  FROM m GROUP BY ALL)
+SELECT page_id, host, path, CASE WHEN size >= 0 THEN rule END AS rule,
+  CASE WHEN size >= 0 THEN verdict ELSE 'allow' END AS verdict FROM best
+""")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url under the five stated rules (allow where none fits)."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@_query("op4_quality_rules", sql=f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: trim(x, {_SPACE}) <> '') AS lines FROM d),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, sum(least(5, coalesce(nxt - i, 5))) AS n FROM (
+  SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+    length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) AS n_lower,
+    length(t) - length(replace(t, '!', '')) AS n_exclaimed,
+    len(list_filter(w, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,!', 'abcdefghijklmnopqrstuvwxyz') IN (
+      {", ".join(f"'{s}'" for s in quality_rules.STOP_WORDS)}))) AS n_stop_words
+  FROM d JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND {" AND ".join(quality_rules.rules_sql())} AS kept
+FROM b
+""")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the threshold table for every document."""
+    out = quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query("op8_line_dedup", sql=f"""
+WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+many AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.*, many.key IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOIN many USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+""")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stay when lines of three documents or more keep one holder."""
+    return line_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
+@_query("op1_decontamination", sql=r"""
+WITH a AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+w AS (SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM a),
+s AS (SELECT DISTINCT kind, id, array_to_string(ws[i:i + 4], ' ') AS g FROM (
+  SELECT kind, id, ws, unnest(range(1, CASE WHEN len(ws) = 0 THEN 1 ELSE greatest(2, len(ws) - 3) END)) AS i FROM w)),
+q AS (SELECT id, count(*) AS n FROM s WHERE kind = 'b' GROUP BY id),
+p AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM s d JOIN s b ON d.g = b.g AND d.kind = 'd' AND b.kind = 'b'
+  GROUP BY ALL)
+SELECT doc_id, item_id, shared, n AS item_shingles, shared / n AS containment
+FROM p JOIN q ON q.id = item_id WHERE 4 * shared >= 3 * n
+""")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with at least 3/4 of the item's shingles in the document."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_ESCAPED = "text"
+for _s, _code in chat_format._CODES.items():  # the escape character comes first
+    _ESCAPED = f"replace({_ESCAPED}, '{_s}', '{chat_format.ESCAPE}{_code}')"
+
+
+@_query("op10_chat_format", sql=f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({_ESCAPED}) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 13
+    ELSE 20 + length(role) END) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+""")
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted to token ids, read back and digested."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat_format.read_conversations(chat_format.format_turns(rows.unionByName(extra)))
