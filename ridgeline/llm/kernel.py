@@ -67,10 +67,10 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(lower-cased bytes, word starts, word ends, first word of each row + total)."""
+def words(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, lower-cased if ``lower``, word starts, word ends, first word of each row + total)."""
     raw, offsets = utf8(col)
-    low = _LOWER[raw]
+    low = _LOWER[raw] if lower else raw
     n = len(low)
     solid = ~_SPACE[low]
     edge = np.zeros(n + 1, dtype=bool)          # a row begins here

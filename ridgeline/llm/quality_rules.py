@@ -34,7 +34,7 @@ class Rule:
 
 RULES = (
     Rule("mean_word_chars", 2.0, 16.0),
-    Rule("symbols_per_word", None, 0.25),
+    Rule("symbols_per_word", None, 0.1),
     Rule("upper_share", None, 0.5),
     Rule("stop_word_share", 0.02, None),
     Rule("dup_line_share", None, 0.5),
@@ -108,7 +108,7 @@ RATIOS = {
     "mean_word_chars": ("word_chars", "n_words"),
     "symbols_per_word": ("n_symbols", "n_words"),
     "upper_share": ("n_upper", "n_upper + n_lower"),
-    "stop_word_share": ("n_stop_words", "n_words"),
+    "stop_word_share": ("n_stop_words", "CASE WHEN n_words >= 50 THEN n_words ELSE 0 END"),
     "dup_line_share": ("n_dup_lines", "n_lines"),
     "exclaimed_share": ("n_exclaimed", "n_words"),
 }

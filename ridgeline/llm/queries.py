@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, url_filter
+from . import chat_format, compression_quality, decontaminate, jaccard_join, line_dedup, packing, quality_rules, url_filter
 
 
 @dataclass
@@ -169,3 +169,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat_format.read_conversations(chat_format.format_turns(rows.unionByName(extra)))
+
+
+@_query("op2_compression_quality")
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return compression_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of at most 4096 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
