@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, compression_quality, decontaminate, jaccard_join, line_dedup, packing, quality_rules, url_filter
+from . import chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, packing, quality_rules, url_filter
 
 
 @dataclass
@@ -181,3 +181,9 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of at most 4096 tokens."""
     return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+@_query("op6_html_extract")
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
