@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, packing, quality_rules, url_filter
+from . import chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, lm_trie, packing, quality_rules, url_filter
 
 
 @dataclass
@@ -187,3 +187,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query("op5_lm_trie")
+def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log10 probabilities of every document, learned from those not held out."""
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return lm_trie.score_texts(_table(spark, sf_dir, "documents"), held)
