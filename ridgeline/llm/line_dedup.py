@@ -37,7 +37,9 @@ class LineRuns:
         self.levels: list[list[DataFrame]] = []
 
     def _write(self, rows: DataFrame) -> DataFrame:
-        return materialise(rows.select("h1", "h2", "n_docs", "keeper").sortWithinPartitions("h1", "h2"), "line-run")
+        # a run is small rows: no more files than the cluster has cores
+        rows = rows.select("h1", "h2", "n_docs", "keeper").coalesce(self.spark.sparkContext.defaultParallelism)
+        return materialise(rows.sortWithinPartitions("h1", "h2"), "line-run")
 
     def all_runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
@@ -96,7 +98,7 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
         .select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
                 batch.alias("batch")))
     path = scratch_path(spark, "line-keys")
-    found.write.partitionBy("batch").parquet(path)
+    found.write.option("compression", "zstd").partitionBy("batch").parquet(path)
     lines = spark.read.schema(found.schema).parquet(path)
     runs = LineRuns(spark)
     for b in range(len(cuts) + 1):

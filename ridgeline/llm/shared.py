@@ -18,11 +18,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
-    Survives the loss of executors, and later reads do not recompute it.
+    Survives the loss of executors, and later reads do not recompute it.  zstd keeps
+    the files small and, unlike the default codec, needs no direct buffers for each
+    file that is read.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -39,3 +41,16 @@ def possible(df: DataFrame, ids: DataFrame, bits: int = ID_BITS, column: str = "
     slot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
     slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
     return df.withColumn("_slot", slot).join(slots, "_slot", "left_semi").drop("_slot")
+
+
+def without(df: DataFrame, ids: DataFrame, bits: int = ID_BITS, column: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not in ``ids``; rows with a null id stay.
+
+    Only rows whose hash slot an id occupies are joined on the id itself; the others
+    are known to stay and are not shuffled.
+    """
+    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
+    slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
+    marked = df.withColumn("_slot", slot)
+    sure = marked.join(slots, "_slot", "left_anti").drop("_slot")
+    return sure.unionByName(possible(df, ids, bits, column).join(ids, column, "left_anti").select(*df.columns))
