@@ -10,13 +10,16 @@ shingles is at least 3/4.  The steps, all over every document:
    In that order only the first ``n - ceil(3n/4) + 1`` shingles of a set of size
    ``n`` can hold the first shared one of a linked pair, so only these enter the
    incidence matrix.
-3. Star pairs (each representative against the smallest id with the same
-   min-hash under a few permutations) are verified exactly and joined to first
+3. Star pairs (each representative against the smallest id with the same band of
+   two min-hashes, for a few bands) are verified exactly and joined to first
    components.  This contracts large groups of near copies in linear work.
-4. The incidence matrix is cut into blocks by n-gram.  Each block's product gives
-   the overlap counts of pairs that are in different first components and whose
-   sizes allow a link; counts are summed over the blocks, and a pair is dropped
-   when its count cannot reach the overlap that its sizes demand.
+4. The incidence matrix is cut into blocks by n-gram.  N-grams that one first
+   component alone has are taken out, which leaves for each document how many
+   n-grams of its prefix are common with others.  Each block's product gives the
+   overlap counts of pairs that are in different first components and whose sizes
+   and common n-grams allow a link, over the n-grams that stand early enough in
+   both orders; counts are summed over the blocks, and a pair is dropped when its
+   count stays below the bound that its sizes demand.
 5. The remaining pairs are verified on their whole sets; the links of 3 and 5
    give the components.
 
@@ -34,12 +37,14 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .shared import materialise, possible
+from .shared import materialise, possible, without
 
-PERMUTATIONS = 4
+BANDS, BAND_ROWS = 6, 2
 SKETCH_BITS = 20
-BLOCK_ENTRIES = 1_500_000
-PRODUCT_CHUNK = 2_000_000
+BLOCK_ENTRIES = 2_000_000
+PRODUCT_CHUNK = 400_000
+HELD_PAIRS = 2_000_000
+PLACES = 65_535
 _SEEDS = K.mix(np.arange(1, 33, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -47,9 +52,19 @@ def _prefix_len(n):
     return n - (3 * n + 3) // 4 + 1
 
 
-def needed(a: int, b: int) -> int:
-    """Smallest intersection of sets of sizes ``a`` and ``b`` with Jaccard >= 3/4."""
-    return -(-3 * (a + b) // 7)
+def bounds(na, nb):
+    """(needed, early): sets of sizes ``na`` and ``nb`` link only with ``needed`` shared n-grams;
+    ``early`` of these then stand, in both orders, where at least ``needed - early + 1`` are left.
+
+    Works on integers, arrays and (as :data:`EARLY_SQL`) columns.
+    """
+    needed = (3 * (na + nb) + 6) // 7
+    spare = needed - (3 * np.maximum(na, nb) + 3) // 4 + 1
+    return needed, np.minimum(1 + needed // 64, spare)
+
+
+EARLY_SQL = ("least(1 + ((3 * (na + nb) + 6) div 7) div 64, "
+             "(3 * (na + nb) + 6) div 7 - (3 * greatest(na, nb) + 3) div 4 + 1)")
 
 
 # -- pass 1: sets, fingerprints, min-hashes, sketch ---------------------------------
@@ -77,8 +92,9 @@ def _sets(batches):
                 fp[0, i] = s.sum(dtype=np.uint64)
                 fp[1, i] = K.mix(s + _SEEDS[0]).sum(dtype=np.uint64)
                 np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                mins[i] = [int(K.to_signed(K.mix(s ^ _SEEDS[1 + p]).min(keepdims=True))[0])
-                           for p in range(PERMUTATIONS)]
+                low = [K.mix(s ^ _SEEDS[1 + p]).min() for p in range(BANDS * BAND_ROWS)]
+                bands = K.mix(np.array(low[::2], np.uint64) * np.uint64(3) + K.mix(np.array(low[1::2], np.uint64)))
+                mins[i] = K.to_signed(bands).tolist()
             yield pa.RecordBatch.from_arrays([
                 ids.cast(pa.int64()), pa.array(n), pa.array(K.to_signed(fp[0])), pa.array(K.to_signed(fp[1])),
                 pa.array(mins, pa.list_(pa.int64())), pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.binary()),
@@ -117,11 +133,11 @@ def shingle_levels(sets: DataFrame) -> np.ndarray:
 
 # -- pass 2: the prefix of each set, cut into blocks --------------------------------
 
-_PREFIX = "doc_id long, n long, last long, prefix binary"
+_PREFIX = "doc_id long, n long, prefix binary"
 
 
 def _prefixes(levels):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("prefix", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary())])
 
     def run(batches):
         level = levels.value
@@ -133,73 +149,100 @@ def _prefixes(levels):
                 slot = (sh >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                 # order key: level above 58 bits of the hash; stays positive as a signed long
                 key = (level[slot].astype(np.uint64) << np.uint64(58)) | (sh >> np.uint64(6))
-                n, last, blob = [], [], []
+                n, blob = [], []
                 for i in range(hi - lo):
                     s = K.distinct_sorted(key[off[i]:off[i + 1]])
                     p = _prefix_len(len(s)) if len(s) else 0
                     n.append(len(s))
-                    last.append(int(s[p - 1]) if p else 0)
                     blob.append(s[:p].tobytes())
                 yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()),
-                                                  pa.array(last, pa.int64()), pa.array(blob, pa.binary())],
-                                                 schema=schema)
+                                                  pa.array(blob, pa.binary())], schema=schema)
     return run
 
 
+_ENTRIES = "block long, doc_id long, comp long, n long, keys binary, places binary"
+
+
 def _to_blocks(blocks):
     schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()),
-                        ("last", pa.int64()), ("keys", pa.binary())])
+                        ("keys", pa.binary()), ("places", pa.binary())])
 
     def run(batches):
         for batch in batches:
             ids, comp = batch.column("doc_id").to_numpy(), batch.column("comp").to_numpy()
-            n, last = batch.column("n").to_numpy(), batch.column("last").to_numpy()
-            prefixes = batch.column("prefix")
+            n, prefixes = batch.column("n").to_numpy(), batch.column("prefix")
             for at in range(0, batch.num_rows, 512):
-                rows, block, keys = [], [], []
+                rows, block, keys, places = [], [], [], []
                 for i in range(at, min(at + 512, batch.num_rows)):
                     k = np.frombuffer(prefixes[i].as_buffer(), np.uint64)
                     b = K.mix(k) % np.uint64(blocks)
                     order = np.argsort(b, kind="stable")
                     k, b = k[order], b[order]
-                    cut = np.flatnonzero(np.diff(b)) + 1
-                    for part in np.split(np.arange(len(k)), cut):
-                        if len(part):
-                            rows.append(i)
-                            block.append(int(b[part[0]]))
-                            keys.append(k[part[0]:part[-1] + 1].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(ids[rows]),
-                                                  pa.array(comp[rows]), pa.array(n[rows]), pa.array(last[rows]),
-                                                  pa.array(keys, pa.binary())], schema=schema)
+                    place = np.minimum(order, PLACES).astype(np.uint16)
+                    edges = [0, *(np.flatnonzero(np.diff(b)) + 1).tolist(), len(k)]
+                    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                        rows.append(i)
+                        block.append(int(b[lo]))
+                        keys.append(k[lo:hi].tobytes())
+                        places.append(place[lo:hi].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(ids[rows]), pa.array(comp[rows]),
+                                                  pa.array(n[rows]), pa.array(keys, pa.binary()),
+                                                  pa.array(places, pa.binary())], schema=schema)
     return run
 
 
 # -- the product of one block -------------------------------------------------------
 
-_PAIRS = "a long, b long, na long, nb long, la long, lb long, shared long"
+_PAIRS = "a long, b long, na long, nb long, shared long"
+
 
+def shared_entries(comp, row, keys):
+    """Numbers of the entries whose n-gram occurs in two first components or more, in the order of
+    (n-gram, component).  The others make no pair."""
+    order = np.lexsort((comp[row], keys))
+    if not len(order):
+        return order
+    sorted_keys, own = keys[order], comp[row[order]]
+    at = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+    last = np.append(at[1:], len(order)) - 1
+    return order[np.repeat(own[at] != own[last], last - at + 1)]
 
-def block_product(doc, comp, n, last, keys):
-    """Overlap counts of one block: batches of (a, b, na, nb, la, lb, shared).
 
-    Entry i says that document ``doc[i]`` (first component ``comp[i]``, set size
-    ``n[i]``) has n-gram ``keys[i]``.  Only pairs of different components whose
-    sizes differ by a factor of at most 4/3 are formed.
+def block_product(doc, comp, n, common, row, keys, place):
+    """Overlap counts of one block: batches of (a, b, na, nb, shared).
+
+    ``doc``, ``comp``, ``n`` and ``common`` describe the block's documents (id, first
+    component, set size, and how many n-grams of the prefix other components have
+    too); entry i says that document number ``row[i]`` has n-gram ``keys[i]`` as number
+    ``place[i]`` of its order.  Pairs are of different components, and their sizes must
+    allow a link: only n-grams that stand early enough in both orders count (see
+    :func:`bounds`), and what is common in the prefix plus all behind it must reach
+    the overlap that is needed.
     """
-    order = np.lexsort((comp, keys))
-    doc, comp, n, last, keys = doc[order], comp[order], n[order], last[order], keys[order]
+    order = shared_entries(comp, row, keys)
+    row, keys, place = row[order], keys[order], place[order]
     m = len(keys)
     if m < 2:
         return
+    reach = common + (3 * n + 3) // 4 - 1
     run_new = np.concatenate([[True], keys[1:] != keys[:-1]])
-    comp_new = run_new | np.concatenate([[True], comp[1:] != comp[:-1]])
-    run_at = np.flatnonzero(run_new)
-    comp_at = np.flatnonzero(comp_new)
+    own = comp[row]
+    comp_new = run_new | np.concatenate([[True], own[1:] != own[:-1]])
+    run_at, comp_at = np.flatnonzero(run_new), np.flatnonzero(comp_new)
     run_end = np.append(run_at[1:], m)[np.cumsum(run_new) - 1]
     comp_end = np.append(comp_at[1:], m)[np.cumsum(comp_new) - 1]
     width = run_end - comp_end                    # later entries of the n-gram, other component
     entry = np.flatnonzero(width)
     ends = np.cumsum(width[entry])
+    size = n[row]
+    pairs, counts, held = [], [], 0
+
+    def flush():
+        pair, inverse = np.unique(np.concatenate(pairs), return_inverse=True)
+        shared = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+        a, b = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        return doc[a], doc[b], n[a], n[b], shared
+
     at = 0
     while at < len(entry):
         base = int(ends[at - 1]) if at else 0
@@ -207,34 +250,64 @@ def block_product(doc, comp, n, last, keys):
         e = entry[at:stop]
         w = width[e]
         at = stop
-        left_all = np.repeat(e, w)
-        right_all = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(comp_end[e], w)
-        fits = 4 * np.minimum(n[left_all], n[right_all]) >= 3 * np.maximum(n[left_all], n[right_all])
-        left, right = left_all[fits], right_all[fits]
+        left = np.repeat(e, w)
+        right = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(comp_end[e], w)
+        nl, nr = size[left], size[right]
+        room = np.minimum(nl - place[left], nr - place[right])      # n-grams left from here on
+        needed, early = bounds(nl, nr)
+        fits = ((4 * np.minimum(nl, nr) >= 3 * np.maximum(nl, nr)) & (room > needed - early)
+                & (np.minimum(reach[row[left]], reach[row[right]]) >= needed))
+        left, right = row[left[fits]], row[right[fits]]
         if not len(left):
             continue
         swap = doc[left] > doc[right]
-        left, right = np.where(swap, right, left), np.where(swap, left, right)
-        o = np.lexsort((doc[right], doc[left]))
-        left, right = left[o], right[o]
-        new = np.concatenate([[True], (doc[left][1:] != doc[left][:-1]) | (doc[right][1:] != doc[right][:-1])])
-        first = np.flatnonzero(new)
-        shared = np.diff(np.append(first, len(left)))
-        le, ri = left[first], right[first]
-        yield doc[le], doc[ri], n[le], n[ri], last[le], last[ri], shared
+        low, high = np.where(swap, right, left).astype(np.uint64), np.where(swap, left, right).astype(np.uint64)
+        pair, count = np.unique(low << np.uint64(32) | high, return_counts=True)
+        pairs.append(pair)
+        counts.append(count)
+        held += len(pair)
+        if held >= HELD_PAIRS:
+            yield flush()
+            pairs, counts, held = [], [], 0
+    if pairs:
+        yield flush()
+
+
+def _entries_of(batches, names):
+    """Columns of the block's documents, then row number, key and place of each entry."""
+    cols, keys, places, sizes = [[] for _ in names], [], [], []
+    for b in batches:
+        for c, name in zip(cols, names, strict=True):
+            c.append(b.column(name).to_numpy())
+        keys.append(np.frombuffer(b"".join(x.as_py() for x in b.column("keys")), np.uint64))
+        places.append(np.frombuffer(b"".join(x.as_py() for x in b.column("places")), np.uint16))
+        sizes.append(K.byte_lengths(b.column("keys")) // 8)
+    row = np.repeat(np.arange(sum(map(len, sizes)), dtype=np.int32), np.concatenate(sizes))
+    return [*(np.concatenate(c) for c in cols), row, np.concatenate(keys), np.concatenate(places)]
+
+
+def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The block's entries without the n-grams that only one component has."""
+    doc, comp, n, row, keys, places = _entries_of(batches, ("doc_id", "comp", "n"))
+    kept = np.sort(shared_entries(comp, row, keys))
+    if not len(kept):
+        return
+    row, keys, places = row[kept], keys[kept], places[kept]
+    edges = [0, *(np.flatnonzero(np.diff(row)) + 1).tolist(), len(row)]
+    for at in range(0, len(edges) - 1, 20_000):
+        spans = list(zip(edges[at:at + 20_000], edges[at + 1:at + 20_001], strict=False))
+        own = row[[lo for lo, _ in spans]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()] * len(spans), pa.int64()), pa.array(doc[own]), pa.array(comp[own]), pa.array(n[own]),
+             pa.array([keys[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
+             pa.array([places[lo:hi].tobytes() for lo, hi in spans], pa.binary())],
+            names=["block", "doc_id", "comp", "n", "keys", "places"])
 
 
 def _product(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cols = [[], [], [], [], []]
-    for b in batches:
-        blobs = b.column("keys")
-        size = K.byte_lengths(blobs) // 8
-        for c, name in zip(cols, ("doc_id", "comp", "n", "last"), strict=False):
-            c.append(np.repeat(b.column(name).to_numpy(), size))
-        cols[4].append(np.frombuffer(b"".join(x.as_py() for x in blobs), np.uint64))
-    for out in block_product(*(np.concatenate(c) for c in cols)):
+    for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "common"))):
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out],
-                                         names=["a", "b", "na", "nb", "la", "lb", "shared"])
+                                         names=["a", "b", "na", "nb", "shared"])
 
 
 # -- exact verification -------------------------------------------------------------
@@ -306,16 +379,12 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     label = reps.select("rep").distinct().join(first, F.col("rep") == F.col("id"), "left").select(
         F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("comp"))
     prefix = texts.where("doc_id is not null").mapInArrow(_prefixes(levels), _PREFIX).where("n > 0").join(label, "doc_id")
-    entries = prefix.select("doc_id", "comp", "n", "last", "prefix").mapInArrow(
-        _to_blocks(blocks), "block long, doc_id long, comp long, n long, last long, keys binary")
-    # a link needs ceil(3(na+nb)/7) shared; the part behind the prefix that ends first adds at most n - prefix
-    need = F.ceil(F.expr("3 * (na + nb) / 7"))
-    rest = F.when(F.col("la") <= F.col("lb"), F.expr("(3 * na + 3) div 4 - 1")).otherwise(
-        F.expr("(3 * nb + 3) div 4 - 1"))
-    counted = (entries.groupBy("block").applyInArrow(_product, _PAIRS)
-               .groupBy("a", "b", "na", "nb", "la", "lb").agg(F.sum("shared").alias("shared"))
-               .where(F.col("shared") >= need - rest))
-    cross = materialise(counted.select("a", "b").where("a <> b").distinct(), "jaccard-cross")
+    entries = prefix.select("doc_id", "comp", "n", "prefix").mapInArrow(_to_blocks(blocks), _ENTRIES)
+    entries = materialise(entries.groupBy("block").applyInArrow(_reduce, _ENTRIES), "jaccard-entries")
+    common = entries.groupBy("doc_id").agg(F.sum(F.octet_length("keys") / 8).cast("long").alias("common"))
+    counted = (entries.join(common, "doc_id").groupBy("block").applyInArrow(_product, _PAIRS)
+               .groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(f"a <> b and shared >= {EARLY_SQL}"))
+    cross = materialise(counted.select("a", "b").distinct(), "jaccard-cross")
     more = verify_pairs(cross, texts)
     # links are few beside the documents; copies hang on their representative
     all_links = first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b"))
@@ -325,3 +394,14 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     member = rows.select("doc_id", "n", "fp1", "fp2").join(classes, ["fp1", "fp2", "n"], "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return member.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Documents without words, and rows with a null id, are in no group and stay.  Of
+    rows that repeat an id all stay or all go.
+    """
+    groups = jaccard_groups(docs.select("doc_id", "text"))
+    gone = materialise(groups.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
+    return without(docs, gone)

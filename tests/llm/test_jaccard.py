@@ -61,14 +61,49 @@ def test_empty_table_repeated_rows_and_extra_columns(spark):
     assert out == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
 
 
+def test_large_groups_around_the_threshold(spark):
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(i % 9):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    for i in range(160, 240):
+        rows.append((i, " ".join([f"y{i}_{k}" for k in range(i % 23)] + passage)))
+    assert result(spark, rows) == brute.jaccard_components(rows)
+
+
+def test_bounds_hold_for_every_linked_pair():
+    rnd = random.Random(2)
+    for _ in range(3000):
+        n = rnd.randint(1, 120)
+        extra_a, extra_b = rnd.randint(0, n // 3 + 1), rnd.randint(0, n // 3 + 1)
+        both = set(rnd.sample(range(1000), n))
+        a = both | {1000 + rnd.randrange(10 ** 6) * 2 for _ in range(extra_a)}
+        b = both | {1001 + rnd.randrange(10 ** 6) * 2 for _ in range(extra_b)}
+        order = {x: rnd.random() for x in a | b}
+        if 4 * len(a & b) < 3 * len(a | b):
+            continue
+        needed, early = (int(x) for x in J.bounds(len(a), len(b)))
+        at = [{x: k for k, x in enumerate(sorted(s, key=order.get))} for s in (a, b)]
+        prefix = [J._prefix_len(len(s)) for s in (a, b)]
+        count = sum(all(len(s) - p[x] > needed - early and p[x] < q for s, p, q in zip((a, b), at, prefix))
+                    for x in a & b)
+        assert len(a & b) >= needed and early >= 1 and count >= early
+
+
 def test_block_product_needs_no_same_component_pairs():
     import numpy as np
-    keys = np.array([1, 1, 1, 1, 2, 2], np.uint64)
-    doc = np.array([1, 2, 3, 4, 1, 4])
-    comp = np.array([1, 1, 1, 4, 1, 4])
-    n = np.array([10, 10, 5, 10, 10, 10])
+    keys = np.array([1, 1, 1, 1, 2, 2, 3, 3], np.uint64)
+    row = np.array([0, 1, 2, 3, 0, 3, 0, 1])
+    doc, comp, n = np.array([1, 2, 3, 4]), np.array([1, 1, 1, 4]), np.array([10, 10, 5, 10])
     got = {}
-    for out in J.block_product(doc, comp, n, n, keys):
+    for out in J.block_product(doc, comp, n, n, row, keys, np.zeros(8, np.uint16)):
         for a, b, *_, s in zip(*out, strict=True):
             got[int(a), int(b)] = got.get((int(a), int(b)), 0) + int(s)
     assert got == {(1, 4): 2, (2, 4): 1}
+    assert not list(J.block_product(doc, comp, n, n, row, keys, np.full(8, 5, np.uint16)))
+    assert not list(J.block_product(doc, comp, n, 0 * n, row, keys, np.zeros(8, np.uint16)))
