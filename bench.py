@@ -18,7 +18,7 @@ HEADLINE = [
     "house_gd_eval",       # scan ⋈, hash split, moments, batch GD, scoring, metrics (flagship)
     "gd_compare",          # batch + stochastic + mini-batch GD with draw tables
     "ridge_sweep",         # daily aggregation, exact 3-way split, λ grid from two moment sets
-    "logit_gd",            # 100-iteration logistic GD (one pass per iteration)
+    "logit_gd",            # 2000-iteration logistic GD (one pass per iteration)
     "ova_fit",             # one-vs-all Newton, 10 classes × 5 λ in one kernel pass per step
     "learning_curve",      # 5 stratified subsets × 10 classes
     "correlation_matrix",
@@ -55,7 +55,7 @@ def main():
     spark.range(1000).mapInPandas(lambda it: it, "id long").count()
     times, failed = {}, {}
     for n in names:
-        catalog._MEMO.clear()
+        catalog.forget()
         spark.catalog.clearCache()
         t0 = time.time()
         try:

@@ -38,9 +38,11 @@ def prediction_range(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def qq_points(df: DataFrame, value: str, id_cols: Sequence[str]) -> DataFrame:
     """ordered values against normal quantiles of Filliben's order-statistic
-    medians: m_n = .5^(1/n), m_1 = 1 − m_n, m_i = (i − .3175)/(n + .365)."""
+    medians: m_n = .5^(1/n), m_1 = 1 − m_n, m_i = (i − .3175)/(n + .365).  Null values
+    have no rank and are left out."""
+    df = df.select(*id_cols, value).where(F.col(value).isNotNull())
     n = df.count()
-    ranked = global_rank(df.select(*id_cols, value), [value, *id_cols], rank_col="i")
+    ranked = global_rank(df, [value, *id_cols], rank_col="i")
     last = 0.5 ** (1.0 / n) if n else 0.0
     m = (F.when(F.col("i") == n, F.lit(last))
           .when(F.col("i") == 1, F.lit(1.0 - last))
@@ -57,21 +59,22 @@ def qq_line(points: DataFrame) -> DataFrame:
 
 
 def confusion(df: DataFrame, label: str, pred: str, classes: Sequence[int] | None = None) -> DataFrame:
-    """long confusion table (label, prediction, n) over the union of observed
-    classes, zeros included.  Zeros come from a pivot with explicit values and an
-    unpivot — K² cells, no cross join."""
-    if classes is None:
-        classes = sorted(r[0] for r in df.select(F.col(label).alias("c")).union(df.select(F.col(pred).alias("c")))
-                         .distinct().collect())
-    wide = (df.groupBy(label).pivot(pred, list(classes)).count().na.fill(0))
-    wide = wide.select(F.col(label), *[F.col(str(c)).cast("long").alias(f"p{c}") for c in classes])
-    # labels that never occur as truth still need a row of zeros
-    all_labels = df.sparkSession.createDataFrame([(int(c),) for c in classes], [label])
-    wide = all_labels.join(wide, on=label, how="left").na.fill(0)
-    stack = ", ".join(f"{int(c)}, p{c}" for c in classes)
-    long = wide.select(F.col(label).cast("int").alias("label"),
-                       F.expr(f"stack({len(classes)}, {stack}) as (prediction, n)"))
-    return long.select("label", F.col("prediction").cast("int"), F.col("n").cast("long"))
+    """long confusion table (label, prediction, n), zeros included, over ``classes``
+    (default: none beforehand) and every value that occurs; the cells add up to the
+    rows.  Nulls are counted in cells with a null label or prediction.
+
+    One aggregate by (label, prediction); the zeros come from the K² pairs of the
+    K class values (a result-sized table)."""
+    got = (df.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("prediction"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    spark = df.sparkSession
+    given = spark.createDataFrame([(int(c),) for c in classes or ()], "c int")
+    seen = given.unionByName(got.select(F.explode(F.array("label", "prediction")).alias("c"))).where("c is not null").distinct()
+    # all class values in one row, taken twice: K² cells
+    values = seen.agg(F.sort_array(F.collect_set("c")).alias("v"))
+    cells = values.select(F.explode("v").alias("label"), "v").select("label", F.explode("v").alias("prediction"))
+    zero = cells.withColumn("n", F.lit(0).cast("long"))
+    return zero.unionByName(got).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
 def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -131,7 +134,9 @@ def _score(score: str, bins: int | None):
 def roc_points(df: DataFrame, label: str, score: str, bins: int | None = None) -> DataFrame:
     """one point per distinct score (descending); a point is dropped when both
     second differences of the cumulative counts are 0 (first/last kept); (0,0) is
-    put in front afterwards.  Columns: point (order), fpr, tpr."""
+    put in front afterwards.  Columns: point (order), fpr, tpr; a rate whose class
+    does not occur is null.  Rows without a score or label are left out."""
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     g = df.groupBy(_score(score, bins).alias("s")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"),
         F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"),
@@ -141,24 +146,27 @@ def roc_points(df: DataFrame, label: str, score: str, bins: int | None = None) -
                      F.col("one_cum").cast("long").alias("k"))
     nxt = cum.select((F.col("k") - 1).alias("k"), F.col("pos").alias("pos_next"), F.col("neg").alias("neg_next"))
     tot = cum.agg(F.max("k").alias("kmax"), F.max("tps").alias("P"), F.max("fps").alias("N")).collect()[0]
-    kmax, P, N = int(tot["kmax"]), float(tot["P"]), float(tot["N"])
+    kmax, P, N = int(tot["kmax"] or 0), float(tot["P"] or 0), float(tot["N"] or 0)
     j = cum.join(nxt, on="k", how="left")
     keep = ((F.col("k") == 1) | (F.col("k") == F.lit(kmax)) |
             (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg")))
-    pts = j.where(keep).select("k", (F.col("fps") / F.lit(N)).alias("fpr"), (F.col("tps") / F.lit(P)).alias("tpr"))
+    pts = j.where(keep).select("k", F.try_divide(F.col("fps"), F.lit(N)).alias("fpr"),
+                               F.try_divide(F.col("tps"), F.lit(P)).alias("tpr"))
     origin = pts.sparkSession.createDataFrame([(0, 0.0, 0.0)], "k long, fpr double, tpr double")
     return origin.unionByName(pts).withColumnRenamed("k", "point")
 
 
 def auc(df: DataFrame, label: str, score: str, bins: int | None = None) -> DataFrame:
     """trapezoid area under the ROC, from per-distinct-score counts and their
-    prefix sums: Σ neg_i·(2·tps_i − pos_i) / (2·P·N)."""
+    prefix sums: Σ neg_i·(2·tps_i − pos_i) / (2·P·N); null if a class does not occur.
+    Rows without a score or label are left out."""
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     g = df.groupBy(_score(score, bins).alias("s")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"),
         F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"))
     cum = prefix_sums(g, [F.col("s").desc()], ["pos", "neg"])
-    return cum.agg((F.sum(F.col("neg") * (2 * F.col("pos_cum") - F.col("pos"))) /
-                    (2 * F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return cum.agg(F.try_divide(F.sum(F.col("neg") * (2 * F.col("pos_cum") - F.col("pos"))),
+                                2 * F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 def misclassified_sample(df: DataFrame, label: str, pred: str, id_cols: Sequence[str], k: int = 10,

@@ -129,7 +129,8 @@ def numpy_blocks(df: DataFrame, build) -> RDD:
 
 def tree_sum(blocks: RDD, width: int, partial) -> np.ndarray:
     """Σ over blocks of ``partial(block)`` (a length-``width`` array), reduced in a
-    tree on the executors; only the total reaches the driver."""
+    tree on the executors; only the total reaches the driver.  How many partitions
+    the blocks are in (see :func:`right_sized`) changes the plan, not the sum."""
     def seq(acc, blk):
         acc += partial(blk)
         return acc
@@ -141,9 +142,8 @@ def _binary_blocks(z: DataFrame, k: int) -> RDD:
     return numpy_blocks(z, lambda pdf: (pdf[cols].to_numpy(np.float64), pdf["y"].to_numpy(np.float64)))
 
 
-def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict:
-    """One pass at (w, b): m, Σ(p−y), Σ CE, Σ(p−y)z and optionally
-    Σ p(1−p)[1,z][1,z]ᵀ over all blocks."""
+def _binary_partial(k: int, w, b: float, hessian: bool = False):
+    """(width, block → sums) of one pass at (w, b)."""
     w = np.asarray(w, dtype=np.float64)
     width = 3 + k + ((k + 1) ** 2 if hessian else 0)
 
@@ -161,7 +161,13 @@ def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict
             out[3 + k:] = ((X1 * (p * (1.0 - p))[:, None]).T @ X1).ravel()
         return out
 
-    tot = tree_sum(blocks, width, partial)
+    return width, partial
+
+
+def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict:
+    """One pass at (w, b): m, Σ(p−y), Σ CE, Σ(p−y)z and optionally
+    Σ p(1−p)[1,z][1,z]ᵀ over all blocks."""
+    tot = tree_sum(blocks, *_binary_partial(k, w, b, hessian))
     m = int(tot[0])
     res = {"m": m, "g": np.concatenate([[tot[1]], tot[3:3 + k]]), "cost": float(tot[2]) / max(m, 1)}
     if hessian:
@@ -169,11 +175,26 @@ def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict
     return res
 
 
-def _gd_passes(blocks: RDD, gd: _GD) -> None:
+def _descend(gd: _GD, sums) -> _GD:
+    """All iterations; ``sums(width, partial)`` adds a partial up over the rows."""
     for it in range(gd.max_iter + 1):
-        st = binary_pass(blocks, gd.k, gd.w, gd.b)
-        if gd.step(it, st["m"], st["g"][0], st["cost"] * st["m"], st["g"][1:]):
+        tot = sums(*_binary_partial(gd.k, gd.w, gd.b))
+        if gd.step(it, int(tot[0]), tot[1], tot[2], tot[3:3 + gd.k]):
             break
+    return gd
+
+
+def _gd_passes(blocks: RDD, gd: _GD) -> _GD:
+    """The descent: a job for each pass; where the rows are one partition anyway (see
+    :func:`right_sized`: at most ``ITER_PARTITION_BYTES``), the same passes in one task
+    of one job.  The sums, and so the result, are the same."""
+    if blocks.getNumPartitions() > 1:
+        return _descend(gd, lambda width, partial: tree_sum(blocks, width, partial))
+
+    def alone(part):
+        rows = list(part)
+        yield _descend(gd, lambda width, partial: sum((partial(blk) for blk in rows), np.zeros(width)))
+    return blocks.mapPartitions(alone).collect()[0]
 
 
 def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: float = 0.1,
@@ -191,7 +212,7 @@ def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: f
     gd = _GD(k, lr, max_iter, tol, record_every, l2)
     blocks = _binary_blocks(right_sized(standardized(train, features, label, mean, scale), m, 8 * (k + 1)), k)
     try:
-        _gd_passes(blocks, gd)
+        gd = _gd_passes(blocks, gd)
     finally:
         blocks.unpersist()
     return LogisticModel(features, gd.w, gd.b, mean, scale, gd.hist, gd.it, gd.converged, "gd")
@@ -229,6 +250,11 @@ def fit_logistic_newton(train: DataFrame, features: Sequence[str], label: str, l
             step = np.linalg.lstsq(H + 1e-12 * np.eye(k + 1), g, rcond=None)[0]
             prev_cost, prev_theta = cost, theta
             theta = theta - step
+        if not converged and prev_theta is not None:
+            # the last step's loss is not known yet: keep it only if it did not raise the loss
+            st = binary_pass(blocks, k, theta[1:], theta[0])
+            if st["cost"] + l2 / (2 * st["m"]) * float(theta[1:] @ theta[1:]) > prev_cost:
+                theta = prev_theta
     finally:
         blocks.unpersist()
     return LogisticModel(features, theta[1:], float(theta[0]), mean, scale, hist, it + 1, converged, "newton")
@@ -340,6 +366,7 @@ class OvaFit:
     cost: np.ndarray           # (S, L, K)
     iterations: int
     converged: np.ndarray      # (S, L, K)
+    separated: np.ndarray      # (S, L, K): the loss fell below ``separable_cost``, no finite minimiser
     history: list = field(default_factory=list)
 
 
@@ -356,8 +383,10 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
     all models advanced together, one pass per iteration.
 
     ``solver='newton'``: damped Newton (per-model step halving when J rises; a model
-    stops when |ΔJ| < tol, or when J < ``separable_cost``: its classes are separated
-    and the unpenalised loss has no finite minimiser);
+    stops as ``converged`` when |ΔJ| < tol, or as ``separated`` when J <
+    ``separable_cost``: its classes are apart and the unpenalised loss has no finite
+    minimiser; a model still open at ``max_iter`` is neither, and a last step that
+    raised J is taken back);
     ``solver='gd'``: plain gradient descent with rate ``lr`` for ``max_iter`` steps.
     ``member_col``: array<boolean> of subset membership (B13 learning-curve prefixes);
     each subset gets its own scaler."""
@@ -383,6 +412,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
         prev_theta = theta.copy()
         step = np.zeros_like(theta)
         done = np.zeros(M, dtype=bool)
+        apart = np.zeros(M, dtype=bool)
         hist = []
         it = 0
         cost = np.zeros(M)
@@ -392,6 +422,9 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
             cost = st["ce"] / m + lam / (2 * m) * np.sum(theta[:, 1:] ** 2, axis=1)
             hist.append((it, cost.copy()))
             if it == max_iter:
+                worse = cost > prev_cost + 1e-15 if solver == "newton" else np.zeros(M, dtype=bool)
+                theta = np.where(worse[:, None], prev_theta, theta)
+                cost = np.where(worse, prev_cost, cost)
                 break
             g = st["g"] / m[:, None] + (lam / m)[:, None] * theta * D
             if solver == "gd":
@@ -409,7 +442,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
                         done[j] = True
                     continue
                 if abs(prev_cost[j] - cost[j]) < tol or cost[j] < separable_cost:
-                    done[j] = True  # converged, or separated: the loss has no finite minimiser
+                    done[j], apart[j] = True, abs(prev_cost[j] - cost[j]) >= tol
                     continue
                 H = st["H"][j] / m[j] + np.diag(lam[j] / m[j] * D)
                 step[j] = np.linalg.lstsq(H + 1e-12 * np.eye(n + 1), g[j], rcond=None)[0]
@@ -420,7 +453,7 @@ def fit_one_vs_all(data: DataFrame, vec_col: str, label_col: str, classes: Seque
                 break
         shape = (S, L, K)
         return OvaFit(classes, [float(x) for x in lambdas], S, theta.reshape(S, L, K, n + 1), scaler,
-                      cost.reshape(shape), it, done.reshape(shape), hist)
+                      cost.reshape(shape), it, (done & ~apart).reshape(shape), apart.reshape(shape), hist)
     finally:
         blocks.unpersist()
         data.unpersist()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -66,15 +67,20 @@ def _from_row(cols, row, prefix="") -> Moments:
     return Moments(list(cols), n, mean, cov)
 
 
+def complete_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with a number in every one of ``cols``: all moments are then of the same rows."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).cast("double").isNotNull() for c in cols]))
+
+
 def moments(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """Count, means and population covariance of ``cols`` (rows with nulls skipped pairwise)."""
-    row = df.agg(*_agg_exprs(cols)).collect()[0]
+    """Count, means and population covariance of ``cols`` over the rows that are complete in them."""
+    row = complete_rows(df, cols).agg(*_agg_exprs(cols)).collect()[0]
     return _from_row(list(cols), row)
 
 
 def moments_by_split(df: DataFrame, cols: Sequence[str], split_col: str,
                      splits: Sequence[str]) -> dict[str, Moments]:
-    """Moments of several splits of one tagged table in a single pass."""
+    """Moments of several splits of one tagged table in a single pass (complete rows)."""
     cols = list(cols)
     names = ["_n"] + [f"_m{i}" for i in range(len(cols))] + \
             [f"_c{i}_{j}" for i in range(len(cols)) for j in range(i, len(cols))]
@@ -82,5 +88,5 @@ def moments_by_split(df: DataFrame, cols: Sequence[str], split_col: str,
     for s in splits:
         exprs = _agg_exprs(cols, F.col(split_col) == F.lit(s))
         named += [e.alias(f"{s}{nm}") for e, nm in zip(exprs, names)]
-    row = df.agg(*named).collect()[0]
+    row = complete_rows(df, cols).agg(*named).collect()[0]
     return {s: _from_row(cols, row, prefix=s) for s in splits}

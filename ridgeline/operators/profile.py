@@ -3,6 +3,7 @@ map-side partial aggregation; only group-sized results leave the executors."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,8 +138,9 @@ def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Quartiles, whiskers (extreme points within 1.5·IQR) and outlier count per
     group: exact grouped quartiles through the distributed rank (a hot group is
     spread over many tasks), a join of the per-group limits (one row per group)
-    back to the rows, and one more aggregate."""
+    back to the rows, and one more aggregate.  Null values are left out."""
     x = F.col(col).cast("double")
+    df = df.where(x.isNotNull())
     ql = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_by=[group])
     q = ql.groupBy(group).agg(*[F.max(F.when(F.col("q") == v, F.col("value"))).alias(n)
                                 for v, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
@@ -154,6 +156,15 @@ def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     return q.join(w, on=group, how="inner")
 
 
+def box_outliers(df: DataFrame, group: str, col: str) -> DataFrame:
+    """The rows outside their group's fences (1.5·IQR beyond the quartiles)."""
+    x = F.col(col).cast("double")
+    lim = box_stats(df, group, col).select(F.col(group).alias("_group"), (F.col("q1") - 1.5 * F.col("iqr")).alias("_lo"),
+                                           (F.col("q3") + 1.5 * F.col("iqr")).alias("_hi"))
+    far = (x < F.col("_lo")) | (x > F.col("_hi"))
+    return df.join(lim, F.col(group) == F.col("_group")).where(far).select(*df.columns)
+
+
 def first_groups(df: DataFrame, group: str, k: int = 10) -> DataFrame:
     """The k smallest distinct group values (TakeOrdered after a distinct)."""
     return df.select(group).distinct().orderBy(group).limit(k)
@@ -169,30 +180,55 @@ def mean_sd(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
-def kde_by_class(df: DataFrame, col: str, label: str | None, grid: int = 200, fine_bins: int = 2048) -> DataFrame:
-    """Gaussian kernel density per class on a common grid over [min, max]
-    (``label=None``: one overall curve, label 'all').
+def kde_by_class(df: DataFrame, col: str, label: str | None, grid: int = 200) -> DataFrame:
+    """Gaussian kernel density of each class (``label=None``: one overall curve,
+    label 'all') on ``grid`` points from three bandwidths below its smallest value to
+    three above its largest.
 
-    Rows are pre-binned into ``fine_bins`` equal bins per class (one groupBy, map-
-    side combine), each class's bin counts become one bounded array (≤ fine_bins
-    entries), and the density at each grid point is an array aggregate over the
-    bins.  Bandwidth: Scott sd·n^(−1/5) per class; curves scaled by the class
-    share.  Work after the groupBy is classes × bins × grid, independent of rows."""
+    Bandwidth: Scott, sd·n^(−1/5), per class; curves are scaled by the class share.
+    Rows are counted in bins of an eighth of their class's bandwidth (one groupBy,
+    map-side combine), and a grid point takes the bins within nine bandwidths: the
+    binning error does not grow with the rows.  The bins are as many as the class
+    has values apart, at most range / (h/8).  Work after the groupBy is bins × grid
+    points in reach, independent of the number of rows.  A class with fewer than two
+    rows, or without spread, has no density and gives no curve; nulls are left out.
+    """
     x = F.col(col).cast("double")
-    lo, hi, m = df.agg(F.min(x), F.max(x), F.count(x)).collect()[0]
-    lo_c, hi_c = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     lab = F.col(label) if label else F.lit("all")
     b = df.select(lab.alias("label"), x.alias("x")).where(F.col("x").isNotNull())
-    per = b.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
-    bins = (b.groupBy("label", bin_expr(F.col("x"), lo_c, hi_c, fine_bins).alias("bin"))
-             .agg(F.count(F.lit(1)).alias("c")))
-    arr = bins.groupBy("label").agg(F.collect_list(F.struct("bin", "c")).alias("cells"))
-    t = per.join(arr, on="label", how="inner")
-    bw = (hi_c - lo_c) / F.lit(float(fine_bins))
-    t = t.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    g = t.select("label", "n", "h", "cells", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
-    g = g.withColumn("x", lo_c + (hi_c - lo_c) * F.col("g") / F.lit(float(grid - 1)))
-    kern = F.aggregate("cells", F.lit(0.0), lambda acc, cell: acc + cell["c"] * F.exp(
-        F.lit(-0.5) * F.pow((F.col("x") - (lo_c + (cell["bin"] - F.lit(0.5)) * bw)) / F.col("h"), 2)))
-    dens = kern / (F.col("n") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5)) * F.col("n") / F.lit(float(m))
-    return g.select("label", "g", "x", dens.alias("density"))
+    per = b.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                                 F.min("x").alias("lo"), F.max("x").alias("hi"))
+    per = per.withColumn("m", F.sum("n").over(Window.partitionBy()))       # one row a class
+    per = per.where(F.col("sd") > 0).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    width = F.col("h") / 8
+    bins = (b.join(per.select("label", "lo", "h"), "label").select("label", F.floor((F.col("x") - F.col("lo")) / width).alias("bin"))
+            .groupBy("label", "bin").agg(F.count(F.lit(1)).alias("c")))
+    t = bins.join(per, "label")
+    centre = F.col("lo") + (F.col("bin") + 0.5) * width
+    start, end = F.col("lo") - 3 * F.col("h"), F.col("hi") + 3 * F.col("h")
+    step = (end - start) / F.lit(float(grid - 1))
+    first = F.greatest(F.lit(0), F.ceil((centre - 9 * F.col("h") - start) / step).cast("int"))
+    last = F.least(F.lit(grid - 1), F.floor((centre + 9 * F.col("h") - start) / step).cast("int"))
+    near = t.where(first <= last).select("label", "c", centre.alias("centre"), "h", start.alias("start"), step.alias("step"),
+                                         F.explode(F.sequence(first, last)).alias("g"))
+    u = (F.col("start") + F.col("g") * F.col("step") - F.col("centre")) / F.col("h")
+    sums = near.groupBy("label", "g").agg(F.sum(F.col("c") * F.exp(-0.5 * u * u)).alias("s"))
+    # every class has all its grid points, also those that no bin reaches
+    points = per.select("label", "n", "m", "h", start.alias("start"), step.alias("step"),
+                        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+    share = F.coalesce("s", F.lit(0.0)) / (F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5)) / F.col("m")
+    return points.join(sums, ["label", "g"], "left").select(
+        "label", "g", (F.col("start") + F.col("g") * F.col("step")).alias("x"), share.alias("density"))
+
+
+def auto_bins(df: DataFrame, col: str) -> int:
+    """Number of equal bins by the larger of Sturges' and Freedman-Diaconis' rule
+    (at least 1); the quartiles are exact."""
+    x = F.col(col).cast("double")
+    n, lo, hi = df.agg(F.count(x), F.min(x), F.max(x)).first()
+    if not n or lo == hi:
+        return 1
+    q = {r.q: r.value for r in exact_quantiles(df.where(x.isNotNull()), col, [0.25, 0.75]).collect()}
+    sturges = (hi - lo) / (math.log2(n) + 1)
+    fd = 2 * (q[0.75] - q[0.25]) / n ** (1 / 3)
+    return max(1, math.ceil((hi - lo) / (min(sturges, fd) if fd > 0 else sturges)))

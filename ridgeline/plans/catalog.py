@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,10 +58,32 @@ def sig(c, d: int = 6) -> Column:
 _MEMO: dict = {}
 
 
+def _files(spark, folder: str) -> tuple:
+    """Name, size and time of every entry of the input folder, by Spark's own file system layer."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+
+
 def memo(spark, key: tuple, build: Callable):
-    """Coefficient-sized fit results shared by the queries of one session (a fit is
-    run once per session and input folder, not once per query)."""
+    """A fit shared by the queries of one session: ``key`` is (name, input folder).
+
+    It is built anew when the folder's files change; what an outdated fit had cached
+    is released.
+    """
     k = (spark.sparkContext.applicationId,) + tuple(key)
+    files = _files(spark, key[1])
+    if k in _MEMO and _MEMO[k][0] != files:
+        forget(k)
     if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+        _MEMO[k] = (files, build())
+    return _MEMO[k][1]
+
+
+def forget(k=None) -> None:
+    """Drops one shared fit (default: all) and the tables it cached."""
+    for name in [k] if k is not None else list(_MEMO):
+        built = _MEMO.pop(name)[1]
+        for part in built if isinstance(built, tuple) else (built,):
+            if isinstance(part, DataFrame):
+                part.unpersist()

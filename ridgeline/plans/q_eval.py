@@ -284,7 +284,7 @@ def auc(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- multi-class by one-vs-all GD
-OVA_GD_LR, OVA_GD_ITERS = 1.0, 10
+OVA_GD_LR, OVA_GD_ITERS = 1.0, 100
 
 
 def ova_gd_fit(spark, sf_dir):
@@ -345,7 +345,7 @@ def _ova_cm(spark, sf_dir):
     _ova_gd_sql() + " SELECT k::INTEGER AS class, " + sqlgen.rnd("cost", 9) + " AS cost, "
     + sqlgen.rnd("list_sum(th)", 6) + " AS theta_sum FROM gd WHERE it = " + str(OVA_GD_ITERS)))
 def ova_gd(spark, sf_dir):
-    """Ten one-vs-all L2 logistic models (λ=.1) advanced together by 10 gradient
+    """Ten one-vs-all L2 logistic models (λ=.1) advanced together by 100 gradient
     steps (one block-kernel pass each): L2 cost before the last step and final Σθ
     per class."""
     _, fit = ova_gd_fit(spark, sf_dir)

@@ -14,9 +14,9 @@ from .catalog import memo, query, rnd
 from .tasks import DOC_FEATURES, DOC_ID, DOC_TARGET, PATIENT_SQL, VEC_ID, digit_like, patient_like
 
 SEED, TEST_FRAC = 42, 0.2
-# Logistic GD: the reference's rate .5; 100 iterations (each one Spark pass),
-# loss recorded every 10.
-LOGIT_LR, LOGIT_ITERS, LOGIT_REC = 0.5, 100, 10
+# Rate and number of iterations of the logistic descent (each one Spark
+# pass), loss recorded every 100.
+LOGIT_LR, LOGIT_ITERS, LOGIT_REC = 0.5, 2000, 100
 _K = len(DOC_FEATURES)
 
 
@@ -72,7 +72,7 @@ def logit_gd(spark, sf_dir):
     _logit_ctes() + " SELECT (it - 2)::INTEGER AS iteration, " + sqlgen.rnd("cost", 9)
     + f" AS cost FROM gd WHERE it >= 2 AND (it - 2) % {LOGIT_REC} = 0"))
 def logit_cost(spark, sf_dir):
-    """Cross-entropy (ε=1e-15) on the training split after every 10th update."""
+    """Cross-entropy (ε=1e-15) on the training split after every 100th update."""
     _, m = logit_fit(spark, sf_dir)
     return spark.createDataFrame([(int(i), float(c)) for i, c in m.history], "iteration int, cost double") \
                 .select("iteration", rnd("cost", 9).alias("cost"))
@@ -128,6 +128,7 @@ def logit_vs_mllib(spark, sf_dir):
 # ---------------------------------------------------------------- one-vs-all on embeddings
 CLASSES = list(range(10))
 OVA_LAMBDA = 0.1
+OVA_MAX_ITER = 100
 OVA_LAMBDAS = (0.0, 0.01, 0.1, 1.0, 10.0)
 FRACTIONS = (0.1, 0.3, 0.5, 0.7, 0.9)
 
@@ -141,7 +142,7 @@ def ova_models(spark, sf_dir):
     def build():
         tagged = digit_split(spark, sf_dir).persist()
         train = tagged.where(F.col("split") == "train")
-        fit = logistic.fit_one_vs_all(train, "embedding", "label", CLASSES, OVA_LAMBDAS, max_iter=30)
+        fit = logistic.fit_one_vs_all(train, "embedding", "label", CLASSES, OVA_LAMBDAS, max_iter=OVA_MAX_ITER)
         return tagged, fit
     return memo(spark, ("ova", sf_dir), build)
 
@@ -155,7 +156,7 @@ def _scored(df, fit, li):
 @query("ova_fit", ops=("B9", "D16", "D17", "D18"))
 def ova_fit(spark, sf_dir):
     """One-vs-all L2 logistic (λ=.1) by damped Newton: per class the final cost,
-    ‖θ‖ and whether the step rule converged."""
+    ‖θ‖ and whether the step rule converged (false also where the class is separated)."""
     _, fit = ova_models(spark, sf_dir)
     li = OVA_LAMBDAS.index(OVA_LAMBDA)
     rows = [(c, float(fit.cost[0, li, k]), float(np.linalg.norm(fit.theta[0, li, k])), bool(fit.converged[0, li, k]))
@@ -197,7 +198,7 @@ def learning_curve(spark, sf_dir):
         member = F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(FRACTIONS))])
         sub = sub.withColumn("member", member).persist()
         fit = logistic.fit_one_vs_all(sub, "embedding", "label", CLASSES, [OVA_LAMBDA], member_col="member",
-                                      n_subsets=len(FRACTIONS), max_iter=30)
+                                      n_subsets=len(FRACTIONS), max_iter=OVA_MAX_ITER)
         return sub, fit
     sub, fit = memo(spark, ("curve", sf_dir), build)
     out = None

@@ -25,28 +25,58 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def clean_comment_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """A1 line rules: trim; drop blank and ``#`` lines; cut inline text after the
-    first ``#`` (even inside quotes) and trim again."""
-    t = F.trim(F.col(col))
-    return (lines.select(t.alias("line"))
+    """A1 line rules: strip white space of any kind; drop blank and ``#`` lines; cut
+    inline text after the first ``#`` (even inside quotes) and strip again."""
+    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    return (lines.select(strip(F.col(col)).alias("line"))
                  .where((F.col("line") != "") & ~F.col("line").startswith("#"))
-                 .select(F.trim(F.substring_index(F.col("line"), "#", 1)).alias("line")))
+                 .select(strip(F.substring_index(F.col("line"), "#", 1)).alias("line")))
+
+
+def _cells(line: Column, n: int, sep: str) -> Column:
+    """The first ``n`` cells of a line by the CSV rules (quotes, a literal separator);
+    a short line leaves the missing ones null."""
+    schema = ", ".join(f"c{i} STRING" for i in range(n))
+    return F.from_csv(line, schema, {"sep": sep, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true",
+                                     "ignoreTrailingWhiteSpace": "true"})
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file (the first file, of a folder) that A1 keeps."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
+                                         F.monotonically_increasing_id().alias("at"))
+    strip = F.regexp_replace("value", r"^\s+|\s+$", "")
+    first = (lines.withColumn("line", strip).where((F.col("line") != "") & ~F.col("line").startswith("#"))
+             .orderBy("file_path", "file_block_start", "at").select("line").limit(1).collect())
+    return first[0][0].split("#", 1)[0].strip() if first else None
 
 
 def scan_comment_csv(spark: SparkSession, path: str, columns: Sequence[str], header: str | None = None,
                      sep: str = ",") -> DataFrame:
-    """A1 + A3: comment-tolerant CSV scan; every column coerced to double
-    (``try_cast``: a bad cell becomes null, ANSI mode never raises).  The header is
-    the line equal (ignoring blanks) to ``header`` (default: the column names
-    joined by ``sep``); it is dropped wherever it appears."""
+    """A1 + A3: comment-tolerant CSV scan; ``columns`` are selected by name and coerced
+    to double (``try_cast``: a bad cell becomes null, ANSI mode never raises).
+
+    The names come from ``header``, by default the first line that is kept (of a
+    folder: of its first file); lines equal to it but for blanks are dropped
+    wherever they stand.  Cells follow the CSV rules, ``sep`` is literal, a line
+    with too few cells gives nulls, extra cells are ignored.  A name of
+    ``columns`` that the header lacks is an error; an empty file gives no rows.
+    """
     columns = list(columns)
-    head = header if header is not None else sep.join(columns)
+    head = header if header is not None else _first_line(spark, path)
+    if head is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` double" for c in columns))
+    # as many names as the header has cells, by the same CSV rules
+    row = spark.createDataFrame([(head,)], "line string").select(_cells(F.col("line"), head.count(sep) + 1, sep).alias("c"))
+    names = [n.strip() if n is not None else "" for n in row.first()["c"]]
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {names}")
     lines = clean_comment_lines(spark.read.text(path))
     squeeze = lambda c: F.regexp_replace(c, r"\s+", "")
     data = lines.where(squeeze(F.col("line")) != squeeze(F.lit(head)))
-    parts = data.select(F.split(F.col("line"), sep).alias("parts"))
-    return parts.select(*[F.expr(f"try_cast(trim(element_at(parts, {i + 1})) AS DOUBLE)").alias(c)
-                          for i, c in enumerate(columns)])
+    parts = data.select(_cells(F.col("line"), len(names), sep).alias("c"))
+    return parts.select(*[F.expr(f"try_cast(trim(c.c{names.index(c)}) AS DOUBLE)").alias(c) for c in columns])
 
 
 def scan_header_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -90,10 +120,16 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+OTHER = "(other)"
+
+
 def matrix_wide(cells: DataFrame, row: str, col: str, value: str, col_values: Sequence) -> DataFrame:
     """Square form of a long (row, col, value) table with explicit column values
-    (a bounded pivot: no distinct pass, zeros filled)."""
-    return cells.groupBy(row).pivot(col, list(col_values)).agg(F.sum(value)).na.fill(0)
+    (a bounded pivot: no distinct pass, zeros filled).  What is in none of them, nulls
+    included, is summed in the column ``(other)``, so the total is that of the table."""
+    named = F.when(F.col(col).isin(list(col_values)), F.col(col).cast("string")).otherwise(F.lit(OTHER))
+    return (cells.withColumn(col, named).groupBy(row).pivot(col, [*map(str, col_values), OTHER]).agg(F.sum(value))
+            .na.fill(0, [*map(str, col_values), OTHER]))
 
 
 def matrix_long(wide: DataFrame, row: str, col_values: Sequence, col: str = "col", value: str = "n") -> DataFrame:
@@ -102,12 +138,11 @@ def matrix_long(wide: DataFrame, row: str, col_values: Sequence, col: str = "col
     return wide.select(row, F.expr(f"stack({len(col_values)}, {pairs}) AS ({col}, {value})"))
 
 
-def run_summary(spark: SparkSession, fields: dict) -> DataFrame:
-    """A10: one struct row describing a training run (sizes, features, weights,
-    metrics); values must be JSON-able scalars, lists or dicts."""
-    import json
-    return spark.read.json(spark.sparkContext.parallelize([json.dumps(fields)]))
+RUN_SCHEMA = ("model string, n_train long, n_test long, features array<string>, weights array<double>, bias double, "
+              "iterations int, metrics map<string,double>")
 
 
-def lit_struct(d: dict) -> Column:
-    return F.struct(*[F.lit(v).alias(k) for k, v in d.items()])
+def run_summary(spark: SparkSession, fields: dict) -> DataFrame:
+    """A10: one row describing a training run, with the declared schema
+    :data:`RUN_SCHEMA`; fields that are not given are null."""
+    return spark.createDataFrame([fields], RUN_SCHEMA)
