@@ -13,26 +13,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
-from .rank import exact_quantiles, global_rank
+from .rank import exact_quantiles
+from .split import first_in_hash_order
 
 
 def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str], rate: float = 0.02,
                    seed=42, exact: bool = True) -> DataFrame:
     """B2 (MCAR): in int(m·rate) distinct rows, one feature (never the target) set to
-    null.  Rows: first in md5(id‖seed) order (``exact``; distributed rank) or hash
-    draw < rate (scale mode, no rank).  Column: ⌊n·md5(id‖'col'‖seed)⌋."""
+    null.  Rows: first in md5(id‖seed) order (``exact``; boundary selection) or hash
+    draw < rate (scale mode, no selection).  Column: ⌊n·md5(id‖'col'‖seed)⌋."""
     features = list(features)
     u = hash_uniform(list(id_cols), seed)
     col_idx = F.floor(hash_uniform(list(id_cols) + [F.lit("col")], seed) * F.lit(len(features))).cast("int")
     if exact:
-        m = df.count()
-        k = int(m * rate)
-        marked = global_rank(df.withColumn("_u", u), ["_u", *id_cols], rank_col="_r")
-        hit = F.col("_r") <= F.lit(k)
+        (hit,) = first_in_hash_order(df, id_cols, seed, [int(df.count() * rate)])
     else:
-        marked = df
         hit = u < F.lit(rate)
-    marked = marked.withColumn("_hit", hit).withColumn("_ci", col_idx)
+    marked = df.withColumn("_hit", hit).withColumn("_ci", col_idx)
     exprs = []
     for c in df.columns:
         if c in features:
@@ -44,13 +41,13 @@ def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str
 
 
 def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str, float]:
-    """B3 statistics: median of every column (exact linear interpolation through the
-    distributed rank, or ``percentile_approx`` sketches with ``exact=False``)."""
+    """B3 statistics: median of every column (exact linear interpolation by
+    boundary selection, or ``percentile_approx`` sketches with ``exact=False``)."""
     cols = list(cols)
     if not exact:
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in cols]).collect()[0]
         return {c: float(row[c]) for c in cols if row[c] is not None}
-    # unpivot to (column, value) and rank per column: one range shuffle for all columns
+    # unpivot to (column, value): every round of the selection counts all columns in one pass
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
     long = df.select(pairs.alias("p")).select("p.column", "p.v")
     med = exact_quantiles(long, "v", [0.5], group_by=["column"]).collect()  # one row per column

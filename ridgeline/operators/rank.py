@@ -112,34 +112,122 @@ def prefix_sums(df: DataFrame, order_by: Sequence, value_cols: Sequence[str],
     return out.drop(_PID, _MID, *[c + "_off" for c in value_cols])
 
 
+# Values of a target that are few enough to be put in order in one window; bins of a round.
+IN_ORDER, SELECT_BINS = 20_000, 1024
+
+
+def order_statistics(df: DataFrame, value: str, targets: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """The values at given ranks without sorting the rows: boundary selection.
+
+    ``targets``: group columns and ``rank`` (1-based, within the group's values; nulls
+    and NaN are none).  Output: ``targets`` with ``value``, ``below`` (how many values are smaller)
+    and ``equal`` (how many are equal to it).
+
+    Each round counts the values of a target's interval in ``SELECT_BINS`` bins (one
+    aggregate with map-side combine) and goes on in the bin that holds the rank, its
+    edges being the smallest and largest value in it, until the interval has one
+    value, or few enough to be put in order.  A repeated value or a hot group is
+    only counted.  Rows outside the intervals are filtered in the scan's stage; what
+    is written or shuffled is bins × targets.
+    """
+    group_by = list(group_by)
+    rows = df.select(*group_by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    same = [F.col(f"_r.{c}").eqNullSafe(F.col(f"_i.{c}")) for c in group_by]
+    span = rows.groupBy(*group_by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    found = targets.select(*group_by, "rank").distinct().alias("_r").join(
+        span.alias("_i"), _all(same), "inner").select(*[F.col(f"_r.{c}") for c in group_by], "rank", "_lo", "_hi", "_n")
+    state = _settled(found.where((F.col("rank") >= 1) & (F.col("rank") <= F.col("_n")))
+                     .withColumn("_below", F.lit(0).cast("long")))
+    rounds = 0
+    while state.where((F.col("_n") > IN_ORDER) & (F.col("_lo") < F.col("_hi"))).limit(1).count():
+        wide = state.where((F.col("_n") > IN_ORDER) & (F.col("_lo") < F.col("_hi")))
+        # targets that still share an interval are counted once
+        cells = wide.select(*group_by, "_lo", "_hi", "_below").distinct()
+        inside = _all([*same, F.col("_v") >= F.col("_lo"), F.col("_v") <= F.col("_hi")])
+        if rounds == 0:
+            inside = _all(same)      # the first interval is the group's whole range
+        part = rows.alias("_r").join(cells.alias("_i"), inside).select(
+            *[F.col(f"_i.{c}").alias(c) for c in group_by], "_lo", "_hi", "_below", "_v")
+        width = (F.col("_hi") - F.col("_lo")) / float(SELECT_BINS)
+        endless = width == float("inf")
+        scaled = F.signum("_v") * F.log1p(F.abs("_v"))          # within 710 for any finite number
+        bin_ = (F.when(endless & (F.abs("_v") == float("inf")), F.when(F.col("_v") > 0, SELECT_BINS - 1).otherwise(0))
+                .when(endless, 1 + F.floor((scaled + 710) / 1420 * (SELECT_BINS - 2)))
+                .when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(SELECT_BINS - 1)))
+                .when(F.col("_v") > F.col("_lo"), 1).otherwise(0).cast("int"))
+        counts = (part.groupBy(*group_by, "_lo", "_hi", "_below", bin_.alias("_bin"))
+                  .agg(F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"), F.count(F.lit(1)).alias("_n2")))
+        w = Window.partitionBy(*group_by, "_lo", "_hi", "_below").orderBy("_bin")       # SELECT_BINS rows
+        counts = counts.withColumn("_upto", F.col("_below") + F.sum("_n2").over(w))
+        keys = [F.col(f"_s.{c}").eqNullSafe(F.col(f"_c.{c}")) for c in [*group_by, "_lo", "_hi", "_below"]]
+        hit = wide.alias("_s").join(counts.alias("_c"), _all([*keys, F.col("_s.rank") <= F.col("_c._upto"),
+                                                              F.col("_s.rank") > F.col("_c._upto") - F.col("_c._n2")]))
+        moved = hit.select(*[F.col(f"_s.{c}").alias(c) for c in group_by], F.col("_s.rank").alias("rank"),
+                           F.col("_c._lo2").alias("_lo"), F.col("_c._hi2").alias("_hi"), F.col("_c._n2").alias("_n"),
+                           (F.col("_c._upto") - F.col("_c._n2")).alias("_below"))
+        state = _settled(state.where(~((F.col("_n") > IN_ORDER) & (F.col("_lo") < F.col("_hi")))).unionByName(moved))
+        rounds += 1
+    one = state.where(F.col("_lo") == F.col("_hi")).select(*group_by, "rank", F.col("_lo").alias("value"),
+                                                          F.col("_below").alias("below"), F.col("_n").alias("equal"))
+    few = state.where(F.col("_lo") < F.col("_hi"))
+    inside = _all([*same, F.col("_v") >= F.col("_lo"), F.col("_v") <= F.col("_hi")])
+    cells = few.select(*group_by, "_lo", "_hi", "_below").distinct()
+    values = (rows.alias("_r").join(cells.alias("_i"), inside)
+              .groupBy(*[F.col(f"_i.{c}").alias(c) for c in group_by], "_lo", "_hi", "_below", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*group_by, "_lo", "_hi", "_below").orderBy("_v")             # at most IN_ORDER rows
+    values = values.withColumn("_upto", F.col("_below") + F.sum("_c").over(w))
+    keys = [F.col(f"_s.{c}").eqNullSafe(F.col(f"_c.{c}")) for c in [*group_by, "_lo", "_hi", "_below"]]
+    picked = few.alias("_s").join(values.alias("_c"), _all([*keys, F.col("_s.rank") <= F.col("_c._upto"),
+                                                            F.col("_s.rank") > F.col("_c._upto") - F.col("_c._c")]))
+    more = picked.select(*[F.col(f"_s.{c}").alias(c) for c in group_by], F.col("_s.rank").alias("rank"), F.col("_c._v").alias("value"),
+                         (F.col("_c._upto") - F.col("_c._c")).alias("below"), F.col("_c._c").alias("equal"))
+    return one.unionByName(more)
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
+
+
+def _settled(state: DataFrame) -> DataFrame:
+    """The intervals of a round (a row for each target) written to the checkpoint folder."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(state.sparkSession)
+    return state.checkpoint(eager=True)
+
+
+def boundary(df: DataFrame, value: str, ranks: Sequence[int]) -> dict[int, tuple[float, int, int]]:
+    """{rank: (value, how many are smaller, how many are equal)} over the whole table."""
+    wanted = sorted({int(r) for r in ranks if r >= 1})
+    if not wanted:
+        return {}
+    targets = df.sparkSession.createDataFrame([(r,) for r in wanted], "rank long")
+    return {r["rank"]: (r["value"], r["below"], r["equal"]) for r in order_statistics(df, value, targets).collect()}
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Sequence[str] = (),
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy/``percentile`` semantics) without
-    holding a group's values in one task.
-
-    Values are ranked by the distributed rank (range partitioning on group, value
-    and a row tiebreak, so even a group holding a third of all rows — or a value
-    repeated that often — spreads over many partitions).  For each group and q the
-    1-based position h = (n−1)q + 1 needs the values at ⌊h⌋ and ⌈h⌉; that
-    groups×|q| target table is broadcast into a join with the ranked rows, and the
-    two picked values are interpolated.  Output: group columns, q, value."""
+    sorting the rows or holding a group's values in one task.
+
+    For each group and q the 1-based position h = (n−1)q + 1 needs the values at ⌊h⌋
+    and ⌈h⌉, which :func:`order_statistics` selects; the two are interpolated.
+    Output: group columns, q, value."""
     group_by = list(group_by)
-    base = (df.select(*group_by, F.col(value).cast("double").alias("_v"))
-              .where(F.col("_v").isNotNull())
-              .withColumn("_t", F.monotonically_increasing_id()))
-    ranked = global_rank(base, ["_v", "_t"], group_by=group_by, rank_col="_r", num_partitions=num_partitions)
+    base = df.select(*group_by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     n = base.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])
-    t = n.select(*group_by, "_n", F.explode(qarr).alias("q"))
+    t = n.where(F.col("_n") > 0).select(*group_by, "_n", F.explode(qarr).alias("q"))
     h = (F.col("_n") - 1).cast("double") * F.col("q") + F.lit(1.0)
-    t = t.select(*group_by, "q", F.floor(h).cast("long").alias("_lo"), F.ceil(h).cast("long").alias("_hi"),
+    t = t.select(*group_by, "q", F.floor(h).cast("long").alias("_a"), F.ceil(h).cast("long").alias("_b"),
                  (h - F.floor(h)).alias("_f"))
-    # targets are groups × |qs| rows: broadcast when there is no grouping (|qs| rows),
-    # else left to AQE's runtime size check
-    need = t.select(*group_by, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")).distinct()
-    picked = ranked.join(need if group_by else F.broadcast(need), on=[*group_by, "_r"], how="inner") \
-                   .select(*group_by, "_r", "_v")
-    lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")
-    hi = picked.withColumnRenamed("_r", "_hi").withColumnRenamed("_v", "_vhi")
-    out = t.join(lo, on=[*group_by, "_lo"], how="inner").join(hi, on=[*group_by, "_hi"], how="inner")
-    return out.select(*group_by, "q", (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+    need = t.select(*group_by, F.explode(F.array_distinct(F.array("_a", "_b"))).alias("rank"))
+    picked = order_statistics(base, "_v", need, group_by).select(*group_by, "rank", "value")
+    out = t
+    for at, name in (("_a", "_va"), ("_b", "_vb")):
+        keys = [F.col(f"_x.{c}").eqNullSafe(F.col(f"_y.{c}")) for c in group_by]
+        out = out.alias("_x").join(picked.alias("_y"), _all([*keys, F.col(f"_x.{at}") == F.col("_y.rank")])).select(
+            "_x.*", F.col("_y.value").alias(name))
+    return out.select(*group_by, "q", (F.col("_va") + F.col("_f") * (F.col("_vb") - F.col("_va"))).alias("value"))

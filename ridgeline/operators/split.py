@@ -2,8 +2,8 @@
 
 ``hash`` mode: a row's side is decided by md5(id‖seed) alone — no shuffle, no
 global state, stable when rows are added.  ``exact`` mode reproduces the sizes
-of an exact splitter (n_test = ceil(m·f)) through the distributed rank of the
-hash order.  Stratified modes rank inside each class and compare against
+of an exact splitter (n_test = ceil(m·f)) by selecting the hash value at the cut
+and applying it as a literal.  Stratified modes do so inside each class, against
 per-class quotas allocated by largest remainder (ties by class order).
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
-from .rank import global_rank
+from .rank import boundary, global_rank, order_statistics
 
 
 def with_hash(df: DataFrame, id_cols: Sequence[str], seed=42, name: str = "_u") -> DataFrame:
@@ -30,14 +30,43 @@ def hash_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.2, seed=42,
     return df.withColumn(split_col, F.when(u < F.lit(test_frac), F.lit("test")).otherwise(F.lit("train")))
 
 
+def first_in_hash_order(df: DataFrame, id_cols: Sequence[str], seed, counts: Sequence[int]) -> list:
+    """Conditions that hold for the first n rows in hash order, for each n of ``counts``.
+
+    The hash value at rank n is found by boundary selection and applied as a literal,
+    so the rows themselves are neither sorted nor written.  Where several rows share
+    the hash at a boundary, the ids (then the whole row) order these few rows only:
+    the condition compares with the boundary row's ids.
+    """
+    u = hash_uniform(list(id_cols), seed)
+    keyed = df.select(u.alias("_u"), *[F.col(c) for c in id_cols])
+    found = boundary(keyed, "_u", counts)
+    out = []
+    for n in counts:
+        if n < 1 or not found:
+            out.append(F.lit(False))
+        elif n not in found:                # more than there are rows
+            out.append(F.lit(True))
+        else:
+            value, below, equal = found[n]
+            if n - below == equal:
+                out.append(u <= F.lit(value))
+                continue
+            tied = keyed.where(F.col("_u") == F.lit(value)).select(*id_cols)
+            last = tied.orderBy(*id_cols).limit(n - below).orderBy(*[F.col(c).desc() for c in id_cols]).limit(1).first()
+            upto = F.struct(*[F.col(c) for c in id_cols]) <= F.struct(
+                *[F.lit(last[c]).cast(df.schema[c].dataType) for c in id_cols])
+            out.append((u < F.lit(value)) | ((u == F.lit(value)) & upto))
+    return out
+
+
 def exact_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.2, seed=42,
                 split_col: str = "split") -> DataFrame:
-    """B10 exact mode: the ceil(m·f) rows first in hash order are test."""
-    m = df.count()
-    n_test = math.ceil(m * test_frac)
-    ranked = global_rank(with_hash(df, id_cols, seed), ["_u", *id_cols], rank_col="_r")
-    return (ranked.withColumn(split_col, F.when(F.col("_r") <= n_test, "test").otherwise("train"))
-                  .drop("_u", "_r"))
+    """B10 exact mode: the ceil(m·f) rows first in hash order are test (rows with equal
+    ids fall on the same side)."""
+    n_test = math.ceil(df.count() * test_frac)
+    (test,) = first_in_hash_order(df, id_cols, seed, [n_test])
+    return df.withColumn(split_col, F.when(test, "test").otherwise("train"))
 
 
 def three_way_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.15, val_frac_of_rest=0.176,
@@ -51,10 +80,8 @@ def three_way_split(df: DataFrame, id_cols: Sequence[str], test_frac=0.15, val_f
     m = df.count()
     n_test = math.ceil(m * test_frac)
     n_val = math.ceil((m - n_test) * val_frac_of_rest)
-    ranked = global_rank(with_hash(df, id_cols, seed), ["_u", *id_cols], rank_col="_r")
-    return (ranked.withColumn(split_col, F.when(F.col("_r") <= n_test, "test")
-                              .when(F.col("_r") <= n_test + n_val, "val").otherwise("train"))
-                  .drop("_u", "_r"))
+    test, upto_val = first_in_hash_order(df, id_cols, seed, [n_test, n_test + n_val])
+    return df.withColumn(split_col, F.when(test, "test").when(upto_val, "val").otherwise("train"))
 
 
 def class_quotas(df: DataFrame, label: str, fraction: float, total: str = "ceil") -> DataFrame:
@@ -85,13 +112,26 @@ def class_rank(df: DataFrame, id_cols: Sequence[str], label: str, seed=42,
 
 def stratified_split(df: DataFrame, id_cols: Sequence[str], label: str, test_frac=0.2, seed=42,
                      split_col: str = "split") -> DataFrame:
-    """Class proportions kept; quotas sum to ceil(m·f)."""
+    """Class proportions kept; quotas sum to ceil(m·f).
+
+    A class's test rows are those up to the hash value at its quota, found by
+    boundary selection; only where rows share that value does the distributed rank
+    decide, over these rows alone."""
     quotas = class_quotas(df, label, test_frac, "ceil").select(label, "quota")
-    ranked = class_rank(df, id_cols, label, seed, "_cr")
-    # quotas: one row per class -> broadcast
-    return (ranked.join(F.broadcast(quotas), on=label, how="inner")
-                  .withColumn(split_col, F.when(F.col("_cr") <= F.col("quota"), "test").otherwise("train"))
-                  .drop("_cr", "quota"))
+    u = hash_uniform(list(id_cols), seed)
+    keyed = df.select(F.col(label), u.alias("_u"))
+    cut = order_statistics(keyed, "_u", quotas.select(label, F.col("quota").alias("rank")), [label])
+    cut = cut.checkpoint(eager=True)                       # one row a class
+    if cut.where(F.col("rank") - F.col("below") < F.col("equal")).limit(1).count():
+        ranked = class_rank(df, id_cols, label, seed, "_cr")
+        return (ranked.join(quotas, on=label, how="inner")
+                      .withColumn(split_col, F.when(F.col("_cr") <= F.col("quota"), "test").otherwise("train"))
+                      .drop("_cr", "quota"))
+    # one row a class: AQE broadcasts it when that is small; a class without a quota has no cut
+    limits = cut.select(F.col(label).alias("_label"), F.col("value").alias("_cut"))
+    return (df.join(limits, F.col(label).eqNullSafe(F.col("_label")), "left")
+              .withColumn(split_col, F.when(F.col("_cut").isNotNull() & (u <= F.col("_cut")), "test").otherwise("train"))
+              .drop("_label", "_cut"))
 
 
 def fraction_subsets(df: DataFrame, id_cols: Sequence[str], label: str,

@@ -138,11 +138,19 @@ def matrix_long(wide: DataFrame, row: str, col_values: Sequence, col: str = "col
     return wide.select(row, F.expr(f"stack({len(col_values)}, {pairs}) AS ({col}, {value})"))
 
 
-RUN_SCHEMA = ("model string, n_train long, n_test long, features array<string>, weights array<double>, bias double, "
-              "iterations int, metrics map<string,double>")
+RUN_SCHEMA = ("model string, n_train long, n_val long, n_test long, features array<string>, weights array<double>, "
+              "bias double, iterations int, lambdas array<double>, classes array<int>, metrics map<string,double>")
 
 
 def run_summary(spark: SparkSession, fields: dict) -> DataFrame:
     """A10: one row describing a training run, with the declared schema
-    :data:`RUN_SCHEMA`; fields that are not given are null."""
-    return spark.createDataFrame([fields], RUN_SCHEMA)
+    :data:`RUN_SCHEMA`.  Fields that are not given are null; further single numbers
+    go to ``metrics``; anything else is an error."""
+    known = [part.split()[0] for part in RUN_SCHEMA.split(", ")]
+    row = {k: fields.get(k) for k in known}
+    extra = {k: v for k, v in fields.items() if k not in known}
+    wrong = [k for k, v in extra.items() if v is not None and not isinstance(v, (int, float))]
+    if wrong:
+        raise ValueError(f"fields {wrong} are not in the schema of a run record")
+    row["metrics"] = {k: None if v is None else float(v) for k, v in {**(row["metrics"] or {}), **extra}.items()}
+    return spark.createDataFrame([row], RUN_SCHEMA)
