@@ -125,12 +125,13 @@ def histogram(df: DataFrame, col: str, k: int = 30) -> DataFrame:
                         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
-def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20) -> DataFrame:
-    """C11: scatter as 2-D binned counts (non-empty cells); size k², not rows."""
+def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """C11: scatter as 2-D binned counts (non-empty cells), for each value of ``by``
+    on common bins; size k², not rows."""
     x, y = F.col(xcol).cast("double"), F.col(ycol).cast("double")
     xl, xh, yl, yh = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).collect()[0]
     L = lambda v: F.lit(v).cast("double")
-    return df.groupBy(bin_expr(x, L(xl), L(xh), k).alias("bx"),
+    return df.groupBy(*by, bin_expr(x, L(xl), L(xh), k).alias("bx"),
                       bin_expr(y, L(yl), L(yh), k).alias("by")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -52,20 +53,33 @@ def argmax_class(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - F.lit(1)).cast("int")
 
 
+def accuracy_of_models(df: DataFrame, label: str, models) -> DataFrame:
+    """Accuracy of several models in one scan: ``models`` are (name, scores column, side
+    column); a row gives one (model, split, hit) for each, then one aggregate.
+    Columns: model, split, accuracy, n."""
+    hits = F.array(*[F.struct(F.lit(name).alias("model"), side.alias("split"),
+                              (F.col(label) == argmax_class(scores)).cast("double").alias("hit"))
+                     for name, scores, side in models])
+    return (df.select(F.explode(hits).alias("h")).groupBy("h.model", "h.split")
+              .agg(F.avg("h.hit").alias("accuracy"), F.count(F.lit(1)).alias("n")))
+
+
 def decision_grid(df: DataFrame, f1: str, f2: str, w1: float, w2: float, bias: float,
                   step: float = 0.02, margin: float = 0.5, threshold: float = 0.5) -> DataFrame:
     """Class of every cell of a regular grid over two standardised features
     (others at their mean, 0): x = (min − margin) + i·step for i < ⌈(max − min + 2·margin)/step⌉,
     as ``arange`` counts.  The grid size depends on the feature range and step only;
-    it is generated by ``sequence``/``explode`` on the executors, never collected."""
-    rng = df.agg(F.min(f1).alias("lo1"), F.max(f1).alias("hi1"),
-                 F.min(f2).alias("lo2"), F.max(f2).alias("hi2"))
-    last = lambda lo, hi: (F.ceil(((F.col(hi) + margin) - (F.col(lo) - margin)) / step) - 1).cast("int")
-    g = (rng.select("lo1", "lo2", F.explode(F.sequence(F.lit(0), last("lo1", "hi1"))).alias("i"),
-                    last("lo2", "hi2").alias("n2"))
-            .select("lo1", "lo2", "i", F.explode(F.sequence(F.lit(0), F.col("n2"))).alias("j")))
-    g = g.select("i", "j",
-                 ((F.col("lo1") - margin) + F.col("i").cast("double") * step).alias(f1),
-                 ((F.col("lo2") - margin) + F.col("j").cast("double") * step).alias(f2))
+    the cells are a distributed range of numbers, cell = i·n₂ + j."""
+    lo1, hi1, lo2, hi2 = df.agg(F.min(f1), F.max(f1), F.min(f2), F.max(f2)).first()
+    spark = df.sparkSession
+    if lo1 is None or lo2 is None:
+        cells, n2 = spark.range(0), 1
+        lo1 = lo2 = 0.0
+    else:
+        n1, n2 = (math.ceil(((hi + margin) - (lo - margin)) / step) for lo, hi in ((lo1, hi1), (lo2, hi2)))
+        cells = spark.range(0, n1 * n2)
+    g = cells.select(F.expr(f"id div {n2}").cast("int").alias("i"), (F.col("id") % n2).cast("int").alias("j"))
+    g = g.select("i", "j", (F.lit(lo1 - margin) + F.col("i").cast("double") * step).alias(f1),
+                 (F.lit(lo2 - margin) + F.col("j").cast("double") * step).alias(f2))
     z = F.lit(float(bias)) + F.col(f1) * F.lit(float(w1)) + F.col(f2) * F.lit(float(w2))
     return g.withColumn("prediction", threshold_class(sigmoid(z), threshold))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators import evaluate, explain, linear, logistic, prep, profile, split
 from ..operators.moments import moments, moments_by_split
-from ..operators.score import argmax_class
+from ..operators.score import accuracy_of_models, argmax_class, decision_grid
 from ..sources import io
 
 # Feature lists and source names of the four tasks.
@@ -32,6 +32,23 @@ RISK_BANDS = {"age": ("Age", (("20-30", 20, 30), ("30-40", 30, 40), ("40-50", 40
               "bmi": ("BMI", (("<25", None, 25), ("25-30", 25, 30), (">=30", 30, None))),
               "glucose": ("Glucose", (("<100", None, 100), ("100-126", 100, 126), (">=126", 126, None)))}
 
+DENSITY_FEATURES = ("Pregnancies", "BloodPressure", "Insulin", "DiabetesPedigreeFunction")
+# Unit and wording of each sales feature's impact line (feature, unit, unit text,
+# word when the impact is positive, word otherwise), and the advice lines (feature, fires when
+# the weight is positive?, text).
+SALES_RULES = (("price", 1.0, "for each unit of price", "rises", "falls"),
+               ("promotion", 1.0, "in a promotion against none", "is higher", "is lower"),
+               ("ad_spend", 1.0, "for each unit of advertising", "rises", "falls"),
+               ("user_rating", 0.1, "for a tenth of a rating point", "rises", "falls"),
+               ("holiday", 1.0, "on holidays against working days", "is higher", "is lower"),
+               ("month", 1.0, "for each later month", "rises", "falls"),
+               ("weekday", 1.0, "for each later weekday", "rises", "falls"))
+SALES_ADVICE = (("promotion", True, "run promotions more often"),
+                ("ad_spend", True, "advertising pays: tune how it is spent"),
+                ("price", False, "price holds sales down: review it"),
+                ("holiday", True, "put promotions and advertising on holidays"),
+                ("user_rating", True, "work on quality and service: ratings lift sales"))
+
 
 def _with_id(df: DataFrame, id_cols: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
     """Rows need a stable key for hash draws; without one, a content hash is used
@@ -67,18 +84,25 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     _write(profile.quantiles(df, "area"), out_dir, "profile/area_quantiles")
     _write(profile.correlation_matrix(df, feats + [target]), out_dir, "profile/correlation")
     _write(profile.target_correlation(df, feats, target), out_dir, "profile/target_correlation")
+    df = df.persist()       # the raw table is read by every profile
     _write(profile.histogram(df, target, 30), out_dir, "profile/price_hist")
-    _write(profile.binned_2d(df, "area", target), out_dir, "profile/area_price_bins")
+    _write(profile.histogram(df, "area", 30), out_dir, "profile/area_hist")
+    for f in ("area", "distance_subway", "floor", "room_num"):
+        _write(profile.binned_2d(df.dropna(subset=[f, target]), f, target), out_dir, f"profile/{f}_price_bins")
+    _write(profile.box_outliers(df, "room_num", target), out_dir, "profile/outliers_by_rooms")
     _write(profile.box_stats(df, "room_num", target), out_dir, "profile/box_by_rooms")
     floors = profile.first_groups(df, "floor", 10)
     _write(profile.box_stats(df.join(F.broadcast(floors), "floor", "left_semi"), "floor", target), out_dir,
            "profile/box_by_floor")
-    # clean (B2–B4)
-    dirty = split.hash_split(prep.inject_missing(df, ids, feats, missing_rate, seed), ids, 0.2, seed)
-    fit_rows = dirty if impute_scope == "all" else dirty.where(F.col("split") == "train")
-    clean = prep.outlier_filter(prep.impute(dirty, prep.medians(fit_rows, feats + [target])), "area", area_max)
-    # split and fit
-    tagged = clean.persist()
+    # clean (B2–B4), then split to exact sizes and fit
+    dirty = prep.inject_missing(df, ids, feats, missing_rate, seed)
+    if impute_scope == "all":
+        clean = prep.outlier_filter(prep.impute(dirty, prep.medians(dirty, feats + [target])), "area", area_max)
+        tagged = split.exact_split(clean, ids, 0.2, seed).persist()
+    else:       # medians of training rows only: the sides are drawn first, by the same hash
+        tagged = split.hash_split(dirty, ids, 0.2, seed)
+        values = prep.medians(tagged.where(F.col("split") == "train"), feats + [target])
+        tagged = prep.outlier_filter(prep.impute(tagged, values), "area", area_max).persist()
     train = tagged.where(F.col("split") == "train")
     mom = moments(train, feats + [target])
     fits = {"batch": linear.fit_batch_gd(train, feats, target, lr=lr, max_iter=iters, seed=seed, mom=mom)}
@@ -97,7 +121,8 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     _write(metrics, out_dir, "evaluation/metrics")
     _write(test.select(*ids, target, "pred", "residual", "rel_error_pct"), out_dir, "evaluation/predictions")
     _write(evaluate.prediction_range(test, target, "pred"), out_dir, "evaluation/range")
-    _write(profile.histogram(test, "residual", 30), out_dir, "evaluation/residual_hist")
+    for col in (target, "pred", "residual", "rel_error_pct"):
+        _write(profile.histogram(test, col, 30), out_dir, f"evaluation/{col}_hist")
     qq = evaluate.qq_points(test, "residual", ids)
     _write(qq, out_dir, "evaluation/qq_points")
     _write(evaluate.qq_line(qq), out_dir, "evaluation/qq_line")
@@ -107,6 +132,8 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     summary = {"n_train": mom.n, "n_test": int(m["n"]), "features": feats, "weights": [float(w) for w in model.weights],
                "bias": float(model.bias), "metrics": {k: float(m[k]) for k in ("mse", "mae", "rmse", "r2")}}
     _write(io.run_summary(spark, summary), out_dir, "training/summary")
+    for cached in (test, tagged, df):
+        cached.unpersist()
     return summary
 
 
@@ -128,6 +155,9 @@ def sales_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     feats = list(features)
     _write(profile.correlation_matrix(df, feats + [target]), out_dir, "profile/correlation")
     _write(profile.target_correlation(df, feats, target), out_dir, "profile/target_correlation")
+    if {"promotion", "ad_spend"} <= set(feats):
+        _write(profile.box_stats(df, "promotion", target), out_dir, "profile/box_by_promotion")
+        _write(profile.binned_2d(df, "ad_spend", target), out_dir, "profile/ad_sales_bins")
     tagged = split.three_way_split(df, list(id_cols), 0.15, 0.176, seed, exact=True).persist()
     moms = moments_by_split(tagged, feats + [target], "split", ["train", "val", "test"])
     sweep = linear.ridge_sweep(moms["train"], moms["val"], feats, target, lambdas)
@@ -136,6 +166,9 @@ def sales_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
                                "lambda double, r2 double, rmse double, intercept double, complexity double, "
                                "weights array<double>, is_best boolean")
     _write(sw, out_dir, "training/lambda_sweep")
+    path = spark.createDataFrame([(r["lambda"], f, float(w)) for r in sweep for f, w in zip(feats, r["weights"])],
+                                 "lambda double, feature string, weight double")
+    _write(path, out_dir, "training/weight_path")
     best = next(r for r in sweep if r["is_best"])
     test_m = linear.split_metrics(moms["test"], feats, target, np.array(best["weights"]), best["intercept"])
     coef = explain.coefficient_table(spark, feats, best["weights"])
@@ -143,18 +176,28 @@ def sales_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     _write(explain.importance(coef), out_dir, "features/importance")
     _write(explain.sensitivity(coef, stats), out_dir, "features/sensitivity")
     _write(explain.effects(coef, stats), out_dir, "features/effects")
+    ru = spark.createDataFrame(list(SALES_RULES), "feature string, unit double, unit_text string, up_text string, down_text string")
+    ad = spark.createDataFrame(list(SALES_ADVICE), "feature string, when_positive boolean, text string")
+    _write(explain.unit_impacts(coef, ru), out_dir, "features/impacts")
+    _write(explain.recommendations(coef, ad), out_dir, "features/advice")
     expr = F.lit(float(best["intercept"]))
     for c, w in zip(feats, best["weights"]):
         expr = expr + F.col(c) * F.lit(float(w))
     scored = evaluate.residuals(tagged.withColumn("pred", expr), target, "pred")
     _write(profile.histogram(scored.where(F.col("split").isin("train", "val")), "residual", 20), out_dir,
            "evaluation/trainval_residual_hist")
-    _write(scored.where(F.col("split") == "test").select(*id_cols, target, "pred", "residual", "rel_error_pct"),
-           out_dir, "evaluation/predictions")
+    test = scored.where(F.col("split") == "test")
+    _write(test.select(*id_cols, target, "pred", "residual", "rel_error_pct"), out_dir, "evaluation/predictions")
+    for col in ("residual", "rel_error_pct"):
+        _write(profile.histogram(test, col, 20), out_dir, f"evaluation/test_{col}_hist")
+    qq = evaluate.qq_points(test, "residual", list(id_cols))
+    _write(qq, out_dir, "evaluation/qq_points")
+    _write(evaluate.qq_line(qq), out_dir, "evaluation/qq_line")
     summary = {"n_train": moms["train"].n, "n_val": moms["val"].n, "n_test": moms["test"].n, "features": feats,
                "best_lambda": best["lambda"], "lambdas": list(lambdas),
                "metrics": {"mse": test_m["mse"], "rmse": test_m["rmse"], "r2": test_m["r2"]}}
     _write(io.run_summary(spark, summary), out_dir, "training/summary")
+    tagged.unpersist()
     return summary
 
 
@@ -179,11 +222,14 @@ def diabetes_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequ
     if bands:
         _write(profile.rate_by_band(df, label, bands), out_dir, "profile/risk_by_band")
     _write(profile.correlation_matrix(df, feats + [label]), out_dir, "profile/correlation")
-    for f in feats[:4]:
+    for f in [f for f in DENSITY_FEATURES if f in df.columns] or feats[:4]:
         _write(profile.kde_by_class(df, f, label), out_dir, f"profile/density_{f}")
     if "Age" in df.columns:
         _write(profile.kde_by_class(df, "Age", None), out_dir, "profile/density_age_all")
-        _write(profile.histogram(df, "Age", 30), out_dir, "profile/age_hist")
+        _write(profile.histogram(df, "Age", profile.auto_bins(df, "Age")), out_dir, "profile/age_hist")
+    if {"Glucose", "BMI"} <= set(df.columns):
+        _write(profile.box_stats(df, label, "Glucose"), out_dir, "profile/glucose_box")
+        _write(profile.binned_2d(df, "Glucose", "BMI", by=[label]), out_dir, "profile/glucose_bmi_bins")
     tagged = split.stratified_split(df, ids, label, 0.2, seed).persist()
     train, test = tagged.where(F.col("split") == "train"), tagged.where(F.col("split") == "test")
     model = logistic.fit_logistic_gd(train, feats, label, lr=lr, max_iter=iters)
@@ -199,10 +245,16 @@ def diabetes_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequ
     lib_acc = evaluate.accuracy(test.withColumn("prediction", lib.class_expr(0.5)), label, "prediction") \
                       .collect()[0]["accuracy"]
     _write(explain.importance(explain.coefficient_table(spark, feats, model.weights)), out_dir, "features/importance")
+    # decision surface over the two heaviest features, the others at their mean
+    i1, i2 = sorted(range(len(feats)), key=lambda i: (-abs(model.weights[i]), i))[:2]
+    std = tagged.select(*[((F.col(feats[i]).cast("double") - float(model.x_mean[i])) / float(model.x_scale[i])).alias(n)
+                          for i, n in ((i1, "x1"), (i2, "x2"))])
+    _write(decision_grid(std, "x1", "x2", model.weights[i1], model.weights[i2], model.bias), out_dir, "evaluation/decision_surface")
     summary = {"features": feats, "weights": [float(w) for w in model.weights], "bias": float(model.bias),
                "accuracy": float(acc), "library_accuracy": float(lib_acc), "auc": float(auc),
                "final_cost": float(model.history[-1][1]) if model.history else None}
     _write(io.run_summary(spark, summary), out_dir, "training/summary")
+    tagged.unpersist()
     return summary
 
 
@@ -231,26 +283,19 @@ def digits_job(spark: SparkSession, df: DataFrame, out_dir: str, vec_col: str =
     wm = spark.createDataFrame([(int(c), i // d, i % d, float(theta[k, 1 + i])) for k, c in enumerate(classes)
                                 for i in range(d * d)], "class int, row int, col int, weight double")
     _write(wm, out_dir, "features/weight_map")
-    rows = []
-    for j, l in enumerate(grid):
-        s = tagged.withColumn("prediction", argmax_class(
-            logistic.ova_scores(vec_col, fit.theta[0, j], fit.scaler.mean[0], fit.scaler.scale[0])))
-        for r in s.groupBy("split").agg(F.avg((F.col(label) == F.col("prediction")).cast("double")).alias("a")).collect():
-            rows.append((float(l), r["split"], float(r["a"])))
-    _write(spark.createDataFrame(rows, "lambda double, split string, accuracy double"), out_dir, "training/lambda")
+    scores = [logistic.ova_scores(vec_col, fit.theta[0, j], fit.scaler.mean[0], fit.scaler.scale[0]) for j in range(len(grid))]
+    by_lambda = accuracy_of_models(tagged, label, [(float(l), s, F.col("split")) for l, s in zip(grid, scores)])
+    _write(by_lambda.select(F.col("model").alias("lambda"), "split", "accuracy"), out_dir, "training/lambda")
     sub = split.fraction_subsets(df, ids, label, fractions, seed)
-    sub = sub.withColumn("member", F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(fractions))]))
+    sub = sub.withColumn("member", F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(fractions))])).persist()
     curve = logistic.fit_one_vs_all(sub, vec_col, label, classes, [lam], member_col="member", n_subsets=len(fractions))
-    lc = []
-    for i, f in enumerate(fractions):
-        s = sub.withColumn("prediction", argmax_class(logistic.ova_scores(vec_col, curve.theta[i, 0],
-                                                                          curve.scaler.mean[i], curve.scaler.scale[i])))
-        part = F.when(F.col("member")[i], "train").otherwise("test")
-        for r in s.groupBy(part.alias("split")).agg(
-                F.avg((F.col(label) == F.col("prediction")).cast("double")).alias("a")).collect():
-            lc.append((float(f), r["split"], float(r["a"])))
-    _write(spark.createDataFrame(lc, "fraction double, split string, accuracy double"), out_dir, "training/learning_curve")
+    models = [(float(f), logistic.ova_scores(vec_col, curve.theta[i, 0], curve.scaler.mean[i], curve.scaler.scale[i]),
+               F.when(F.col("member")[i], "train").otherwise("test")) for i, f in enumerate(fractions)]
+    _write(accuracy_of_models(sub, label, models).select(F.col("model").alias("fraction"), "split", "accuracy"),
+           out_dir, "training/learning_curve")
     acc = evaluate.accuracy(scored, label, "prediction").collect()[0]["accuracy"]
     summary = {"lambda": lam, "accuracy": float(acc), "classes": [int(c) for c in classes]}
     _write(io.run_summary(spark, summary), out_dir, "training/summary")
+    for cached in (scored, sub, tagged):
+        cached.unpersist()
     return summary

@@ -232,26 +232,39 @@ def predict_proba(spark, sf_dir):
     return t.select("doc_id", rnd("p", 6).alias("probability"), threshold_class(F.col("p"), 0.5).alias("prediction"))
 
 
-@query("decision_grid", ops=("E7", "G1"), sql=(
+_GRID = (
     _LP + ", wi AS (SELECT unnest(w) AS wv, unnest(range(1, " + str(len(DOC_FEATURES) + 1)
     + ")) AS idx FROM fin), top AS (SELECT idx, wv, row_number() OVER (ORDER BY abs(wv) DESC, idx) AS r FROM wi), "
     "t1 AS (SELECT idx AS i1, wv AS w1 FROM top WHERE r = 1), t2 AS (SELECT idx AS i2, wv AS w2 FROM top WHERE r = 2), "
     "rg AS (SELECT min(x[i1]) AS lo1, max(x[i1]) AS hi1, min(x[i2]) AS lo2, max(x[i2]) AS hi2 FROM za, t1, t2), "
     "ga AS (SELECT unnest(range(0, ceil(((hi1 + 0.5::DOUBLE) - (lo1 - 0.5::DOUBLE)) / 0.02::DOUBLE)::BIGINT)) AS i FROM rg), "
     "gb AS (SELECT unnest(range(0, ceil(((hi2 + 0.5::DOUBLE) - (lo2 - 0.5::DOUBLE)) / 0.02::DOUBLE)::BIGINT)) AS j FROM rg), "
-    "g AS (SELECT (lo1 - 0.5::DOUBLE) + i::DOUBLE * 0.02::DOUBLE AS x1, (lo2 - 0.5::DOUBLE) + j::DOUBLE * 0.02::DOUBLE AS x2 "
-    "FROM rg, ga, gb) "
-    "SELECT CASE WHEN 1.0 / (1.0 + exp(-(b + x1 * w1 + x2 * w2))) >= 0.5 THEN 1 ELSE 0 END AS prediction, "
-    "count(*) AS n_cells FROM g, t1, t2, fin GROUP BY 1"))
-def decision_grid_query(spark, sf_dir):
-    """Decision surface over the two largest-|w| standardised features (step .02,
-    ±.5 margin, other features at 0): number of grid cells per predicted class."""
+    "g AS (SELECT i, j, (lo1 - 0.5::DOUBLE) + i::DOUBLE * 0.02::DOUBLE AS x1, (lo2 - 0.5::DOUBLE) + j::DOUBLE * 0.02::DOUBLE AS x2 "
+    "FROM rg, ga, gb), "
+    "gp AS (SELECT i, j, CASE WHEN 1.0 / (1.0 + exp(-(b + x1 * w1 + x2 * w2))) >= 0.5 THEN 1 ELSE 0 END AS prediction "
+    "FROM g, t1, t2, fin) ")
+
+
+def _decision_cells(spark, sf_dir):
     tagged, m = logit_fit(spark, sf_dir)
     order = sorted(range(len(DOC_FEATURES)), key=lambda i: (-abs(m.weights[i]), i))
     i1, i2 = order[0], order[1]
     std = tagged.select(*[((F.col(DOC_FEATURES[i]) - F.lit(float(m.x_mean[i]))) / F.lit(float(m.x_scale[i]))).alias(n)
                           for i, n in ((i1, "s1"), (i2, "s2"))])
-    g = decision_grid(std, "s1", "s2", m.weights[i1], m.weights[i2], m.bias)
+    return decision_grid(std, "s1", "s2", m.weights[i1], m.weights[i2], m.bias)
+
+
+@query("decision_surface", ops=("E7",), sql=_GRID + "SELECT i::INTEGER AS i, j::INTEGER AS j, prediction FROM gp")
+def decision_surface(spark, sf_dir):
+    """The cells of the decision surface themselves: grid position and class."""
+    return _decision_cells(spark, sf_dir).select("i", "j", "prediction")
+
+
+@query("decision_grid", ops=("E7", "G1"), sql=_GRID + "SELECT prediction, count(*) AS n_cells FROM gp GROUP BY 1")
+def decision_grid_query(spark, sf_dir):
+    """Decision surface over the two largest-|w| standardised features (step .02,
+    ±.5 margin, other features at 0): number of grid cells per predicted class."""
+    g = _decision_cells(spark, sf_dir)
     return g.groupBy("prediction").agg(F.count(F.lit(1)).alias("n_cells"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform_sql
 from ..operators import evaluate, logistic, split
-from ..operators.score import argmax_class
+from ..operators.score import accuracy_of_models, argmax_class
 from . import sqlgen
 from .catalog import memo, query, rnd
 from .tasks import DOC_FEATURES, DOC_ID, DOC_TARGET, PATIENT_SQL, VEC_ID, digit_like, patient_like
@@ -178,21 +178,18 @@ def ova_predict(spark, sf_dir):
 @query("ova_lambda", ops=("D19", "F8"))
 def ova_lambda(spark, sf_dir):
     """Train and test accuracy for λ ∈ {0, .01, .1, 1, 10}: all 50 models fitted in
-    the same passes, each λ scored in one pass."""
+    the same passes and scored in one scan."""
     tagged, fit = ova_models(spark, sf_dir)
-    out = None
-    for li, lam in enumerate(OVA_LAMBDAS):
-        s = _scored(tagged, fit, li)
-        a = s.groupBy("split").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
-        a = a.select(F.lit(float(lam)).alias("lambda"), "split", rnd("accuracy", 6).alias("accuracy"))
-        out = a if out is None else out.unionByName(a)
-    return out
+    models = [(float(lam), logistic.ova_scores("embedding", fit.theta[0, li], fit.scaler.mean[0], fit.scaler.scale[0]), F.col("split"))
+              for li, lam in enumerate(OVA_LAMBDAS)]
+    a = accuracy_of_models(tagged, "label", models)
+    return a.select(F.col("model").alias("lambda"), "split", rnd("accuracy", 6).alias("accuracy"))
 
 
 @query("learning_curve", ops=("B13", "D20"))
 def learning_curve(spark, sf_dir):
     """Accuracy on the training subset and on its complement for stratified
-    training fractions .1–.9; a scaler per subset; five fits in the same passes."""
+    training fractions .1–.9; a scaler per subset; five fits in the same passes, scored in one scan."""
     def build():
         sub = split.fraction_subsets(digit_like(spark, sf_dir), VEC_ID, "label", FRACTIONS, SEED)
         member = F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(FRACTIONS))])
@@ -201,14 +198,7 @@ def learning_curve(spark, sf_dir):
                                       n_subsets=len(FRACTIONS), max_iter=OVA_MAX_ITER)
         return sub, fit
     sub, fit = memo(spark, ("curve", sf_dir), build)
-    out = None
-    for i, f in enumerate(FRACTIONS):
-        s = logistic.ova_scores("embedding", fit.theta[i, 0], fit.scaler.mean[i], fit.scaler.scale[i])
-        sc = sub.withColumn("prediction", argmax_class(s))
-        part = F.when(F.col("member")[i], F.lit("train")).otherwise(F.lit("test"))
-        a = sc.groupBy(part.alias("split")).agg(
-            F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
-            F.count(F.lit(1)).alias("n"))
-        a = a.select(F.lit(float(f)).alias("fraction"), "split", rnd("accuracy", 6).alias("accuracy"), "n")
-        out = a if out is None else out.unionByName(a)
-    return out
+    models = [(float(f), logistic.ova_scores("embedding", fit.theta[i, 0], fit.scaler.mean[i], fit.scaler.scale[i]),
+               F.when(F.col("member")[i], F.lit("train")).otherwise(F.lit("test"))) for i, f in enumerate(FRACTIONS)]
+    a = accuracy_of_models(sub, "label", models)
+    return a.select(F.col("model").alias("fraction"), "split", rnd("accuracy", 6).alias("accuracy"), "n")

@@ -8,6 +8,11 @@ import pandas as pd
 from ridgeline.plans import jobs
 
 
+def written(out, names):
+    for n in names.split():
+        assert any(f.endswith(".json") and os.path.getsize(os.path.join(out, n, f)) for f in os.listdir(os.path.join(out, n))), n
+
+
 def test_house_job(spark, tmp_path):
     rng = np.random.default_rng(7)
     n = 240
@@ -28,6 +33,12 @@ def test_house_job(spark, tmp_path):
     assert s["metrics"]["r2"] > 0.9
     assert os.path.isdir(os.path.join(out, "evaluation", "qq_points"))
     assert spark.read.json(os.path.join(out, "training", "history")).count() == 9
+    written(out, """profile/summary profile/price_quantiles profile/area_quantiles profile/correlation profile/target_correlation
+        profile/price_hist profile/area_hist profile/area_price_bins profile/distance_subway_price_bins profile/floor_price_bins
+        profile/room_num_price_bins profile/box_by_rooms profile/box_by_floor training/history evaluation/metrics
+        evaluation/predictions evaluation/range evaluation/price_hist evaluation/pred_hist evaluation/residual_hist
+        evaluation/rel_error_pct_hist evaluation/qq_points evaluation/qq_line features/importance training/summary""")
+    assert s["n_train"] + s["n_test"] == 241 and s["n_test"] == 49      # the 250 m² row is filtered before the split
 
 
 def test_sales_job(spark, tmp_path):
@@ -41,6 +52,10 @@ def test_sales_job(spark, tmp_path):
     spark.createDataFrame(pdf).coalesce(1).write.option("header", True).csv(src)
     df = jobs.sales_from_csv(spark, src)
     s = jobs.sales_job(spark, df, str(tmp_path / "out"))
+    written(str(tmp_path / "out"), """profile/box_by_promotion profile/ad_sales_bins training/lambda_sweep training/weight_path
+        features/importance features/sensitivity features/effects features/impacts features/advice evaluation/predictions
+        evaluation/trainval_residual_hist evaluation/test_residual_hist evaluation/test_rel_error_pct_hist
+        evaluation/qq_points evaluation/qq_line training/summary""")
     assert s["n_test"] == 18 and s["metrics"]["r2"] > 0.8 and s["best_lambda"] in s["lambdas"]
 
 
@@ -55,6 +70,12 @@ def test_diabetes_job(spark, tmp_path):
     raw["class"] = np.where(z > 0, "tested_positive", "tested_negative")
     df = jobs.diabetes_prepare(spark.createDataFrame(raw))
     s = jobs.diabetes_job(spark, df, str(tmp_path / "out"), iters=50)
+    written(str(tmp_path / "out"), """profile/class_balance profile/risk_by_band profile/correlation profile/density_Pregnancies
+        profile/density_BloodPressure profile/density_Insulin profile/density_DiabetesPedigreeFunction profile/density_age_all
+        profile/age_hist profile/glucose_box profile/glucose_bmi_bins training/history evaluation/confusion evaluation/roc
+        evaluation/decision_surface features/importance training/summary""")
+    record = spark.read.json(str(tmp_path / "out" / "training" / "summary")).first()
+    assert record.metrics["auc"] == s["auc"]
     assert 0.5 < s["accuracy"] <= 1.0 and 0.5 < s["auc"] <= 1.0
 
 
