@@ -375,7 +375,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     first = materialise(components(links, "jaccard-first"), "jaccard-first")
     # blocked product over the prefixes
     levels = spark.sparkContext.broadcast(shingle_levels(table))
-    blocks = max(spark.sparkContext.defaultParallelism, -(-(total // 4) // BLOCK_ENTRIES))
+    blocks = max(2 * spark.sparkContext.defaultParallelism, -(-(total // 4) // BLOCK_ENTRIES))
     label = reps.select("rep").distinct().join(first, F.col("rep") == F.col("id"), "left").select(
         F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("comp"))
     prefix = texts.where("doc_id is not null").mapInArrow(_prefixes(levels), _PREFIX).where("n > 0").join(label, "doc_id")
