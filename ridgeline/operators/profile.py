@@ -6,9 +6,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .moments import vector_moments
 from .rank import exact_quantiles
 
 
@@ -88,6 +90,18 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
+def vector_correlation(df: DataFrame, vec_col: str) -> DataFrame:
+    """C5 for wide tables: Pearson r of every pair of positions of an array column
+    (a, b, r), unit diagonal; r is null for a constant position."""
+    m = vector_moments(df, vec_col)
+    sd = m.sd
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = m.cov / np.outer(sd, sd)
+    cells = [(i, j, 1.0 if i == j else (float(r[i, j]) if np.isfinite(r[i, j]) else None))
+             for i in range(len(sd)) for j in range(len(sd))]
+    return df.sparkSession.createDataFrame(cells, "a int, b int, r double")
+
+
 def target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """R with the target, direction, strength (|r| > .5 strong, > .3 medium,
     else weak), a text line, and the rank by |r| descending."""

@@ -237,3 +237,16 @@ def train_feature_stats(spark, sf_dir):
     t = split.hash_split(house_like(spark, sf_dir), HOUSE_ID, 0.2, 42).where(F.col("split") == "train")
     s = profile.mean_sd(t, HOUSE_FEATURES)
     return s.select("feature", sig("mean", 9).alias("mean"), sig("sd", 9).alias("sd"))
+
+
+# ---------------------------------------------------------------- C5 on a wide table
+
+
+@query("correlation_embeddings", ops=("C5",), sql=(
+    "WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS i FROM embeddings) "
+    "SELECT x.i::INTEGER AS a, y.i::INTEGER AS b, " + sqlgen.rnd("CASE WHEN x.i = y.i THEN 1.0 ELSE corr(x.v, y.v) END", 6)
+    + " AS r FROM u x JOIN u y ON x.vec_id = y.vec_id GROUP BY x.i, y.i"))
+def correlation_embeddings(spark, sf_dir):
+    """Correlation of all 64 × 64 positions of the embeddings by blocked matrix products."""
+    c = profile.vector_correlation(table(spark, sf_dir, "embeddings"), "embedding")
+    return c.select("a", "b", rnd("r", 6).alias("r"))

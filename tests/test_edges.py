@@ -114,3 +114,14 @@ def test_null_rows_do_not_change_ridge(spark):
     holes = full.unionByName(spark.createDataFrame([(None, 50.0), (9.0, None)], "a double, y double"))
     a, b = (moments.moments(d, ["a", "y"]) for d in (full, holes))
     assert np.allclose(a.cov, b.cov) and a.n == b.n
+
+
+def test_wide_moments_match_the_expression_path(spark):
+    x = np.random.default_rng(4).normal(size=(300, 6)) * [1, 10, 0, 3, 1e3, 1] + 5
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x] + [(None,), ([None] * 6,)], "v array<double>")
+    wide = moments.vector_moments(df, "v")
+    cols = df.where("v is not null").select(*[df.v[i].alias(f"c{i}") for i in range(6)])
+    plain = moments.moments(cols, [f"c{i}" for i in range(6)])
+    assert wide.n == plain.n == 300 and np.allclose(wide.mean, plain.mean) and np.allclose(wide.cov, plain.cov)
+    r = {(c.a, c.b): c.r for c in profile.vector_correlation(df, "v").collect()}
+    assert r[2, 3] is None and r[2, 2] == 1.0 and abs(r[0, 1] - np.corrcoef(x[:, 0], x[:, 1])[0, 1]) < 1e-9

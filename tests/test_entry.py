@@ -10,10 +10,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
-SAMPLE = ["house_gd_eval", "gd_minibatch", "ridge_sweep", "class_balance", "risk_by_band", "quantiles",
-          "correlation_matrix", "histogram", "box_stats", "density_by_class", "csv_comment_scan", "report_roundtrip",
-          "median_impute", "split_stratified", "split_fractions", "qq_line", "roc_points", "auc", "importance",
-          "rules", "class_report", "decision_grid"]
+from ridgeline.plans.catalog import load_all  # noqa: E402
+
+#: every query of the library that has an oracle
+SAMPLE = [name for name, q in load_all().items() if q.sql]
 
 
 def test_entry_runs(spark):
