@@ -122,19 +122,24 @@ class MappedTrie:
 
     Level 1: the words' hashes (Elias-Fano) with their counts, and monotone pointers
     (Elias-Fano) to where each word's contexts begin in level 2.  Level 2: context
-    ids, relative to their word: entry = word number * 2^bits + id (Elias-Fano), one
-    byte of value each.  All arrays lie in one memory-mapped file, removed by
+    ids, relative to their word's range: entry = begin * 2^bits + id * range length
+    (Elias-Fano), one byte of value each.  Ids are spread evenly over 2^bits, so the
+    entries are spread evenly too, however many contexts a word has, and a successor
+    search looks at one or two of them.  All arrays lie in one memory-mapped file, removed by
     :meth:`close`.
     """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, entries: np.ndarray, values: np.ndarray, bits: int):
-        """``words``: sorted hashes; ``entries``: sorted word number * 2^bits + context id; ``values`` of entries."""
+        """``words``: sorted hashes; ``entries``: sorted word number * 2^bits + context id, fewer than
+        2^(64 - bits); ``values`` of entries."""
         self.bits = bits
         starts = np.searchsorted(entries, np.arange(len(words) + 1, dtype=np.uint64) << np.uint64(bits))
+        word = (entries >> np.uint64(bits)).astype(np.int64)
+        entries = self._relative(starts[word], starts[word + 1], entries & np.uint64((1 << bits) - 1))
         codes, self.centres = quantise(values)
         parts = {"words": EliasFano.build(words >> np.uint64(1), 1 << 63),
                  "pointers": EliasFano.build(starts.astype(np.uint64), len(entries) + 1),
-                 "contexts": EliasFano.build(entries, max(len(words), 1) << bits)}
+                 "contexts": EliasFano.build(entries, max(len(entries), 1) << bits)}
         flat = {"counts": counts.astype(np.int64), "codes": codes, "odd": (words & np.uint64(1)).astype(np.uint8)}
         for name, (_, _, arrays) in parts.items():
             flat |= {f"{name}.{k}": v for k, v in arrays.items()}
@@ -154,6 +159,9 @@ class MappedTrie:
             EliasFano(n, low, {k: view[f"{name}.{k}"] for k in ("low", "high", "zeros")})
             for name, (n, low, _) in parts.items())
 
+    def _relative(self, first: np.ndarray, end: np.ndarray, context: np.ndarray) -> np.ndarray:
+        return (first.astype(np.uint64) << np.uint64(self.bits)) + context * (end - first).astype(np.uint64)
+
     def find_words(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of the words, -1 where a word is not in the trie."""
         i, equal = self.words.successor(hashes >> np.uint64(1))
@@ -175,15 +183,12 @@ class MappedTrie:
         """First and end of each word's contexts in level 2, by the pointers."""
         return self.pointers.access(word).astype(np.int64), self.pointers.access(word + 1).astype(np.int64)
 
-    def find(self, word: np.ndarray, first: np.ndarray, end: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Value of each context id below its word, NaN where the word was not seen after it.
-
-        The successor is searched relative to the word; it counts only inside the
-        word's range ``first``..``end``.
-        """
-        i, equal = self.contexts.successor((word.astype(np.uint64) << np.uint64(self.bits)) + context)
+    def find(self, first: np.ndarray, end: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Value of each context id in its word's range ``first``..``end`` of level 2, NaN where the
+        word was not seen after it: a successor search relative to the range."""
+        i, equal = self.contexts.successor(self._relative(first, end, context))
         equal &= (i >= first) & (i < end)
-        out = np.full(len(word), np.nan)
+        out = np.full(len(first), np.nan)
         out[equal] = self.centres[self.codes[i[equal]]]
         return out
 

@@ -172,9 +172,9 @@ def statistics(rows: DataFrame) -> Statistics:
 
 # -- pass 3: tokens to shards -------------------------------------------------------
 
-_TOKENS = ("shard long, chunk long, words binary, sizes binary, low binary, high binary, doc binary, train binary, "
+_TOKENS = ("shard long, chunk long, words binary, sizes binary, hash binary, code binary, doc binary, train binary, "
            "ids binary, lengths binary, held binary")
-_BLOBS = ("words", "sizes", "low", "high", "doc", "train", "ids", "lengths", "held")
+_BLOBS = ("words", "sizes", "hash", "code", "doc", "train", "ids", "lengths", "held")
 
 
 def _deal(shared):
@@ -212,7 +212,7 @@ def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
     sub = context >> np.uint64(8)
     shard = (K.mix(h + (sub % stats.fan(h)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(stats.shards)).astype(np.int64)
     doc = np.repeat(np.arange(len(size), dtype=np.uint16), size)
-    code = np.where(before == BEGIN, np.uint8(round(2 * np.log2(max(stats.docs, 1)))), stats.codes(before))
+    code = np.where(before == BEGIN, np.uint8(round(2 * np.log2(max(stats.docs, 1)))), stats.codes(before)).astype(np.uint8)
     order = np.lexsort((h, shard))
     h, shard, doc, context, code = h[order], shard[order], doc[order], context[order], code[order]
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(h)]
@@ -247,7 +247,7 @@ def _shard(shared):
             for b in batches:
                 yield _emit([_row(r["chunk"], "docs", r["doc"], r["ids"], r["lengths"], r["held"]) for r in b.to_pylist()])
             return
-        rows = [r for b in batches for r in b.select(["chunk", "words", "sizes", "low", "high", "doc", "train"]).to_pylist()]
+        rows = [r for b in batches for r in b.select(["chunk", "words", "sizes", "hash", "code", "doc", "train"]).to_pylist()]
         trie = _build(rows, stats)
         try:
             new = ~np.isin(trie_words := _all_words(trie), stats.hot)
@@ -268,7 +268,8 @@ def _all_words(trie: MappedTrie) -> np.ndarray:
 
 def _unpack(r):
     words, sizes = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
-    context = np.frombuffer(r["low"], np.uint32).astype(np.uint64) | np.frombuffer(r["high"], np.uint8).astype(np.uint64) << np.uint64(32)
+    # hash above, frequency code below
+    context = np.frombuffer(r["hash"], np.uint32).astype(np.uint64) << np.uint64(8) | np.frombuffer(r["code"], np.uint8).astype(np.uint64)
     doc = np.frombuffer(r["doc"], np.uint16).astype(np.int64)
     return words, sizes, context, doc
 
@@ -294,7 +295,7 @@ def _build(rows, stats: Statistics) -> MappedTrie:
     if len(stats.hot):                  # a frequent word has part of its contexts here
         at = np.minimum(np.searchsorted(stats.hot, words), len(stats.hot) - 1)
         counts = np.where(stats.hot[at] == words, stats.hot_counts[at], counts)
-    prior = stats.prior(entries >> np.uint64(32) & np.uint64(255))
+    prior = stats.prior(entries & np.uint64(255))
     values = np.log10(n + prior * (counts[word] - DISCOUNT) / stats.total) if len(n) else np.zeros(0)
     return MappedTrie(words, counts, entries, values, CONTEXT_BITS)
 
@@ -312,14 +313,14 @@ def _answer(r, trie: MappedTrie, stats: Statistics):
     if there.any():
         first[there], end[there] = trie.ranges(number[there])
     of = np.repeat(np.arange(len(words)), sizes)
-    prior = stats.prior(context >> np.uint64(32))
+    prior = stats.prior(context & np.uint64(255))
     unigram = np.where(count > 0, np.log10(np.maximum(count - DISCOUNT, 1e-9) / max(stats.total, 1)), 0.0)
     score = np.log10(prior) + unigram[of]               # an unknown word's unigram part is added at the end
     look = np.flatnonzero(there[of])
     for k in range(0, len(look), LOOKUPS):
         at = look[k:k + LOOKUPS]
         w = of[at]
-        found = trie.find(number[w], first[w], end[w], context[at])
+        found = trie.find(first[w], end[w], context[at])
         score[at] = np.where(np.isnan(found), score[at], found)
     # each word is also the next token's context; the end is nobody's
     as_context = np.where(words == END, 0.0, np.log10(count + stats.prior(stats.codes(words))))

@@ -163,7 +163,7 @@ def test_trie_finds_what_it_holds():
     of = (entries >> np.uint64(40)).astype(np.int64)
     first, end = trie.ranges(of)
     ids = entries & np.uint64((1 << 40) - 1)
-    assert np.abs(trie.find(of, first, end, ids) - values).mean() < 0.05
-    assert np.isnan(trie.find(of, first, end, ids ^ np.uint64(1 << 39))).mean() > 0.99
+    assert np.abs(trie.find(first, end, ids) - values).mean() < 0.05
+    assert np.isnan(trie.find(first, end, ids ^ np.uint64(1 << 39))).mean() > 0.99
     trie.close()
     assert not os.path.exists(trie.path)
