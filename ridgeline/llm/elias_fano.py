@@ -13,6 +13,9 @@ for _b in range(256):
         _BYTE_SELECT[_b, _k] = _p
 
 
+SLICE = 1 << 18
+
+
 class EliasFano:
     """A non-decreasing sequence of unsigned integers: packed low bits, unary high bits.
 
@@ -27,22 +30,23 @@ class EliasFano:
     @staticmethod
     def build(values: np.ndarray, universe: int) -> tuple[int, int, dict[str, np.ndarray]]:
         """(n, low bits, arrays) of sorted ``values`` below ``universe``."""
-        values = values.astype(np.uint64)
         n = len(values)
         low_bits = max(0, (int(universe) // max(n, 1)).bit_length() - 1)
-        width = np.uint64(low_bits)
-        rest = values & np.uint64((1 << low_bits) - 1)
+        width, mask = np.uint64(low_bits), np.uint64((1 << low_bits) - 1)
         words = np.zeros((n * low_bits + 63) // 64 + 2, np.uint64)
-        if low_bits and n:
-            at = np.arange(n, dtype=np.uint64) * width
-            word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-            np.bitwise_or.at(words, word, rest << shift)
-            over = shift + width > np.uint64(64)
-            np.bitwise_or.at(words, word[over] + 1, rest[over] >> (np.uint64(64) - shift[over]))
-        ones = (values >> width).astype(np.int64) + np.arange(n)
         size = int(universe - 1 >> low_bits) + n + 2 if universe else n + 2
         high = np.zeros((size + 63) // 64 + 1, np.uint64)
-        np.bitwise_or.at(high, ones >> 6, np.uint64(1) << (ones & 63).astype(np.uint64))
+        for k in range(0, n, SLICE):                # in slices: the working arrays stay small
+            part = values[k:k + SLICE].astype(np.uint64)
+            if low_bits:
+                rest = part & mask
+                at = np.arange(k, k + len(part), dtype=np.uint64) * width
+                word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+                np.bitwise_or.at(words, word, rest << shift)
+                over = shift + width > np.uint64(64)
+                np.bitwise_or.at(words, word[over] + 1, rest[over] >> (np.uint64(64) - shift[over]))
+            ones = (part >> width).astype(np.int64) + np.arange(k, k + len(part))
+            np.bitwise_or.at(high, ones >> 6, np.uint64(1) << (ones & 63).astype(np.uint64))
         zeros = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(high).astype(np.int64))]).astype(np.int64)
         return n, low_bits, {"low": words, "high": high, "zeros": zeros}
 
@@ -131,12 +135,14 @@ class MappedTrie:
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, entries: np.ndarray, values: np.ndarray, bits: int):
         """``words``: sorted hashes; ``entries``: sorted word number * 2^bits + context id, fewer than
-        2^(64 - bits); ``values`` of entries."""
+        2^(64 - bits), overwritten here; ``values`` of entries."""
         self.bits = bits
         starts = np.searchsorted(entries, np.arange(len(words) + 1, dtype=np.uint64) << np.uint64(bits))
-        word = (entries >> np.uint64(bits)).astype(np.int64)
-        entries = self._relative(starts[word], starts[word + 1], entries & np.uint64((1 << bits) - 1))
         codes, self.centres = quantise(values)
+        for k in range(0, len(entries), SLICE):     # in place: the caller hands its array over
+            part = entries[k:k + SLICE]
+            word = (part >> np.uint64(bits)).astype(np.int64)
+            entries[k:k + SLICE] = self._relative(starts[word], starts[word + 1], part & np.uint64((1 << bits) - 1))
         parts = {"words": EliasFano.build(words >> np.uint64(1), 1 << 63),
                  "pointers": EliasFano.build(starts.astype(np.uint64), len(entries) + 1),
                  "contexts": EliasFano.build(entries, max(len(entries), 1) << bits)}

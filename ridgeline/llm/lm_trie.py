@@ -39,14 +39,14 @@ from .elias_fano import MappedTrie
 from .shared import materialise
 
 SKETCH_BITS = 18
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 3_000_000
 CHUNK_BYTES = 16 << 20
 CHUNK_ROWS = 60_000
 CONTEXT_BITS = 40
 HOT_TOKENS = 1_000_000
 MAX_HOT = 1 << 20
 DISCOUNT, PRIOR, PRIOR_FLOOR = 0.75, 0.5, 50.0
-LOOKUPS = 500_000
+LOOKUPS = 250_000
 #: Hashes of the end of a text and of the context before its first word.
 END, BEGIN = K.mix(np.array([0x51ED270B1F1D3A2B, 0x2545F4914F6CDD1D], np.uint64))
 
@@ -226,16 +226,16 @@ def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
 
 # -- one shard: count, build, look up -----------------------------------------------
 
-_SUMS = "chunk long, kind string, doc binary, base binary, score binary, known binary, unknown binary, types long"
+_SUMS = "chunk long, kind string, doc binary, base binary, score binary, known binary, types long"
 
 
-def _row(chunk, kind, doc=None, base=None, score=None, known=None, unknown=None, types=0):
-    return (chunk, kind, doc, base, score, known, unknown, types)
+def _row(chunk, kind, doc=None, base=None, score=None, known=None, types=0):
+    return (chunk, kind, doc, base, score, known, types)
 
 
 def _emit(rows):
     schema = pa.schema([("chunk", pa.int64()), ("kind", pa.string())]
-                       + [(b, pa.binary()) for b in ("doc", "base", "score", "known", "unknown")] + [("types", pa.int64())])
+                       + [(b, pa.binary()) for b in ("doc", "base", "score", "known")] + [("types", pa.int64())])
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
                                       schema=schema)
 
@@ -283,20 +283,26 @@ def _build(rows, stats: Statistics) -> MappedTrie:
         number = np.repeat(np.searchsorted(words, own).astype(np.uint64), sizes)
         train = np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)[doc]
         keys.append((number[train] << np.uint64(CONTEXT_BITS)) | context[train])
-    keys = np.sort(np.concatenate(keys))
+    keys = np.concatenate(keys)
+    keys.sort()
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    entries, n = keys[new], np.diff(np.append(new, len(keys)))
-    word = (entries >> np.uint64(CONTEXT_BITS)).astype(np.int64)
+    entries, n = keys[new], np.diff(np.append(new, len(keys))).astype(np.int32)
+    del keys, new
+    word = (entries >> np.uint64(CONTEXT_BITS)).astype(np.int32)
     counts = np.bincount(word, n, len(words)).astype(np.int64)
     kept = counts > 0                   # words of held-out texts only are unknown
     words, counts = words[kept], counts[kept]
-    word = (np.cumsum(kept) - 1)[word]
-    entries = (word.astype(np.uint64) << np.uint64(CONTEXT_BITS)) | (entries & np.uint64((1 << CONTEXT_BITS) - 1))
+    word = (np.cumsum(kept) - 1).astype(np.int32)[word]
+    entries &= np.uint64((1 << CONTEXT_BITS) - 1)
+    entries |= word.astype(np.uint64) << np.uint64(CONTEXT_BITS)
     if len(stats.hot):                  # a frequent word has part of its contexts here
         at = np.minimum(np.searchsorted(stats.hot, words), len(stats.hot) - 1)
         counts = np.where(stats.hot[at] == words, stats.hot_counts[at], counts)
-    prior = stats.prior(entries & np.uint64(255))
-    values = np.log10(n + prior * (counts[word] - DISCOUNT) / stats.total) if len(n) else np.zeros(0)
+    values = np.zeros(len(n), np.float32)
+    for k in range(0, len(n), LOOKUPS):
+        prior = stats.prior(entries[k:k + LOOKUPS] & np.uint64(255))
+        values[k:k + LOOKUPS] = np.log10(n[k:k + LOOKUPS] + prior * (counts[word[k:k + LOOKUPS]] - DISCOUNT) / stats.total)
+    del word, n
     return MappedTrie(words, counts, entries, values, CONTEXT_BITS)
 
 
@@ -329,7 +335,7 @@ def _answer(r, trie: MappedTrie, stats: Statistics):
     known = count[of] > 0
     total = lambda v: np.bincount(at, v, len(docs))
     return _row(r["chunk"], "sums", docs.astype(np.uint16).tobytes(), total(np.log10(count + 1.0)[of]).tobytes(),
-                total(score).tobytes(), total(known).astype(np.uint32).tobytes(), total(~known).astype(np.uint32).tobytes())
+                total(score).astype(np.float32).tobytes(), total(known).astype(np.uint32).tobytes())
 
 
 # -- sums of a chunk ----------------------------------------------------------------
@@ -348,7 +354,7 @@ def _gather(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
                 named = np.frombuffer(r["doc"], np.uint8).astype(bool)
             else:
                 sums.append((np.frombuffer(r["doc"], np.uint16).astype(np.int64), np.frombuffer(r["base"], float),
-                             np.frombuffer(r["score"], float), np.frombuffer(r["known"], np.uint32)))
+                             np.frombuffer(r["score"], np.float32), np.frombuffer(r["known"], np.uint32)))
     base, score, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
     for doc, b, s, k in sums:
         base[doc] += b

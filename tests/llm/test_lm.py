@@ -157,7 +157,7 @@ def test_trie_finds_what_it_holds():
     at = rng.integers(0, len(w), 20000).astype(np.uint64)
     entries = np.unique(at << np.uint64(40) | rng.integers(0, 1 << 40, 20000).astype(np.uint64))
     values = rng.normal(size=len(entries))
-    trie = E.MappedTrie(w, np.arange(len(w)), entries, values, 40)
+    trie = E.MappedTrie(w, np.arange(len(w)), entries.copy(), values, 40)
     number = trie.find_words(np.concatenate([w, rng.integers(0, 1 << 64, 999, dtype=np.uint64)]))
     assert (number[:len(w)] == np.arange(len(w))).all() and (number[len(w):] == -1).all()
     of = (entries >> np.uint64(40)).astype(np.int64)
