@@ -31,7 +31,7 @@ DICT_BYTES = 112_640
 SAMPLE_ROWS = 2_000
 SAMPLE_BYTES = 6 << 20
 THRESHOLD = 0.3
-FEATURES = 4
+FEATURES = 3
 
 
 @dataclass
@@ -71,7 +71,7 @@ def features(n, good, bad) -> np.ndarray:
     best = np.minimum(good, bad)
     rate = np.log((best + 8) / (n + 16))
     difference = (bad - good) / (bad + good + 32)
-    return np.column_stack([difference, rate, rate ** 2, difference * np.log1p(n)])
+    return np.column_stack([difference, rate, difference * np.log1p(n)])
 
 
 def _train(texts: list[bytes]) -> bytes:
