@@ -133,11 +133,11 @@ def shingle_levels(sets: DataFrame) -> np.ndarray:
 
 # -- pass 2: the prefix of each set, cut into blocks --------------------------------
 
-_PREFIX = "doc_id long, n long, prefix binary"
+_PREFIX = "doc_id long, n long, last long, prefix binary"
 
 
 def _prefixes(levels):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("prefix", pa.binary())])
 
     def run(batches):
         level = levels.value
@@ -149,28 +149,29 @@ def _prefixes(levels):
                 slot = (sh >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                 # order key: level above 58 bits of the hash; stays positive as a signed long
                 key = (level[slot].astype(np.uint64) << np.uint64(58)) | (sh >> np.uint64(6))
-                n, blob = [], []
+                n, last, blob = [], [], []
                 for i in range(hi - lo):
                     s = K.distinct_sorted(key[off[i]:off[i + 1]])
                     p = _prefix_len(len(s)) if len(s) else 0
                     n.append(len(s))
+                    last.append(int(s[p - 1]) if p else 0)
                     blob.append(s[:p].tobytes())
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()),
+                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(last, pa.int64()),
                                                   pa.array(blob, pa.binary())], schema=schema)
     return run
 
 
-_ENTRIES = "block long, doc_id long, comp long, n long, keys binary, places binary"
+_ENTRIES = "block long, doc_id long, comp long, n long, last long, keys binary, places binary"
 
 
 def _to_blocks(blocks):
     schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()),
-                        ("keys", pa.binary()), ("places", pa.binary())])
+                        ("last", pa.int64()), ("keys", pa.binary()), ("places", pa.binary())])
 
     def run(batches):
         for batch in batches:
             ids, comp = batch.column("doc_id").to_numpy(), batch.column("comp").to_numpy()
-            n, prefixes = batch.column("n").to_numpy(), batch.column("prefix")
+            n, last, prefixes = batch.column("n").to_numpy(), batch.column("last").to_numpy(), batch.column("prefix")
             for at in range(0, batch.num_rows, 512):
                 rows, block, keys, places = [], [], [], []
                 for i in range(at, min(at + 512, batch.num_rows)):
@@ -186,7 +187,7 @@ def _to_blocks(blocks):
                         keys.append(k[lo:hi].tobytes())
                         places.append(place[lo:hi].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(ids[rows]), pa.array(comp[rows]),
-                                                  pa.array(n[rows]), pa.array(keys, pa.binary()),
+                                                  pa.array(n[rows]), pa.array(last[rows]), pa.array(keys, pa.binary()),
                                                   pa.array(places, pa.binary())], schema=schema)
     return run
 
@@ -208,16 +209,17 @@ def shared_entries(comp, row, keys):
     return order[np.repeat(own[at] != own[last], last - at + 1)]
 
 
-def block_product(doc, comp, n, common, row, keys, place):
+def block_product(doc, comp, n, last, common, row, keys, place):
     """Overlap counts of one block: batches of (a, b, na, nb, shared).
 
-    ``doc``, ``comp``, ``n`` and ``common`` describe the block's documents (id, first
-    component, set size, and how many n-grams of the prefix other components have
-    too); entry i says that document number ``row[i]`` has n-gram ``keys[i]`` as number
+    ``doc``, ``comp``, ``n``, ``last`` and ``common`` describe the block's documents (id,
+    first component, set size, the prefix's last n-gram, and how many n-grams of the
+    prefix other components have in theirs); entry i says that document number ``row[i]`` has n-gram ``keys[i]`` as number
     ``place[i]`` of its order.  Pairs are of different components, and their sizes must
     allow a link: only n-grams that stand early enough in both orders count (see
-    :func:`bounds`), and what is common in the prefix plus all behind it must reach
-    the overlap that is needed.
+    :func:`bounds`), and for the document whose prefix ends first (what it shares there
+    is in the other's prefix too), what is common in the prefix plus all behind it
+    must reach the overlap that is needed.
     """
     order = shared_entries(comp, row, keys)
     row, keys, place = row[order], keys[order], place[order]
@@ -256,7 +258,7 @@ def block_product(doc, comp, n, common, row, keys, place):
         room = np.minimum(nl - place[left], nr - place[right])      # n-grams left from here on
         needed, early = bounds(nl, nr)
         fits = ((4 * np.minimum(nl, nr) >= 3 * np.maximum(nl, nr)) & (room > needed - early)
-                & (np.minimum(reach[row[left]], reach[row[right]]) >= needed))
+                & (np.where(last[row[left]] <= last[row[right]], reach[row[left]], reach[row[right]]) >= needed))
         left, right = row[left[fits]], row[right[fits]]
         if not len(left):
             continue
@@ -288,7 +290,7 @@ def _entries_of(batches, names):
 
 def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The block's entries without the n-grams that only one component has."""
-    doc, comp, n, row, keys, places = _entries_of(batches, ("doc_id", "comp", "n"))
+    doc, comp, n, last, row, keys, places = _entries_of(batches, ("doc_id", "comp", "n", "last"))
     kept = np.sort(shared_entries(comp, row, keys))
     if not len(kept):
         return
@@ -298,14 +300,14 @@ def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
         spans = list(zip(edges[at:at + 20_000], edges[at + 1:at + 20_001], strict=False))
         own = row[[lo for lo, _ in spans]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()] * len(spans), pa.int64()), pa.array(doc[own]), pa.array(comp[own]), pa.array(n[own]),
+            [pa.array([key[0].as_py()] * len(spans), pa.int64()), pa.array(doc[own]), pa.array(comp[own]), pa.array(n[own]), pa.array(last[own]),
              pa.array([keys[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
              pa.array([places[lo:hi].tobytes() for lo, hi in spans], pa.binary())],
-            names=["block", "doc_id", "comp", "n", "keys", "places"])
+            names=["block", "doc_id", "comp", "n", "last", "keys", "places"])
 
 
 def _product(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "common"))):
+    for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "last", "common"))):
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out],
                                          names=["a", "b", "na", "nb", "shared"])
 
@@ -379,7 +381,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     label = reps.select("rep").distinct().join(first, F.col("rep") == F.col("id"), "left").select(
         F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("comp"))
     prefix = texts.where("doc_id is not null").mapInArrow(_prefixes(levels), _PREFIX).where("n > 0").join(label, "doc_id")
-    entries = prefix.select("doc_id", "comp", "n", "prefix").mapInArrow(_to_blocks(blocks), _ENTRIES)
+    entries = prefix.select("doc_id", "comp", "n", "last", "prefix").mapInArrow(_to_blocks(blocks), _ENTRIES)
     entries = materialise(entries.groupBy("block").applyInArrow(_reduce, _ENTRIES), "jaccard-entries")
     common = entries.groupBy("doc_id").agg(F.sum(F.octet_length("keys") / 8).cast("long").alias("common"))
     counted = (entries.join(common, "doc_id").groupBy("block").applyInArrow(_product, _PAIRS)

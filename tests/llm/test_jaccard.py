@@ -93,6 +93,11 @@ def test_bounds_hold_for_every_linked_pair():
         count = sum(all(len(s) - p[x] > needed - early and p[x] < q for s, p, q in zip((a, b), at, prefix))
                     for x in a & b)
         assert len(a & b) >= needed and early >= 1 and count >= early
+        # the document whose prefix ends first: common in both prefixes, and all behind its own
+        lasts = [max(order[x] for x in s if p[x] < q) for s, p, q in zip((a, b), at, prefix)]
+        f = 0 if lasts[0] <= lasts[1] else 1
+        common = sum(all(p[x] < q for p, q in zip(at, prefix)) for x in a & b)
+        assert common + (3 * len((a, b)[f]) + 3) // 4 - 1 >= needed
 
 
 def test_block_product_needs_no_same_component_pairs():
@@ -101,9 +106,9 @@ def test_block_product_needs_no_same_component_pairs():
     row = np.array([0, 1, 2, 3, 0, 3, 0, 1])
     doc, comp, n = np.array([1, 2, 3, 4]), np.array([1, 1, 1, 4]), np.array([10, 10, 5, 10])
     got = {}
-    for out in J.block_product(doc, comp, n, n, row, keys, np.zeros(8, np.uint16)):
+    for out in J.block_product(doc, comp, n, n, n, row, keys, np.zeros(8, np.uint16)):
         for a, b, *_, s in zip(*out, strict=True):
             got[int(a), int(b)] = got.get((int(a), int(b)), 0) + int(s)
     assert got == {(1, 4): 2, (2, 4): 1}
-    assert not list(J.block_product(doc, comp, n, n, row, keys, np.full(8, 5, np.uint16)))
-    assert not list(J.block_product(doc, comp, n, 0 * n, row, keys, np.zeros(8, np.uint16)))
+    assert not list(J.block_product(doc, comp, n, n, n, row, keys, np.full(8, 5, np.uint16)))
+    assert not list(J.block_product(doc, comp, n, n, 0 * n, row, keys, np.zeros(8, np.uint16)))
