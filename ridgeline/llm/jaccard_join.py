@@ -10,8 +10,8 @@ shingles is at least 3/4.  The steps, all over every document:
    In that order only the first ``n - ceil(3n/4) + 1`` shingles of a set of size
    ``n`` can hold the first shared one of a linked pair, so only these enter the
    incidence matrix.
-3. Star pairs (each representative against the smallest id with the same band of
-   two min-hashes, for a few bands) are verified exactly and joined to first
+3. Star pairs (each representative against the smallest and the largest id with the
+   same band of two min-hashes, for a few bands) are verified exactly and joined to first
    components.  This contracts large groups of near copies in linear work.
 4. The incidence matrix is cut into blocks by n-gram.  N-grams that one first
    component alone has are taken out, which leaves for each document how many
@@ -368,10 +368,11 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     reps = materialise(reps, "jaccard-reps")
     # star pairs on min-hashes
     keyed = reps.select("rep", "n", F.posexplode("mins").alias("perm", "key"))
-    centre = (keyed.groupBy("perm", "key").agg(F.min(F.struct("rep", "n")).alias("c"), F.count(F.lit(1)).alias("size"))
-              .where("size > 1").select("perm", "key", F.col("c.rep").alias("a"), F.col("c.n").alias("na")))
+    ends = keyed.groupBy("perm", "key").agg(F.min(F.struct("rep", "n")).alias("low"), F.max(F.struct("rep", "n")).alias("high"))
+    centre = ends.where("low.rep < high.rep").select("perm", "key", F.explode(F.array("low", "high")).alias("c")).select(
+        "perm", "key", F.col("c.rep").alias("a"), F.col("c.n").alias("na"))
     stars = (keyed.join(centre, ["perm", "key"]).where("rep <> a and 4 * least(n, na) >= 3 * greatest(n, na)")
-             .select("a", F.col("rep").alias("b")).distinct())
+             .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
     stars = materialise(stars, "jaccard-stars")
     links = materialise(verify_pairs(stars, texts).distinct(), "jaccard-links")
     first = materialise(components(links, "jaccard-first"), "jaccard-first")
