@@ -5,20 +5,22 @@ The model is a bigram one, smoothed by a Dirichlet prior on the unigram model:
     P(w | u) = (c(u, w) + m(u) P1(w)) / (c(u) + m(u)),    P1(w) = (c(w) - D) / N
 
 An unknown word gets the mass D V / N that the discount D frees; ``m(u)`` is
-``PRIOR`` times the count of u's slot in a count sketch of all training words, plus
-a constant, so frequent contexts keep a share for words they were never seen
-before.  The trie is the reversed one: words on the first level, below each word
+``PRIOR`` times u's own training count, to half a doubling, plus a constant, so
+frequent contexts keep a share for words they were never seen before.  The trie is the reversed one: words on the first level, below each word
 the contexts that precede it, with the quantised log of ``c(u, w) + m(u) P1(w)``.
 All else in the formula is a sum over single words, so a token needs its word's
 part of the trie only.
 
-1. One pass over the texts counts training tokens into the sketch (a megabyte of
-   slots, whatever the corpus) and N; a second counts the few frequent words.
-2. Each chunk of documents sends its tokens, as (word, context id, document), to
-   the shard of the word; a frequent word has several shards, dealt by context.
-3. A shard counts its training tokens, writes its trie to a memory-mapped file and
+1. One pass over the texts counts training tokens into a sketch (a megabyte of
+   slots, whatever the corpus) and N; a second counts the frequent words, which the
+   sketch only preselects.
+2. Every other context, with the shards of the words after it, goes to a shard of
+   its own, where it is counted; its count goes on to those shards.
+3. Each chunk of documents sends its tokens, as (word, context id, document), to
+   the shard of the word; a very frequent word has several, dealt by context.
+4. A shard counts its training tokens, writes its trie to a memory-mapped file and
    looks up all its tokens; it answers with sums for each document of a chunk.
-4. The sums of a chunk are added up over the shards.
+5. The sums of a chunk are added up over the shards.
 
 Shards grow in number with the corpus, not in size.
 """
@@ -44,9 +46,12 @@ CHUNK_BYTES = 16 << 20
 CHUNK_ROWS = 60_000
 CONTEXT_BITS = 40
 HOT_TOKENS = 1_000_000
+FREQUENT = 1000
 MAX_HOT = 1 << 20
 DISCOUNT, PRIOR, PRIOR_FLOOR = 0.75, 0.5, 50.0
 LOOKUPS = 250_000
+#: In the code of a context that is not in the list of frequent words: 7 more bits of its hash follow.
+RARE = 128
 #: Hashes of the end of a text and of the context before its first word.
 END, BEGIN = K.mix(np.array([0x51ED270B1F1D3A2B, 0x2545F4914F6CDD1D], np.uint64))
 
@@ -121,8 +126,7 @@ def _count_hot(shared):
 
 @dataclass
 class Statistics:
-    """What every task needs: bounded in size by the sketch and by MAX_HOT."""
-    sketch: np.ndarray          # training tokens of each slot
+    """What every task needs: bounded in size by the slots of the sketch and by MAX_HOT."""
     total: int                  # N
     docs: int                   # training documents
     hot: np.ndarray             # sorted hashes of frequent words
@@ -131,13 +135,15 @@ class Statistics:
     shards: int
 
     def prior(self, code: np.ndarray) -> np.ndarray:
-        """m(u) from a context's code, the doublings of its slot's count."""
+        """m(u) from a context's code."""
         return PRIOR * np.exp2(code.astype(float) / 2) + PRIOR_FLOOR
 
-    def codes(self, h: np.ndarray) -> np.ndarray:
-        """Half doublings of the slot's count; 0 for an empty slot."""
-        c = self.sketch[_slot(h)]
-        return np.round(2 * np.log2(np.maximum(c, 1))).astype(np.uint8)
+    def listed(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each word is in the list of frequent words, its count if so)"""
+        if not len(self.hot):
+            return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.hot, h), len(self.hot) - 1)
+        return self.hot[at] == h, self.hot_counts[at]
 
     def fan(self, h: np.ndarray) -> np.ndarray:
         if not len(self.hot):
@@ -146,6 +152,11 @@ class Statistics:
         return np.where(self.hot[at] == h, self.hot_fan[at], 1).astype(np.uint64)
 
 
+def codes(count: np.ndarray) -> np.ndarray:
+    """Half doublings of each count; 0 for 0.  Below ``RARE``."""
+    return np.round(2 * np.log2(np.maximum(count, 1))).astype(np.uint8)
+
+
 def statistics(rows: DataFrame) -> Statistics:
     """Counts over all rows (text, train)."""
     spark = rows.sparkSession
@@ -155,30 +166,116 @@ def statistics(rows: DataFrame) -> Statistics:
     for r in parts:
         sketch[r.part * width:(r.part + 1) * width] = np.frombuffer(r.counts, np.int64)
         total, docs = total + r.tokens, docs + r.docs
-    hot_slots = sketch >= max(HOT_TOKENS, 4 * total // len(sketch))
+    bound = max(min(FREQUENT, HOT_TOKENS), 4 * total // len(sketch))
+    hot_slots = sketch >= bound
     if hot_slots.any():
-        # a bounded list: at most total / HOT_TOKENS words, and never more than MAX_HOT
+        # a bounded list: at most a quarter of the slots or total / HOT_TOKENS words, never more than MAX_HOT
         found = (rows.mapInArrow(_count_hot(spark.sparkContext.broadcast(hot_slots)), "word long, n long")
-                 .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_TOKENS)
+                 .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min(bound, HOT_TOKENS))
                  .orderBy(F.desc("n"), "word").limit(MAX_HOT).collect())
     else:
         found = []
     word = np.array([r.word for r in found], np.int64).view(np.uint64)
     n = np.array([r.n for r in found], np.int64)
     order = np.argsort(word)
-    return Statistics(sketch, total, docs, word[order], n[order], -(-n[order] // (HOT_TOKENS // 2)),
+    fan = np.where(n >= HOT_TOKENS, -(-n // (HOT_TOKENS // 2)), 1)
+    return Statistics(total, docs, word[order], n[order], fan[order],
                       max(spark.sparkContext.defaultParallelism, -(-total // SHARD_TOKENS)))
 
 
-# -- pass 3: tokens to shards -------------------------------------------------------
+# -- the shard of each token --------------------------------------------------------
+
+def _placed(text: pa.Array, stats: Statistics):
+    """(word, word before, context hash, shard) of every token, and the first token of each row + total"""
+    h, first = tokens(text)
+    before = np.empty(len(h), np.uint64)
+    before[1:] = h[:-1]
+    before[first[:-1]] = BEGIN
+    context = K.mix(before)
+    sub = context >> np.uint64(8)
+    shard = (K.mix(h + (sub % stats.fan(h)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(stats.shards)).astype(np.int64)
+    return h, before, context, shard, first
+
+
+def _rare_id(context: np.ndarray) -> np.ndarray:
+    """The byte that takes the place of a rare context's code: 7 bits of its hash above the 32 that are sent."""
+    return ((context >> np.uint64(32)).astype(np.uint8) & np.uint8(RARE - 1)) | np.uint8(RARE)
+
+
+# -- pass 3: counts of the rare contexts to the shards of the words after them ------
+
+_CONTEXTS = "home long, contexts binary, sizes binary, shards binary, counts binary"
+
+
+def _list_contexts(shared):
+    schema = pa.schema([("home", pa.int64())] + [(b, pa.binary()) for b in ("contexts", "sizes", "shards", "counts")])
+
+    def run(batches):
+        stats = shared.value
+        for batch in batches:
+            for lo, hi in K.text_chunks(batch, limit=CHUNK_BYTES):
+                rows = list(_contexts_of(batch.slice(lo, hi - lo), stats))
+                for k in range(0, len(rows), 64):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 64], strict=True), schema, strict=True)],
+                        schema=schema)
+    return run
+
+
+def _contexts_of(part: pa.RecordBatch, stats: Statistics):
+    """For each home shard: its contexts, the shards each was seen for, and training tokens of each pair."""
+    _, before, context, shard, first = _placed(part.column("text"), stats)
+    train = np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first))
+    rare = ~stats.listed(before)[0] & (before != BEGIN)
+    context, shard, train = context[rare], shard[rare], train[rare]
+    if not len(context):
+        return
+    home = (K.mix(context) % np.uint64(stats.shards)).astype(np.int64)
+    order = np.lexsort((shard, context, home))
+    context, shard, train, home = context[order], shard[order], train[order], home[order]
+    pair = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])]))
+    n = np.add.reduceat(train.astype(np.uint32), pair, dtype=np.uint32)
+    context, shard, home = context[pair], shard[pair].astype(np.uint32), home[pair]
+    edges = [0, *(np.flatnonzero(np.diff(home)) + 1).tolist(), len(home)]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        at = np.flatnonzero(np.concatenate([[True], context[lo + 1:hi] != context[lo:hi - 1]]))
+        yield (int(home[lo]), context[lo:hi][at].tobytes(), np.diff(np.append(at, hi - lo)).astype(np.uint32).tobytes(),
+               shard[lo:hi].tobytes(), n[lo:hi].tobytes())
+
+
+def _count_contexts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The home shard's contexts with their codes, once for each shard they were seen for."""
+    parts = []
+    for b in batches:
+        for r in b.to_pylist():
+            of = np.repeat(np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["sizes"], np.uint32).astype(np.int64))
+            parts.append((of, np.frombuffer(r["shards"], np.uint32), np.frombuffer(r["counts"], np.uint32)))
+    context, shard, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts
+    known, of = np.unique(context, return_inverse=True)
+    code = codes(np.bincount(of, n, len(known)))[of]
+    order = np.lexsort((context, shard))
+    context, shard, code = context[order], shard[order], code[order]
+    new = np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])])
+    context, shard, code = context[new], shard[new], code[new]
+    edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+    rows = [(int(shard[lo]), None, None, None, context[lo:hi].astype(np.uint32).tobytes(), _rare_id(context[lo:hi]).tobytes(),
+             None, None, None, None, code[lo:hi].tobytes()) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+    for k in range(0, len(rows), 1024):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
+            zip(*rows[k:k + 1024], strict=True), _TOKENS_ARROW, strict=True)], schema=_TOKENS_ARROW)
+
+
+# -- pass 4: tokens to shards -------------------------------------------------------
 
 _TOKENS = ("shard long, chunk long, words binary, sizes binary, hash binary, code binary, doc binary, train binary, "
            "ids binary, lengths binary, held binary")
 _BLOBS = ("words", "sizes", "hash", "code", "doc", "train", "ids", "lengths", "held")
+_TOKENS_ARROW = pa.schema([("shard", pa.int64()), ("chunk", pa.int64())] + [(b, pa.binary()) for b in _BLOBS])
 
 
 def _deal(shared):
-    schema = pa.schema([("shard", pa.int64()), ("chunk", pa.int64())] + [(b, pa.binary()) for b in _BLOBS])
+    schema = _TOKENS_ARROW
 
     def run(batches):
         stats, number = shared.value, TaskContext.get().partitionId() << 32
@@ -196,7 +293,7 @@ def _deal(shared):
 
 
 def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
-    h, first = tokens(part.column("text"))
+    h, before, context, shard, first = _placed(part.column("text"), stats)
     size = np.diff(first)
     train = part.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
     ids = part.column("doc_id")
@@ -205,14 +302,10 @@ def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
     # the chunk's documents travel apart, with a shard number below 0
     yield (-1 - number % stats.shards, number, None, None, None, None, known.tobytes(), None,
            ids.fill_null(0).to_numpy().astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), held.tobytes())
-    before = np.empty(len(h), np.uint64)
-    before[1:] = h[:-1]
-    before[first[:-1]] = BEGIN
-    context = K.mix(before)
-    sub = context >> np.uint64(8)
-    shard = (K.mix(h + (sub % stats.fan(h)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(stats.shards)).astype(np.int64)
     doc = np.repeat(np.arange(len(size), dtype=np.uint16), size)
-    code = np.where(before == BEGIN, np.uint8(round(2 * np.log2(max(stats.docs, 1)))), stats.codes(before)).astype(np.uint8)
+    frequent, count = stats.listed(before)
+    count[before == BEGIN] = stats.docs
+    code = np.where(frequent | (before == BEGIN), codes(count), _rare_id(context))
     order = np.lexsort((h, shard))
     h, shard, doc, context, code = h[order], shard[order], doc[order], context[order], code[order]
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(h)]
@@ -247,7 +340,14 @@ def _shard(shared):
             for b in batches:
                 yield _emit([_row(r["chunk"], "docs", r["doc"], r["ids"], r["lengths"], r["held"]) for r in b.to_pylist()])
             return
-        rows = [r for b in batches for r in b.select(["chunk", "words", "sizes", "hash", "code", "doc", "train"]).to_pylist()]
+        rows, tables = [], []
+        for b in batches:
+            for r in b.select(["chunk", "words", "sizes", "hash", "code", "doc", "train", "held"]).to_pylist():
+                if r["chunk"] is None:
+                    tables.append((_context_ids(r), np.frombuffer(r["held"], np.uint8)))
+                else:
+                    rows.append(r)
+        _resolve(rows, tables)
         trie = _build(rows, stats)
         try:
             new = ~np.isin(trie_words := _all_words(trie), stats.hot)
@@ -266,12 +366,29 @@ def _all_words(trie: MappedTrie) -> np.ndarray:
     return trie.words.access(np.arange(trie.words.n)) << np.uint64(1) | trie.odd.astype(np.uint64)
 
 
+def _context_ids(r) -> np.ndarray:
+    """Hash above, frequency code below."""
+    return np.frombuffer(r["hash"], np.uint32).astype(np.uint64) << np.uint64(8) | np.frombuffer(r["code"], np.uint8).astype(np.uint64)
+
+
+def _resolve(rows, tables) -> None:
+    """Puts the codes of the rare contexts, which ``tables`` give, into ``rows``."""
+    if not tables:
+        return
+    ids, code = (np.concatenate(c) for c in zip(*tables, strict=True))
+    order = np.argsort(ids)
+    ids, code = ids[order], code[order]
+    for r in rows:
+        own = np.frombuffer(r["code"], np.uint8).copy()
+        rare = np.flatnonzero(own >= RARE)
+        own[rare] = code[np.searchsorted(ids, _context_ids(r)[rare])]
+        r["code"] = own.tobytes()
+
+
 def _unpack(r):
     words, sizes = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
-    # hash above, frequency code below
-    context = np.frombuffer(r["hash"], np.uint32).astype(np.uint64) << np.uint64(8) | np.frombuffer(r["code"], np.uint8).astype(np.uint64)
     doc = np.frombuffer(r["doc"], np.uint16).astype(np.int64)
-    return words, sizes, context, doc
+    return words, sizes, _context_ids(r), doc
 
 
 def _build(rows, stats: Statistics) -> MappedTrie:
@@ -295,9 +412,7 @@ def _build(rows, stats: Statistics) -> MappedTrie:
     word = (np.cumsum(kept) - 1).astype(np.int32)[word]
     entries &= np.uint64((1 << CONTEXT_BITS) - 1)
     entries |= word.astype(np.uint64) << np.uint64(CONTEXT_BITS)
-    if len(stats.hot):                  # a frequent word has part of its contexts here
-        at = np.minimum(np.searchsorted(stats.hot, words), len(stats.hot) - 1)
-        counts = np.where(stats.hot[at] == words, stats.hot_counts[at], counts)
+    counts = np.where(*stats.listed(words), counts)     # a frequent word may have part of its contexts here
     values = np.zeros(len(n), np.float32)
     for k in range(0, len(n), LOOKUPS):
         prior = stats.prior(entries[k:k + LOOKUPS] & np.uint64(255))
@@ -312,9 +427,7 @@ def _answer(r, trie: MappedTrie, stats: Statistics):
     number = trie.find_words(words)
     there = number >= 0
     count = np.where(there, trie.counts[number] if trie.words.n else 0, 0)
-    if len(stats.hot):                  # a frequent word may have no training context in this shard
-        at = np.minimum(np.searchsorted(stats.hot, words), len(stats.hot) - 1)
-        count = np.where(stats.hot[at] == words, stats.hot_counts[at], count)
+    count = np.where(*stats.listed(words), count)       # a frequent word may have no training context in this shard
     first, end = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     if there.any():
         first[there], end[there] = trie.ranges(number[there])
@@ -329,7 +442,7 @@ def _answer(r, trie: MappedTrie, stats: Statistics):
         found = trie.find(first[w], end[w], context[at])
         score[at] = np.where(np.isnan(found), score[at], found)
     # each word is also the next token's context; the end is nobody's
-    as_context = np.where(words == END, 0.0, np.log10(count + stats.prior(stats.codes(words))))
+    as_context = np.where(words == END, 0.0, np.log10(count + stats.prior(codes(count))))
     score -= as_context[of]
     docs, at = np.unique(doc, return_inverse=True)
     known = count[of] > 0
@@ -381,7 +494,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = rows.withColumn("train", ~F.col("held_out"))
     stats = statistics(rows)
     shared = spark.sparkContext.broadcast(stats)
-    sums = rows.mapInArrow(_deal(shared), _TOKENS).groupBy("shard").applyInArrow(_shard(shared), _SUMS)
+    counted = rows.mapInArrow(_list_contexts(shared), _CONTEXTS).groupBy("home").applyInArrow(_count_contexts, _TOKENS)
+    dealt = rows.mapInArrow(_deal(shared), _TOKENS).union(counted)
+    sums = dealt.groupBy("shard").applyInArrow(_shard(shared), _SUMS)
     sums = materialise(sums, "lm-sums")
     types = (sums.where("kind = 'types'").agg(F.sum("types")).first()[0] or 0) + int((stats.hot_counts > 0).sum())
     n = stats.total

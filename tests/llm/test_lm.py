@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,24 @@ def test_frequent_words_are_dealt_over_shards(spark, monkeypatch):
     assert {i: r[:4] for i, r in got(spark, rows).items()} == {i: r[:4] for i, r in plain.items()}
 
 
+def test_prior_is_of_the_contexts_own_count(spark, monkeypatch):
+    names = [f"n{i}" for i in range(400_000)]
+    slot = K.word_hashes(pa.array(names))[0] >> np.uint64(64 - L.SKETCH_BITS)
+    rare = names[int(np.flatnonzero(slot[1:] == slot[0])[0]) + 1]       # in the slot of the very frequent n0
+    free = [i for i in range(5000) if not held(i)]
+    test = [i for i in range(5000, 6000) if held(i)][:3]
+    rows = [(i, "n0 " * 40 + f"o{i}") for i in free[:500]] + [(i, f"{rare} after") for i in free[500:503]]
+    rows += [(test[0], f"{rare} after"), (test[1], f"{rare} n0"), (test[2], "never after")]
+    out = got(spark, rows)
+    monkeypatch.setattr(L, "SKETCH_BITS", 64)                           # the expected prior: of one word, not of a slot
+    want = expected(rows)
+    compare(out, want, 0.03)
+    monkeypatch.setattr(L, "SKETCH_BITS", 18)
+    monkeypatch.setattr(L, "SHARD_TOKENS", 700)
+    monkeypatch.setattr(L, "FREQUENT", 3)
+    compare(got(spark, rows), want, 0.03)
+
+
 def test_test_table_beats_the_base_on_held_out_texts(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in d.collect()]
