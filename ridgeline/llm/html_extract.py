@@ -3,7 +3,10 @@
 The markup is stripped to lines, one for each block of the page.  A line weighs
 as many code points as its text has outside links; lines of menus, headers,
 footers, adverts, forms, comments and the like weigh nothing, and where a page
-marks its article, so do all lines outside it.  The weights are summed over a
+marks its article, so do all lines outside it.  Class and id words name such a block
+only as a whole; they drop no heading or paragraph of a marked article, and an
+article in a block of such a name is kept unless it is a comment or the page has
+more text elsewhere.  The weights are summed over a
 sliding window of lines.  The sum surges where a text begins and dives to nothing
 where it ends; the lines between a surge and its dive are a region.  Pages
 without a marked article keep the regions whose peak reaches a bound (the heaviest
@@ -43,18 +46,28 @@ _SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
           "menu", "menubar", "toolbar", "tablist", "tooltip", "status"}
-#: Class or id words of blocks that are not part of an article.
-_JUNK = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "breadcrumb", "breadcrumbs",
-         "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer", "gdpr",
-         "header", "legal", "login", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter",
-         "notice", "notices", "notification", "overlay", "pager", "pagination", "popup", "promo", "promoted", "promotion",
-         "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup",
-         "skip", "social", "sponsor", "sponsored", "sponsors", "subscribe", "subscription", "teaser", "toolbar",
-         "topbar", "trending", "widget", "widgets", "announcement", "alert", "discussion", "feedback", "hidden"}
+#: Names of blocks that are not part of an article.  A class or id names such a block
+#: if it has one of these words and none but these and the ``_AROUND`` ones.
+_JUNK = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertisements", "advertising", "adsense", "adbox",
+         "banner", "breadcrumb", "breadcrumbs", "consent", "cookie", "cookies", "footer", "form", "gdpr", "header",
+         "login", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "pager",
+         "pagination", "popup", "promo", "promoted", "promotion", "share", "sharing", "sidebar", "signup", "sponsor",
+         "sponsored", "sponsors", "subscribe", "subscription", "toolbar", "topbar"}
+_COMMENT = {"comment", "comments", "disqus"}
+_AROUND = {"area", "bar", "block", "bottom", "box", "buttons", "contact", "container", "div", "first", "global", "group",
+           "holder", "id", "inner", "item", "left", "links", "list", "main", "mobile", "notice", "page", "panel",
+           "primary", "right", "search", "secondary", "section", "site", "slot", "social", "sub", "thread", "top",
+           "unit", "wrap", "wrapper"}
+_AROUND_COMMENT = _AROUND | {"article", "body", "entry", "form", "post", "reader", "readers", "reply", "respond", "text",
+                             "user", "users"}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: What drops an element, the later the firmer: a block's name around an article, a block's name, the rest.
+_AROUND_ARTICLE, _NAMED, _GONE_FOR_GOOD = 1, 2, 3
 
 
-def _is_junk(attributes: str) -> bool:
+def _is_gone(attributes: str) -> bool:
+    """Hidden, or of a role that is not part of an article."""
     for name, *values in _NAMES.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -63,25 +76,34 @@ def _is_junk(attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in _ROLES:
             return True
-        if name in ("class", "id") and any(w.lower() in _JUNK for w in _WORD.findall(value)):
-            return True
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, code points outside links, inside a marked article, inside a dropped block) of each block.
+def _named(attributes: str, names: set[str], around: set[str]) -> bool:
+    """Whether a whole class or the id is one of ``names``, alone or with words ``around`` it."""
+    for name, *values in _NAMES.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).split():
+                words = {w.lower() for w in _WORD.findall(token)}
+                if words & names and words <= names | around:
+                    return True
+    return False
+
+
+def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
+    """(text, code points outside links, inside a marked article, what drops it or 0) of each block.
 
     Character references are decoded, white space becomes single spaces.  A dropped
     block also leaves ``WINDOW`` empty lines, so that the text around it parts.
     """
-    lines: list[tuple[str, int, bool, bool]] = []
+    lines: list[tuple[str, int, bool, int]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, bool]] = []      # element, dropped, marked, link (each with its ancestors)
+    stack: list[tuple[str, int, bool, bool]] = []      # element, dropped, marked, link (each with its ancestors)
     at, lower = 0, None
 
     def state():
-        return stack[-1][1:] if stack else (False, False, False)
+        return stack[-1][1:] if stack else (0, False, False)
 
     def flush():
         nonlocal parts, linked
@@ -107,7 +129,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         was = state()[0]
         del stack[depth:]
         if was and not state()[0]:
-            lines.extend([("", 0, False, True)] * WINDOW)
+            lines.extend([("", 0, False, _GONE_FOR_GOOD)] * WINDOW)
 
     while True:
         found = _TOKEN.search(page, at)
@@ -161,9 +183,19 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
                         close(depth)
             if not attributes.endswith("/") or name not in _INLINE:
                 dropped, marked, link = state()
-                main = name in _MAIN or "role=\"main\"" in attributes
-                junk = not main and (name in _GONE or (attributes and name not in ("html", "body") and _is_junk(attributes)))
-                stack.append((name, dropped or bool(junk), marked or main, link or name == "a"))
+                own = attributes if name not in ("html", "body") else ""
+                text = marked and name in _TEXT         # no name drops a heading or paragraph of an article
+                comment = bool(own) and not text and _named(own, _COMMENT, _AROUND_COMMENT)
+                whole = name == "main" or "role=\"main\"" in attributes
+                main = whole or (name in _MAIN and not comment)
+                if main:
+                    # a name does not drop the article that it is around, unless the page has its text elsewhere
+                    dropped = (0 if whole else _AROUND_ARTICLE) if dropped == _NAMED else dropped
+                elif name in _GONE or comment or (own and _is_gone(own)):
+                    dropped = _GONE_FOR_GOOD
+                elif own and not text and _named(own, _JUNK, _AROUND):
+                    dropped = max(dropped, _NAMED)
+                stack.append((name, dropped, marked or main, link or name == "a"))
     flush()
     return lines
 
@@ -185,6 +217,11 @@ def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by newlines; empty if there are none."""
     lines = page_lines(page or "")
     marked = any(m and not dropped and text for text, _, m, dropped in lines)
+    if not marked:
+        around = sum(len(text) for text, _, m, dropped in lines if m and dropped == _AROUND_ARTICLE)
+        if around > sum(own for _, own, _, dropped in lines if not dropped):
+            marked = True
+            lines = [(text, own, m, 0 if m and dropped == _AROUND_ARTICLE else dropped) for text, own, m, dropped in lines]
     weights = np.array([0 if dropped or (marked and not m) else
                         (len(text) if marked or own >= (1 - LINKED) * len(text) else 0)
                         for text, own, m, dropped in lines], dtype=float)

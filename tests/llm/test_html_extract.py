@@ -48,6 +48,43 @@ def test_unmarked_page():
     assert not any(w in " ".join(got) for w in ("side", "comment", "aside", "foot", "cookies", "News"))
 
 
+def test_names_that_only_contain_a_word_of_a_block():
+    for name in ("page no-sidebar", "overflow-hidden", "has-banner post", "entry-header-none", "longform", "comments-open"):
+        assert H.main_text(f"<body><div class='{name}'>{page(BODY)}</div></body>").split("\n") == WANT, name
+    for name in ("content-with-header", "menu", "sidebar wide", "header"):      # the last three around the only article
+        assert H.main_text(f"<div id='{name}'><article>{BODY}</article></div>").split("\n") == WANT, name
+        assert H.main_text(f"<div id='{name}'><main>{BODY}</main></div><article>other</article>").split("\n") == [*WANT, "other"], name
+
+
+def test_parts_of_a_marked_article_with_such_words():
+    parts = [("section", "id", "discussion"), ("p", "class", "alert"), ("h2", "id", "search-methods"), ("div", "class", "feedback"),
+             ("div", "class", "legal"), ("ul", "class", "related"), ("p", "class", "ad"), ("h3", "id", "comments"),
+             ("div", "class", "notice"), ("section", "id", "cookies-and-law")]
+    body = "".join(f"<{e} {a}='{v}'>Text of {v}</{e}>" for e, a, v in parts)
+    assert H.main_text(page(BODY + body)).split("\n") == WANT + [f"Text of {v}" for _, _, v in parts]
+
+
+def test_named_blocks_go():
+    names = ["ad", "ad-slot-3", "topAds", "site-header", "main-nav", "footer_wrapper", "cookie-banner", "search-form", "sidebar",
+             "comments-area", "post-comments", "userComment", "newsletter-box", "social-share"]
+    junk = "".join(f"<div class='x {n}'><p>{LONG.format(n)}</p></div>" for n in names)
+    assert H.main_text(page(BODY + junk)).split("\n") == WANT
+    got = H.main_text(page(BODY + junk, article=False))
+    assert not any(LONG.format(n) in got for n in names)
+
+
+def test_comment_articles():
+    said = "".join(f"<article {a}><p>{LONG.format('said')}</p></article>"
+                   for a in ("class='comment'", "id='div-comment-7' class='comment-body'", "class=\"reader-comment odd\""))
+    assert H.main_text(page(BODY) + said).split("\n") == WANT
+    assert H.main_text(page(BODY + said)).split("\n") == WANT
+    teaser = f"<div class='sidebar'><article><p>{LONG.format('teaser')}</p></article></div>"
+    for extra in (said, f"<div id='comments'><article><p>{LONG.format('said')}</p></article></div>", teaser):
+        got = H.main_text(page(BODY, article=False) + extra).split("\n")
+        assert LONG.format(1) in got and LONG.format(2) + " after a break" in got
+        assert not any("said" in x or "teaser" in x for x in got)
+
+
 def test_broken_markup():
     assert H.main_text("<article><p>one<p>two</article>") == "one\ntwo"
     assert H.main_text("plain < text & more &amp") == "plain < text & more &"
