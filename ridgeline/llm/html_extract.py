@@ -8,13 +8,16 @@ only as a whole; they drop no heading or paragraph of a marked article, and an
 article in a block of such a name is kept unless it is a comment or the page has
 more text elsewhere.  The weights are summed over a
 sliding window of lines.  The sum surges where a text begins and dives to nothing
-where it ends; the lines between a surge and its dive are a region.  Pages
-without a marked article keep the regions whose peak reaches a bound (the heaviest
-if none does); marked ones keep every region.
+where it ends; the lines between a surge and its dive are a region.  On pages
+without a marked article the regions whose peak reaches a bound (the heaviest if
+none does) show the container that holds the text; all its lines outside dropped
+blocks are kept, whatever their length or share of links, with the rest of those
+regions.  Marked ones keep every region.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 
@@ -61,6 +64,8 @@ _AROUND = {"area", "bar", "block", "bottom", "box", "buttons", "contact", "conta
 _AROUND_COMMENT = _AROUND | {"article", "body", "entry", "form", "post", "reader", "readers", "reply", "respond", "text",
                              "user", "users"}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Elements that can be the container of a text.
+_CONTAINERS = {"html", "body", "div", "section", "center", "td"}
 _TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 #: What drops an element, the later the firmer: a block's name around an article, a block's name, the rest.
 _AROUND_ARTICLE, _NAMED, _GONE_FOR_GOOD = 1, 2, 3
@@ -90,28 +95,30 @@ def _named(attributes: str, names: set[str], around: set[str]) -> bool:
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
-    """(text, code points outside links, inside a marked article, what drops it or 0) of each block.
+def page_lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[int]]:
+    """(text, code points outside links, inside a marked article, what drops it or 0, container) of each block,
+    and the container around each container, -1 around the page (0).
 
     Character references are decoded, white space becomes single spaces.  A dropped
     block also leaves ``WINDOW`` empty lines, so that the text around it parts.
     """
-    lines: list[tuple[str, int, bool, int]] = []
+    lines: list[tuple[str, int, bool, int, int]] = []
+    around = [-1]
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, int, bool, bool]] = []      # element, dropped, marked, link (each with its ancestors)
+    stack: list[tuple[str, int, bool, bool, int]] = []  # element, dropped, marked, link (with its ancestors), container
     at, lower = 0, None
 
     def state():
-        return stack[-1][1:] if stack else (0, False, False)
+        return stack[-1][1:] if stack else (0, False, False, 0)
 
     def flush():
         nonlocal parts, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                dropped, marked, _ = state()
-                lines.append((text, max(0, len(text) - linked), marked, dropped))
+                dropped, marked, _, inside = state()
+                lines.append((text, max(0, len(text) - linked), marked, dropped, inside))
             parts, linked = [], 0
 
     def add(raw: str):
@@ -129,7 +136,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
         was = state()[0]
         del stack[depth:]
         if was and not state()[0]:
-            lines.extend([("", 0, False, _GONE_FOR_GOOD)] * WINDOW)
+            lines.extend([("", 0, False, _GONE_FOR_GOOD, 0)] * WINDOW)
 
     while True:
         found = _TOKEN.search(page, at)
@@ -182,7 +189,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
                     if all(s[0] in _INLINE or s[0] == "p" for s in stack[depth:]):
                         close(depth)
             if not attributes.endswith("/") or name not in _INLINE:
-                dropped, marked, link = state()
+                dropped, marked, link, inside = state()
+                if name in _CONTAINERS:
+                    around.append(inside)
+                    inside = len(around) - 1
                 own = attributes if name not in ("html", "body") else ""
                 text = marked and name in _TEXT         # no name drops a heading or paragraph of an article
                 comment = bool(own) and not text and _named(own, _COMMENT, _AROUND_COMMENT)
@@ -195,9 +205,47 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
                     dropped = _GONE_FOR_GOOD
                 elif own and not text and _named(own, _JUNK, _AROUND):
                     dropped = max(dropped, _NAMED)
-                stack.append((name, dropped, marked or main, link or name == "a"))
+                stack.append((name, dropped, marked or main, link or name == "a", inside))
     flush()
-    return lines
+    return lines, around
+
+
+def _holder(containers: list[int], around: list[int]) -> int:
+    """The innermost container that holds all of ``containers``; a container's number is above the one's around it."""
+    left = {*containers}
+    queue = [-c for c in left]                      # the highest number first
+    heapq.heapify(queue)
+    while len(left) > 1:
+        last = -heapq.heappop(queue)
+        left.remove(last)
+        if around[last] not in left:
+            left.add(around[last])
+            heapq.heappush(queue, -around[last])
+    return left.pop()
+
+
+def _inside(holder: int, around: list[int]) -> list[bool]:
+    """Whether each container is ``holder`` or inside it."""
+    out: list[bool] = []
+    for k, outer in enumerate(around):
+        out.append(k == holder or (outer >= 0 and out[outer]))
+    return out
+
+
+def _container_lines(lines, around: list[int], found: list[tuple[int, int, float]], weights: np.ndarray) -> set[int]:
+    """The lines of the container that the regions' long lines (all their lines if none is long) show."""
+    within = [k for a, b, _ in found for k in range(a, b) if weights[k] > 0]
+    holder = _holder([lines[k][4] for k in within if weights[k] >= PEAK] or [lines[k][4] for k in within], around)
+    kept = [k for k, (text, _, _, dropped, _) in enumerate(lines) if text and not dropped]
+    count = [0] * len(around)
+    for k in kept:
+        count[lines[k][4]] += 1
+    for c in range(len(around) - 1, 0, -1):
+        count[around[c]] += count[c]
+    while holder and count[holder] == 1:            # around a single line only
+        holder = around[holder]
+    inside = _inside(holder, around)
+    return {k for k in kept if inside[lines[k][4]]}
 
 
 def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, float]]:
@@ -215,21 +263,25 @@ def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, f
 
 def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by newlines; empty if there are none."""
-    lines = page_lines(page or "")
-    marked = any(m and not dropped and text for text, _, m, dropped in lines)
+    lines, around = page_lines(page or "")
+    marked = any(m and not dropped and text for text, _, m, dropped, _ in lines)
     if not marked:
-        around = sum(len(text) for text, _, m, dropped in lines if m and dropped == _AROUND_ARTICLE)
-        if around > sum(own for _, own, _, dropped in lines if not dropped):
+        named = sum(len(text) for text, _, m, dropped, _ in lines if m and dropped == _AROUND_ARTICLE)
+        if named > sum(own for _, own, _, dropped, _ in lines if not dropped):
             marked = True
-            lines = [(text, own, m, 0 if m and dropped == _AROUND_ARTICLE else dropped) for text, own, m, dropped in lines]
+            lines = [(text, own, m, 0 if m and dropped == _AROUND_ARTICLE else dropped, inside)
+                     for text, own, m, dropped, inside in lines]
     weights = np.array([0 if dropped or (marked and not m) else
                         (len(text) if marked or own >= (1 - LINKED) * len(text) else 0)
-                        for text, own, m, dropped in lines], dtype=float)
+                        for text, own, m, dropped, _ in lines], dtype=float)
     found = regions(weights)
     if not marked and found:
         bound = min(PEAK, max(p for _, _, p in found))
         found = [r for r in found if r[2] >= bound]
-    return "\n".join(lines[k][0] for a, b, _ in found for k in range(a, b) if weights[k] > 0)
+    kept = {k for a, b, _ in found for k in range(a, b) if weights[k] > 0}
+    if not marked and found:
+        kept |= _container_lines(lines, around, found, weights)
+    return "\n".join(lines[k][0] for k in sorted(kept))
 
 
 def _texts(pages: pd.Series) -> pd.Series:

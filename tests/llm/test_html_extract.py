@@ -48,6 +48,21 @@ def test_unmarked_page():
     assert not any(w in " ".join(got) for w in ("side", "comment", "aside", "foot", "cookies", "News"))
 
 
+def test_unmarked_page_is_kept_whole():
+    assert H.main_text(page(BODY, article=False)).split("\n") == WANT
+    ad = f"<div class='ad'>{LONG.format('ad')}</div>"
+    tail = f"{ad}<p>The end.</p>{ad}<p><a href=x>All of this short line is a link</a></p><div>{ad}<ul><li>x</ul></div>"
+    want = [*WANT, "The end.", "All of this short line is a link", "x"]
+    assert H.main_text(page(BODY + tail, article=False)).split("\n") == want
+    menu = "<div><ul>" + "<li><a href=x>Entry of an unnamed menu</a></li>" * 9 + "</ul></div>"
+    assert H.main_text(f"<body>{menu}{ad}{page(BODY + tail, article=False)}</body>").split("\n") == want
+    parts = "".join(f"<div><p>{LONG.format(k)}</p></div><div>{ad}<p>No. {k}</p>{ad}</div>" for k in range(3))
+    want = [x for k in range(3) for x in (LONG.format(k), f"No. {k}")]
+    assert H.main_text(f"<body>{menu}<div>{parts}</div></body>").split("\n") == want
+    one = f"<div><div><p>{LONG.format(1)}</p></div>{ad}<p>Bye</p></div>"
+    assert H.main_text(f"<body>{menu}{one}</body>").split("\n") == [LONG.format(1), "Bye"]
+
+
 def test_names_that_only_contain_a_word_of_a_block():
     for name in ("page no-sidebar", "overflow-hidden", "has-banner post", "entry-header-none", "longform", "comments-open"):
         assert H.main_text(f"<body><div class='{name}'>{page(BODY)}</div></body>").split("\n") == WANT, name
