@@ -129,24 +129,33 @@ class MappedTrie:
     ids, relative to their word's range: entry = begin * 2^bits + id * range length
     (Elias-Fano), one byte of value each.  Ids are spread evenly over 2^bits, so the
     entries are spread evenly too, however many contexts a word has, and a successor
-    search looks at one or two of them.  All arrays lie in one memory-mapped file, removed by
+    search looks at one or two of them.  Level 3, if given, is built like level 2, with
+    ids of the contexts of two words; an entry of level 2 then has one more byte, its
+    weight as such a context.  All arrays lie in one memory-mapped file, removed by
     :meth:`close`.
     """
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, entries: np.ndarray, values: np.ndarray, bits: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, entries: np.ndarray, values: np.ndarray, bits: int,
+                 weights: np.ndarray | None = None, longer: tuple[np.ndarray, np.ndarray] | None = None):
         """``words``: sorted hashes; ``entries``: sorted word number * 2^bits + context id, fewer than
-        2^(64 - bits), overwritten here; ``values`` of entries."""
+        2^(64 - bits), overwritten here; ``values`` and ``weights`` of entries; ``longer``: entries and
+        values of level 3."""
         self.bits = bits
-        starts = np.searchsorted(entries, np.arange(len(words) + 1, dtype=np.uint64) << np.uint64(bits))
-        codes, self.centres = quantise(values)
-        for k in range(0, len(entries), SLICE):     # in place: the caller hands its array over
-            part = entries[k:k + SLICE]
-            word = (part >> np.uint64(bits)).astype(np.int64)
-            entries[k:k + SLICE] = self._relative(starts[word], starts[word + 1], part & np.uint64((1 << bits) - 1))
-        parts = {"words": EliasFano.build(words >> np.uint64(1), 1 << 63),
-                 "pointers": EliasFano.build(starts.astype(np.uint64), len(entries) + 1),
-                 "contexts": EliasFano.build(entries, max(len(entries), 1) << bits)}
-        flat = {"counts": counts.astype(np.int64), "codes": codes, "odd": (words & np.uint64(1)).astype(np.uint8)}
+        parts = {"words": EliasFano.build(words >> np.uint64(1), 1 << 63)}
+        flat = {"counts": counts.astype(np.int64), "odd": (words & np.uint64(1)).astype(np.uint8)}
+        self.centres: list[np.ndarray] = []
+        for level, (e, v) in enumerate([(entries, values)] + ([longer] if longer else [])):
+            starts = np.searchsorted(e, np.arange(len(words) + 1, dtype=np.uint64) << np.uint64(bits))
+            flat[f"codes{level}"], centres = quantise(v)
+            self.centres.append(centres)
+            for k in range(0, len(e), SLICE):       # in place: the caller hands its array over
+                part = e[k:k + SLICE]
+                word = (part >> np.uint64(bits)).astype(np.int64)
+                e[k:k + SLICE] = self._relative(starts[word], starts[word + 1], part & np.uint64((1 << bits) - 1))
+            parts[f"pointers{level}"] = EliasFano.build(starts.astype(np.uint64), len(e) + 1)
+            parts[f"contexts{level}"] = EliasFano.build(e, max(len(e), 1) << bits)
+        if weights is not None:
+            flat["weights"], self.weight_centres = quantise(weights)
         for name, (_, _, arrays) in parts.items():
             flat |= {f"{name}.{k}": v for k, v in arrays.items()}
         handle, self.path = tempfile.mkstemp(suffix=".trie")
@@ -160,10 +169,12 @@ class MappedTrie:
         disk = np.memmap(self.path, np.uint8, "r")
         view = {n: disk[o:o + size * t.itemsize].view(t) for n, (o, t, size) in places.items()}
         self.disk = disk
-        self.counts, self.codes, self.odd = view["counts"], view["codes"], view["odd"]
-        self.words, self.pointers, self.contexts = (
-            EliasFano(n, low, {k: view[f"{name}.{k}"] for k in ("low", "high", "zeros")})
-            for name, (n, low, _) in parts.items())
+        made = {name: EliasFano(n, low, {k: view[f"{name}.{k}"] for k in ("low", "high", "zeros")})
+                for name, (n, low, _) in parts.items()}
+        levels = range(len(self.centres))
+        self.counts, self.odd, self.weights, self.words = view["counts"], view["odd"], view.get("weights"), made["words"]
+        self.codes = [view[f"codes{k}"] for k in levels]
+        self.pointers, self.contexts = ([made[f"{name}{k}"] for k in levels] for name in ("pointers", "contexts"))
 
     def _relative(self, first: np.ndarray, end: np.ndarray, context: np.ndarray) -> np.ndarray:
         return (first.astype(np.uint64) << np.uint64(self.bits)) + context * (end - first).astype(np.uint64)
@@ -185,19 +196,28 @@ class MappedTrie:
             out[ok] = at[ok]
         return out
 
-    def ranges(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and end of each word's contexts in level 2, by the pointers."""
-        return self.pointers.access(word).astype(np.int64), self.pointers.access(word + 1).astype(np.int64)
+    def ranges(self, word: np.ndarray, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """First and end of each word's contexts, by the pointers; ``level`` 1 is that of two words."""
+        pointers = self.pointers[level]
+        return pointers.access(word).astype(np.int64), pointers.access(word + 1).astype(np.int64)
 
-    def find(self, first: np.ndarray, end: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Value of each context id in its word's range ``first``..``end`` of level 2, NaN where the
+    def places(self, first: np.ndarray, end: np.ndarray, context: np.ndarray, level: int = 0) -> np.ndarray:
+        """Number of each context id's entry in its word's range ``first``..``end``, -1 where the
         word was not seen after it: a successor search relative to the range."""
-        i, equal = self.contexts.successor(self._relative(first, end, context))
-        equal &= (i >= first) & (i < end)
+        i, equal = self.contexts[level].successor(self._relative(first, end, context))
+        return np.where(equal & (i >= first) & (i < end), i, -1)
+
+    def find(self, first: np.ndarray, end: np.ndarray, context: np.ndarray, level: int = 0) -> np.ndarray:
+        """Value of each context id in its word's range, NaN where the word was not seen after it."""
+        i = self.places(first, end, context, level)
         out = np.full(len(first), np.nan)
-        out[equal] = self.centres[self.codes[i[equal]]]
+        out[i >= 0] = self.centres[level][self.codes[level][i[i >= 0]]]
         return out
 
+    def weight(self, i: np.ndarray) -> np.ndarray:
+        """Weight of entries ``i`` of level 2."""
+        return self.weight_centres[self.weights[i]]
+
     def close(self) -> None:
         del self.disk
         os.unlink(self.path)

@@ -1,15 +1,22 @@
 """Language-model scoring with a sharded Elias-Fano n-gram trie.
 
-The model is a bigram one, smoothed by a Dirichlet prior on the unigram model:
+The model is a trigram one (``order`` 3) or a bigram one (2).  The bigrams are smoothed
+by a Dirichlet prior on the unigram model:
 
     P(w | u) = (c(u, w) + m(u) P1(w)) / (c(u) + m(u)),    P1(w) = (c(w) - D) / N
 
 An unknown word gets the mass D V / N that the discount D frees; ``m(u)`` is
 ``PRIOR`` times u's own training count, to half a doubling, plus a constant, so
-frequent contexts keep a share for words they were never seen before.  The trie is the reversed one: words on the first level, below each word
+frequent contexts keep a share for words they were never seen before.  The trigrams
+are smoothed likewise by the bigrams, with a constant mass M:
+
+    P(w | v u) = (c(v, u, w) + M P(w | u)) / (c(v, u) + M)
+
+A context that was never seen leaves P(w | u) as it is.  The trie is the reversed one: words on the first level, below each word
 the contexts that precede it, with the quantised log of ``c(u, w) + m(u) P1(w)``.
 All else in the formula is a sum over single words, so a token needs its word's
-part of the trie only.
+part of the trie only.  Trigrams are one more level below each word, with the log of
+``c(v, u, w) + M P(w | u)``; the log of ``c(v, u) + M`` lies with u, at its context v.
 
 1. One pass over the texts counts training tokens into a sketch (a megabyte of
    slots, whatever the corpus) and N; a second counts the frequent words, which the
@@ -49,6 +56,7 @@ HOT_TOKENS = 1_000_000
 FREQUENT = 1000
 MAX_HOT = 1 << 20
 DISCOUNT, PRIOR, PRIOR_FLOOR = 0.75, 0.5, 50.0
+LONGER_PRIOR = 50.0
 LOOKUPS = 250_000
 #: In the code of a context that is not in the list of frequent words: 7 more bits of its hash follow.
 RARE = 128
@@ -133,6 +141,7 @@ class Statistics:
     hot_counts: np.ndarray
     hot_fan: np.ndarray         # shards of each
     shards: int
+    order: int = 2
 
     def prior(self, code: np.ndarray) -> np.ndarray:
         """m(u) from a context's code."""
@@ -183,8 +192,27 @@ def statistics(rows: DataFrame) -> Statistics:
                       max(spark.sparkContext.defaultParallelism, -(-total // SHARD_TOKENS)))
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: long runs for the shuffle's compression."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def _from_planes(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
 # -- the shard of each token --------------------------------------------------------
 
+def _longer(before: np.ndarray, context: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """3 bytes for each token: bits of the hash of the two words before it."""
+    second = np.empty(len(before), np.uint64)
+    second[1:] = before[:-1]
+    second[first[:-1]] = BEGIN
+    h = (K.mix(context + second * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype("<u4")
+    return h.view(np.uint8).reshape(-1, 4)[:, :3]
+
+
 def _placed(text: pa.Array, stats: Statistics):
     """(word, word before, context hash, shard) of every token, and the first token of each row + total"""
     h, first = tokens(text)
@@ -239,28 +267,28 @@ def _contexts_of(part: pa.RecordBatch, stats: Statistics):
     edges = [0, *(np.flatnonzero(np.diff(home)) + 1).tolist(), len(home)]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         at = np.flatnonzero(np.concatenate([[True], context[lo + 1:hi] != context[lo:hi - 1]]))
-        yield (int(home[lo]), context[lo:hi][at].tobytes(), np.diff(np.append(at, hi - lo)).astype(np.uint32).tobytes(),
-               shard[lo:hi].tobytes(), n[lo:hi].tobytes())
+        yield (int(home[lo]), context[lo:hi][at].tobytes(), _planes(np.diff(np.append(at, hi - lo)).astype(np.uint32)),
+               _planes(shard[lo:hi]), _planes(n[lo:hi]))
 
 
 def _count_contexts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The home shard's contexts with their codes, once for each shard they were seen for."""
+    """The home shard's contexts with their counts, once for each shard they were seen for."""
     parts = []
     for b in batches:
         for r in b.to_pylist():
-            of = np.repeat(np.frombuffer(r["contexts"], np.uint64), np.frombuffer(r["sizes"], np.uint32).astype(np.int64))
-            parts.append((of, np.frombuffer(r["shards"], np.uint32), np.frombuffer(r["counts"], np.uint32)))
+            of = np.repeat(np.frombuffer(r["contexts"], np.uint64), _from_planes(r["sizes"], np.uint32).astype(np.int64))
+            parts.append((of, _from_planes(r["shards"], np.uint32), _from_planes(r["counts"], np.uint32)))
     context, shard, n = (np.concatenate(c) for c in zip(*parts, strict=True))
     del parts
     known, of = np.unique(context, return_inverse=True)
-    code = codes(np.bincount(of, n, len(known)))[of]
+    n = np.bincount(of, n, len(known)).astype(np.uint32)[of]
     order = np.lexsort((context, shard))
-    context, shard, code = context[order], shard[order], code[order]
+    context, shard, n = context[order], shard[order], n[order]
     new = np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])])
-    context, shard, code = context[new], shard[new], code[new]
+    context, shard, n = context[new], shard[new], n[new]
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
     rows = [(int(shard[lo]), None, None, None, context[lo:hi].astype(np.uint32).tobytes(), _rare_id(context[lo:hi]).tobytes(),
-             None, None, None, None, code[lo:hi].tobytes()) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+             None, None, None, None, _planes(n[lo:hi]), None) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
     for k in range(0, len(rows), 1024):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
             zip(*rows[k:k + 1024], strict=True), _TOKENS_ARROW, strict=True)], schema=_TOKENS_ARROW)
@@ -269,8 +297,8 @@ def _count_contexts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch
 # -- pass 4: tokens to shards -------------------------------------------------------
 
 _TOKENS = ("shard long, chunk long, words binary, sizes binary, hash binary, code binary, doc binary, train binary, "
-           "ids binary, lengths binary, held binary")
-_BLOBS = ("words", "sizes", "hash", "code", "doc", "train", "ids", "lengths", "held")
+           "ids binary, lengths binary, held binary, longer binary")
+_BLOBS = ("words", "sizes", "hash", "code", "doc", "train", "ids", "lengths", "held", "longer")
 _TOKENS_ARROW = pa.schema([("shard", pa.int64()), ("chunk", pa.int64())] + [(b, pa.binary()) for b in _BLOBS])
 
 
@@ -301,20 +329,22 @@ def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
     held = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8)
     # the chunk's documents travel apart, with a shard number below 0
     yield (-1 - number % stats.shards, number, None, None, None, None, known.tobytes(), None,
-           ids.fill_null(0).to_numpy().astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), held.tobytes())
+           ids.fill_null(0).to_numpy().astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), held.tobytes(), None)
     doc = np.repeat(np.arange(len(size), dtype=np.uint16), size)
     frequent, count = stats.listed(before)
     count[before == BEGIN] = stats.docs
     code = np.where(frequent | (before == BEGIN), codes(count), _rare_id(context))
+    longer = _longer(before, context, first) if stats.order > 2 else None
     order = np.lexsort((h, shard))
     h, shard, doc, context, code = h[order], shard[order], doc[order], context[order], code[order]
+    longer = longer[order] if longer is not None else None
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(h)]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         new = np.concatenate([[True], h[lo + 1:hi] != h[lo:hi - 1]])
         at = np.flatnonzero(new)
-        yield (int(shard[lo]), number, h[lo:hi][at].tobytes(), np.diff(np.append(at, hi - lo)).astype(np.uint32).tobytes(),
-               context[lo:hi].astype(np.uint32).tobytes(), code[lo:hi].tobytes(), doc[lo:hi].tobytes(),
-               np.packbits(train).tobytes(), None, None, None)
+        yield (int(shard[lo]), number, h[lo:hi][at].tobytes(), _planes(np.diff(np.append(at, hi - lo)).astype(np.uint32)),
+               context[lo:hi].astype(np.uint32).tobytes(), code[lo:hi].tobytes(), _planes(doc[lo:hi]),
+               np.packbits(train).tobytes(), None, None, None, longer[lo:hi].tobytes() if longer is not None else None)
 
 
 # -- one shard: count, build, look up -----------------------------------------------
@@ -342,19 +372,20 @@ def _shard(shared):
             return
         rows, tables = [], []
         for b in batches:
-            for r in b.select(["chunk", "words", "sizes", "hash", "code", "doc", "train", "held"]).to_pylist():
+            for r in b.select(["chunk", "words", "sizes", "hash", "code", "doc", "train", "held", "longer"]).to_pylist():
                 if r["chunk"] is None:
-                    tables.append((_context_ids(r), np.frombuffer(r["held"], np.uint8)))
+                    tables.append((_context_ids(r), _from_planes(r["held"], np.uint32)))
                 else:
                     rows.append(r)
-        _resolve(rows, tables)
-        trie = _build(rows, stats)
+        seen = _resolve(rows, tables, stats)
+        del tables
+        trie = _build(rows, stats, seen)
         try:
             new = ~np.isin(trie_words := _all_words(trie), stats.hot)
             yield _emit([_row(None, "types", types=int(new.sum()))])
             del trie_words
             for r in rows:
-                yield _emit([_answer(r, trie, stats)])
+                yield _emit([_answer(r, trie, stats, seen)])
         finally:
             trie.close()
     return run
@@ -371,39 +402,68 @@ def _context_ids(r) -> np.ndarray:
     return np.frombuffer(r["hash"], np.uint32).astype(np.uint64) << np.uint64(8) | np.frombuffer(r["code"], np.uint8).astype(np.uint64)
 
 
-def _resolve(rows, tables) -> None:
-    """Puts the codes of the rare contexts, which ``tables`` give, into ``rows``."""
-    if not tables:
-        return
-    ids, code = (np.concatenate(c) for c in zip(*tables, strict=True))
+def _resolve(rows, tables, stats: Statistics) -> np.ndarray:
+    """Training counts of the contexts, which the list of frequent words and ``tables`` give; ``rows`` get the
+    place of each token's context among them, and its code."""
+    n = np.append(stats.hot_counts, stats.docs)
+    ids = K.mix(np.append(stats.hot, BEGIN)).astype(np.uint32).astype(np.uint64) << np.uint64(8) | codes(n)
+    if tables:
+        rare, count = (np.concatenate(c) for c in zip(*tables, strict=True))
+        ids, n = np.append(ids, rare), np.append(n, count)
     order = np.argsort(ids)
-    ids, code = ids[order], code[order]
+    ids, n = ids[order], n[order].astype(np.int64)
+    code = codes(n)
     for r in rows:
-        own = np.frombuffer(r["code"], np.uint8).copy()
-        rare = np.flatnonzero(own >= RARE)
-        own[rare] = code[np.searchsorted(ids, _context_ids(r)[rare])]
-        r["code"] = own.tobytes()
+        r["place"] = np.searchsorted(ids, _context_ids(r)).astype(np.int32)
+        r["code"] = code[r["place"]].tobytes()
+    return n
+
+
+def _longer_ids(r, context: np.ndarray) -> np.ndarray:
+    """Ids of the contexts of two words: 24 bits of their hash above, 16 of the second's below."""
+    h = np.frombuffer(r["longer"], np.uint8).reshape(-1, 3).astype(np.uint64)
+    h = h[:, 0] | h[:, 1] << np.uint64(8) | h[:, 2] << np.uint64(16)
+    return h << np.uint64(16) | context >> np.uint64(8) & np.uint64(0xFFFF)
 
 
 def _unpack(r):
-    words, sizes = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
-    doc = np.frombuffer(r["doc"], np.uint16).astype(np.int64)
+    words, sizes = np.frombuffer(r["words"], np.uint64), _from_planes(r["sizes"], np.uint32).astype(np.int64)
+    doc = _from_planes(r["doc"], np.uint16).astype(np.int64)
     return words, sizes, _context_ids(r), doc
 
 
-def _build(rows, stats: Statistics) -> MappedTrie:
+def _build(rows, stats: Statistics, seen: np.ndarray) -> MappedTrie:
     """The trie of the shard's training tokens."""
     words = np.unique(np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows]))
-    keys = []
+    keys, longer, place = [], [], []
     for r in rows:
         own, sizes, context, doc = _unpack(r)
         number = np.repeat(np.searchsorted(words, own).astype(np.uint64), sizes)
         train = np.unpackbits(np.frombuffer(r["train"], np.uint8)).astype(bool)[doc]
         keys.append((number[train] << np.uint64(CONTEXT_BITS)) | context[train])
+        if stats.order > 2:
+            longer.append((number[train] << np.uint64(CONTEXT_BITS)) | _longer_ids(r, context)[train])
+            place.append(r["place"][train])
     keys = np.concatenate(keys)
-    keys.sort()
+    if stats.order > 2:
+        longer = np.concatenate(longer)
+        order = np.argsort(longer)
+        longer = longer[order]
+        new = np.flatnonzero(np.concatenate([[True], longer[1:] != longer[:-1]])) if len(longer) else np.zeros(0, np.int64)
+        longer_n, longer_of = np.diff(np.append(new, len(longer))).astype(np.int32), order[new].astype(np.int32)
+        longer = longer[new]
+        order = np.argsort(keys)
+        keys = keys[order]
+    else:
+        keys.sort()
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     entries, n = keys[new], np.diff(np.append(new, len(keys))).astype(np.int32)
+    if stats.order > 2:
+        place = np.concatenate(place)[order[new]]                       # of each bigram's context
+        bigram = np.empty(len(keys), np.int32)                          # of each token
+        bigram[order] = np.repeat(np.arange(len(new), dtype=np.int32), n)
+        longer_of = bigram[longer_of]                                   # the bigram in each trigram
+        del order, bigram
     del keys, new
     word = (entries >> np.uint64(CONTEXT_BITS)).astype(np.int32)
     counts = np.bincount(word, n, len(words)).astype(np.int64)
@@ -417,11 +477,24 @@ def _build(rows, stats: Statistics) -> MappedTrie:
     for k in range(0, len(n), LOOKUPS):
         prior = stats.prior(entries[k:k + LOOKUPS] & np.uint64(255))
         values[k:k + LOOKUPS] = np.log10(n[k:k + LOOKUPS] + prior * (counts[word[k:k + LOOKUPS]] - DISCOUNT) / stats.total)
-    del word, n
-    return MappedTrie(words, counts, entries, values, CONTEXT_BITS)
+    if stats.order == 2:
+        del word, n
+        return MappedTrie(words, counts, entries, values, CONTEXT_BITS)
+    weights = np.log10(n + LONGER_PRIOR).astype(np.float32)
+    del n
+    bigram = np.zeros(len(values), np.float32)
+    for k in range(0, len(values), LOOKUPS):
+        prior = stats.prior(entries[k:k + LOOKUPS] & np.uint64(255))
+        bigram[k:k + LOOKUPS] = 10 ** values[k:k + LOOKUPS].astype(float) / (seen[place[k:k + LOOKUPS]] + prior)
+    longer_values = np.log10(longer_n + np.float32(LONGER_PRIOR) * bigram[longer_of]).astype(np.float32)
+    del bigram, place
+    longer &= np.uint64((1 << CONTEXT_BITS) - 1)
+    longer |= word[longer_of].astype(np.uint64) << np.uint64(CONTEXT_BITS)
+    del word, longer_of, longer_n
+    return MappedTrie(words, counts, entries, values, CONTEXT_BITS, weights, (longer, longer_values))
 
 
-def _answer(r, trie: MappedTrie, stats: Statistics):
+def _answer(r, trie: MappedTrie, stats: Statistics, seen: np.ndarray):
     """Sums for each document of one chunk over the tokens that are in this shard."""
     words, sizes, context, doc = _unpack(r)
     number = trie.find_words(words)
@@ -436,14 +509,33 @@ def _answer(r, trie: MappedTrie, stats: Statistics):
     unigram = np.where(count > 0, np.log10(np.maximum(count - DISCOUNT, 1e-9) / max(stats.total, 1)), 0.0)
     score = np.log10(prior) + unigram[of]               # an unknown word's unigram part is added at the end
     look = np.flatnonzero(there[of])
-    for k in range(0, len(look), LOOKUPS):
-        at = look[k:k + LOOKUPS]
-        w = of[at]
-        found = trie.find(first[w], end[w], context[at])
-        score[at] = np.where(np.isnan(found), score[at], found)
-    # each word is also the next token's context; the end is nobody's
-    as_context = np.where(words == END, 0.0, np.log10(count + stats.prior(codes(count))))
-    score -= as_context[of]
+    if stats.order == 2:
+        for k in range(0, len(look), LOOKUPS):
+            at = look[k:k + LOOKUPS]
+            w = of[at]
+            found = trie.find(first[w], end[w], context[at])
+            score[at] = np.where(np.isnan(found), score[at], found)
+        # each word is also the next token's context; the end is nobody's
+        as_context = np.where(words == END, 0.0, np.log10(count + stats.prior(codes(count))))[of]
+    else:
+        longer = _longer_ids(r, context)
+        # each word is, with the word before it, also the next token's context
+        as_context = np.full(len(of), np.log10(LONGER_PRIOR))
+        below = np.log10(LONGER_PRIOR) - np.log10(seen[r["place"]] + prior)
+        score += below
+        first3, end3 = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        if there.any():
+            first3[there], end3[there] = trie.ranges(number[there], 1)
+        for k in range(0, len(look), LOOKUPS):
+            at = look[k:k + LOOKUPS]
+            w = of[at]
+            place = trie.places(first[w], end[w], context[at])
+            at, w, place = at[place >= 0], w[place >= 0], place[place >= 0]
+            found = trie.find(first3[w], end3[w], longer[at], 1)
+            score[at] = np.where(np.isnan(found), trie.centres[0][trie.codes[0][place]] + below[at], found)
+            as_context[at] = trie.weight(place)
+        as_context[(words == END)[of]] = 0.0
+    score -= as_context
     docs, at = np.unique(doc, return_inverse=True)
     known = count[of] > 0
     total = lambda v: np.bincount(at, v, len(docs))
@@ -478,7 +570,7 @@ def _gather(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
         names=["doc_id", "held_out", "n_tokens", "n_known", "base_sum", "score_sum"])
 
 
-def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``.
 
     ``docs`` (doc_id, text, ...); rows where ``held_out`` holds are scored only, the others
@@ -486,13 +578,17 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     or repeat (each row is a text of its own; a null ``held_out`` counts as false);
     other columns are ignored.  Without any training row, every token is unknown and
     the model's score is 0 times the number of tokens; an empty table gives an empty result.
+    ``order`` is 2 or 3.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3 expected")
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     rows = rows.withColumn("train", ~F.col("held_out"))
     stats = statistics(rows)
+    stats.order = order
     shared = spark.sparkContext.broadcast(stats)
     counted = rows.mapInArrow(_list_contexts(shared), _CONTEXTS).groupBy("home").applyInArrow(_count_contexts, _TOKENS)
     dealt = rows.mapInArrow(_deal(shared), _TOKENS).union(counted)
@@ -501,7 +597,8 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     types = (sums.where("kind = 'types'").agg(F.sum("types")).first()[0] or 0) + int((stats.hot_counts > 0).sum())
     n = stats.total
     out = sums.where("kind <> 'types'").groupBy("chunk").applyInArrow(_gather, _RESULT)
-    first = float(np.log10(stats.docs + stats.prior(np.array([round(2 * np.log2(max(stats.docs, 1)))]))[0]))
+    begin = LONGER_PRIOR if order > 2 else stats.prior(codes(np.array([stats.docs])))[0]
+    first = float(np.log10(stats.docs + begin))
     unknown = float(np.log10(DISCOUNT * types / n)) if n else 0.0
     score = F.col("score_sum") + (F.col("n_tokens") - F.col("n_known")) * unknown - first
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),

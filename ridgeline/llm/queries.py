@@ -191,6 +191,6 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_lm_trie")
 def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base and model log10 probabilities of every document, learned from those not held out."""
+    """Base and trigram model log10 probabilities of every document, learned from those not held out."""
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    return lm_trie.score_texts(_table(spark, sf_dir, "documents"), held)
+    return lm_trie.score_texts(_table(spark, sf_dir, "documents"), held, order=3)

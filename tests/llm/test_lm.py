@@ -111,6 +111,61 @@ def test_prior_is_of_the_contexts_own_count(spark, monkeypatch):
     compare(got(spark, rows), want, 0.03)
 
 
+def expected3(rows):
+    """{doc_id: score of the trigram model before quantising}"""
+    toks = {i: brute.words(t) + [None] for i, t in rows}
+    train = [i for i in toks if not held(i)]
+    c = Counter(w for i in train for w in toks[i])
+    c["<s>"] = len(train)
+    grams = {i: [(v, u, w) for v, u, w in zip((["<s>", "<s>"] + t)[:len(t)], ["<s>"] + t[:-1], t)] for i, t in toks.items()}
+    two = Counter(g[1:] for i in train for g in grams[i])
+    three = Counter(g for i in train for g in grams[i])
+    pairs = Counter(g[:2] for i in train for g in grams[i])
+    n, types = sum(c.values()) - len(train), len(c) - 1
+
+    def p(v, u, w):
+        one = (c[w] - L.DISCOUNT) / n if c[w] else L.DISCOUNT * types / n
+        m = L.PRIOR * 2 ** (round(2 * math.log2(max(c[u], 1))) / 2) + L.PRIOR_FLOOR
+        below = (two[u, w] + m * one) / (c[u] + m)
+        return (three[v, u, w] + L.LONGER_PRIOR * below) / (pairs[v, u] + L.LONGER_PRIOR)
+
+    return {i: sum(math.log10(p(*g)) for g in grams[i]) for i in toks}
+
+
+def got3(spark, rows):
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: (r.score, r.n_tokens) for r in L.score_texts(
+        d, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, order=3).collect()}
+
+
+def test_trigrams_match_the_formula(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = [(i, t + " " + " ".join(rnd.choice(("a b c", "x b d", "w1 w2 w9", "w2 w2 w1")) for _ in range(20))) for i, t in made(5)]
+    want = expected3(rows)
+    for frequent, shard in ((1000, 3_000_000), (30, 900)):
+        monkeypatch.setattr(L, "FREQUENT", frequent)
+        monkeypatch.setattr(L, "SHARD_TOKENS", shard)
+        out = got3(spark, rows)
+        assert out.keys() == want.keys()
+        for i, (score, n) in out.items():
+            assert score == pytest.approx(want[i], abs=0.03 * n + 1e-6), i
+
+
+def test_trigrams_know_more_than_one_word_before(spark):
+    rows = [(i, "a b c" if k % 2 else "x b d") for k, i in enumerate(i for i in range(4000) if not held(i))]
+    right, wrong = [i for i in range(5000, 5100) if held(i)][:2]
+    rows += [(right, "a b c"), (wrong, "a b d")]
+    three, two = got3(spark, rows), got(spark, rows)
+    assert three[right][0] - three[wrong][0] > 1 > abs(two[right][5] - two[wrong][5])
+
+
+def test_trigrams_without_rows(spark):
+    first = next(i for i in range(100) if held(i))
+    assert got3(spark, [(first, "a b")])[first] == (0.0, 3)
+    with pytest.raises(ValueError):
+        L.score_texts(spark.createDataFrame([(1, "a")], "doc_id long, text string"), F.lit(False), order=4)
+
+
 def test_test_table_beats_the_base_on_held_out_texts(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in d.collect()]
