@@ -38,11 +38,12 @@ def csv_comment_scan(spark, sf_dir):
     blanks = part.select("p_type").distinct().select(F.lit("   ").alias("value"))
     # the header stands in another order than the columns that are asked for; the two tab
     # lines (one blank, one a comment) are no rows; a price of n/a at the end of a line may be left out
-    head = "p_partkey, p_size,  p_retailprice   # header"
-    header = spark.createDataFrame([(f"\t{head}",), ("\t \t",), ("\t# tab comment",)], "value string")
+    head = "p_partkey, p_size,  p_retailprice"
+    header = spark.createDataFrame([(f"\t{head}   # header",), ("\t \t",), ("\t# tab comment",)], "value string")
     path = io.scratch_path(spark, "comment-csv")
-    header.unionByName(comments).unionByName(blanks).unionByName(data).coalesce(1).write.mode("overwrite").text(path)
-    scanned, obs = io.audited(io.scan_comment_csv(spark, path, sorted(_SCAN_COLS, reverse=True)), "scan")
+    header.unionByName(comments).unionByName(blanks).unionByName(data).write.mode("overwrite").text(path)
+    # the rows keep their partitions, so the header's file need not be the first
+    scanned, obs = io.audited(io.scan_comment_csv(spark, path, sorted(_SCAN_COLS, reverse=True), header=head), "scan")
     return scanned.agg(F.count(F.lit(1)).alias("n"), F.count("p_retailprice").alias("n_price"),
                        F.sum(F.col("p_partkey").cast("long")).alias("key_sum"),
                        F.sum(F.col("p_size").cast("long")).alias("size_sum"),

@@ -38,3 +38,19 @@ def test_hash_split_is_narrow(spark):
     plan = _plan(split.hash_split(house_like(spark, SF), ["l_orderkey", "l_linenumber"], 0.2))
     # the split adds no exchange of its own: at most the join's broadcast
     assert plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_comment_csv_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from ridgeline.plans import q_prep
+
+    src = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    src.repartition(5).write.parquet(str(tmp_path / "part.parquet"))
+    path = tmp_path / "out"
+    monkeypatch.setattr(q_prep.io, "scratch_path", lambda *a: str(path))
+    got = q_prep.csv_comment_scan(spark, str(tmp_path)).first()
+    parts = [p.read_text() for p in path.glob("part-*")]
+    assert sum('"' in t for t in parts) > 1             # the data lines lie in several files
+    rows = src.collect()
+    assert (got.n, got.key_sum, got.size_sum) == (len(rows), sum(r.p_partkey for r in rows), sum(r.p_size for r in rows))
+    prices = [r.p_retailprice for r in rows if r.p_size != 1]
+    assert got.n_price == len(prices) and abs(got.price_sum - sum(prices)) < 0.01
