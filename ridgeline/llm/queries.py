@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, lm_trie, packing, quality_rules, url_filter
+from . import (centroid_clusters, chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, lm_trie,
+               packing, quality_rules, url_filter, vector_codes)
 
 
 @dataclass
@@ -194,3 +195,75 @@ def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and trigram model log10 probabilities of every document, learned from those not held out."""
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return lm_trie.score_texts(_table(spark, sf_dir, "documents"), held, order=3)
+
+
+def _sql_round(r: int) -> str:
+    return f"""
+a{r} AS MATERIALIZED (SELECT row, part, any_value(v) AS v, min(d) AS d, min(entry) FILTER (WHERE d = least_d) AS entry FROM (
+  SELECT *, min(d) OVER (PARTITION BY row, part) AS least_d FROM (
+    SELECT p.row, p.part, p.v, e.entry,
+      CAST(list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - e.v[i]) * (p.v[i] - e.v[i]))) AS BIGINT) AS d
+    FROM p JOIN b{r} e ON e.part = p.part)) GROUP BY row, part)"""
+
+
+def _sql_means(r: int) -> str:
+    return f"""
+s{r} AS (SELECT part, entry, pos, sum(x)::BIGINT AS s, count(*) AS c
+  FROM (SELECT part, entry, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{r}) GROUP BY ALL),
+m{r} AS (SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY pos) AS v FROM s{r} GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{r} m USING (part, entry))"""
+
+
+_KEPT = """SELECT *, row_number() OVER (ORDER BY vec_id) AS row FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@_query("op11_vector_codes", sql=f"""
+WITH k AS (SELECT vec_id, label, row, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v FROM ({_KEPT})),
+p AS MATERIALIZED (SELECT row, part, v[(part * len(v)) // 16 + 1:((part + 1) * len(v)) // 16] AS v
+  FROM (SELECT row, v, unnest(range(16)) AS part FROM k)),
+b0 AS MATERIALIZED (SELECT part, rank AS entry, v FROM p JOIN (
+  SELECT row, row_number() OVER (ORDER BY vec_id) - 1 AS rank FROM k ORDER BY vec_id LIMIT 64) USING (row)),
+{_sql_round(0)}, {_sql_means(0)}, {_sql_round(1)}, {_sql_means(1)}, {_sql_round(2)},
+c AS (SELECT row, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a2 GROUP BY row),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN c USING (row), h
+""")
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every kept vector under product codebooks refined for two rounds."""
+    return vector_codes.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def _sql_clusters(r: int) -> str:
+    return f"""
+a{r} AS MATERIALIZED (SELECT row, any_value(v) AS v, min(d) AS d, min(cluster) FILTER (WHERE d = least_d) AS cluster FROM (
+  SELECT *, min(d) OVER (PARTITION BY row) AS least_d FROM (
+    SELECT k.row, k.v, c.cluster,
+      CAST(list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i]))) AS BIGINT) AS d
+    FROM k, c{r} c)) GROUP BY row)"""
+
+
+def _sql_centroids(r: int) -> str:
+    return f"""
+s{r} AS (SELECT cluster, pos, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{r}) GROUP BY ALL),
+m{r} AS (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM s{r} GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (cluster))"""
+
+
+@_query("op13_centroid_clusters", sql=f"""
+WITH k AS MATERIALIZED (SELECT vec_id, row, list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS v
+  FROM ({_KEPT} AND len(embedding) = 64)),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, v FROM k
+  ORDER BY sha256('1:' || vec_id) LIMIT 16),
+{", ".join(f"{_sql_clusters(r)}, {_sql_centroids(r)}" for r in range(3))}, {_sql_clusters(3)},
+h AS (SELECT cluster, sha256(array_to_string(v, ',')) AS centroid_sha256 FROM c3)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM k JOIN a3 USING (row) JOIN h USING (cluster)
+""")
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every kept vector after three rounds from hashed seeds."""
+    return centroid_clusters.cluster_vectors(_table(spark, sf_dir, "embeddings"))
