@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (centroid_clusters, chat_format, compression_quality, decontaminate, html_extract, jaccard_join, line_dedup, lm_trie,
-               packing, quality_rules, url_filter, vector_codes)
+               packing, pii, quality_rules, url_filter, vector_codes)
 
 
 @dataclass
@@ -267,3 +267,9 @@ FROM k JOIN a3 USING (row) JOIN h USING (cluster)
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every kept vector after three rounds from hashed seeds."""
     return centroid_clusters.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_pii_trees")
+def op12_pii_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and those that the boosted trees add."""
+    return pii.digest(_table(spark, sf_dir, "documents"))
