@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import int_vectors as V
+from . import kernel as K
 from .shared import materialise
 
 CHUNK = 16_384
@@ -67,6 +68,7 @@ def distinct(sub: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _encode(dims: int, scale: int):
+    @K.released
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, CHUNK):
@@ -99,6 +101,7 @@ def _chunks(batch: pa.RecordBatch, dims: int):
 
 
 def _sum_chunks(shared):
+    @K.released
     def run(batches):
         centroids = shared.value
         total = np.zeros((len(centroids), centroids.shape[1] + 1), object)
@@ -110,6 +113,7 @@ def _sum_chunks(shared):
 
 
 def _assign(shared):
+    @K.released
     def run(batches):
         centroids = shared.value
         for batch in batches:
@@ -125,6 +129,7 @@ def _assign(shared):
 def _seeds(dims: int, scale: int):
     schema = pa.schema([("id", pa.int64()), ("vec", pa.list_(pa.float64()))])
 
+    @K.released
     def run(batches):
         for batch in batches:
             rows, x = V.read(batch.column("vec"), scale, dims)

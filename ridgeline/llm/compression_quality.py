@@ -15,6 +15,7 @@ class in a dictionary.  Every text is scored whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernel as K
 from .shared import materialise
 
 BLOCK = 2048
@@ -157,9 +159,11 @@ def _sizes_udf(spark, model: Model):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("n long, good long, bad long")
-    def sizes(text: pd.Series) -> pd.DataFrame:
+    def sizes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = Compressor(shared.value)
-        return pd.DataFrame([c.sizes(t or "") for t in text], columns=["n", "good", "bad"])
+        for text in parts:
+            yield pd.DataFrame([c.sizes(t or "") for t in text], columns=["n", "good", "bad"])
+        K.release()
     return sizes
 
 
@@ -176,11 +180,12 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def run(text: pd.Series) -> pd.Series:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = Compressor(shared.value)
-        if not len(text):
-            return pd.Series([], dtype=float)
-        return pd.Series(predict(shared.value, *zip(*[c.sizes(t or "") for t in text], strict=True)))
+        for text in parts:
+            sizes = [c.sizes(t or "") for t in text]
+            yield pd.Series(predict(shared.value, *zip(*sizes, strict=True)) if sizes else [], dtype=float)
+        K.release()
 
     return docs.withColumn(name, run(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 

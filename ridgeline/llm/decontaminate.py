@@ -97,6 +97,7 @@ def _search(index):
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("shared", pa.int64()),
                         ("item_shingles", pa.int64())])
 
+    @K.released
     def run(batches):
         items = index.value
         for batch in batches:
@@ -148,6 +149,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, slice_bytes: int = SLICE_B
 
 
 def _filter(index):
+    @K.released
     def run(batches):
         items = index.value
         for batch in batches:

@@ -72,6 +72,7 @@ EARLY_SQL = ("least(1 + ((3 * (na + nb) + 6) div 7) div 64, "
 _SETS = "doc_id long, n long, fp1 long, fp2 long, mins array<long>, part int, counts binary"
 
 
+@K.released
 def _sets(batches):
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
@@ -107,6 +108,7 @@ def _sets(batches):
                                      schema=schema)
 
 
+@K.released
 def _sum_sketch(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << (SKETCH_BITS - 4), dtype=np.uint64)
     for b in batches:
@@ -139,6 +141,7 @@ _PREFIX = "doc_id long, n long, last long, prefix binary"
 def _prefixes(levels):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("prefix", pa.binary())])
 
+    @K.released
     def run(batches):
         level = levels.value
         for batch in batches:
@@ -168,6 +171,7 @@ def _to_blocks(blocks):
     schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()),
                         ("last", pa.int64()), ("keys", pa.binary()), ("places", pa.binary())])
 
+    @K.released
     def run(batches):
         for batch in batches:
             ids, comp = batch.column("doc_id").to_numpy(), batch.column("comp").to_numpy()
@@ -288,6 +292,7 @@ def _entries_of(batches, names):
     return [*(np.concatenate(c) for c in cols), row, np.concatenate(keys), np.concatenate(places)]
 
 
+@K.released
 def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The block's entries without the n-grams that only one component has."""
     doc, comp, n, last, row, keys, places = _entries_of(batches, ("doc_id", "comp", "n", "last"))
@@ -306,6 +311,7 @@ def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
             names=["block", "doc_id", "comp", "n", "last", "keys", "places"])
 
 
+@K.released
 def _product(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "last", "common"))):
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out],
@@ -314,6 +320,7 @@ def _product(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> I
 
 # -- exact verification -------------------------------------------------------------
 
+@K.released
 def _verify(batches):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     for batch in batches:

@@ -9,7 +9,10 @@ hash combines the hashes of consecutive words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,34 @@ _ODD = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x1
 _TAIL = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 8)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
+def release() -> None:
+    """Hands freed memory back to the system.  Python workers are used again by later stages, and several of them
+    share an executor's memory; what an earlier task needed must not count against the next one."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # a C library without it
+        pass
+
+
+def released(run: Callable) -> Callable:
+    """An Arrow task function (a generator over batches, or over a key and batches) that calls :func:`release` when it ends."""
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    @functools.wraps(run)
+    def whole_group(key, batches):
+        try:
+            yield from run(key, batches)
+        finally:
+            release()
+    return whole if len(inspect.signature(run).parameters) == 1 else whole_group     # Spark looks at the number
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (a bijection on uint64)."""
     x = (x ^ (x >> np.uint64(30))) * _M1

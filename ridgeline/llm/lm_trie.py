@@ -34,6 +34,7 @@ Shards grow in number with the corpus, not in size.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,6 +51,7 @@ from .shared import materialise
 SKETCH_BITS = 18
 SHARD_TOKENS = 3_000_000
 CHUNK_BYTES = 16 << 20
+PIECE_BYTES = 2 << 20
 CHUNK_ROWS = 60_000
 CONTEXT_BITS = 40
 HOT_TOKENS = 1_000_000
@@ -65,11 +67,15 @@ END, BEGIN = K.mix(np.array([0x51ED270B1F1D3A2B, 0x2545F4914F6CDD1D], np.uint64)
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every token, first token of each row + total): the words, then one end."""
-    wh, first = K.word_hashes(col)
-    rows = len(first) - 1
-    out = np.insert(wh, first[1:], END)
-    return out, first + np.arange(rows + 1)
+    """(hash of every token, first token of each row + total): the words, then one end.
+
+    Texts are cut into words a few megabytes at a time; only the hashes of all are held."""
+    hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for lo, hi in K.text_chunks(pa.RecordBatch.from_arrays([col], names=["text"]), limit=PIECE_BYTES):
+        wh, first = K.word_hashes(col.slice(lo, hi - lo))
+        hashes.append(np.insert(wh, first[1:], END))
+        sizes.append(np.diff(first) + 1)
+    return np.concatenate(hashes), np.cumsum(np.concatenate(sizes))
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
@@ -82,6 +88,7 @@ _SKETCH = "part int, counts binary, tokens long, docs long"
 _PARTS = 8
 
 
+@K.released
 def _sketch(batches):
     counts, total, docs = np.zeros(1 << SKETCH_BITS, np.int64), 0, 0
     for batch in batches:
@@ -98,6 +105,7 @@ def _sketch(batches):
         names=["part", "counts", "tokens", "docs"])
 
 
+@K.released
 def _add_sketch(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts, total, docs = np.zeros((1 << SKETCH_BITS) // _PARTS, np.int64), 0, 0
     for b in batches:
@@ -113,6 +121,7 @@ def _add_sketch(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -
 def _count_hot(shared):
     schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
+    @K.released
     def run(batches):
         hot = shared.value
         seen: dict[int, int] = {}
@@ -206,11 +215,18 @@ def _from_planes(blob: bytes, kind) -> np.ndarray:
 
 def _longer(before: np.ndarray, context: np.ndarray, first: np.ndarray) -> np.ndarray:
     """3 bytes for each token: bits of the hash of the two words before it."""
-    second = np.empty(len(before), np.uint64)
-    second[1:] = before[:-1]
-    second[first[:-1]] = BEGIN
-    h = (K.mix(context + second * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype("<u4")
-    return h.view(np.uint8).reshape(-1, 4)[:, :3]
+    out = np.empty((len(before), 3), np.uint8)
+    begins = np.zeros(len(before), bool)
+    begins[first[:-1]] = True
+    for k in range(0, len(before), LOOKUPS):
+        at = slice(k, k + LOOKUPS)
+        second = np.empty(len(before[at]), np.uint64)
+        second[1:] = before[at][:-1]
+        second[0] = before[k - 1] if k else BEGIN
+        second[begins[at]] = BEGIN
+        h = (K.mix(context[at] + second * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype("<u4")
+        out[at] = h.view(np.uint8).reshape(-1, 4)[:, :3]
+    return out
 
 
 def _placed(text: pa.Array, stats: Statistics):
@@ -219,9 +235,12 @@ def _placed(text: pa.Array, stats: Statistics):
     before = np.empty(len(h), np.uint64)
     before[1:] = h[:-1]
     before[first[:-1]] = BEGIN
-    context = K.mix(before)
-    sub = context >> np.uint64(8)
-    shard = (K.mix(h + (sub % stats.fan(h)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(stats.shards)).astype(np.int64)
+    context, shard = np.empty(len(h), np.uint64), np.empty(len(h), np.int32)
+    for k in range(0, len(h), LOOKUPS):
+        part = slice(k, k + LOOKUPS)
+        context[part] = K.mix(before[part])
+        sub = (context[part] >> np.uint64(8)) % stats.fan(h[part])
+        shard[part] = K.mix(h[part] + sub * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(stats.shards)
     return h, before, context, shard, first
 
 
@@ -238,27 +257,34 @@ _CONTEXTS = "home long, contexts binary, sizes binary, shards binary, counts bin
 def _list_contexts(shared):
     schema = pa.schema([("home", pa.int64())] + [(b, pa.binary()) for b in ("contexts", "sizes", "shards", "counts")])
 
+    @K.released
     def run(batches):
         stats = shared.value
         for batch in batches:
             for lo, hi in K.text_chunks(batch, limit=CHUNK_BYTES):
-                rows = list(_contexts_of(batch.slice(lo, hi - lo), stats))
-                for k in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 64], strict=True), schema, strict=True)],
-                        schema=schema)
+                yield from _batched(_contexts_of(batch.slice(lo, hi - lo), stats), schema)
     return run
 
 
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 64) -> Iterator[pa.RecordBatch]:
+    """The rows as they come, ``size`` to a batch."""
+    while held := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)],
+                                         schema=schema)
+
+
 def _contexts_of(part: pa.RecordBatch, stats: Statistics):
     """For each home shard: its contexts, the shards each was seen for, and training tokens of each pair."""
     _, before, context, shard, first = _placed(part.column("text"), stats)
     train = np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first))
-    rare = ~stats.listed(before)[0] & (before != BEGIN)
+    rare = before != BEGIN
+    for k in range(0, len(before), LOOKUPS):
+        rare[k:k + LOOKUPS] &= ~stats.listed(before[k:k + LOOKUPS])[0]
     context, shard, train = context[rare], shard[rare], train[rare]
+    del before, rare
     if not len(context):
         return
-    home = (K.mix(context) % np.uint64(stats.shards)).astype(np.int64)
+    home = (K.mix(context) % np.uint64(stats.shards)).astype(np.int32)
     order = np.lexsort((shard, context, home))
     context, shard, train, home = context[order], shard[order], train[order], home[order]
     pair = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])]))
@@ -271,6 +297,7 @@ def _contexts_of(part: pa.RecordBatch, stats: Statistics):
                _planes(shard[lo:hi]), _planes(n[lo:hi]))
 
 
+@K.released
 def _count_contexts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The home shard's contexts with their counts, once for each shard they were seen for."""
     parts = []
@@ -287,11 +314,9 @@ def _count_contexts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch
     new = np.concatenate([[True], (context[1:] != context[:-1]) | (shard[1:] != shard[:-1])])
     context, shard, n = context[new], shard[new], n[new]
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-    rows = [(int(shard[lo]), None, None, None, context[lo:hi].astype(np.uint32).tobytes(), _rare_id(context[lo:hi]).tobytes(),
-             None, None, None, None, _planes(n[lo:hi]), None) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
-    for k in range(0, len(rows), 1024):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
-            zip(*rows[k:k + 1024], strict=True), _TOKENS_ARROW, strict=True)], schema=_TOKENS_ARROW)
+    rows = ((int(shard[lo]), None, None, None, context[lo:hi].astype(np.uint32).tobytes(), _rare_id(context[lo:hi]).tobytes(),
+             None, None, None, None, _planes(n[lo:hi]), None) for lo, hi in zip(edges[:-1], edges[1:], strict=True))
+    yield from _batched(rows, _TOKENS_ARROW, 1024)
 
 
 # -- pass 4: tokens to shards -------------------------------------------------------
@@ -305,18 +330,15 @@ _TOKENS_ARROW = pa.schema([("shard", pa.int64()), ("chunk", pa.int64())] + [(b,
 def _deal(shared):
     schema = _TOKENS_ARROW
 
+    @K.released
     def run(batches):
         stats, number = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, hi in K.text_chunks(batch, limit=CHUNK_BYTES):
                 for at in range(lo, hi, CHUNK_ROWS):
                     part = batch.slice(at, min(CHUNK_ROWS, hi - at))
-                    rows = list(_chunk(part, stats, number))
+                    yield from _batched(_chunk(part, stats, number), schema)
                     number += 1
-                    for k in range(0, len(rows), 64):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 64], strict=True), schema, strict=True)],
-                            schema=schema)
     return run
 
 
@@ -331,19 +353,26 @@ def _chunk(part: pa.RecordBatch, stats: Statistics, number: int):
     yield (-1 - number % stats.shards, number, None, None, None, None, known.tobytes(), None,
            ids.fill_null(0).to_numpy().astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), held.tobytes(), None)
     doc = np.repeat(np.arange(len(size), dtype=np.uint16), size)
-    frequent, count = stats.listed(before)
-    count[before == BEGIN] = stats.docs
-    code = np.where(frequent | (before == BEGIN), codes(count), _rare_id(context))
+    code = _rare_id(context)
+    for k in range(0, len(h), LOOKUPS):
+        at = slice(k, k + LOOKUPS)
+        frequent, count = stats.listed(before[at])
+        begin = before[at] == BEGIN
+        count[begin] = stats.docs
+        code[at] = np.where(frequent | begin, codes(count), code[at])
     longer = _longer(before, context, first) if stats.order > 2 else None
+    del before
+    context = context.astype(np.uint32)
     order = np.lexsort((h, shard))
     h, shard, doc, context, code = h[order], shard[order], doc[order], context[order], code[order]
     longer = longer[order] if longer is not None else None
+    del order
     edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(h)]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         new = np.concatenate([[True], h[lo + 1:hi] != h[lo:hi - 1]])
         at = np.flatnonzero(new)
         yield (int(shard[lo]), number, h[lo:hi][at].tobytes(), _planes(np.diff(np.append(at, hi - lo)).astype(np.uint32)),
-               context[lo:hi].astype(np.uint32).tobytes(), code[lo:hi].tobytes(), _planes(doc[lo:hi]),
+               context[lo:hi].tobytes(), code[lo:hi].tobytes(), _planes(doc[lo:hi]),
                np.packbits(train).tobytes(), None, None, None, longer[lo:hi].tobytes() if longer is not None else None)
 
 
@@ -364,6 +393,7 @@ def _emit(rows):
 
 
 def _shard(shared):
+    @K.released
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats = shared.value
         if key[0].as_py() < 0:
@@ -548,6 +578,7 @@ def _answer(r, trie: MappedTrie, stats: Statistics, seen: np.ndarray):
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, score_sum double"
 
 
+@K.released
 def _gather(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids = None
     sums: list = []

@@ -165,6 +165,7 @@ def _pack(path):
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
+    @K.released
     def run(batches):
         bpe = WordBpe(path or tokenizer_path())
         packer = Packer(TaskContext.get().partitionId() << 36)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from . import anchors as A
 from . import int_vectors as V
+from . import kernel as K
 from .centroid_clusters import distinct
 from .shared import materialise
 
@@ -50,6 +51,7 @@ class Part:
 def _encode(dims: int, parts: int, scale: int):
     width = dims // parts
 
+    @K.released
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, CHUNK):
@@ -89,6 +91,7 @@ def _parts(trees: list[bytes], places: list[bytes], width: int):
 
 
 def _sum_chunks(shared):
+    @K.released
     def run(batches):
         books = shared.value
         parts, (k, width) = len(books), books[0].shape
@@ -105,6 +108,7 @@ def _sum_chunks(shared):
 
 
 def _assign(shared):
+    @K.released
     def run(batches):
         books = shared.value
         width = books[0].shape[1]
@@ -129,6 +133,7 @@ def _assign(shared):
 def _first(dims: int, scale: int):
     schema = pa.schema([("id", pa.int64()), ("vec", pa.list_(pa.float64()))])
 
+    @K.released
     def run(batches):
         for batch in batches:
             rows, x = V.read(batch.column("vec"), scale, dims)
