@@ -72,11 +72,6 @@ def linear_expr(cols: Sequence[str], weights: Sequence[float], bias: float = 0.0
     return expr
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    """a/b, null when b is 0 (ANSI division would raise)."""
-    return F.try_divide(a, b)
-
-
 # Coefficients of the AS241 (Wichura 1988) rational approximation
 # to the inverse standard normal CDF, the algorithm behind Python's
 # statistics.NormalDist.inv_cdf.  Highest power first.

@@ -13,27 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform
-from .rank import exact_quantiles
-from .split import first_in_hash_order
+from .draws import unused
+from .rank import column_quantiles
+from .split import first_in_hash_order, with_hash
 
 
 def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str], rate: float = 0.02,
                    seed=42, exact: bool = True) -> DataFrame:
     """B2 (MCAR): in int(m·rate) distinct rows, one feature (never the target) set to
-    null.  Rows: first in md5(id‖seed) order (``exact``; boundary selection) or hash
+    null.  Rows: first in md5(id‖seed) order (``exact``; two scans, see :mod:`draws`) or hash
     draw < rate (scale mode, no selection).  Column: ⌊n·md5(id‖'col'‖seed)⌋."""
     features = list(features)
-    u = hash_uniform(list(id_cols), seed)
-    col_idx = F.floor(hash_uniform(list(id_cols) + [F.lit("col")], seed) * F.lit(len(features))).cast("int")
+    u, at = unused(df.columns, "_u"), unused(df.columns, "_column")
     if exact:
-        (hit,) = first_in_hash_order(df, id_cols, seed, [int(df.count() * rate)])
+        m = df.count()
+        (hit,) = first_in_hash_order(df, id_cols, seed, F.col(u), m, [int(m * rate)])
     else:
-        hit = u < F.lit(rate)
-    marked = df.withColumn("_hit", hit).withColumn("_ci", col_idx)
+        hit = F.col(u) < F.lit(rate)
+    # the second digest is computed for the rows that are hit only
+    column = F.floor(hash_uniform(list(id_cols) + [F.lit("col")], seed) * F.lit(len(features))).cast("int")
+    marked = with_hash(df, id_cols, seed, u).withColumn(at, F.when(hit, column).otherwise(-1))
     exprs = []
     for c in df.columns:
         if c in features:
-            blank = F.col("_hit") & (F.col("_ci") == F.lit(features.index(c)))
+            blank = F.col(at) == F.lit(features.index(c))
             exprs.append(F.when(blank, F.lit(None).cast("double")).otherwise(F.col(c).cast("double")).alias(c))
         else:
             exprs.append(F.col(c))
@@ -41,17 +44,13 @@ def inject_missing(df: DataFrame, id_cols: Sequence[str], features: Sequence[str
 
 
 def medians(df: DataFrame, cols: Sequence[str], exact: bool = True) -> dict[str, float]:
-    """B3 statistics: median of every column (exact linear interpolation by
-    boundary selection, or ``percentile_approx`` sketches with ``exact=False``)."""
+    """B3 statistics: median of every column (exact linear interpolation, in two
+    scans for all columns, or ``percentile_approx`` sketches with ``exact=False``)."""
     cols = list(cols)
     if not exact:
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c) for c in cols]).collect()[0]
         return {c: float(row[c]) for c in cols if row[c] is not None}
-    # unpivot to (column, value): every round of the selection counts all columns in one pass
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
-    long = df.select(pairs.alias("p")).select("p.column", "p.v")
-    med = exact_quantiles(long, "v", [0.5], group_by=["column"]).collect()  # one row per column
-    return {r["column"]: float(r["value"]) for r in med}
+    return {c: v[0] for c, v in column_quantiles(df, cols, [0.5]).items()}
 
 
 def impute(df: DataFrame, values: dict[str, float]) -> DataFrame:

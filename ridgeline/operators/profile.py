@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .moments import vector_moments
-from .rank import exact_quantiles
+from .rank import column_quantiles, exact_quantiles
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -47,25 +47,23 @@ def rate_by_band(df: DataFrame, label: str, dimensions: dict[str, tuple[str, Seq
 
 
 def summary_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
-    """Count, mean, median, sample sd, min, max.  The exact median comes from the
-    distributed rank (no task holds all values); ``exact=False`` uses a sketch."""
+    """Count, mean, median, sample sd, min, max.  The exact median is bracketed by a
+    sketch and decided by one scan of the bracket; ``exact=False`` uses the sketch alone."""
     x = F.col(col).cast("double")
-    s = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"),
-               F.min(x).alias("min"), F.max(x).alias("max"))
     if exact:
-        med = exact_quantiles(df, col, [0.5]).select(F.col("value").alias("median"))
+        got = column_quantiles(df, [col], [0.5]).get(col)
+        median = F.lit(got[0] if got else None).cast("double")
     else:
-        med = df.agg(F.percentile_approx(x, 0.5, 10000).alias("median"))
-    one = F.lit(1).alias("_one")
-    return s.select("*", one).join(med.select("*", one), "_one") \
-            .select("n", "mean", "median", "sd", "min", "max")  # one row each
+        median = F.percentile_approx(x, 0.5, 10000)
+    return df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), median.alias("median"), F.stddev_samp(x).alias("sd"),
+                  F.min(x).alias("min"), F.max(x).alias("max"))
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95),
               exact: bool = True) -> DataFrame:
-    """C4: linear-interpolation quantiles: exact through the distributed rank (one
-    range shuffle, bounded per-task memory), or ``percentile_approx`` (a bounded
-    sketch, one pass) when ``exact=False``."""
+    """C4: linear-interpolation quantiles: exact in two scans (a sketch brackets the ranks, the
+    rows inside the brackets decide), or ``percentile_approx`` (the sketch alone, one pass)
+    when ``exact=False``."""
     if exact:
         return exact_quantiles(df, col, qs).select("q", "value")
     x = F.col(col).cast("double")
@@ -151,9 +149,9 @@ def binned_2d(df: DataFrame, xcol: str, ycol: str, k: int = 20, by: Sequence[str
 
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Quartiles, whiskers (extreme points within 1.5·IQR) and outlier count per
-    group: exact grouped quartiles through the distributed rank (a hot group is
-    spread over many tasks), a join of the per-group limits (one row per group)
-    back to the rows, and one more aggregate.  Null values are left out."""
+    group: exact grouped quartiles in two scans (a hot group is only counted), a join of
+    the per-group limits (one row per group) back to the rows, and one more aggregate.
+    Null values are left out."""
     x = F.col(col).cast("double")
     df = df.where(x.isNotNull())
     ql = exact_quantiles(df, col, [0.25, 0.5, 0.75], group_by=[group])

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .draws import sketched_quantiles
+
 _PID, _MID = "_rl_pid", "_rl_mid"
 # Offset tables up to this many rows are broadcast (one row per partition and group).
 OFFSETS_BROADCAST_ROWS = 1_000_000
@@ -198,24 +200,48 @@ def _settled(state: DataFrame) -> DataFrame:
     return state.checkpoint(eager=True)
 
 
-def boundary(df: DataFrame, value: str, ranks: Sequence[int]) -> dict[int, tuple[float, int, int]]:
-    """{rank: (value, how many are smaller, how many are equal)} over the whole table."""
-    wanted = sorted({int(r) for r in ranks if r >= 1})
-    if not wanted:
-        return {}
-    targets = df.sparkSession.createDataFrame([(r,) for r in wanted], "rank long")
-    return {r["rank"]: (r["value"], r["below"], r["equal"]) for r in order_statistics(df, value, targets).collect()}
+#: Groups up to this many are literals of the scans that look for their quantiles.
+LITERAL_GROUPS = 64
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Sequence[str] = (),
-                    num_partitions: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy/``percentile`` semantics) without
     sorting the rows or holding a group's values in one task.
 
-    For each group and q the 1-based position h = (n−1)q + 1 needs the values at ⌊h⌋
-    and ⌈h⌉, which :func:`order_statistics` selects; the two are interpolated.
-    Output: group columns, q, value."""
+    Two scans: a mergeable sketch brackets the ranks of every group, the rows inside the brackets decide
+    (:func:`draws.sketched_quantiles`).  Many groups, or several group columns, go through
+    :func:`order_statistics`, which keeps their intervals as a table.
+    Output: group columns, q, value; groups without a value have no row."""
     group_by = list(group_by)
+    v = F.col(value).cast("double")
+    if len(group_by) <= 1:
+        group = F.col(group_by[0]) if group_by else F.lit(None).cast("string")
+        rows = df.select(group.alias("_class"), v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        got = sketched_quantiles(rows, qs, LITERAL_GROUPS)
+        if got is not None:
+            out = [(c, float(q), x) for c, xs in got.items() for q, x in zip(qs, xs, strict=True)]
+            schema = T.StructType([T.StructField("_class", rows.schema["_class"].dataType), T.StructField("q", T.DoubleType()),
+                                   T.StructField("value", T.DoubleType())])
+            table = df.sparkSession.createDataFrame(out, schema)        # groups x quantiles
+            return table.select(*[F.col("_class").alias(g) for g in group_by], "q", "value")
+    return _selected_quantiles(df, value, qs, group_by)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles of several columns in the same two scans; a column without values is left out."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_class"), F.col(c).cast("double").alias("_v")) for c in cols]))
+    rows = df.select(pairs.alias("p")).select("p.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    out: dict[str, list[float]] = {}
+    for k in range(0, len(cols), LITERAL_GROUPS):
+        part = list(cols[k:k + LITERAL_GROUPS])
+        of = rows if len(cols) <= LITERAL_GROUPS else rows.where(F.col("_class").isin(*part))
+        out |= sketched_quantiles(of, qs, LITERAL_GROUPS)
+    return out
+
+
+def _selected_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_by: Sequence[str]) -> DataFrame:
+    """:func:`exact_quantiles` by boundary selection: for each group and q the 1-based position h = (n−1)q + 1 needs
+    the values at ⌊h⌋ and ⌈h⌉, which are interpolated."""
     base = df.select(*group_by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     n = base.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])

@@ -9,18 +9,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import linear_expr, sigmoid
-
-
-def linear_score(df: DataFrame, features: Sequence[str], weights, bias=0.0, out: str = "score") -> DataFrame:
-    """X·w + b."""
-    return df.withColumn(out, linear_expr(features, weights, bias))
-
-
-def predict_proba(df: DataFrame, features, weights, bias=0.0, out: str = "probability") -> DataFrame:
-    """σ(X·w + b)."""
-    return df.withColumn(out, sigmoid(linear_expr(features, weights, bias)))
-
 
 def threshold_class(p: Column, threshold: float = 0.5) -> Column:
     """E5: 1 when p ≥ threshold (MLlib predicts 0 at p == threshold; this does not)."""

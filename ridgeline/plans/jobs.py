@@ -286,8 +286,7 @@ def digits_job(spark: SparkSession, df: DataFrame, out_dir: str, vec_col: str =
     scores = [logistic.ova_scores(vec_col, fit.theta[0, j], fit.scaler.mean[0], fit.scaler.scale[0]) for j in range(len(grid))]
     by_lambda = accuracy_of_models(tagged, label, [(float(l), s, F.col("split")) for l, s in zip(grid, scores)])
     _write(by_lambda.select(F.col("model").alias("lambda"), "split", "accuracy"), out_dir, "training/lambda")
-    sub = split.fraction_subsets(df, ids, label, fractions, seed)
-    sub = sub.withColumn("member", F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(fractions))])).persist()
+    sub = split.fraction_subsets(df, ids, label, fractions, seed).persist()
     curve = logistic.fit_one_vs_all(sub, vec_col, label, classes, [lam], member_col="member", n_subsets=len(fractions))
     models = [(float(f), logistic.ova_scores(vec_col, curve.theta[i, 0], curve.scaler.mean[i], curve.scaler.scale[i]),
                F.when(F.col("member")[i], "train").otherwise("test")) for i, f in enumerate(fractions)]

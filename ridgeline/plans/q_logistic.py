@@ -206,7 +206,7 @@ def learning_curve(spark, sf_dir):
     training fractions .1–.9; a scaler per subset; five fits in the same passes, scored in one scan."""
     def build():
         sub = split.fraction_subsets(digit_like(spark, sf_dir), VEC_ID, "label", FRACTIONS, SEED)
-        member = F.array(*[F.col("class_rank") <= F.col(f"q_{i}") for i in range(len(FRACTIONS))])
+        member = F.col("member")
         sub = sub.withColumn("member", member).persist()
         fit = logistic.fit_one_vs_all(sub, "embedding", "label", CLASSES, [OVA_LAMBDA], member_col="member",
                                       n_subsets=len(FRACTIONS), max_iter=OVA_MAX_ITER)

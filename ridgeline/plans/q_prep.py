@@ -335,12 +335,9 @@ def split_fractions(spark, sf_dir):
     ranking with floor quotas (test = complement)."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
     s = split.fraction_subsets(e, ["vec_id"], "label", FRACTIONS, SEED)
-    out = None
-    for i, f in enumerate(FRACTIONS):
-        a = s.where(F.col("class_rank") <= F.col(f"q_{i}")).agg(
-            F.count(F.lit(1)).alias("n_train"), F.sum("vec_id").alias("id_sum")).select(
-            F.lit(float(f)).alias("fraction"), "n_train", "id_sum")
-        out = a if out is None else out.unionByName(a)
-    return out
-
-
+    mine = lambda i: F.col("member")[i]
+    sums = s.agg(*[F.count(F.when(mine(i), 1)).alias(f"n{i}") for i in range(len(FRACTIONS))],
+                 *[F.sum(F.when(mine(i), F.col("vec_id"))).alias(f"s{i}") for i in range(len(FRACTIONS))])
+    rows = [F.struct(F.lit(float(f)).alias("fraction"), F.col(f"n{i}").alias("n_train"), F.col(f"s{i}").alias("id_sum"))
+            for i, f in enumerate(FRACTIONS)]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
