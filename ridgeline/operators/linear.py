@@ -4,8 +4,9 @@ Batch GD, ridge and every cost/R² figure are functions of a handful of moments,
 so each fit is ONE aggregate job over the rows; the iterations then run on a
 (k+1)² matrix on the driver and are exact (the loss is quadratic).  Stochastic
 and mini-batch GD need the rows of each draw: the draws form a table of
-(iteration, rank) pairs whose size is bounded by iterations × batch, joined to
-the hash-ranked training rows, and reduced to per-iteration moments in one job.
+(iteration, rank) pairs whose size is bounded by iterations × batch.  A rank directory
+finds the rows at these ranks of the hash permutation without ordering the others, and they are
+reduced to per-iteration moments in one job.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import hash_uniform, normal_init
+from ..session import ensure_checkpoint_dir
+from .directory import rows_at
 from .moments import Moments, moments
-from .rank import global_rank
 
 # Draw tables up to this many rows are broadcast; larger ones shuffle-join.
 DRAW_BROADCAST_ROWS = 5_000_000
@@ -133,12 +135,12 @@ def draw_table(spark: SparkSession, m: int, max_iter: int, batch_size: int, meth
               .select("iteration", (F.pmod(F.col("_start") + F.col("_j"), F.lit(m)) + 1).cast("long").alias("rank")))
 
 
-def per_iteration_moments(ranked_z: DataFrame, zcols: Sequence[str], ycol: str,
+def per_iteration_moments(drawn: DataFrame, zcols: Sequence[str], ycol: str,
                           draws: DataFrame) -> dict[int, tuple]:
     """Σzzᵀ, Σz, Σz·y, Σy, count per iteration over the drawn rows (one job)."""
     n_draws = draws.count()
     right = F.broadcast(draws) if n_draws <= DRAW_BROADCAST_ROWS else draws
-    j = ranked_z.join(right, on="rank", how="inner")
+    j = drawn.join(right, on="rank", how="inner")
     k = len(zcols)
     exprs = [F.count(F.lit(1)).alias("cnt"), F.sum(ycol).alias("sy")]
     exprs += [F.sum(c).alias(f"s{i}") for i, c in enumerate(zcols)]
@@ -157,29 +159,38 @@ def per_iteration_moments(ranked_z: DataFrame, zcols: Sequence[str], ycol: str,
     return out
 
 
-def permutation_ranked(train: DataFrame, features: Sequence[str], target: str, id_cols: Sequence[str],
-                       mom: Moments, seed=42) -> DataFrame:
-    """Standardised training rows numbered 1..m in md5(id‖perm‖seed) order (the
-    hash permutation every draw refers to); shareable between fits."""
+def _batch_size(method: str, batch_size: int | None, m: int) -> int:
+    return min(batch_size or 32, m) if method == "mini_batch" else 1
+
+
+def sampled_rows(train: DataFrame, features: Sequence[str], target: str, id_cols: Sequence[str], mom: Moments,
+                 methods: Sequence[str] = ("stochastic", "mini_batch"), max_iter=1000, batch_size=None, seed=42) -> DataFrame:
+    """The standardised training rows that the ``methods`` draw, with their rank in md5(id‖perm‖seed) order (the hash
+    permutation every draw refers to); shareable between fits.  At most iterations × batch rows, written once."""
     features = list(features)
+    spark = train.sparkSession
+    ranks: set[int] = set()
+    for method in methods:
+        draws = draw_table(spark, mom.n, max_iter, _batch_size(method, batch_size, mom.n), method, seed)
+        ranks |= {r["rank"] for r in draws.select("rank").distinct().collect()}
     xm, xs, ym, ys = _scalers(mom, features, target)
-    zcols = [f"_z{i}" for i in range(len(features))]
-    z = train.select(*id_cols,
-                     *[((F.col(f).cast("double") - F.lit(float(mu))) / F.lit(float(s))).alias(zc)
-                       for f, mu, s, zc in zip(features, xm, xs, zcols)],
+    h = F.md5(F.concat_ws("-", *[F.col(c) for c in id_cols], F.lit(f"perm-{seed}")))
+    z = train.select(h.alias("_h"), *id_cols,
+                     *[((F.col(f).cast("double") - F.lit(float(mu))) / F.lit(float(s))).alias(f"_z{i}")
+                       for i, (f, mu, s) in enumerate(zip(features, xm, xs))],
                      ((F.col(target).cast("double") - F.lit(ym)) / F.lit(ys)).alias("_zy"))
-    z = z.withColumn("_h", F.md5(F.concat_ws("-", *[F.col(c) for c in id_cols], F.lit(f"perm-{seed}"))))
-    return global_rank(z, ["_h", *id_cols], rank_col="rank")
+    ensure_checkpoint_dir(spark)
+    return rows_at(z, "_h", list(id_cols), ranks, mom.n).checkpoint(eager=True)
 
 
 def fit_sampled_gd(train: DataFrame, features: Sequence[str], target: str, id_cols: Sequence[str],
                    method="mini_batch", lr=0.01, max_iter=1000, batch_size=None, init="normal",
                    seed=42, record_every=100, mom: Moments | None = None,
-                   ranked: DataFrame | None = None) -> LinearModel:
+                   drawn: DataFrame | None = None) -> LinearModel:
     """Stochastic or mini-batch GD with hash-permutation draws.
 
-    Rows are ranked once by md5(id, seed) (distributed rank; pass ``ranked`` from
-    :func:`permutation_ranked` to share it between fits), the draws are joined by
+    The drawn rows are found by their ranks in md5(id, seed) order (pass ``drawn`` from
+    :func:`sampled_rows`, made with the same iterations, batch and seed, to share them between fits), the draws are joined by
     rank, and the updates are replayed on the driver from the per-iteration
     moments.  Loss history uses the full-train moments (D6).
     """
@@ -189,15 +200,11 @@ def fit_sampled_gd(train: DataFrame, features: Sequence[str], target: str, id_co
     C, c, cyy = standardized_system(mom, features, target)
     xm, xs, ym, ys = _scalers(mom, features, target)
     m = mom.n
-    if method == "mini_batch":
-        batch_size = min(32, m) if batch_size is None else min(batch_size, m)
-    else:
-        batch_size = 1
-    zcols = [f"_z{i}" for i in range(len(features))]
-    if ranked is None:
-        ranked = permutation_ranked(train, features, target, id_cols, mom, seed)
-    draws = draw_table(spark, m, max_iter, batch_size, method, seed)
-    per_it = per_iteration_moments(ranked, zcols, "_zy", draws)
+    batch = _batch_size(method, batch_size, m)
+    if drawn is None:
+        drawn = sampled_rows(train, features, target, id_cols, mom, [method], max_iter, batch, seed)
+    draws = draw_table(spark, m, max_iter, batch, method, seed)
+    per_it = per_iteration_moments(drawn, [f"_z{i}" for i in range(len(features))], "_zy", draws)
     w = init_weights(len(features), init, seed)
     b = 0.0
     hist = []

@@ -106,10 +106,10 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     train = tagged.where(F.col("split") == "train")
     mom = moments(train, feats + [target])
     fits = {"batch": linear.fit_batch_gd(train, feats, target, lr=lr, max_iter=iters, seed=seed, mom=mom)}
-    ranked = linear.permutation_ranked(train, feats, target, ids, mom, seed)
+    drawn = linear.sampled_rows(train, feats, target, ids, mom, max_iter=iters, seed=seed)
     for method in ("stochastic", "mini_batch"):
         fits[method] = linear.fit_sampled_gd(train, feats, target, ids, method=method, lr=lr, max_iter=iters,
-                                             seed=seed, mom=mom, ranked=ranked)
+                                             seed=seed, mom=mom, drawn=drawn)
     hist = spark.createDataFrame([(m, int(i), float(c)) for m, f in fits.items() for i, c in f.history],
                                  "method string, iteration int, cost double")
     _write(linear.convergence_rates(hist), out_dir, "training/history")

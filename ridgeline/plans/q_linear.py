@@ -197,11 +197,11 @@ def gd_compare(spark, sf_dir):
     mom = moments(train, HOUSE_FEATURES + [HOUSE_TARGET])
     b = linear.fit_batch_gd(train, HOUSE_FEATURES, HOUSE_TARGET, lr=LR, max_iter=ITERS, seed=SEED, mom=mom)
     out = _history_df(spark, b, "batch")
-    ranked = linear.permutation_ranked(train, HOUSE_FEATURES, HOUSE_TARGET, HOUSE_ID, mom, SEED)
+    drawn = linear.sampled_rows(train, HOUSE_FEATURES, HOUSE_TARGET, HOUSE_ID, mom, max_iter=SGD_ITERS, batch_size=MB, seed=SEED)
     for method in ("stochastic", "mini_batch"):
         m = linear.fit_sampled_gd(train, HOUSE_FEATURES, HOUSE_TARGET, HOUSE_ID, method=method, lr=LR,
                                   max_iter=SGD_ITERS, batch_size=MB if method == "mini_batch" else None,
-                                  seed=SEED, mom=mom, ranked=ranked)
+                                  seed=SEED, mom=mom, drawn=drawn)
         out = out.unionByName(_history_df(spark, m, method))
     return out.select("method", "iteration", rnd("cost", 9).alias("cost"))
 
