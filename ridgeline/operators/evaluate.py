@@ -41,12 +41,12 @@ def qq_points(df: DataFrame, value: str, id_cols: Sequence[str]) -> DataFrame:
     medians: m_n = .5^(1/n), m_1 = 1 − m_n, m_i = (i − .3175)/(n + .365).  Null values
     have no rank and are left out."""
     df = df.select(*id_cols, value).where(F.col(value).isNotNull())
-    n = df.count()
-    ranked = global_rank(df, [value, *id_cols], rank_col="i")
-    last = 0.5 ** (1.0 / n) if n else 0.0
-    m = (F.when(F.col("i") == n, F.lit(last))
-          .when(F.col("i") == 1, F.lit(1.0 - last))
-          .otherwise((F.col("i") - 0.3175) / F.lit(n + 0.365)))
+    ranked = global_rank(df, [value, *id_cols], rank_col="i", size_col="n")
+    n = F.col("n")
+    last = F.pow(F.lit(0.5), 1.0 / n)
+    m = (F.when(F.col("i") == n, last)
+          .when(F.col("i") == 1, 1.0 - last)
+          .otherwise((F.col("i") - 0.3175) / (n + 0.365)))
     return ranked.select("i", m.alias("m_i"), F.col(value).cast("double").alias("osr")) \
                  .withColumn("osm", inv_norm_expr("m_i"))
 
@@ -141,17 +141,12 @@ def roc_points(df: DataFrame, label: str, score: str, bins: int | None = None) -
         F.sum(F.col(label).cast("double")).alias("pos"),
         F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"),
         F.lit(1.0).alias("one"))
-    cum = prefix_sums(g, [F.col("s").desc()], ["pos", "neg", "one"])
-    cum = cum.select("s", "pos", "neg", F.col("pos_cum").alias("tps"), F.col("neg_cum").alias("fps"),
-                     F.col("one_cum").cast("long").alias("k"))
-    nxt = cum.select((F.col("k") - 1).alias("k"), F.col("pos").alias("pos_next"), F.col("neg").alias("neg_next"))
-    tot = cum.agg(F.max("k").alias("kmax"), F.max("tps").alias("P"), F.max("fps").alias("N")).collect()[0]
-    kmax, P, N = int(tot["kmax"] or 0), float(tot["P"] or 0), float(tot["N"] or 0)
-    j = cum.join(nxt, on="k", how="left")
-    keep = ((F.col("k") == 1) | (F.col("k") == F.lit(kmax)) |
-            (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg")))
-    pts = j.where(keep).select("k", F.try_divide(F.col("fps"), F.lit(N)).alias("fpr"),
-                               F.try_divide(F.col("tps"), F.lit(P)).alias("tpr"))
+    cum = prefix_sums(g, [F.col("s").desc()], ["pos", "neg", "one"], next_cols=["pos", "neg"])
+    # the last point has no next one
+    turns = F.coalesce((F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg")), F.lit(True))
+    pts = cum.where((F.col("one_cum") == 1) | turns).select(
+        F.col("one_cum").cast("long").alias("k"), F.try_divide("neg_cum", "neg_total").alias("fpr"),
+        F.try_divide("pos_cum", "pos_total").alias("tpr"))
     origin = pts.sparkSession.createDataFrame([(0, 0.0, 0.0)], "k long, fpr double, tpr double")
     return origin.unionByName(pts).withColumnRenamed("k", "point")
 

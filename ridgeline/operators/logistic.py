@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import copy
 import pickle
 
 import numpy as np
@@ -176,7 +177,7 @@ def binary_pass(blocks: RDD, k: int, w, b: float, hessian: bool = False) -> dict
 
 
 def _descend(gd: _GD, sums) -> _GD:
-    """All iterations; ``sums(width, partial)`` adds a partial up over the rows."""
+    """All iterations, a pass for each; ``sums(width, partial)`` adds a partial up over the rows."""
     for it in range(gd.max_iter + 1):
         tot = sums(*_binary_partial(gd.k, gd.w, gd.b))
         if gd.step(it, int(tot[0]), tot[1], tot[2], tot[3:3 + gd.k]):
@@ -184,27 +185,120 @@ def _descend(gd: _GD, sums) -> _GD:
     return gd
 
 
-def _gd_passes(blocks: RDD, gd: _GD) -> _GD:
-    """The descent: a job for each pass; where the rows are one partition anyway (see
-    :func:`right_sized`: at most ``ITER_PARTITION_BYTES``), the same passes in one task
-    of one job.  The sums, and so the result, are the same."""
-    if blocks.getNumPartitions() > 1:
-        return _descend(gd, lambda width, partial: tree_sum(blocks, width, partial))
+#: Largest difference between the gradient of the local polynomial and the exact one (per row) at the end of a run of
+#: local steps; a run that misses it is taken back and made shorter.
+LOCAL_ERROR = 1e-9
+#: Columns (with the intercept) up to which a pass brings the fourth derivatives.
+LOCAL_COLUMNS = 16
+_PASS_ROWS = 4096
+
+
+class _LocalLoss:
+    """Σ cross-entropy around a point: its first four derivatives there, and the polynomial they make.
+
+    Third and fourth derivatives are held for pairs of columns i <= j, as (pairs, columns) and (pairs, pairs).
+    """
+
+    def __init__(self, k: int):
+        self.n = k + 1
+        self.i, self.j = np.triu_indices(self.n)
+        self.twice = np.where(self.i == self.j, 1.0, 2.0)
+        self.sizes = [1, 1, self.n, len(self.i), len(self.i) * self.n, len(self.i) ** 2]
+        self.width = sum(self.sizes)
+
+    def partial(self, theta: np.ndarray):
+        """block → count, loss and derivatives at ``theta`` (intercept first)."""
+        i, j, n = self.i, self.j, self.n
+
+        def run(blk):
+            out = np.zeros(self.width)
+            for at in range(0, len(blk[1]), _PASS_ROWS):
+                y = blk[1][at:at + _PASS_ROWS]
+                X = np.column_stack([np.ones(len(y)), blk[0][at:at + _PASS_ROWS]])
+                p = 1.0 / (1.0 + np.exp(-(X @ theta)))
+                two = p * (1.0 - p)
+                pairs = X[:, i] * X[:, j]
+                out += np.concatenate([
+                    [len(y), (-(y * np.log(p + EPS) + (1.0 - y) * np.log(1.0 - p + EPS))).sum()], (p - y) @ X, two @ pairs,
+                    ((pairs * (two * (1.0 - 2.0 * p))[:, None]).T @ X).ravel(),
+                    ((pairs * (two * (1.0 - 6.0 * two))[:, None]).T @ pairs).ravel()])
+            return out
+        assert n == len(theta)
+        return self.width, run
+
+    def centre(self, theta: np.ndarray, tot: np.ndarray) -> None:
+        m, cost, g, h, t3, t4 = np.split(tot, np.cumsum(self.sizes)[:-1])
+        self.theta, self.m, self.cost, self.g = theta.copy(), int(m[0]), float(cost[0]), g
+        self.h = self._square(h)
+        self.t3, self.t4 = t3.reshape(-1, self.n), t4.reshape(len(self.i), -1)
+
+    def _square(self, pairs: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n, self.n))
+        out[self.i, self.j] = out[self.j, self.i] = pairs
+        return out
+
+    def at(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
+        """(loss, gradient) of the polynomial."""
+        d = theta - self.theta
+        two = self.twice * d[self.i] * d[self.j]
+        hd, third, fourth = self.h @ d, two @ self.t3, self.t4 @ two
+        cost = self.cost + self.g @ d + hd @ d / 2 + third @ d / 6 + two @ fourth / 24
+        return float(cost), self.g + hd + third / 2 + self._square(fourth) @ d / 6
+
+
+def _descend_locally(gd: _GD, sums) -> _GD:
+    """The same iterations with several steps a pass.
+
+    A pass brings the loss's first four derivatives at w, whose polynomial gives the gradients of the
+    next steps on the driver; the first of them is exact.  The pass at the end of a run
+    compares the polynomial's gradient with the exact one there, where it is farthest off: the run
+    stands if they differ by at most :data:`LOCAL_ERROR` a row, else it is taken back and made shorter.
+    Runs grow as the descent slows down.  Each pass's cost is exact, and is what the history holds
+    where it falls on a recorded step; the other steps' costs are the polynomial's.
+    """
+    local, run, it = _LocalLoss(gd.k), 1, 0
+    theta = lambda: np.append(gd.b, gd.w)
+    local.centre(theta(), sums(*local.partial(theta())))
+    while True:
+        saved = copy.deepcopy(gd)
+        run = min(run, gd.max_iter - it)
+        cost, g = local.cost, local.g
+        done = False
+        for step in range(max(run, 1)):
+            if gd.step(it + step, local.m, g[0], cost, g[1:]):
+                done = True
+                break
+            cost, g = local.at(theta())
+        if done:
+            return gd
+        here, guess = theta(), g
+        tot = sums(*local.partial(here))
+        error = float(np.abs(tot[2:2 + local.n] - guess).max()) / max(local.m, 1)
+        factor = 0.9 * (LOCAL_ERROR / max(error, LOCAL_ERROR / 1e4)) ** 0.25       # the remainder is of fourth order
+        if error > LOCAL_ERROR and run > 1:
+            gd.__dict__.update(saved.__dict__)
+            run = max(1, min(run - 1, int(run * factor)))
+            continue
+        local.centre(here, tot)
+        it += run
+        run = max(run + 1, int(run * min(factor, 4.0))) if factor > 1 else max(1, int(run * factor))
+
 
-    def alone(part):
-        rows = list(part)
-        yield _descend(gd, lambda width, partial: sum((partial(blk) for blk in rows), np.zeros(width)))
-    return blocks.mapPartitions(alone).collect()[0]
+def _gd_passes(blocks: RDD, gd: _GD) -> _GD:
+    """The descent over the blocks: runs of local steps, or a pass for each step where a tolerance must see every
+    exact cost or the columns are too many for fourth derivatives."""
+    descend = _descend if gd.tol is not None or gd.k + 1 > LOCAL_COLUMNS else _descend_locally
+    return descend(gd, lambda width, partial: tree_sum(blocks, width, partial))
 
 
 def fit_logistic_gd(train: DataFrame, features: Sequence[str], label: str, lr: float = 0.1,
                     max_iter: int = 1000, tol: float | None = None, record_every: int = 100,
                     l2: float = 0.0) -> LogisticModel:
     """Gradient descent from zero on standardised features (scaler fitted on
-    ``train``).  One pass per iteration over the cached NumPy blocks of the
-    standardised rows (:func:`binary_pass`, tree-reduced); pass t yields both ∇J(w_t)
-    and J(w_t), so the loss after update t is read from pass t+1 (D6 convention).
-    ``tol`` stops when |ΔJ| < tol; ``l2`` adds λ/2m‖w‖² (bias free).  For long runs
+    ``train``).  Passes over the cached NumPy blocks of the standardised rows are
+    tree-reduced; each serves a run of steps (:func:`_descend_locally`), whatever the
+    number of partitions.  Step t sees ∇J(w_t) and J(w_t), so the loss after update t is
+    read at step t+1 (D6 convention).  ``tol`` (a pass for each step) stops when |ΔJ| < tol; ``l2`` adds λ/2m‖w‖² (bias free).  For long runs
     on big tables prefer :func:`fit_logistic_newton` (a handful of passes)."""
     features = list(features)
     k = len(features)

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +49,8 @@ def _range_parted(df: DataFrame, key: Sequence[Column], num_partitions: int | No
 
 
 def global_rank(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
-                rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1..n_g in ``order_by`` order inside each ``group_by`` group.
+                rank_col: str = "rank", num_partitions: int | None = None, size_col: str | None = None) -> DataFrame:
+    """Add ``rank_col`` = 1..n_g in ``order_by`` order inside each ``group_by`` group, and n_g as ``size_col``.
 
     ``order_by`` must be a total order (end it with unique id columns).
     Columns may be names or ``F.col(..).desc()`` style expressions.
@@ -61,7 +62,8 @@ def global_rank(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
                     .agg(F.count(F.lit(1)).alias("_rl_n"), F.min(_MID).alias("_rl_first")))
     w = Window.partitionBy(*group_by).orderBy(_PID)
     offsets = counts.select(_PID, *group_by, "_rl_first",
-                            (F.sum("_rl_n").over(w) - F.col("_rl_n")).alias("_rl_off"))
+                            (F.sum("_rl_n").over(w) - F.col("_rl_n")).alias("_rl_off"),
+                            *([F.sum("_rl_n").over(Window.partitionBy(*group_by)).alias(size_col)] if size_col else []))
     # offsets has one row per (partition, group present in it) — about partitions +
     # groups rows, since range partitions hold contiguous groups.  Broadcast only
     # when that count is proven small; otherwise a shuffle join.
@@ -74,24 +76,27 @@ def global_rank(df: DataFrame, order_by: Sequence, group_by: Sequence[str] = (),
     return out
 
 
-def prefix_sums(df: DataFrame, order_by: Sequence, value_cols: Sequence[str],
-                out_suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
-    """Running totals of ``value_cols`` in the global ``order_by`` order (inclusive).
+def prefix_sums(df: DataFrame, order_by: Sequence, value_cols: Sequence[str], out_suffix: str = "_cum",
+                num_partitions: int | None = None, next_cols: Sequence[str] = ()) -> DataFrame:
+    """Running totals of ``value_cols`` in the global ``order_by`` order (inclusive), the totals over all rows
+    (``<col>_total``), and for ``next_cols`` the value of the next row (``<col>_next``; null in the last).
 
     Local running sums are computed per partition with NumPy (``mapInPandas``,
-    state carried across Arrow batches), partition totals form a small offset
-    table, and a broadcast join adds each partition's offset.
+    state carried across Arrow batches).  One small table has a row for each partition: its totals, which
+    give the others their offsets, and its first row, which the partition before it takes as its next one.
+    The ordered rows are read once for that table and once for the result; nothing is joined with itself.
     """
     key = _cols(order_by)
     parted = _range_parted(df, key, num_partitions)
-    value_cols = list(value_cols)
+    value_cols, next_cols = list(value_cols), list(next_cols)
     cum_names = [c + out_suffix for c in value_cols]
     in_schema = parted.schema
-    out_schema = T.StructType(list(in_schema.fields) +
-                              [T.StructField(n, T.DoubleType(), True) for n in cum_names])
+    out_schema = T.StructType(list(in_schema.fields) + [T.StructField(n, T.DoubleType(), True) for n in cum_names]
+                              + [T.StructField(c + "_next", in_schema[c].dataType, True) for c in next_cols]
+                              + [T.StructField("_rl_end", T.BooleanType(), False)])
 
-    def local_cumsum(batches):
-        carry = np.zeros(len(value_cols))
+    def local(batches):
+        carry, held = np.zeros(len(value_cols)), None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -101,17 +106,32 @@ def prefix_sums(df: DataFrame, order_by: Sequence, value_cols: Sequence[str],
             out = pdf.copy()
             for j, n in enumerate(cum_names):
                 out[n] = cum[:, j]
-            yield out
-
-    local = parted.mapInPandas(local_cumsum, out_schema)
-    totals = parted.groupBy(_PID).agg(*[F.sum(F.col(c).cast("double")).alias(c + "_tot") for c in value_cols])
-    w = Window.orderBy(_PID)  # one row per partition: tiny
-    offsets = totals.select(_PID, *[(F.sum(c + "_tot").over(w) - F.col(c + "_tot")).alias(c + "_off")
-                                    for c in value_cols])
-    out = local.join(F.broadcast(offsets), on=_PID, how="inner")
+            if held is not None:                    # the last row so far now has a next one
+                out = pd.concat([held, out], ignore_index=True)
+            for c in next_cols:
+                out[c + "_next"] = out[c].shift(-1)
+            out["_rl_end"] = False
+            held = out.tail(1).drop(columns=["_rl_end", *[c + "_next" for c in next_cols]])
+            yield out.head(len(out) - 1)
+        if held is not None:
+            last = held.assign(_rl_end=True)
+            for c in next_cols:
+                last[c + "_next"] = None
+            yield last[out_schema.names]
+
+    rows = parted.mapInPandas(local, out_schema)
+    first = F.min_by(F.struct(*next_cols), _MID) if next_cols else F.lit(None)
+    parts = parted.groupBy(_PID).agg(*[F.sum(F.col(c).cast("double")).alias(c + "_tot") for c in value_cols], first.alias("_rl_first"))
+    w, every = Window.orderBy(_PID), Window.partitionBy()       # one row per partition: tiny
+    table = parts.select(_PID, *[(F.sum(c + "_tot").over(w) - F.col(c + "_tot")).alias(c + "_off") for c in value_cols],
+                         *[F.sum(c + "_tot").over(every).alias(c + "_total") for c in value_cols],
+                         F.lead("_rl_first").over(w).alias("_rl_next"))
+    out = rows.join(F.broadcast(table), on=_PID, how="inner")
     for c, n in zip(value_cols, cum_names):
         out = out.withColumn(n, F.col(n) + F.col(c + "_off"))
-    return out.drop(_PID, _MID, *[c + "_off" for c in value_cols])
+    for c in next_cols:
+        out = out.withColumn(c + "_next", F.when(F.col("_rl_end"), F.col("_rl_next")[c]).otherwise(F.col(c + "_next")))
+    return out.drop(_PID, _MID, "_rl_end", "_rl_next", *[c + "_off" for c in value_cols])
 
 
 # Values of a target that are few enough to be put in order in one window; bins of a round.
