@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridgeline.operators.draws import unused
+
 from . import kernel as K
 from .shared import materialise
 
@@ -206,4 +208,5 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """``docs`` without the rows that are predicted to be of bad quality."""
     model = fit(docs, labels.where(bucket(F.col("doc_id"), folds) != 0))
-    return score(docs, model, "_score").where(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    name = unused(docs.columns, "_score")
+    return score(docs, model, name).where(F.col(name) >= THRESHOLD).select(*docs.columns)

@@ -355,17 +355,50 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
+def _nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """((doc_id, text), None): what is compared.  If ids are repeated, their rows get an id of their own for each
+    text (below 0, from a hash of id and text), and the second table says (doc_id, id, text_hash): the id given and the
+    id that they had."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    again = texts.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    again = materialise(again, "jaccard-repeated")
+    if not again.limit(1).count():
+        return texts, None
+    # a written table: it is broadcast if its size allows
+    marked = texts.join(again.withColumn("again", F.lit(True)), "doc_id", "left")
+    node = F.when(F.col("again"), -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)).otherwise(F.col("doc_id"))
+    odd = marked.where("again").select(node.alias("doc_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")).distinct()
+    return marked.select(node.alias("doc_id"), "text"), materialise(odd, "jaccard-odd")
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text, ...).
 
     Null or blank text: an empty set, linked with nothing (component = own id).
     Rows with a null id come back with a null component and link nothing.  Rows
     that repeat an id are one document; if their texts differ, each text takes
-    part and all share the id's component.  Extra columns are ignored; an empty
+    part with its own links, and all share the id's component.  Extra columns are ignored; an empty
     table gives an empty result.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts, odd = _nodes(docs)
+    if odd is None:
+        return _groups(texts)
+    rows = _groups(texts, odd.select("doc_id", "id")).join(odd.select("doc_id", "id"), "doc_id", "left")
+    rows = materialise(rows.withColumn("own", F.coalesce("id", "doc_id")), "jaccard-rows")
+    names = rows.where("n_shingles > 0").groupBy("component_id").agg(F.min("own").alias("name"))
+    names = materialise(names.withColumnRenamed("component_id", "component"), "jaccard-names")
+    named = rows.join(names, (F.col("component_id") == F.col("component")) & (F.col("n_shingles") > 0), "left")
+    # a blank text of an id that has others is in the id's component
+    shared = named.where("id is not null and name is not null").groupBy("id").agg(F.min("name").alias("shared"))
+    shared = materialise(shared.withColumnRenamed("id", "of"), "jaccard-shared")
+    return named.join(shared, F.col("id") == F.col("of"), "left").select(
+        F.col("own").alias("doc_id"), "n_shingles", F.coalesce("shared", "name", "own").alias("component_id"))
+
+
+def _groups(texts: DataFrame, same: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of (doc_id, text), where an id has one text.  ``same`` (doc_id, id): those with
+    equal ``id`` are linked whatever their texts."""
+    spark = texts.sparkSession
     table = materialise(texts.mapInArrow(_sets, _SETS), "jaccard-sets")
     rows = table.where("part is null").select("doc_id", "n", "fp1", "fp2", "mins")
     linked = rows.where("n > 0 and doc_id is not null")
@@ -382,6 +415,10 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
              .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
     stars = materialise(stars, "jaccard-stars")
     links = materialise(verify_pairs(stars, texts).distinct(), "jaccard-links")
+    if same is not None:
+        own = same.join(linked, "doc_id").join(reps.drop("mins"), ["fp1", "fp2", "n"]).select("id", "rep").distinct()
+        low = own.groupBy("id").agg(F.min("rep").alias("b"))
+        links = materialise(links.unionByName(own.join(low, "id").select(F.col("rep").alias("a"), "b")), "jaccard-linked")
     first = materialise(components(links, "jaccard-first"), "jaccard-first")
     # blocked product over the prefixes
     levels = spark.sparkContext.broadcast(shingle_levels(table))
@@ -409,9 +446,22 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
 def keep_representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id.
 
-    Documents without words, and rows with a null id, are in no group and stay.  Of
-    rows that repeat an id all stay or all go.
+    Documents without words, and rows with a null id, are in no group and stay.  Rows with the same id and text
+    stay or go together; where an id is repeated with different texts, each text is a document of its own, so that
+    one which is nobody's near copy stays.
     """
-    groups = jaccard_groups(docs.select("doc_id", "text"))
-    gone = materialise(groups.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
-    return without(docs, gone)
+    texts, odd = _nodes(docs)
+    groups = _groups(texts)
+    if odd is None:
+        return without(docs, materialise(groups.where("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone"))
+    named = groups.where("n_shingles > 0").join(odd, "doc_id", "left").select(
+        "doc_id", "component_id", F.coalesce("id", "doc_id").alias("id"), "text_hash").distinct()
+    named = materialise(named, "jaccard-named")
+    kept = named.groupBy("component_id").agg(F.min(F.struct("id", "doc_id")).alias("first")).select(
+        F.col("component_id").alias("component"), F.col("first.doc_id").alias("stays"))
+    gone = named.join(materialise(kept, "jaccard-kept"), F.col("component_id") == F.col("component")).where("doc_id <> stays")
+    gone = materialise(gone.select("id", "text_hash"), "jaccard-gone")
+    rest = without(docs, gone.where("text_hash is null").select(F.col("id").alias("doc_id")))
+    rows = rest.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    match = (F.col("row.doc_id") == F.col("id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("text_hash"))
+    return rows.join(gone.where("text_hash is not null"), match, "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

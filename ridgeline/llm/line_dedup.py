@@ -79,10 +79,6 @@ class LineRuns:
             self._push(level + 1, self._write(both))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_lines", F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1))
-
-
 def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                       batches: int = BATCHES) -> DataFrame:
     """(doc_id, text_hash, dropped: positions of the lines to drop), documents with any only."""
@@ -110,42 +106,38 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
                 batches: int = BATCHES) -> DataFrame:
-    """``docs`` with ``_kept`` (array of the lines that stay), ``_n_lines`` and ``_n_dropped`` added.
+    """The rows of ``docs`` as (doc, kept, n_lines, n_dropped): ``doc`` is the row itself, as a struct that no name of ours
+    can clash with, ``kept`` the array of the lines that stay.
 
     Keys of at least ``min_chars`` code points that stand in at least ``min_docs``
     documents lose all their lines except in the largest ``doc_id`` that holds them.
     Null or empty text: one empty line, kept.  Rows that repeat an id are one
-    document.  Rows with a null id are left as they are and do not count.  Other
-    columns pass through; an empty table gives an empty result.
+    document.  Rows with a null id are left as they are and do not count.  An empty table gives an
+    empty result.
     """
-    drops = dropped_positions(docs, min_chars, min_docs, batches).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("dropped").alias("_dropped"))
-    named = docs.where("doc_id is not null").join(
-        drops, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash")), "left"
-    ).drop("_id", "_hash")
-    unnamed = docs.where("doc_id is null").withColumn("_dropped", F.lit(None).cast("array<int>"))
-    rows = _lines(named.unionByName(unnamed))
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    stay = F.array_except(every, F.coalesce("_dropped", F.array().cast("array<int>")))
-    kept = F.when(F.col("_dropped").isNull(), F.col("_lines")).otherwise(
-        F.transform(stay, lambda i: F.col("_lines")[i]))
-    return rows.select(*docs.columns, kept.alias("_kept"), F.size("_lines").cast("long").alias("_n_lines"),
-                       F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("_n_dropped"))
+    drops = dropped_positions(docs, min_chars, min_docs, batches)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    named = rows.where("doc.doc_id is not null").join(
+        drops, (F.col("doc.doc_id") == F.col("doc_id")) & (F.xxhash64(F.col("doc.text").cast("string")) == F.col("text_hash")), "left"
+    ).select("doc", "dropped")
+    unnamed = rows.where("doc.doc_id is null").withColumn("dropped", F.lit(None).cast("array<int>"))
+    rows = named.unionByName(unnamed).withColumn("lines", F.split(F.coalesce(F.col("doc.text").cast("string"), F.lit("")), "\n", -1))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    stay = F.array_except(every, F.coalesce("dropped", F.array().cast("array<int>")))
+    kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.transform(stay, lambda i: F.col("lines")[i]))
+    return rows.select("doc", kept.alias("kept"), F.size("lines").cast("long").alias("n_lines"),
+                       F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped and the SHA-256 of the text that stays."""
     rows = dedup_lines(docs.select("doc_id", "text"))
-    return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                       F.sha2(F.array_join("_kept", "\n"), 256).alias("kept_sha256"))
+    return rows.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"))
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text`` (a null text stays null) and
-    ``n_chars``, where there is such a column, counted anew."""
-    rows = dedup_lines(docs)
-    text = F.when(F.col("text").isNotNull(), F.array_join("_kept", "\n"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    ``n_chars``, where there is such a column, counted anew.  Other columns pass through, whatever their names."""
+    text = F.when(F.col("doc.text").isNotNull(), F.array_join("kept", "\n"))
+    new = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return dedup_lines(docs).select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

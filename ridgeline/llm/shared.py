@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.operators.draws import unused
 from ridgeline.session import ensure_checkpoint_dir
 
 
@@ -38,9 +39,10 @@ def possible(df: DataFrame, ids: DataFrame, bits: int = ID_BITS, column: str = "
     bounded whatever the number of ids.  Rows that are not in ``ids`` may pass;
     none that is gets lost.
     """
+    at = unused(df.columns, "_slot")
     slot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
-    return df.withColumn("_slot", slot).join(slots, "_slot", "left_semi").drop("_slot")
+    slots = F.broadcast(ids.select(slot.alias(at)).distinct())
+    return df.withColumn(at, slot).join(slots, at, "left_semi").select(*df.columns)
 
 
 def without(df: DataFrame, ids: DataFrame, bits: int = ID_BITS, column: str = "doc_id") -> DataFrame:
@@ -49,8 +51,8 @@ def without(df: DataFrame, ids: DataFrame, bits: int = ID_BITS, column: str = "d
     Only rows whose hash slot an id occupies are joined on the id itself; the others
     are known to stay and are not shuffled.
     """
+    at = unused(df.columns, "_slot")
     slot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    slots = F.broadcast(ids.select(slot.alias("_slot")).distinct())
-    marked = df.withColumn("_slot", slot)
-    sure = marked.join(slots, "_slot", "left_anti").drop("_slot")
+    slots = F.broadcast(ids.select(slot.alias(at)).distinct())
+    sure = df.withColumn(at, slot).join(slots, at, "left_anti").select(*df.columns)
     return sure.unionByName(possible(df, ids, bits, column).join(ids, column, "left_anti").select(*df.columns))

@@ -73,3 +73,10 @@ def test_sizes_cover_the_whole_text():
     c = Q.Compressor(model)
     n, good, bad = c.sizes("a" * 5000 + "zqj" * 100)
     assert n == 5300 and c.sizes("")[0] == 0 and c.sizes("a" * 5000)[1] < good
+
+
+def test_keep_good_keeps_a_column_named_like_ours(spark):
+    docs = spark.createDataFrame([(1, "some text", 5.0), (2, None, 6.0)], "doc_id long, text string, _score double")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    out = Q.keep_good(docs, labels)
+    assert out.columns == docs.columns and sorted(r._score for r in out.collect()) == [5.0, 6.0]

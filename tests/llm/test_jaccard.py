@@ -112,3 +112,55 @@ def test_block_product_needs_no_same_component_pairs():
     assert got == {(1, 4): 2, (2, 4): 1}
     assert not list(J.block_product(doc, comp, n, n, n, row, keys, np.full(8, 5, np.uint16)))
     assert not list(J.block_product(doc, comp, n, n, 0 * n, row, keys, np.zeros(8, np.uint16)))
+
+
+def _grouped_texts(rows):
+    """Components of (id, text) pairs by comparing all; texts of one id belong together."""
+    pairs = sorted({(i, t) for i, t in rows if i is not None}, key=str)
+    flat = brute.jaccard_components([(k, t) for k, (_, t) in enumerate(pairs)])
+    parent = {i: i for i, _ in pairs}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for k, (i, _) in enumerate(pairs):
+        a, b = sorted((root(i), root(pairs[flat[k][1]][0])))
+        parent[b] = a
+    return {(i, t): (flat[k][0], root(i)) for k, (i, t) in enumerate(pairs)}
+
+
+def _varied(seed):
+    rnd = random.Random(seed)
+    rows = made_rows(seed)
+    ids = [i for i, _ in rows]
+    return [(rnd.choice(ids[:40]) if rnd.random() < 0.3 else i, t) for i, t in rows] + [(ids[0], None), (ids[1], " ")]
+
+
+def test_texts_of_a_repeated_id_keep_their_links(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more")]
+    assert {i: c for i, (_, c) in result(spark, rows).items()} == {1: 1, 2: 1, 3: 1}
+    for rows in (_varied(3), _varied(4), [(5, a), (5, None), (4, a + " more"), (9, None), (9, "")]):
+        want = _grouped_texts(rows)
+        out = J.jaccard_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert len(out) == len(rows)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in out)
+        assert got == sorted((i, *want[i, t]) for i, t in rows)
+
+
+def test_a_text_of_a_repeated_id_that_is_nobodys_copy_stays(spark):
+    a, b, c = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(5, a), (5, b), (5, b), (3, a + " more"), (7, c), (8, None), (8, b + " more"), (None, a)]
+    out = J.keep_representatives(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, _slot int"))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(5, b), (5, b), (3, a + " more"), (7, c), (8, None), (None, a)], key=str)
+
+
+def test_clashing_column_names(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words stand in this one")]
+    clash = "_slot", "row", "id", "text_hash", "component", "_id"
+    d = spark.createDataFrame([(*r, *range(6)) for r in rows], "doc_id long, text string, " + ", ".join(f"{c} int" for c in clash))
+    out = J.keep_representatives(d)
+    assert out.columns == d.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
+    assert {r.component_id for r in J.jaccard_groups(d).collect()} == {1, 3}

@@ -78,3 +78,14 @@ def test_runs_are_compacted(spark):
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     out = {r.h1: (r.n_docs, r.keeper) for r in runs.merged().collect()}
     assert out[1] == (15, 100) and out[2] == (3, 100) and out[6] == (3, 60)
+
+
+def test_rewrite_keeps_columns_of_any_name(spark):
+    line = "a line that is long enough to count"
+    names = ["_id", "_hash", "_lines", "_kept", "_dropped", "doc", "lines", "kept", "dropped", "text_hash"]
+    rows = [(i, f"{line}\nown {i}", *range(10)) for i in range(4)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    out = D.rewrite(d)
+    assert out.columns == d.columns
+    got = {r.doc_id: tuple(r) for r in out.collect()}
+    assert got[3][1] == f"{line}\nown 3" and got[0][1] == "own 0" and all(r[2:] == tuple(range(10)) for r in got.values())
