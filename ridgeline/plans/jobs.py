@@ -78,6 +78,7 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     training split only."""
     feats, target = HOUSE_FEATURES, "price"
     df, ids = _with_id(df, id_cols)
+    df, loaded = io.audited(df, "loaded")       # A7: counted by the jobs that read them anyway
     # profile of the raw table
     _write(profile.summary_stats(df, target), out_dir, "profile/summary")
     _write(profile.quantiles(df, target), out_dir, "profile/price_quantiles")
@@ -98,11 +99,13 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     dirty = prep.inject_missing(df, ids, feats, missing_rate, seed)
     if impute_scope == "all":
         clean = prep.outlier_filter(prep.impute(dirty, prep.medians(dirty, feats + [target])), "area", area_max)
+        clean, cleaned = io.audited(clean, "cleaned")
         tagged = split.exact_split(clean, ids, 0.2, seed).persist()
     else:       # medians of training rows only: the sides are drawn first, by the same hash
         tagged = split.hash_split(dirty, ids, 0.2, seed)
         values = prep.medians(tagged.where(F.col("split") == "train"), feats + [target])
-        tagged = prep.outlier_filter(prep.impute(tagged, values), "area", area_max).persist()
+        tagged, cleaned = io.audited(prep.outlier_filter(prep.impute(tagged, values), "area", area_max), "cleaned")
+        tagged = tagged.persist()
     train = tagged.where(F.col("split") == "train")
     mom = moments(train, feats + [target])
     fits = {"batch": linear.fit_batch_gd(train, feats, target, lr=lr, max_iter=iters, seed=seed, mom=mom)}
@@ -129,6 +132,8 @@ def house_job(spark: SparkSession, df: DataFrame, out_dir: str, id_cols: Sequenc
     # explain (G1, G2) and the run record (A10)
     _write(explain.importance(explain.coefficient_table(spark, feats, model.weights)), out_dir, "features/importance")
     m = metrics.collect()[0].asDict()
+    stages = [("loaded", int(loaded.get["rows"])), ("cleaned", int(cleaned.get["rows"])), ("train", mom.n), ("test", int(m["n"]))]
+    _write(spark.createDataFrame(stages, "stage string, rows long"), out_dir, "training/row_audit")
     summary = {"n_train": mom.n, "n_test": int(m["n"]), "features": feats, "weights": [float(w) for w in model.weights],
                "bias": float(model.bias), "metrics": {k: float(m[k]) for k in ("mse", "mae", "rmse", "r2")}}
     _write(io.run_summary(spark, summary), out_dir, "training/summary")

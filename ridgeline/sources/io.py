@@ -41,14 +41,21 @@ def _cells(line: Column, n: int, sep: str) -> Column:
                                      "ignoreTrailingWhiteSpace": "true"})
 
 
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of a text file (the first file, of a folder) that A1 keeps."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start",
-                                         F.monotonically_increasing_id().alias("at"))
+def _head_of(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file that A1 keeps.  Its blocks are taken in order, and only until a line is found."""
     strip = F.regexp_replace("value", r"^\s+|\s+$", "")
-    first = (lines.withColumn("line", strip).where((F.col("line") != "") & ~F.col("line").startswith("#"))
-             .orderBy("file_path", "file_block_start", "at").select("line").limit(1).collect())
-    return first[0][0].split("#", 1)[0].strip() if first else None
+    first = spark.read.text(file).select(strip.alias("line")).where((F.col("line") != "") & ~F.col("line").startswith("#")).first()
+    return first["line"].split("#", 1)[0].strip() if first else None
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line that A1 keeps: of a folder, that of its first file by name that has one.  The listing
+    names the files; the others are not opened."""
+    for file in sorted(spark.read.text(path).inputFiles()):
+        line = _head_of(spark, file)
+        if line is not None:
+            return line
+    return None
 
 
 def scan_comment_csv(spark: SparkSession, path: str, columns: Sequence[str], header: str | None = None,
@@ -57,7 +64,7 @@ def scan_comment_csv(spark: SparkSession, path: str, columns: Sequence[str], hea
     to double (``try_cast``: a bad cell becomes null, ANSI mode never raises).
 
     The names come from ``header``, by default the first line that is kept (of a
-    folder: of its first file); lines equal to it but for blanks are dropped
+    folder: of its first file by name, the only one that is opened for it); lines equal to it but for blanks are dropped
     wherever they stand.  Cells follow the CSV rules, ``sep`` is literal, a line
     with too few cells gives nulls, extra cells are ignored.  A name of
     ``columns`` that the header lacks is an error; an empty file gives no rows.

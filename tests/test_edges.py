@@ -125,3 +125,15 @@ def test_wide_moments_match_the_expression_path(spark):
     assert wide.n == plain.n == 300 and np.allclose(wide.mean, plain.mean) and np.allclose(wide.cov, plain.cov)
     r = {(c.a, c.b): c.r for c in profile.vector_correlation(df, "v").collect()}
     assert r[2, 3] is None and r[2, 2] == 1.0 and abs(r[0, 1] - np.corrcoef(x[:, 0], x[:, 1])[0, 1]) < 1e-9
+
+
+def test_only_the_first_file_is_opened_for_the_header(spark, tmp_path, monkeypatch):
+    (tmp_path / "many").mkdir()
+    for k in range(30):
+        head = {0: " # nothing here\n\n", 1: "# c\n b, a # names\n"}.get(k, "")
+        (tmp_path / "many" / f"part-{k:05d}.txt").write_text(head + (f"{k}, {k * 2}\n" if k else ""))
+    opened, real = [], io._head_of
+    monkeypatch.setattr(io, "_head_of", lambda s, f: opened.append(f) or real(s, f))
+    got = io.scan_comment_csv(spark, str(tmp_path / "many"), ["a", "b"])
+    assert sorted((r.a, r.b) for r in got.collect()) == [(2.0 * k, float(k)) for k in range(1, 30)]
+    assert [f.rsplit("/", 1)[1] for f in opened] == ["part-00000.txt", "part-00001.txt"]     # the first has no line

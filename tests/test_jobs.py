@@ -39,6 +39,11 @@ def test_house_job(spark, tmp_path):
         evaluation/predictions evaluation/range evaluation/price_hist evaluation/pred_hist evaluation/residual_hist
         evaluation/rel_error_pct_hist evaluation/qq_points evaluation/qq_line features/importance training/summary""")
     assert s["n_train"] + s["n_test"] == 241 and s["n_test"] == 49      # the 250 m² row is filtered before the split
+    audit = {r.stage: r.rows for r in spark.read.json(os.path.join(out, "training", "row_audit")).collect()}
+    assert audit == {"loaded": 242, "cleaned": 241, "train": 192, "test": 49}
+    jobs.house_job(spark, df, out + "-train", iters=20, impute_scope="train")
+    audit = {r.stage: r.rows for r in spark.read.json(os.path.join(out + "-train", "training", "row_audit")).collect()}
+    assert audit["loaded"] == 242 and audit["cleaned"] == audit["train"] + audit["test"] <= 242
 
 
 def test_sales_job(spark, tmp_path):
