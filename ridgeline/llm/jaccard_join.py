@@ -16,8 +16,8 @@ shingles is at least 3/4.  The steps, all over every document:
 4. The incidence matrix is cut into blocks by n-gram.  N-grams that one first
    component alone has are taken out, which leaves for each document how many
    n-grams of its prefix are common with others.  Each block's product gives the
-   overlap counts of pairs that are in different first components and whose sizes
-   and common n-grams allow a link, over the n-grams that stand early enough in
+   overlap counts of pairs that are in different first components and whose sizes,
+   common n-grams and profiles (counts of n-grams by class of their hash) allow a link, over the n-grams that stand early enough in
    both orders; counts are summed over the blocks, and a pair is dropped when its
    count stays below the bound that its sizes demand.
 5. The remaining pairs are verified on their whole sets; the links of 3 and 5
@@ -44,7 +44,9 @@ SKETCH_BITS = 20
 BLOCK_ENTRIES = 2_000_000
 PRODUCT_CHUNK = 400_000
 HELD_PAIRS = 2_000_000
+PAIRS_AT_ONCE = 50_000
 PLACES = 65_535
+PROFILE = 128
 _SEEDS = K.mix(np.arange(1, 33, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -69,14 +71,26 @@ EARLY_SQL = ("least(1 + ((3 * (na + nb) + 6) div 7) div 64, "
 
 # -- pass 1: sets, fingerprints, min-hashes, sketch ---------------------------------
 
-_SETS = "doc_id long, n long, fp1 long, fp2 long, mins array<long>, part int, counts binary"
+_SETS = "doc_id long, n long, fp1 long, fp2 long, mins array<long>, profile binary, part int, counts binary"
+
+
+def profile(s: np.ndarray) -> np.ndarray:
+    """How many n-grams of a set fall into each of ``PROFILE`` classes of their hashes, 255 for more than 254."""
+    return np.minimum(np.bincount((s & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8)
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each row of two tables of profiles how many n-grams the sets can share at most: of each class the smaller
+    count.  Where a count may be more than its byte says, there is no bound."""
+    open_ = (a.max(axis=1, initial=0) == 255) & (b.max(axis=1, initial=0) == 255)
+    return np.where(open_, np.iinfo(np.int64).max, np.minimum(a, b).sum(axis=1, dtype=np.int64))
 
 
 @K.released
 def _sets(batches):
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
-                        ("mins", pa.list_(pa.int64())), ("part", pa.int32()), ("counts", pa.binary())])
+                        ("mins", pa.list_(pa.int64())), ("profile", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
         for lo, hi in K.text_chunks(batch):
             ids = batch.column("doc_id").slice(lo, hi - lo)
@@ -85,6 +99,7 @@ def _sets(batches):
             n = np.zeros(hi - lo, np.int64)
             fp = np.zeros((2, hi - lo), np.uint64)
             mins = [[] for _ in range(hi - lo)]
+            profiles = [b""] * (hi - lo)
             for i in range(hi - lo):
                 s = K.distinct_sorted(sh[off[i]:off[i + 1]])
                 if not len(s):
@@ -96,14 +111,16 @@ def _sets(batches):
                 low = [K.mix(s ^ _SEEDS[1 + p]).min() for p in range(BANDS * BAND_ROWS)]
                 bands = K.mix(np.array(low[::2], np.uint64) * np.uint64(3) + K.mix(np.array(low[1::2], np.uint64)))
                 mins[i] = K.to_signed(bands).tolist()
+                profiles[i] = profile(s).tobytes()
             yield pa.RecordBatch.from_arrays([
                 ids.cast(pa.int64()), pa.array(n), pa.array(K.to_signed(fp[0])), pa.array(K.to_signed(fp[1])),
-                pa.array(mins, pa.list_(pa.int64())), pa.nulls(hi - lo, pa.int32()), pa.nulls(hi - lo, pa.binary()),
+                pa.array(mins, pa.list_(pa.int64())), pa.array(profiles, pa.binary()), pa.nulls(hi - lo, pa.int32()),
+                pa.nulls(hi - lo, pa.binary()),
             ], schema=schema)
     parts = 16
     pieces = np.split(np.minimum(sketch, 65535).astype(np.uint16), parts)
     none = pa.nulls(parts, pa.int64())
-    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(parts, pa.list_(pa.int64())),
+    yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(parts, pa.list_(pa.int64())), pa.nulls(parts, pa.binary()),
                                       pa.array(range(parts), pa.int32()), pa.array([p.tobytes() for p in pieces])],
                                      schema=schema)
 
@@ -213,7 +230,7 @@ def shared_entries(comp, row, keys):
     return order[np.repeat(own[at] != own[last], last - at + 1)]
 
 
-def block_product(doc, comp, n, last, common, row, keys, place):
+def block_product(doc, comp, n, last, common, row, keys, place, profiles):
     """Overlap counts of one block: batches of (a, b, na, nb, shared).
 
     ``doc``, ``comp``, ``n``, ``last`` and ``common`` describe the block's documents (id,
@@ -223,7 +240,8 @@ def block_product(doc, comp, n, last, common, row, keys, place):
     allow a link: only n-grams that stand early enough in both orders count (see
     :func:`bounds`), and for the document whose prefix ends first (what it shares there
     is in the other's prefix too), what is common in the prefix plus all behind it
-    must reach the overlap that is needed.
+    must reach the overlap that is needed.  So must the overlap that the documents' ``profiles`` (see
+    :func:`most_shared`) leave room for.
     """
     order = shared_entries(comp, row, keys)
     row, keys, place = row[order], keys[order], place[order]
@@ -269,6 +287,12 @@ def block_product(doc, comp, n, last, common, row, keys, place):
         swap = doc[left] > doc[right]
         low, high = np.where(swap, right, left).astype(np.uint64), np.where(swap, left, right).astype(np.uint64)
         pair, count = np.unique(low << np.uint64(32) | high, return_counts=True)
+        can = np.empty(len(pair), bool)
+        for k in range(0, len(pair), PAIRS_AT_ONCE):
+            part = pair[k:k + PAIRS_AT_ONCE]
+            a, b = (part >> np.uint64(32)).astype(np.int64), (part & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            can[k:k + PAIRS_AT_ONCE] = most_shared(profiles[a], profiles[b]) >= bounds(n[a], n[b])[0]
+        pair, count = pair[can], count[can]
         pairs.append(pair)
         counts.append(count)
         held += len(pair)
@@ -313,7 +337,9 @@ def _reduce(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
 
 @K.released
 def _product(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "last", "common"))):
+    batches = list(batches)
+    profiles = np.frombuffer(b"".join(x.as_py() for b in batches for x in b.column("profile")), np.uint8).reshape(-1, PROFILE)
+    for out in block_product(*_entries_of(batches, ("doc_id", "comp", "n", "last", "common")), profiles):
         yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out],
                                          names=["a", "b", "na", "nb", "shared"])
 
@@ -400,11 +426,11 @@ def _groups(texts: DataFrame, same: DataFrame | None = None) -> DataFrame:
     equal ``id`` are linked whatever their texts."""
     spark = texts.sparkSession
     table = materialise(texts.mapInArrow(_sets, _SETS), "jaccard-sets")
-    rows = table.where("part is null").select("doc_id", "n", "fp1", "fp2", "mins")
+    rows = table.where("part is null").select("doc_id", "n", "fp1", "fp2", "mins", "profile")
     linked = rows.where("n > 0 and doc_id is not null")
     total = linked.agg(F.sum("n")).first()[0] or 0
     # classes of equal sets
-    reps = linked.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.first("mins").alias("mins"))
+    reps = linked.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"), F.first("mins").alias("mins"), F.first("profile").alias("profile"))
     reps = materialise(reps, "jaccard-reps")
     # star pairs on min-hashes
     keyed = reps.select("rep", "n", F.posexplode("mins").alias("perm", "key"))
@@ -416,7 +442,7 @@ def _groups(texts: DataFrame, same: DataFrame | None = None) -> DataFrame:
     stars = materialise(stars, "jaccard-stars")
     links = materialise(verify_pairs(stars, texts).distinct(), "jaccard-links")
     if same is not None:
-        own = same.join(linked, "doc_id").join(reps.drop("mins"), ["fp1", "fp2", "n"]).select("id", "rep").distinct()
+        own = same.join(linked.drop("mins", "profile"), "doc_id").join(reps.drop("mins", "profile"), ["fp1", "fp2", "n"]).select("id", "rep").distinct()
         low = own.groupBy("id").agg(F.min("rep").alias("b"))
         links = materialise(links.unionByName(own.join(low, "id").select(F.col("rep").alias("a"), "b")), "jaccard-linked")
     first = materialise(components(links, "jaccard-first"), "jaccard-first")
@@ -429,6 +455,7 @@ def _groups(texts: DataFrame, same: DataFrame | None = None) -> DataFrame:
     entries = prefix.select("doc_id", "comp", "n", "last", "prefix").mapInArrow(_to_blocks(blocks), _ENTRIES)
     entries = materialise(entries.groupBy("block").applyInArrow(_reduce, _ENTRIES), "jaccard-entries")
     common = entries.groupBy("doc_id").agg(F.sum(F.octet_length("keys") / 8).cast("long").alias("common"))
+    common = common.join(reps.select(F.col("rep").alias("doc_id"), "profile"), "doc_id")
     counted = (entries.join(common, "doc_id").groupBy("block").applyInArrow(_product, _PAIRS)
                .groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(f"a <> b and shared >= {EARLY_SQL}"))
     cross = materialise(counted.select("a", "b").distinct(), "jaccard-cross")

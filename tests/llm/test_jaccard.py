@@ -106,12 +106,13 @@ def test_block_product_needs_no_same_component_pairs():
     row = np.array([0, 1, 2, 3, 0, 3, 0, 1])
     doc, comp, n = np.array([1, 2, 3, 4]), np.array([1, 1, 1, 4]), np.array([10, 10, 5, 10])
     got = {}
-    for out in J.block_product(doc, comp, n, n, n, row, keys, np.zeros(8, np.uint16)):
+    anything = np.full((len(doc), J.PROFILE), 255, np.uint8)         # profiles that bound nothing
+    for out in J.block_product(doc, comp, n, n, n, row, keys, np.zeros(8, np.uint16), anything):
         for a, b, *_, s in zip(*out, strict=True):
             got[int(a), int(b)] = got.get((int(a), int(b)), 0) + int(s)
     assert got == {(1, 4): 2, (2, 4): 1}
-    assert not list(J.block_product(doc, comp, n, n, n, row, keys, np.full(8, 5, np.uint16)))
-    assert not list(J.block_product(doc, comp, n, n, 0 * n, row, keys, np.zeros(8, np.uint16)))
+    assert not list(J.block_product(doc, comp, n, n, n, row, keys, np.full(8, 5, np.uint16), anything))
+    assert not list(J.block_product(doc, comp, n, n, 0 * n, row, keys, np.zeros(8, np.uint16), anything))
 
 
 def _grouped_texts(rows):
@@ -164,3 +165,16 @@ def test_clashing_column_names(spark):
     out = J.keep_representatives(d)
     assert out.columns == d.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
     assert {r.component_id for r in J.jaccard_groups(d).collect()} == {1, 3}
+
+
+def test_profiles_bound_the_overlap():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for size in (5, 300, 60_000):
+        x = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        y = np.concatenate([x[: size // 2], np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))])
+        a, b = J.profile(x), J.profile(y)
+        bound = J.most_shared(a[None], b[None])[0]
+        assert bound >= len(np.intersect1d(x, y))
+        if size == 300:
+            assert bound < min(len(x), len(y)) and J.most_shared(a[None], a[None])[0] == len(x)
