@@ -37,7 +37,7 @@ def rows_at(rows: DataFrame, key: str, tie: Sequence[str], ranks: Iterable[int],
 
     ``total`` is about the number of rows; it only sets the size of buckets.  The ranks pass through the
     driver (of a sampled descent: iterations x batch).  Equal rows are counted together, so a row
-    that is repeated many times stays one; ``tie`` decides between rows with equal digests, then all columns do.
+    that is repeated many times stays one; ``tie`` decides between rows with equal digests, then the other columns do, larger values first.
     Ranks below 1 or above the number of rows give nothing.
     """
     spark = rows.sparkSession
@@ -62,7 +62,7 @@ def rows_at(rows: DataFrame, key: str, tie: Sequence[str], ranks: Iterable[int],
     # a repeated row is one row with a number
     near = near.groupBy("_prefix", "_before", *own).agg(F.count(F.lit(1)).alias("_times"))
     rest = [c for c in own if c != key and c not in tie]
-    order = Window.partitionBy("_prefix").orderBy(key, *tie, *rest).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_prefix").orderBy(key, *tie, *[F.col(c).desc() for c in rest]).rowsBetween(Window.unboundedPreceding, 0)
     near = near.withColumn("_upto", F.col("_before") + F.sum("_times").over(order))
     hit = near.drop("_before").join(_small(table.drop("_before"), len(places)), "_prefix")
     return hit.where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("_times"))).select(*own, "rank")
