@@ -391,27 +391,7 @@ def accuracy(spark, sf_dir):
     return a.select(rnd("accuracy", 9).alias("accuracy"), F.col("n").cast("long").alias("n"))
 
 
-def _report_sql():
-    p = "coalesce(tp::DOUBLE / nullif(predicted, 0), 0.0)"
-    r = "coalesce(tp::DOUBLE / nullif(support, 0), 0.0)"
-    return (
-        ", per AS (SELECT l.label, l.support, l.tp, coalesce(p.predicted, 0) AS predicted FROM "
-        "(SELECT label, sum(n) AS support, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cm GROUP BY label) l "
-        "LEFT JOIN (SELECT prediction, sum(n) AS predicted FROM cm GROUP BY prediction) p ON p.prediction = l.label), "
-        f"pr2 AS (SELECT label, support, tp, {p} AS precision, {r} AS recall FROM per), "
-        "f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr2) "
-        "SELECT label::VARCHAR AS class, " + sqlgen.rnd("precision", 6) + " AS precision, " + sqlgen.rnd("recall", 6)
-        + " AS recall, " + sqlgen.rnd("f1", 6) + " AS f1, support::BIGINT AS support FROM f UNION ALL "
-        "SELECT 'accuracy', NULL, NULL, " + sqlgen.rnd("sum(tp)::DOUBLE / sum(support)", 6) + ", sum(support)::BIGINT FROM f UNION ALL "
-        "SELECT 'macro avg', " + sqlgen.rnd("avg(precision)", 6) + ", " + sqlgen.rnd("avg(recall)", 6) + ", "
-        + sqlgen.rnd("avg(f1)", 6) + ", sum(support)::BIGINT FROM f UNION ALL "
-        "SELECT 'weighted avg', " + sqlgen.rnd("sum(precision * support) / sum(support)", 6) + ", "
-        + sqlgen.rnd("sum(recall * support) / sum(support)", 6) + ", " + sqlgen.rnd("sum(f1 * support) / sum(support)", 6)
-        + ", sum(support)::BIGINT FROM f"
-    )
-
-
-@query("class_report", ops=("F9",), sql=_ova_gd_sql() + _report_sql())
+@query("class_report", ops=("F9",), sql=_ova_gd_sql() + sqlgen.report_sql())
 def class_report(spark, sf_dir):
     """Per-class precision, recall, F1, support; accuracy, macro and weighted averages."""
     rep = evaluate.class_report(_ova_cm(spark, sf_dir))

@@ -1,5 +1,6 @@
 """Registered logistic queries: binary GD (D13–D15) on documents ⋈ labels and
-one-vs-all by damped Newton (D18–D20, E6, F7–F9) on the embeddings table."""
+one-vs-all by damped Newton (D18–D20, E6, F7–F9) on the embeddings table.
+The SQL of the one-vs-all queries finds the minimisers by gradient steps of its own (``sqlsolve``)."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import hash_uniform_sql
 from ..operators import evaluate, logistic, split
 from ..operators.score import accuracy_of_models, argmax_class
-from . import sqlgen
+from . import sqlgen, sqlsolve
 from .catalog import memo, query, rnd
 from .tasks import DOC_FEATURES, DOC_ID, DOC_TARGET, PATIENT_SQL, VEC_ID, digit_like, patient_like
 
@@ -167,7 +168,34 @@ def _scored(df, fit, li):
     return df.withColumn("prediction", argmax_class(s))
 
 
-@query("ova_fit", ops=("B9", "D16", "D17", "D18"))
+# ---------------------------------------------------------------- SQL twin
+_UVEC = hash_uniform_sql(VEC_ID, SEED)
+_VEC_SQL = "WITH RECURSIVE base AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), "
+
+
+def _ova_ctes(lambdas):
+    """CTEs up to the fits and scores of the stratified split, one model for each λ and class."""
+    return (_VEC_SQL + sqlgen.stratified_ctes("base", VEC_ID, "label", TEST_FRAC, _UVEC)
+            + ", pool AS (SELECT 0 AS s, vec_id, label, e, split = 'train' AS train FROM tagged), "
+            + sqlsolve.fit_ctes(CLASSES, lambdas) + ", " + sqlsolve.score_ctes())
+
+
+def _curve_ctes():
+    """The same for the nested fractions: subset i learns from its own rows."""
+    tagged = ", ".join(sqlgen.stratified_ctes("base", VEC_ID, "label", f, _UVEC, out=f"t{i}", total="floor", prefix=f"f{i}_")
+                       for i, f in enumerate(FRACTIONS))
+    pool = " UNION ALL ".join(f"SELECT {i} AS s, vec_id, label, e, split = 'test' AS train FROM t{i}" for i in range(len(FRACTIONS)))
+    return (_VEC_SQL + tagged + f", pool AS MATERIALIZED ({pool}), " + sqlsolve.fit_ctes(CLASSES, [OVA_LAMBDA]) + ", "
+            + sqlsolve.score_ctes())
+
+
+_SIDE = "CASE WHEN train THEN 'train' ELSE 'test' END AS split"
+_HIT = sqlgen.rnd("avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END)", 6) + " AS accuracy"
+
+
+@query("ova_fit", ops=("B9", "D16", "D17", "D18"), sql=(
+    _ova_ctes([OVA_LAMBDA]) + " SELECT k::INTEGER AS class, " + sqlgen.rnd("cost", 6) + " AS cost, "
+    + sqlgen.rnd("sqrt(list_dot_product(theta, theta))", 4) + f" AS theta_norm, slope <= {sqlsolve.STATIONARY!r} AS converged FROM best"))
 def ova_fit(spark, sf_dir):
     """One-vs-all L2 logistic (λ=.1) by damped Newton: per class the final cost,
     ‖θ‖ and whether the step rule converged (false also where the class is separated)."""
@@ -179,17 +207,22 @@ def ova_fit(spark, sf_dir):
                 .select("class", rnd("cost", 6).alias("cost"), rnd("theta_norm", 4).alias("theta_norm"), "converged")
 
 
-@query("ova_predict", ops=("E6", "F7", "F8", "F9", "F13"))
+@query("ova_predict", ops=("E6", "F7", "F8", "F9", "F13"), sql=(
+    _ova_ctes([OVA_LAMBDA]) + ", cm AS (SELECT a.k AS label, c.k AS prediction, count(vec_id)::BIGINT AS n FROM best a CROSS JOIN best c "
+    "LEFT JOIN (SELECT * FROM scored WHERE NOT train) t ON t.label = a.k AND t.prediction = c.k GROUP BY 1, 2)" + sqlgen.report_sql()))
 def ova_predict(spark, sf_dir):
     """Argmax class on the test split (λ=.1): class report rows (precision, recall,
     F1, support, accuracy, macro and weighted averages)."""
     tagged, fit = ova_models(spark, sf_dir)
     test = _scored(tagged.where(F.col("split") == "test"), fit, OVA_LAMBDAS.index(OVA_LAMBDA))
     cm = evaluate.confusion(test, "label", "prediction", classes=CLASSES)
-    return evaluate.class_report(cm)
+    rep = evaluate.class_report(cm)
+    return rep.select("class", rnd("precision", 6).alias("precision"), rnd("recall", 6).alias("recall"),
+                      rnd("f1", 6).alias("f1"), "support")
 
 
-@query("ova_lambda", ops=("D19", "F8"))
+@query("ova_lambda", ops=("D19", "F8"), sql=(
+    _ova_ctes(OVA_LAMBDAS) + f' SELECT lam AS "lambda", {_SIDE}, {_HIT} FROM scored GROUP BY lam, train'))
 def ova_lambda(spark, sf_dir):
     """Train and test accuracy for λ ∈ {0, .01, .1, 1, 10}: all 50 models fitted in
     the same passes and scored in one scan."""
@@ -200,7 +233,9 @@ def ova_lambda(spark, sf_dir):
     return a.select(F.col("model").alias("lambda"), "split", rnd("accuracy", 6).alias("accuracy"))
 
 
-@query("learning_curve", ops=("B13", "D20"))
+@query("learning_curve", ops=("B13", "D20"), sql=(
+    _curve_ctes() + " SELECT (CASE s " + " ".join(f"WHEN {i} THEN {f!r}" for i, f in enumerate(FRACTIONS))
+    + f" END)::DOUBLE AS fraction, {_SIDE}, {_HIT}, count(*)::BIGINT AS n FROM scored GROUP BY s, train"))
 def learning_curve(spark, sf_dir):
     """Accuracy on the training subset and on its complement for stratified
     training fractions .1–.9; a scaler per subset; five fits in the same passes, scored in one scan."""

@@ -88,3 +88,24 @@ def scaler_select(cols: Sequence[str]) -> str:
     """avg and population sd (0 → 1) of each column: m{i}, s{i}."""
     return ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END AS s{i}"
                      for i, c in enumerate(cols))
+
+
+def report_sql() -> str:
+    """Rows of the class report from a CTE ``cm(label, prediction, n)`` of all cells."""
+    p = "coalesce(tp::DOUBLE / nullif(predicted, 0), 0.0)"
+    r = "coalesce(tp::DOUBLE / nullif(support, 0), 0.0)"
+    return (
+        ", per AS (SELECT l.label, l.support, l.tp, coalesce(p.predicted, 0) AS predicted FROM "
+        "(SELECT label, sum(n) AS support, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cm GROUP BY label) l "
+        "LEFT JOIN (SELECT prediction, sum(n) AS predicted FROM cm GROUP BY prediction) p ON p.prediction = l.label), "
+        f"pr2 AS (SELECT label, support, tp, {p} AS precision, {r} AS recall FROM per), "
+        "f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM pr2) "
+        "SELECT label::VARCHAR AS class, " + rnd("precision", 6) + " AS precision, " + rnd("recall", 6)
+        + " AS recall, " + rnd("f1", 6) + " AS f1, support::BIGINT AS support FROM f UNION ALL "
+        "SELECT 'accuracy', NULL, NULL, " + rnd("sum(tp)::DOUBLE / sum(support)", 6) + ", sum(support)::BIGINT FROM f UNION ALL "
+        "SELECT 'macro avg', " + rnd("avg(precision)", 6) + ", " + rnd("avg(recall)", 6) + ", "
+        + rnd("avg(f1)", 6) + ", sum(support)::BIGINT FROM f UNION ALL "
+        "SELECT 'weighted avg', " + rnd("sum(precision * support) / sum(support)", 6) + ", "
+        + rnd("sum(recall * support) / sum(support)", 6) + ", " + rnd("sum(f1 * support) / sum(support)", 6)
+        + ", sum(support)::BIGINT FROM f"
+    )
