@@ -94,18 +94,27 @@ def upto(lengths: Column) -> Column:
     return let(lengths, sums)
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """Matches of ``pattern`` in order: array of (start, text, left, right).  The text is the given group, which starts
-    where the match does, and the group after it is what follows; left is what stands before, 24 characters at most."""
+def found(text: Column, pattern: str, group: int = 0) -> Column:
+    """Matches of ``pattern`` in order, as arrays: all, of (the given group, which starts where the match does), next (the
+    group after it, what follows) and rest, the text between them."""
     group_of = lambda n: F.regexp_extract_all(text, F.lit(pattern), F.lit(n))
-    found = F.struct(group_of(0).alias("all"), group_of(group).alias("of"), group_of(group + 1).alias("next"),
-                     F.split(text, pattern, -1).alias("rest"))
-    return let(found, lambda m: let(
+    return F.struct(group_of(0).alias("all"), group_of(group).alias("of"), group_of(group + 1).alias("next"),
+                    F.split(text, pattern, -1).alias("rest"))
+
+
+def placed(m: Column) -> Column:
+    """Array of (start, text, left, right) of what :func:`found` gives: left is what stands before, 24 characters at most."""
+    return let(
         upto(F.transform(m["all"], lambda x, i: F.char_length(x) + F.char_length(m["rest"][i]))),
         lambda at: F.transform(m["of"], lambda x, i: F.struct(
             (at[i] + F.char_length(m["rest"][i])).alias("start"), x.alias("text"),
             F.substring(F.concat(F.coalesce(F.get(m["all"], i - 1), F.lit("")), m["rest"][i]), -24, 24).alias("left"),
-            m["next"][i].alias("right")))))
+            m["next"][i].alias("right"))))
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Array of (start, text, left, right), one for each match of ``pattern``."""
+    return let(found(text, pattern), placed)
 
 
 def digits(text: Column) -> Column:
@@ -132,7 +141,7 @@ def checked(kind: Column, text: Column) -> Column:
             .otherwise(let(digits(text), lambda d: n(d).between(10, 15))))
 
 
-def _features(kind: Column, text: Column, left: Column, right: Column) -> list[Column]:
+def _features(kind: Column, text: Column, left: Column, right: Column, holds: Column) -> list[Column]:
     """Format and context as small integers; ``left`` and ``right`` are the characters around the span."""
     number = F.when(kind == EMAIL, F.regexp_replace(text, r"(?i)(?:@|\x20?[\[(]\x20?at).*", "")).otherwise(digits(text))
     groups = F.when(kind == EMAIL, F.regexp_extract_all(text, F.lit(r"(?i)\.|dot\x20?[\])]"), F.lit(0))).otherwise(
@@ -145,37 +154,48 @@ def _features(kind: Column, text: Column, left: Column, right: Column) -> list[C
         word = word | ((kind == k) & left.rlike(pattern))
     values = [F.char_length(number), F.size(groups),
               F.aggregate(groups, F.lit(0), lambda a, g: F.greatest(a, F.char_length(g))),
-              flag(checked(kind, text)),
+              flag(holds),
               side(left.rlike(r"[\p{L}\p{N}_@%=/]$"), (kind != EMAIL) & left.rlike(r"[0-9][\x20.-]?$")),
               side(right.rlike(r"^[\p{L}\p{N}_@%=/]"), (kind != EMAIL) & right.rlike(r"^[\x20.-]?[0-9]")),
               F.when(kind == EMAIL, 0).otherwise(F.size(marks)), flag(F.startswith(text, F.lit("+"))), flag(word)]
     return [F.least(v, F.lit(limit)).cast("int").alias(name) for v, limit, name in zip(values, LIMITS, FEATURES, strict=True)]
 
 
-def _candidate(kind: Column, start: Column, text: Column, left: Column, right: Column, matched: Column) -> Column:
-    """A proposal; ``matched``: it is a match of its kind's base pattern, and stays if the check holds."""
-    known = matched & ((kind == EMAIL) | checked(kind, text))
-    label = F.when(known, 1).when(matched, 0)
-    return F.struct(kind.cast("int").alias("kind"), start.cast("int").alias("start"), (start + F.char_length(text)).cast("int").alias("end"),
-                    known.alias("base"), label.cast("int").alias("label"), *_features(kind, text, left, right))
+_RAW = "struct<kind:int,start:int,text:string,left:string,right:string,matched:boolean>"
+
+
+def _raw(kind: Column, start: Column, text: Column, left: Column, right: Column, matched: Column) -> Column:
+    """A span to be proposed; ``matched``: it is a match of its kind's base pattern, and stays if the check holds."""
+    return F.struct(kind.cast("int").alias("kind"), start.cast("int").alias("start"), text.alias("text"), left.alias("left"),
+                    right.alias("right"), matched.alias("matched"))
+
+
+def _candidate(s: Column) -> Column:
+    """The proposal of a span.  It stands once in the plan: building its many expressions takes time."""
+    def made(holds):
+        known = s["matched"] & ((s["kind"] == EMAIL) | holds)
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (s["start"] + F.char_length(s["text"])).cast("int").alias("end"),
+                        known.alias("base"), F.when(known, 1).when(s["matched"], 0).cast("int").alias("label"),
+                        *_features(s["kind"], s["text"], s["left"], s["right"], holds))
+    return let(checked(s["kind"], s["text"]), made)
 
 
 def _in_run(run: Column) -> Column:
-    """The proposals of one run of digits and marks."""
+    """The spans to be proposed in one run of digits and marks."""
     def spans_of(kind, pattern, shape):
-        return F.transform(matches(run["text"], pattern, shape), lambda m: F.struct(
-            F.lit(kind).alias("kind"), m["start"].alias("start"), m["text"].alias("text"), F.lit(shape).alias("shape"),
-            m["left"].alias("left"), m["right"].alias("right")))
-    none = F.array().cast("array<struct<kind:int,start:int,text:string,shape:int,left:string,right:string>>")
-    found = [spans_of(kind, f"{BASE[kind]}(?={NEXT})", 0) for kind in (IP, CARD, PHONE)]
+        return F.struct(F.lit(kind).alias("kind"), F.lit(shape).alias("shape"), found(run["text"], pattern, shape).alias("m"))
+    lists = [spans_of(kind, f"{BASE[kind]}(?={NEXT})", 0) for kind in (IP, CARD, PHONE)]
     for kind, before, shape, consumed in SHAPES:
         pattern = f"{before}(?=({shape})(?![0-9]){NEXT}){consumed}"
-        found.append(F.when(run["text"].rlike(pattern), spans_of(kind, pattern, 1)).otherwise(none))
+        lists.append(F.when(run["text"].rlike(pattern), spans_of(kind, pattern, 1)))
+    spans = F.flatten(F.transform(F.filter(F.array(*lists), lambda of: of.isNotNull()), lambda of: F.transform(
+        placed(of["m"]), lambda m: F.struct(of["kind"].alias("kind"), m["start"].alias("start"), m["text"].alias("text"),
+                                            of["shape"].alias("shape"), m["left"].alias("left"), m["right"].alias("right")))))
 
     def around(s):
         left = F.when(s["start"] < 24, F.concat(run["left"], F.substring(run["text"], F.lit(1), s["start"]))).otherwise(s["left"])
-        return _candidate(s["kind"], run["start"] + s["start"], s["text"], left, F.concat(s["right"], run["right"]), s["shape"] == 0)
-    return let(F.sort_array(F.concat(*found)), lambda spans: F.transform(_distinct(spans), around))
+        return _raw(s["kind"], run["start"] + s["start"], s["text"], left, F.concat(s["right"], run["right"]), s["shape"] == 0)
+    return let(F.sort_array(spans), lambda ordered: F.transform(_distinct(ordered), around))
 
 
 def _distinct(spans: Column) -> Column:
@@ -186,27 +206,22 @@ def _distinct(spans: Column) -> Column:
     return F.filter(spans, lambda s, i: new(s, F.get(spans, i - 1)) & enough(s))
 
 
-def _empty() -> Column:
-    fields = ",".join(x.replace(" ", ":") for x in _CANDIDATE.split(", "))
-    return F.array().cast(f"array<struct<{fields}>>")
-
-
 def candidates(text: Column) -> Column:
     """All proposals of a text, sorted by start: array of :data:`_CANDIDATE`."""
     numeric = F.transform(F.filter(matches(text, f"{RUN}(?={NEXT})"), lambda r: F.char_length(digits(r["text"])) >= RUN_DIGITS), _in_run)
     email = F.transform(matches(text, f"{BASE[EMAIL]}(?={NEXT})"), lambda m: F.array(
-        _candidate(F.lit(EMAIL), m["start"], m["text"], m["left"], m["right"], F.lit(True)),
+        _raw(F.lit(EMAIL), m["start"], m["text"], m["left"], m["right"], F.lit(True)),
         # the same address without its last label
-        _candidate(F.lit(EMAIL), m["start"], F.regexp_replace(m["text"], r"\.[^.]*$", ""), m["left"], F.lit("."), F.lit(False))))
+        _raw(F.lit(EMAIL), m["start"], F.regexp_replace(m["text"], r"\.[^.]*$", ""), m["left"], F.lit("."), F.lit(False))))
     spelled = F.transform(matches(text, f"{SPELLED}(?={NEXT})"), lambda m: F.array(
-        _candidate(F.lit(EMAIL), m["start"], m["text"], m["left"], m["right"], F.lit(False))))
+        _raw(F.lit(EMAIL), m["start"], m["text"], m["left"], m["right"], F.lit(False))))
+    none = F.array().cast(f"array<array<{_RAW}>>")
     marked = F.lit(False)
     for mark in SPELLED_MARKS:
         marked = marked | F.contains(text, F.lit(mark))
-    found = F.flatten(F.concat(F.when(text.rlike("[0-9]"), numeric).otherwise(F.array(_empty())),
-                               F.when(F.contains(text, F.lit("@")), email).otherwise(F.array(_empty())),
-                               F.when(marked, spelled).otherwise(F.array(_empty()))))
-    by_start = F.array_sort(found, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
+    spans = F.flatten(F.concat(F.when(text.rlike("[0-9]"), numeric).otherwise(none), F.when(F.contains(text, F.lit("@")), email).otherwise(none),
+                               F.when(marked, spelled).otherwise(none)))
+    by_start = F.array_sort(F.transform(spans, _candidate), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
                             .when(a["kind"] != b["kind"], a["kind"] - b["kind"]).otherwise(a["end"] - b["end"]))
 
     def labelled(c, i, everyone):

@@ -14,6 +14,8 @@ from ridgeline.llm import pii as P
 # the contract's patterns, as they are written there
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+# a text without this has no match; the patterns as written take the square of its length to say so
+NEEDED = ("@", ".", "", "+")
 
 
 def luhn(number):
@@ -28,6 +30,8 @@ def plain(text):
     """Base spans (start, kind, end)."""
     out = []
     for kind, pattern in enumerate(PATTERNS):
+        if NEEDED[kind] not in (text or ""):
+            continue
         for m in re.finditer(pattern, text or ""):
             d = "".join(c for c in m.group() if c in "0123456789")
             if kind == P.IP and any(int(x) > 255 for x in m.group().split(".")):
@@ -53,7 +57,7 @@ def check(spark, texts):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for _, k, _ in base) for x in range(4)], texts[r.doc_id][:300]
         assert r.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest(), (texts[r.doc_id][:300], base, r.spans)
         spans = [(x.split(":")[0], int(x.split(":")[1]), int(x.split(":")[2])) for x in r.spans.split(",")] if r.spans else []
-        assert set(listed(base).split(",")) <= set(r.spans.split(","))
+        assert {(P.KINDS[k], a, b) for a, k, b in base} <= set(spans)
         assert spans == sorted(spans, key=lambda s: (s[1], P.KINDS.index(s[0]), s[2]))
         out[r.doc_id] = [(k, texts[r.doc_id][s:e]) for k, s, e in spans]
     assert len(rows) == len(texts)
