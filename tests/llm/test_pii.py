@@ -110,8 +110,11 @@ def corpus(seed, n=1200):
             words.insert(rng.randint(0, len(words)), value)
             wanted.append([(P.KINDS[kind], value)])
         elif kind == 4:         # numbers that are nothing
+            short = card(rng)[:-1]
+            while luhn(short):      # by chance a card of 15 digits
+                short = card(rng)[:-1]
             value = rng.choice([str(rng.randint(1, 99999)), "300.400.1.2", f"v{rng.randint(1, 9)}.{rng.randint(1, 9)}",
-                                card(rng)[:-1] + "x", "+12 345"])
+                                short + "x", "+12 345"])
             bad = card(rng)
             bad = bad[:-1] + str((int(bad[-1]) + 5) % 10)
             words.insert(rng.randint(0, len(words)), rng.choice([value, bad]))
