@@ -72,17 +72,19 @@ def standardized(df: DataFrame, features: Sequence[str], label: str, mean, scale
                      F.col(label).cast("double").alias("y"))
 
 
-# Target bytes per partition of the cached iteration data: iterative solvers pay a
-# per-task cost on every pass, so tiny inputs are packed into few partitions while
-# large ones keep (at least) their natural parallelism.
+# Iterative solvers pay a per-task cost on every pass: rows below ITER_TASK_ROWS are not worth
+# a task of their own, so tiny inputs are packed into few partitions.  Above that a pass's time is its rows,
+# which every core gets a share of; a partition holds ITER_PARTITION_BYTES at most.
 ITER_PARTITION_BYTES = 64 << 20
+ITER_TASK_ROWS = 1 << 14
 
 
 def right_sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """Repartition the (small, standardised) iteration input only when it has more
-    partitions than its size needs; never reduces a big input's parallelism."""
-    want = max(1, -(-rows * row_bytes // ITER_PARTITION_BYTES))
-    return df.repartition(want) if want < df.rdd.getNumPartitions() else df
+    """The (standardised) iteration input in as many partitions as its rows keep busy: one
+    for a small input, one a core for a larger one, more where a partition would grow too big."""
+    spread = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ITER_TASK_ROWS))
+    want = max(1, spread, -(-rows * row_bytes // ITER_PARTITION_BYTES))
+    return df if want == df.rdd.getNumPartitions() else df.repartition(want)
 
 
 def _scaler(train: DataFrame, features: Sequence[str]):
@@ -128,14 +130,20 @@ def numpy_blocks(df: DataFrame, build) -> RDD:
               .persist(StorageLevel.MEMORY_AND_DISK))
 
 
+#: Numbers that the partitions' partial sums may hold together to be added up without a stage for the tree (8 MiB).
+FLAT_SUM = 1 << 20
+
+
 def tree_sum(blocks: RDD, width: int, partial) -> np.ndarray:
     """Σ over blocks of ``partial(block)`` (a length-``width`` array), reduced in a
-    tree on the executors; only the total reaches the driver.  How many partitions
+    tree on the executors; only the total reaches the driver, or one partial sum a partition
+    where these are small.  How many partitions
     the blocks are in (see :func:`right_sized`) changes the plan, not the sum."""
     def seq(acc, blk):
         acc += partial(blk)
         return acc
-    return blocks.treeAggregate(np.zeros(width), seq, lambda x, y: x + y, depth=2)
+    depth = 1 if blocks.getNumPartitions() * width <= FLAT_SUM else 2
+    return blocks.treeAggregate(np.zeros(width), seq, lambda x, y: x + y, depth=depth)
 
 
 def _binary_blocks(z: DataFrame, k: int) -> RDD:
@@ -190,6 +198,8 @@ def _descend(gd: _GD, sums) -> _GD:
 LOCAL_ERROR = 1e-9
 #: Columns (with the intercept) up to which a pass brings the fourth derivatives.
 LOCAL_COLUMNS = 16
+#: Earlier points of the descent that the polynomial's remainder is carried on from.
+LOCAL_PAST = 3
 _PASS_ROWS = 4096
 
 
@@ -246,22 +256,41 @@ class _LocalLoss:
         return float(cost), self.g + hd + third / 2 + self._square(fourth) @ d / 6
 
 
+def _remainder(local: _LocalLoss, past: list[tuple[int, np.ndarray, np.ndarray]]):
+    """steps → what the polynomial's gradient lacks so many steps on.
+
+    ``past`` holds earlier points of the descent: steps from here (negative), point, exact gradient.  Along the descent
+    the remainder is t⁴ times a smooth function of the steps t; the polynomial through the
+    past points stands for that.
+    """
+    if not past:
+        return lambda t: 0.0
+    steps = np.array([t for t, _, _ in past], dtype=float)
+    scale, powers = np.abs(steps).max(), np.arange(4, 4 + len(past))
+    lack = np.array([g - local.at(theta)[1] for _, theta, g in past])
+    coef = np.linalg.solve((steps / scale)[:, None] ** powers, lack)
+    return lambda t: (t / scale) ** powers @ coef
+
+
 def _descend_locally(gd: _GD, sums) -> _GD:
     """The same iterations with several steps a pass.
 
     A pass brings the loss's first four derivatives at w, whose polynomial gives the gradients of the
-    next steps on the driver; the first of them is exact.  The pass at the end of a run
+    next steps on the driver; the first of them is exact.  What the polynomial lacks at the points of the last
+    passes, where the exact gradients are known, is carried on along the descent (:func:`_remainder`).
+    The pass at the end of a run
     compares the polynomial's gradient with the exact one there, where it is farthest off: the run
     stands if they differ by at most :data:`LOCAL_ERROR` a row, else it is taken back and made shorter.
     Runs grow as the descent slows down.  Each pass's cost is exact, and is what the history holds
     where it falls on a recorded step; the other steps' costs are the polynomial's.
     """
-    local, run, it = _LocalLoss(gd.k), 1, 0
+    local, run, it, past = _LocalLoss(gd.k), 1, 0, []
     theta = lambda: np.append(gd.b, gd.w)
     local.centre(theta(), sums(*local.partial(theta())))
     while True:
         saved = copy.deepcopy(gd)
         run = min(run, gd.max_iter - it)
+        lack = _remainder(local, [(at - it, point, g) for at, point, g in past])
         cost, g = local.cost, local.g
         done = False
         for step in range(max(run, 1)):
@@ -269,16 +298,18 @@ def _descend_locally(gd: _GD, sums) -> _GD:
                 done = True
                 break
             cost, g = local.at(theta())
+            g = g + lack(step + 1)
         if done:
             return gd
         here, guess = theta(), g
         tot = sums(*local.partial(here))
         error = float(np.abs(tot[2:2 + local.n] - guess).max()) / max(local.m, 1)
-        factor = 0.9 * (LOCAL_ERROR / max(error, LOCAL_ERROR / 1e4)) ** 0.25       # the remainder is of fourth order
+        factor = 0.9 * (LOCAL_ERROR / max(error, LOCAL_ERROR / 1e4)) ** (1 / (4 + len(past)))       # the order of what is left
         if error > LOCAL_ERROR and run > 1:
             gd.__dict__.update(saved.__dict__)
             run = max(1, min(run - 1, int(run * factor)))
             continue
+        past = [*past, (it, local.theta, local.g)][-LOCAL_PAST:]
         local.centre(here, tot)
         it += run
         run = max(run + 1, int(run * min(factor, 4.0))) if factor > 1 else max(1, int(run * factor))

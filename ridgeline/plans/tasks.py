@@ -78,8 +78,7 @@ DOC_TARGET = "quality"
 
 # The token separators and character classes of the text measures
 # (regex form for the SQL twin; the same sets as plain character lists for
-# Spark's ``translate``, which removes characters without a regex engine).
-_WS = "[ \\t\\n]+"
+# Spark's ``translate`` and ``replace``, which remove characters without a regex engine).
 _DIGIT = "[0-9]"
 _PUNCT = "[.,;:!?]"
 _UPPER = "[A-Z]"
@@ -89,18 +88,25 @@ PUNCT_CHARS = ".,;:!?"
 UPPER_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _each(text, chars: str, by: str):
+    """``text`` with every one of a few characters replaced (a byte search each; ``translate`` looks up every character)."""
+    for c in chars:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
 def _count_chars(text: str, chars: str):
     """Occurrences of any character of ``chars`` in ``text``."""
     return F.length(text) - F.length(F.translate(F.col(text), chars, ""))
 
 
 def text_measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """Eight per-document measures, all built-in string functions (JVM-side)."""
+    """Eight per-document measures, all built-in string functions (JVM-side); a text is cut into words once."""
     L = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.greatest(F.expr(f"regexp_count({text}, '[^ \\t\\n]+')"), F.lit(1)).cast("double")
-    nonspace = F.length(F.translate(F.col(text), SPACE_CHARS, "")).cast("double")
-    lines = (_count_chars(text, "\n") + 1).cast("double")
-    toks = F.array_remove(F.split(F.lower(F.col(text)), _WS), "")
+    toks = F.array_remove(F.split(_each(F.lower(F.col(text)), SPACE_CHARS[1:], " "), " "), "")
+    words = F.greatest(F.size(toks), F.lit(1)).cast("double")
+    nonspace = F.length(_each(F.col(text), SPACE_CHARS, "")).cast("double")
+    lines = (F.length(text) - F.length(_each(F.col(text), "\n", "")) + 1).cast("double")
     return df.select("*",
                      F.length(text).cast("double").alias("n_chars"),
                      words.alias("n_words"),

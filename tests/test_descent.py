@@ -93,3 +93,29 @@ def test_roc_reads_its_ordered_scores_once(spark):
     assert plan.count("MapInPandas") == 1 and "SortMergeJoin" not in plan
     q = evaluate.qq_points(df.withColumn("id", F.monotonically_increasing_id()), "s", ["id"])
     assert q.count() == 500 and evaluate.qq_points(df.limit(0).withColumn("id", F.lit(1)), "s", ["id"]).count() == 0
+
+
+def test_what_the_polynomial_lacks_is_carried_on():
+    rng = np.random.default_rng(5)
+    X = np.exp(1.3 * rng.normal(size=(4000, 4)))                 # long tails: large higher derivatives
+    y = (rng.random(4000) < 1 / (1 + np.exp(-(X @ [1, -0.7, 0.3, -0.5])))).astype(float)
+    X, passes = (X - X.mean(axis=0)) / X.std(axis=0), []
+
+    def sums(width, partial):
+        passes.append(1)
+        return partial((X, y))
+    plain = logistic._descend(logistic._GD(4, 0.5, 2000, None, 100, 0.0), sums)
+    passes.clear()
+    fast = logistic._descend_locally(logistic._GD(4, 0.5, 2000, None, 100, 0.0), sums)
+    assert abs(plain.w - fast.w).max() < 1e-7 and abs(plain.b - fast.b) < 1e-7
+    assert len(passes) < 120                                     # 179 by the polynomial alone
+
+
+def test_a_large_iteration_input_is_spread_over_the_cores(spark):
+    cores, rows = spark.sparkContext.defaultParallelism, 5 * logistic.ITER_TASK_ROWS
+    for parts in (1, 3, 40):
+        df = spark.range(0, rows, 1, parts)
+        assert logistic.right_sized(df, rows, 72).rdd.getNumPartitions() == min(cores, 5)
+        assert logistic.right_sized(df, 100, 72).rdd.getNumPartitions() == 1
+    big = 50 * logistic.ITER_PARTITION_BYTES // 72
+    assert logistic.right_sized(spark.range(10), big, 72).rdd.getNumPartitions() >= 50

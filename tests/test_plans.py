@@ -3,10 +3,12 @@ the scoring path, no unchecked broadcast of row-sized data)."""
 
 import contextlib
 import io as _io
+import re
 
 from pyspark.sql import functions as F
 
 from ridgeline.operators import prep, split
+from ridgeline.plans import tasks
 from ridgeline.plans.q_linear import house_fit
 from ridgeline.plans.tasks import house_like
 
@@ -54,3 +56,19 @@ def test_comment_csv_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert (got.n, got.key_sum, got.size_sum) == (len(rows), sum(r.p_partkey for r in rows), sum(r.p_size for r in rows))
     prices = [r.p_retailprice for r in rows if r.p_size != 1]
     assert got.n_price == len(prices) and abs(got.price_sum - sum(prices)) < 0.01
+
+
+def test_text_measures_cut_a_text_once(spark):
+    texts = ["", " ", "\t\n ", "a", "Ünï  İstanbul ΣΑΣ ΣΑΣ\tσας\n\n", "\x0b\x0c\ra b c", "A.B,c1 2;3:!?", "\n\nx\nX", "日本 語 x"]
+    df = tasks.text_measures(spark.createDataFrame([(t,) for t in [None, *texts]], "text string"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp" not in plan and "]+" not in plan                # no regular expression: words are cut at a plain blank
+    got = {r.text: r[1:] for r in df.collect()}
+    assert got[None] == (None, 1.0, None, None, None, None, None, None)
+    for t in texts:
+        words, n = [w for w in re.split("[ \t\n]+", t) if w], max(len(t), 1)
+        distinct = {w for w in re.split("[ \t\n]+", t.lower()) if w}
+        k = max(len(words), 1)
+        want = (len(t), k, t.count("\n") + 1, sum(map(len, words)) / k, sum(c in tasks.DIGIT_CHARS for c in t) / n,
+                sum(c in tasks.PUNCT_CHARS for c in t) / n, len(distinct) / k, sum(c in tasks.UPPER_CHARS for c in t) / n)
+        assert got[t] == want, t
